@@ -138,15 +138,10 @@ def clean_dedupe(spark, sf_dir):
 
 def outlier_bounds(spark, sf_dir):
     unique = clean.drop_repeats(_filled(_raw(spark, sf_dir)))
-    bounds = clean.outlier_bounds(unique)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.*")) for c in bounds.columns])
-    return bounds.select(F.inline(rows)).select(
-        "column_name",
-        F.round("q1", 6).alias("q1"),
-        F.round("q3", 6).alias("q3"),
-        F.round("lower", 6).alias("lower_bound"),
-        F.round("upper", 6).alias("upper_bound"),
-    )
+    rows = [(name, *fence) for name, fence in clean.outlier_bounds(unique).items()]
+    schema = "column_name string, q1 double, q3 double, lower_bound double, upper_bound double"
+    bounds = spark.createDataFrame(rows, schema)
+    return bounds.select("column_name", *[F.round(c, 6).alias(c) for c in bounds.columns[1:]])
 
 
 def flag_outliers(spark, sf_dir):
@@ -190,6 +185,13 @@ def derive_customer_segment(spark, sf_dir):
     )
 
 
+def derive_customer_segment_spread(spark, sf_dir):
+    """With the join that spreads hot customers, whatever the number of customers."""
+    return segments.add_segments(_amounts(spark, sf_dir), max_broadcast_rows=0).select(
+        "invoice_no", "stock_code", "customer_id", "customer_segment"
+    )
+
+
 _ROLLING = (
     "invoice_no", "stock_code", "customer_id", "country", "invoice_date", "total_amount",
     rolling.NAME,
@@ -223,6 +225,13 @@ def fact_sales_lookup(spark, sf_dir):
     return star.fact_sales_lookup(_processed(spark, sf_dir), *dims, RUN_TS).drop("fact_id")
 
 
+def fact_sales_lookup_spread(spark, sf_dir):
+    """With the joins that spread hot customers and products."""
+    _, *dims = quality.star_tables(_star(spark, sf_dir))
+    facts = star.fact_sales_lookup(_processed(spark, sf_dir), *dims, RUN_TS, max_broadcast_rows=0)
+    return facts.drop("fact_id")
+
+
 def fact_ids(spark, sf_dir):
     return star.number_lines(_processed(spark, sf_dir)).select(
         "fact_id", "invoice_no", "stock_code", "customer_id", "country", "total_amount"
@@ -329,9 +338,10 @@ _QUERIES = {
             clean_parse_dates, clean_impute_numeric, clean_impute_string, clean_dedupe,
             outlier_bounds, flag_outliers,
             derive_amount, derive_date_parts, derive_product_category, customer_totals,
-            segment_cutoffs, derive_customer_segment, rolling_sales, rolling_sales_by_range,
+            segment_cutoffs, derive_customer_segment, derive_customer_segment_spread,
+            rolling_sales, rolling_sales_by_range,
             processed_data,
-            fact_sales, fact_sales_lookup, fact_ids, check_keys,
+            fact_sales, fact_sales_lookup, fact_sales_lookup_spread, fact_ids, check_keys,
             validate_input, summary_shape, summary_numeric, summary_categorical,
             q_raw_stats, q_processed_stats, q_star_stats, q_completeness, q_completeness_raw,
             q_consistency, q_recommendations, q_sql_text,

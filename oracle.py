@@ -428,10 +428,13 @@ FROM parsed""",
         "segment_cutoffs": _sql(
             _TO_SEGMENTS, "SELECT round(q33, 6) AS q33, round(q67, 6) AS q67 FROM cuts"
         ),
-        "derive_customer_segment": _sql(
-            _TO_PROCESSED,
-            "SELECT invoice_no, stock_code, customer_id, customer_segment FROM proc",
-        ),
+        **{
+            key: _sql(
+                _TO_PROCESSED,
+                "SELECT invoice_no, stock_code, customer_id, customer_segment FROM proc",
+            )
+            for key in ("derive_customer_segment", "derive_customer_segment_spread")
+        },
         **{
             key: _sql(
                 _TO_PROCESSED,
@@ -453,8 +456,10 @@ FROM proc""",
         "dim_date": _sql(_TO_DIMS, "SELECT * FROM dim_date"),
         "dim_product": _sql(_TO_DIMS, "SELECT * FROM dim_product"),
         "dim_country": _sql(_TO_DIMS, "SELECT * FROM dim_country"),
-        "fact_sales": _sql(_TO_FACTS, f"SELECT {_FACT} FROM fact_sales"),
-        "fact_sales_lookup": _sql(_TO_FACTS, f"SELECT {_FACT} FROM fact_sales"),
+        **{
+            key: _sql(_TO_FACTS, f"SELECT {_FACT} FROM fact_sales")
+            for key in ("fact_sales", "fact_sales_lookup", "fact_sales_lookup_spread")
+        },
         "fact_ids": _sql(
             _TO_PROCESSED,
             """SELECT row_number() OVER (ORDER BY invoice_date, invoice_no, stock_code, description,

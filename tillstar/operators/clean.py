@@ -1,6 +1,7 @@
 """Cleaning: parse dates, fill gaps, drop repeats, flag outliers."""
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegralType
 
 from tillstar.functions.expressions import ISO_FORMAT, parse_datetime
 from tillstar.operators.columns import has, numeric_columns, text_columns
-from tillstar.operators.quantiles import as_scalar, quantiles
+from tillstar.operators.quantiles import quantile_values
 from tillstar.operators.scratch import materialize
 
 # Text for a missing string, width of the outlier fence.
@@ -31,11 +32,11 @@ def fill_numeric(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     columns = numeric_columns(df)
     if not columns:
         return df
-    medians = as_scalar(quantiles(df, columns, [0.5], accuracy))
+    medians = quantile_values(df, columns, [0.5], accuracy)
 
     def filled(name: str) -> Column:
         kind = df.schema[name].dataType
-        median = medians.getField(name)[0]
+        median = F.lit(medians[name][0]).cast("double")
         if isinstance(kind, IntegralType):
             median = F.round(median)
         value = F.col(name)
@@ -60,41 +61,39 @@ def drop_repeats(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+class Fence(NamedTuple):
+    """Quartiles of a column, and the bounds beyond which a value is an outlier."""
+
+    q1: float
+    q3: float
+    lower: float
+    upper: float
+
+
 def outlier_bounds(
     df: DataFrame, columns: list[str] | None = None, accuracy: int | None = None
-) -> DataFrame:
-    """One row: per column a struct (q1, q3, lower, upper) of its outlier fence."""
+) -> dict[str, Fence]:
+    """The fence of every numeric column that has a value."""
     columns = numeric_columns(df) if columns is None else columns
-    quartiles = quantiles(df, columns, [0.25, 0.75], accuracy)
-
-    def fence(name: str) -> Column:
-        q1, q3 = F.col(name)[0], F.col(name)[1]
-        reach = (q3 - q1) * FENCE
-        return F.struct(
-            q1.alias("q1"), q3.alias("q3"), (q1 - reach).alias("lower"), (q3 + reach).alias("upper")
-        )
-
-    return quartiles.select(*[fence(c).alias(c) for c in columns])
+    if not columns:
+        return {}
+    fences = {}
+    for name, (q1, q3) in quantile_values(df, columns, [0.25, 0.75], accuracy).items():
+        if q1 is not None:
+            reach = FENCE * (q3 - q1)
+            fences[name] = Fence(q1, q3, q1 - reach, q3 + reach)
+    return fences
 
 
 def flag_outliers(
     df: DataFrame, columns: list[str] | None = None, accuracy: int | None = None
 ) -> DataFrame:
     """Add is_valid: 0 where any of the numeric columns lies outside its fence."""
-    columns = numeric_columns(df) if columns is None else columns
-    if not columns:
-        return df.withColumn("is_valid", F.lit(1))
-    bounds = as_scalar(outlier_bounds(df, columns, accuracy))
-
-    def inside(name: str) -> Column:
-        value, fence = F.col(name).cast("double"), bounds.getField(name)
-        outside = (value < fence.getField("lower")) | (value > fence.getField("upper"))
-        return ~F.coalesce(outside, F.lit(False))
-
-    valid = inside(columns[0])
-    for name in columns[1:]:
-        valid = valid & inside(name)
-    return df.withColumn("is_valid", valid.cast("int"))
+    outlier = F.lit(False)
+    for name, fence in outlier_bounds(df, columns, accuracy).items():
+        value = F.col(name).cast("double")
+        outlier = outlier | (value < fence.lower) | (value > fence.upper)
+    return df.withColumn("is_valid", F.when(outlier, 0).otherwise(1))
 
 
 def clean(

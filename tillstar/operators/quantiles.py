@@ -88,7 +88,11 @@ def _between(rank: str) -> Column:
     return (F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("end"))
 
 
-def as_scalar(one_row: DataFrame) -> Column:
-    """A one-row frame as a struct column: a scalar subquery, evaluated once per
-    query, instead of a join with every row."""
-    return one_row.select(F.struct("*").alias("values")).scalar()
+def quantile_values(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    accuracy: int | None = None,
+) -> dict[str, list[float | None]]:
+    """The one row of `quantiles` as numbers, to be used as literals in later plans."""
+    return quantiles(df, columns, probabilities, accuracy).first().asDict()

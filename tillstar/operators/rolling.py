@@ -25,14 +25,19 @@ def line_order(df: DataFrame) -> list[Column]:
     return [F.col("invoice_date").asc_nulls_last(), *ties]
 
 
-def add_rolling_sales(df: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Add rolling_7d_sales, by one window per country or, if a country is too
-    large for one task, by ranges."""
+def largest_country(df: DataFrame) -> int:
+    """Number of lines of the country with the most of them."""
     per_country = df.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
-    largest = per_country.agg(F.max("n")).first()[0] or 0
-    if largest <= max_group_rows:
-        return rolling_by_country(df)
-    return rolling_by_range(df)
+    return per_country.agg(F.max("n")).first()[0] or 0
+
+
+def add_rolling_sales(
+    df: DataFrame, largest: int | None = None, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """Add rolling_7d_sales, by one window per country or, if a country is too
+    large for one task, by ranges. `largest` saves the count if it is known."""
+    largest = largest_country(df) if largest is None else largest
+    return rolling_by_country(df) if largest <= max_group_rows else rolling_by_range(df)
 
 
 def rolling_by_country(df: DataFrame) -> DataFrame:

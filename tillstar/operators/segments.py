@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.quantiles import as_scalar, quantiles
+from tillstar.operators.quantiles import quantile_values
 from tillstar.operators.scratch import materialize
-from tillstar.operators.spread import join_unique
+from tillstar.operators.spread import MAX_BROADCAST_ROWS, join_unique
 
 # Cut points among the customer totals, segment names.
 CUTS = (0.33, 0.67)
@@ -29,25 +29,19 @@ def segment_customers(totals: DataFrame, accuracy: int | None = None) -> DataFra
 
     Fails when the cut points do not increase from 0, as there are no bins then.
     """
-    cuts = as_scalar(quantiles(totals, ["total_sales"], CUTS, accuracy)).getField("total_sales")
+    low, high = quantile_values(totals, ["total_sales"], CUTS, accuracy)["total_sales"]
+    if low is not None and not 0 < low < high:
+        raise ValueError(f"customer segments need 0 < q33 < q67, got {low} and {high}")
     total = F.col("total_sales").cast("double")
-    broken = F.raise_error(
-        F.concat(
-            F.lit("customer segments need 0 < q33 < q67, got "),
-            F.concat_ws(", ", cuts.cast("array<string>")),
-        )
-    )
     segment = (
-        F.when(~((cuts[0] > 0) & (cuts[0] < cuts[1])), broken.cast("string"))
-        .when(total <= 0, None)
-        .when(total <= cuts[0], LOW)
-        .when(total <= cuts[1], MEDIUM)
-        .otherwise(HIGH)
+        F.when(total <= 0, None).when(total <= low, LOW).when(total <= high, MEDIUM).otherwise(HIGH)
     )
     return totals.withColumn("customer_segment", segment)
 
 
-def add_segments(df: DataFrame, accuracy: int | None = None) -> DataFrame:
+def add_segments(
+    df: DataFrame, accuracy: int | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Add customer_segment to every line; null for unknown customers.
 
     Missing customer ids were filled with one text, so that key is hot by
@@ -55,4 +49,5 @@ def add_segments(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     """
     totals = materialize(customer_totals(df), "customer-totals")
     segments = segment_customers(totals, accuracy).select("customer_id", "customer_segment")
-    return join_unique(df, segments, "customer_id", totals.select("customer_id", "n"), "left")
+    counts = totals.select("customer_id", "n")
+    return join_unique(df, segments, "customer_id", counts, "left", max_broadcast_rows)

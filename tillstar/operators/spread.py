@@ -3,6 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A lookup of up to this many narrow rows (some 50 bytes each) is broadcast.
+MAX_BROADCAST_ROWS = 500_000
+
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -27,15 +30,22 @@ def hot_keys(counts: DataFrame, key: str) -> DataFrame:
 
 
 def join_unique(
-    rows: DataFrame, lookup: DataFrame, key: str, counts: DataFrame, how: str = "inner"
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    counts: DataFrame,
+    how: str = "inner",
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join many `rows` to a `lookup` with one row per key.
+    """Join many `rows` to a stored, narrow `lookup` with one row per key.
 
-    `counts` holds (key, n): how many of `rows` have each key. Rows of a hot key
-    are dealt out by a hash of the whole row, and its lookup row is copied once
-    per share; there are fewer than 2 P such copies in all. A small lookup is
-    broadcast by Spark anyway, going by its file size.
+    A lookup counted to be small is broadcast. Otherwise both sides are shuffled,
+    and rows of a hot key are dealt out by a hash of the whole row while its
+    lookup row is copied once per share; fewer than 2 P copies in all. `counts`
+    holds (key, n): how many of `rows` have each key.
     """
+    if lookup.count() <= max_broadcast_rows:
+        return rows.join(F.broadcast(lookup), key, how)
     hot = F.broadcast(hot_keys(counts, key))
     # Rows without a key match nothing, but an outer join keeps them: deal them out, too.
     shares = F.coalesce("_shares", F.when(F.col(key).isNull(), fair_shares(rows)))

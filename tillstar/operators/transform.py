@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import expressions as X
 from tillstar.operators.columns import has
-from tillstar.operators.rolling import MAX_GROUP_ROWS, add_rolling_sales
+from tillstar.operators.rolling import MAX_GROUP_ROWS, add_rolling_sales, largest_country
 from tillstar.operators.segments import add_segments
 
 
@@ -32,10 +32,12 @@ def transform(
     df: DataFrame, accuracy: int | None = None, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Amount, date parts, segment, category, rolling mean."""
+    # Counted on the input, of which this needs one column and no join.
+    largest = largest_country(df) if has(df, "country") else 0
     df = add_date_parts(add_amount(df))
-    if has(df, "total_amount"):
+    if has(df, "total_amount", "customer_id"):
         df = add_segments(df, accuracy)
     df = add_product_category(df)
-    if has(df, "total_amount", "invoice_date"):
-        df = add_rolling_sales(df, max_group_rows)
+    if has(df, "total_amount", "invoice_date", "country"):
+        df = add_rolling_sales(df, largest, max_group_rows)
     return df

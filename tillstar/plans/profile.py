@@ -6,7 +6,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tillstar.functions.expressions import ISO_FORMAT, mean_of, parse_datetime, percent
 from tillstar.operators.columns import numeric_columns, text_columns
-from tillstar.operators.quantiles import as_scalar, quantiles
+from tillstar.operators.quantiles import quantiles
 
 # Advice texts, in the order in which they are given.
 ADVICE_CUSTOMERS = "High percentage of missing customer data - consider data source validation"
@@ -62,11 +62,11 @@ def numeric_summary(df: DataFrame, accuracy: int | None = None) -> DataFrame:
 
     columns = [*numeric, *dated]
     values = df.select(*[F.col(c).cast("double").alias(c) for c in numeric], *map(seconds, dated))
-    quarters = as_scalar(quantiles(values, columns, [0.25, 0.5, 0.75], accuracy))
     stats = values.agg(
         *[
             F.struct(
-                F.count(c).alias("n"),
+                F.lit(c).alias("column_name"),
+                F.count(c).alias("count"),
                 F.avg(c).alias("mean"),
                 (F.stddev_samp(c) if c in numeric else F.lit(None).cast("double")).alias("std"),
                 F.min(c).alias("min"),
@@ -74,23 +74,16 @@ def numeric_summary(df: DataFrame, accuracy: int | None = None) -> DataFrame:
             ).alias(c)
             for c in columns
         ]
-    )
-
-    def row(name: str) -> Column:
-        found, quarter = F.col(name), quarters.getField(name)
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            found.getField("n").alias("count"),
-            found.getField("mean").alias("mean"),
-            found.getField("std").alias("std"),
-            found.getField("min").alias("min"),
-            quarter[0].alias("q25"),
-            quarter[1].alias("q50"),
-            quarter[2].alias("q75"),
-            found.getField("max").alias("max"),
+    ).select(F.inline(F.array(*columns)))
+    quarters = quantiles(values, columns, [0.25, 0.5, 0.75], accuracy).select(
+        F.inline(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("q")) for c in columns])
         )
-
-    return stats.select(F.inline(F.array(*map(row, columns))))
+    )
+    return stats.join(quarters, "column_name").select(
+        "column_name", "count", "mean", "std", "min",
+        F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
+    )
 
 
 def categorical_summary(df: DataFrame) -> DataFrame:

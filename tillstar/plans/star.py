@@ -10,7 +10,7 @@ from tillstar.operators.clean import timestamp
 from tillstar.operators.columns import has
 from tillstar.operators.ranges import with_dense_ids
 from tillstar.operators.rolling import line_order
-from tillstar.operators.spread import join_unique, key_counts
+from tillstar.operators.spread import MAX_BROADCAST_ROWS, join_unique, key_counts
 
 
 def dim_customer(processed: DataFrame, run_ts: datetime) -> DataFrame:
@@ -114,6 +114,7 @@ def fact_sales_lookup(
     products: DataFrame,
     countries: DataFrame,
     run_ts: datetime,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Facts with all four keys looked up; a line with a missing key is left out."""
     lines = (
@@ -124,7 +125,8 @@ def fact_sales_lookup(
     customers = customers.select("customer_id")
     products = products.select(F.col("product_id").alias("stock_code"))
     for lookup, key in ((customers, "customer_id"), (products, "stock_code")):
-        lines = join_unique(lines, lookup, key, key_counts(_keyed(processed), key))
+        counts = key_counts(_keyed(processed), key)
+        lines = join_unique(lines, lookup, key, counts, "inner", max_broadcast_rows)
     return _facts(lines, run_ts)
 
 

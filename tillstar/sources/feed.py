@@ -20,6 +20,13 @@ COUNTRIES = (
 )
 
 
+def _at_least_one_task_per_core(scan: DataFrame) -> DataFrame:
+    """A small file is one task, which all later steps would inherit; deal its rows
+    out. A scan with enough partitions is left alone."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw invoice lines of one scale-factor folder."""
 
@@ -27,7 +34,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     lines = (
-        table("lineitem")
+        _at_least_one_task_per_core(table("lineitem"))
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
