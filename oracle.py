@@ -425,9 +425,10 @@ FROM parsed""",
             _TO_SEGMENTS,
             "SELECT customer_id, CAST(total_sales AS DOUBLE) AS total_sales, n FROM totals",
         ),
-        "segment_cutoffs": _sql(
-            _TO_SEGMENTS, "SELECT round(q33, 6) AS q33, round(q67, 6) AS q67 FROM cuts"
-        ),
+        **{
+            key: _sql(_TO_SEGMENTS, "SELECT round(q33, 6) AS q33, round(q67, 6) AS q67 FROM cuts")
+            for key in ("segment_cutoffs", "segment_cutoffs_by_range")
+        },
         **{
             key: _sql(
                 _TO_PROCESSED,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.operators.ranges import RANGE, range_sorted, range_starts
+from tillstar.operators.spread import MAX_BROADCAST_ROWS, is_small
 
 
 def quantiles(
@@ -19,11 +20,13 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row: for every column, an array with its quantiles (null without values).
 
     Nulls and NaN are left out. With `accuracy`, ranks are approximate to one
-    part in `accuracy` and taken from existing values: one scan and no sort.
+    part in `accuracy` and taken from existing values: one scan and no sort. Up to
+    `max_rows` distinct values are ranked by one window per column.
     """
     values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     if accuracy is not None:
@@ -38,54 +41,65 @@ def quantiles(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranged = range_sorted(counts, [F.col("col"), F.col("value")], "value-counts")
-    found = _at_ranks(ranged, probabilities)
-
-    def of(column: str) -> Column:
-        return F.array(
-            *[
-                F.max(F.when((F.col("col") == column) & (F.col("i") == i), F.col("quantile")))
-                for i in range(len(probabilities))
-            ]
-        )
+    placed = _placed(ranged) if is_small(ranged, max_rows) else _placed_near(ranged, probabilities)
+    found = _at_ranks(placed, probabilities)
+    return found.agg(
+        *[F.max(F.when(F.col("col") == c, F.col("quantiles"))).alias(c) for c in columns]
+    )
+
 
-    return found.agg(*[of(c).alias(c) for c in columns])
+def _position(p: float) -> Column:
+    """Where the p-quantile lies among the ranks 0 .. total-1."""
+    return F.lit(float(p)) * (F.col("total") - 1)
 
 
-def _at_ranks(ranged: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Rows (col, i, quantile) from range-sorted value counts."""
-    wanted = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)]
+def _placed(counts: DataFrame) -> DataFrame:
+    """Few value counts: add the rank after a value's last one, and the total."""
+    column = Window.partitionBy("col")
+    return counts.withColumns(
+        {
+            "end": F.sum("n").over(column.orderBy("value")),
+            "total": F.sum("n").over(column),
+        }
     )
+
+
+def _placed_near(ranged: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """The same for many value counts, of which only the ranges are kept that hold a
+    wanted rank: one or two per column and probability."""
     starts = range_starts(ranged, F.col("n"), by=("col",))
-    # Kept: the one or two ranges per column and probability that hold its ranks.
-    ranks = (
-        starts.select("*", F.inline(wanted))
-        .withColumn("position", F.col("p") * (F.col("total") - 1))
-        .withColumn("low", F.floor("position"))
-        .withColumn("high", F.ceil("position"))
-        .where((F.col("high") >= F.col("start")) & (F.col("low") < F.col("start") + F.col("size")))
-        .groupBy("col", RANGE, "start")
-        .agg(F.collect_list(F.struct("i", "position", "low", "high")).alias("ranks"))
-    )
+    holds_rank = F.lit(False)
+    for p in probabilities:
+        low, high = F.floor(_position(p)), F.ceil(_position(p))
+        after = F.col("start") + F.col("size")
+        holds_rank = holds_rank | ((high >= F.col("start")) & (low < after))
+    wanted = starts.where(holds_rank).drop("size")
     in_range = Window.partitionBy("col", RANGE).orderBy("value")
-    return (
-        ranged.join(F.broadcast(ranks), ["col", RANGE])
-        .withColumn("end", F.col("start") + F.sum("n").over(in_range))
-        .select("col", "value", "end", (F.col("end") - F.col("n")).alias("first"), F.inline("ranks"))
-        .withColumn("low_value", F.when(_between("low"), F.col("value")))
-        .withColumn("high_value", F.when(_between("high"), F.col("value")))
-        .groupBy("col", "i")
-        .agg(
-            F.max("low_value").alias("a"),
-            F.max("high_value").alias("b"),
-            F.max(F.col("position") - F.col("low")).alias("t"),
-        )
-        .select("col", "i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias("quantile"))
+    return ranged.join(F.broadcast(wanted), ["col", RANGE]).withColumn(
+        "end", F.col("start") + F.sum("n").over(in_range)
     )
 
 
-def _between(rank: str) -> Column:
-    return (F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("end"))
+def _at_ranks(placed: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Rows (col, quantiles), interpolated between the two neighbouring ranks."""
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("end") - F.col("n")) & (rank < F.col("end")), F.col("value")))
+
+    neighbours = [
+        F.struct(
+            value_at(F.floor(_position(p))).alias("low"),
+            value_at(F.ceil(_position(p))).alias("high"),
+            F.max(_position(p) - F.floor(_position(p))).alias("share"),
+        )
+        for p in probabilities
+    ]
+    return placed.groupBy("col").agg(
+        F.transform(
+            F.array(*neighbours),
+            lambda x: x["low"] + (x["high"] - x["low"]) * x["share"],
+        ).alias("quantiles")
+    )
 
 
 def quantile_values(

@@ -1,9 +1,9 @@
 """Range-sorted tables: global order without a global sort task.
 
-A frame is range-partitioned on its order columns and written with the number
-of the range each row fell into. Global positions then follow from one count
-per range (as many rows as there are shuffle partitions) plus an order inside
-each range.
+A frame is range-partitioned on its order columns, sorted inside each partition,
+and written with two numbers per row: its range and its row in that range. The
+pair is the global order. Positions in it follow from one count per range (as
+many rows as there are shuffle partitions), with no second shuffle.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,14 +11,25 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.scratch import materialize
 
-RANGE = "_range"
+RANGE, ROW = "_range", "_row"
+
+# monotonically_increasing_id holds the row of a partition in its low 33 bits.
+_ROW_BITS = 2**33 - 1
 
 
 def range_sorted(df: DataFrame, order: list[Column], label: str) -> DataFrame:
-    """`df` with its range number, on storage. Order columns should tell all rows
-    apart, so that no value is too frequent to be divided between ranges."""
-    ranged = df.repartitionByRange(*order).withColumn(RANGE, F.spark_partition_id())
-    return materialize(ranged, label)
+    """`df` with its global order, on storage. The order columns should tell all
+    rows apart, so that no value is too frequent to be divided between ranges."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(
+        placed.withColumns(
+            {
+                RANGE: F.spark_partition_id(),
+                ROW: F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
+            }
+        ),
+        label,
+    )
 
 
 def range_starts(ranged: DataFrame, weight: Column, by: tuple[str, ...] = ()) -> DataFrame:
@@ -39,5 +50,5 @@ def with_dense_ids(df: DataFrame, order: list[Column], name: str, label: str) ->
     ranged = range_sorted(df, order, label)
     # One row per shuffle partition, hence safe to broadcast.
     starts = F.broadcast(range_starts(ranged, F.lit(1)).select(RANGE, "start"))
-    in_range = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order))
-    return ranged.join(starts, RANGE).withColumn(name, F.col("start") + in_range).drop(RANGE, "start")
+    number = F.col("start") + F.col(ROW) + 1
+    return ranged.join(starts, RANGE).withColumn(name, number).drop(RANGE, ROW, "start")

@@ -4,7 +4,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.expressions import mean_of
-from tillstar.operators.ranges import RANGE, range_sorted
+from tillstar.operators.ranges import RANGE, ROW, range_sorted
+from tillstar.operators.scratch import materialize
+from tillstar.operators.spread import MAX_BROADCAST_ROWS, broadcast_if_small
 
 # Rows in the frame (the name says days, the semantics are rows).
 FRAME_ROWS = 7
@@ -43,42 +45,61 @@ def add_rolling_sales(
 def rolling_by_country(df: DataFrame) -> DataFrame:
     """One window per country; lines without a country get null."""
     window = Window.partitionBy("country").orderBy(*line_order(df))
-    return df.withColumn(NAME, F.when(F.col("country").isNotNull(), _mean(window)))
+    return df.withColumn(NAME, _of_known_country(_mean(window)))
 
 
-def rolling_by_range(df: DataFrame) -> DataFrame:
-    """The same result with countries cut into ranges of the line order.
+def rolling_by_range(
+    df: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """The same result with countries cut into pieces, one per range of the line order.
 
-    Inside a range, only a country's first six lines lack some of their
-    predecessors. Those heads, and the last six lines of every country in every
-    range, form a small edge table (12 lines per piece). In it, the lines
-    before a head are the ones before it in the whole table, so a window over
-    the edges completes the heads.
+    Only the first six lines of a piece, its head, lack some of their
+    predecessors; `_head_means` supplies their means.
     """
-    order = line_order(df)
-    ranged = range_sorted(df, [F.col("country").asc(), *order], "country-ranges")
-    piece = Window.partitionBy("country", RANGE).orderBy(*order)
-    lines = (
+    ranged = range_sorted(df, [F.col("country").asc(), *line_order(df)], "country-ranges")
+    heads = materialize(_head_means(ranged, max_broadcast_rows), "piece-heads")
+    piece = Window.partitionBy("country", RANGE).orderBy(ROW)
+    mean = F.when(F.col("_is_head"), F.col("_head_mean")).otherwise(F.col(NAME))
+    return (
         ranged.withColumn(NAME, _mean(piece))
-        .withColumn("_position", F.row_number().over(piece))
-        .withColumn("_is_tail", F.lead(F.lit(1), _BEFORE).over(piece).isNull())
+        .join(broadcast_if_small(heads, max_broadcast_rows), [RANGE, ROW], "left")
+        .withColumn(NAME, _of_known_country(mean))
+        .select(*df.columns, NAME)
     )
-    is_head = F.col("_position") <= _BEFORE
-    # Pieces of a country follow each other by range number, so ordering the
-    # edges by range and position keeps the line order.
-    country = Window.partitionBy("country").orderBy(RANGE, "_position")
-    heads = (
-        lines.where(is_head | F.col("_is_tail"))
-        .withColumn(NAME, F.when(F.col("country").isNotNull(), _mean(country)))
-        .where(is_head)
+
+
+def _head_means(ranged: DataFrame, max_broadcast_rows: int) -> DataFrame:
+    """Rows (range, row, mean) for the first six lines of every piece.
+
+    Their predecessors are the last six lines of the pieces before (of more than
+    one piece, if these are short). Heads and tails, 12 lines per piece at most,
+    are picked by position and seen in order by one small window per country.
+    """
+    pieces = materialize(
+        ranged.where(F.col("country").isNotNull())
+        .groupBy("country", RANGE)
+        .agg(F.min(ROW).alias("first"), F.max(ROW).alias("last")),
+        "pieces",
+    )
+    is_head = F.col(ROW) < F.col("first") + _BEFORE
+    is_tail = F.col(ROW) > F.col("last") - _BEFORE
+    edges = (
+        ranged.select("country", RANGE, ROW, "total_amount")
+        .join(broadcast_if_small(pieces, max_broadcast_rows), ["country", RANGE])
+        .where(is_head | is_tail)
     )
-    bodies = lines.where(~is_head)
-    columns = [*df.columns, NAME]
-    return bodies.unionByName(heads).select(
-        *[F.when(F.col("country").isNotNull(), F.col(c)).alias(c) if c == NAME else c for c in columns]
+    country = Window.partitionBy("country").orderBy(RANGE, ROW)
+    return (
+        edges.withColumn("_head_mean", _mean(country))
+        .where(is_head)
+        .select(RANGE, ROW, "_head_mean", F.lit(True).alias("_is_head"))
     )
 
 
+def _of_known_country(value: Column) -> Column:
+    return F.when(F.col("country").isNotNull(), value)
+
+
 def _mean(window) -> Column:
     frame = window.rowsBetween(-_BEFORE, Window.currentRow)
     return mean_of(F.sum("total_amount").over(frame), F.count("total_amount").over(frame))

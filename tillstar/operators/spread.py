@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
+def is_small(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a stored table has few enough rows to be broadcast; Parquet answers
+    from its footers."""
+    return stored.count() <= max_rows
+
+
+def broadcast_if_small(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(stored) if is_small(stored, max_rows) else stored
+
+
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
@@ -34,17 +44,17 @@ def join_unique(
     lookup: DataFrame,
     key: str,
     counts: DataFrame,
+    small: bool,
     how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join many `rows` to a stored, narrow `lookup` with one row per key.
+    """Join many `rows` to a `lookup` with one row per key.
 
-    A lookup counted to be small is broadcast. Otherwise both sides are shuffled,
+    A lookup known to be `small` is broadcast. Otherwise both sides are shuffled,
     and rows of a hot key are dealt out by a hash of the whole row while its
     lookup row is copied once per share; fewer than 2 P copies in all. `counts`
-    holds (key, n): how many of `rows` have each key.
+    holds (key, n): how often each key occurs.
     """
-    if lookup.count() <= max_broadcast_rows:
+    if small:
         return rows.join(F.broadcast(lookup), key, how)
     hot = F.broadcast(hot_keys(counts, key))
     # Rows without a key match nothing, but an outer join keeps them: deal them out, too.

@@ -10,7 +10,12 @@ from tillstar.operators.clean import timestamp
 from tillstar.operators.columns import has
 from tillstar.operators.ranges import with_dense_ids
 from tillstar.operators.rolling import line_order
-from tillstar.operators.spread import MAX_BROADCAST_ROWS, join_unique, key_counts
+from tillstar.operators.spread import (
+    MAX_BROADCAST_ROWS,
+    is_small,
+    join_unique,
+    key_counts,
+)
 
 
 def dim_customer(processed: DataFrame, run_ts: datetime) -> DataFrame:
@@ -126,7 +131,7 @@ def fact_sales_lookup(
     products = products.select(F.col("product_id").alias("stock_code"))
     for lookup, key in ((customers, "customer_id"), (products, "stock_code")):
         counts = key_counts(_keyed(processed), key)
-        lines = join_unique(lines, lookup, key, counts, "inner", max_broadcast_rows)
+        lines = join_unique(lines, lookup, key, counts, is_small(lookup, max_broadcast_rows))
     return _facts(lines, run_ts)
 
 

@@ -1,14 +1,13 @@
 """Invoice lines derived from the supplied order tables, with deterministic dirt.
 
 `l_orderkey`, `l_partkey` and `o_custkey` arithmetic decides which cells are
-broken, so another engine can state the same feed in SQL. Joins carry no hint:
-Spark broadcasts a side whose file size is under the session's threshold, and
-its adaptive skew handling splits an oversized partition otherwise.
+broken, so another engine can state the same feed in SQL.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.operators.spread import is_small, join_unique, key_counts
 from tillstar.schemas import RAW
 
 # Country of each nation key, 0 to 24.
@@ -19,7 +18,6 @@ COUNTRIES = (
     "New Zealand",
 )
 
-
 def _at_least_one_task_per_core(scan: DataFrame) -> DataFrame:
     """A small file is one task, which all later steps would inherit; deal its rows
     out. A scan with enough partitions is left alone."""
@@ -33,13 +31,25 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name):
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    lines = (
-        _at_least_one_task_per_core(table("lineitem"))
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    def joined(rows, counted, lookup, stored, key):
+        # A lookup has one row per key, so it has no more rows than its stored table.
+        return join_unique(rows, lookup, key, key_counts(counted, key), is_small(stored))
+
+    customer, nation, part, orders = map(table, ("customer", "nation", "part", "orders"))
+    countries = nation.select("n_nationkey")
+    buyers = customer.select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
+    )
+    items = part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
+    heads = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    lines = table("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"
     )
+    # The order heads are put together first, so that lines are joined only twice.
+    located = joined(buyers, buyers, countries, nation, "n_nationkey")
+    bought = joined(heads, heads, located, customer, "o_custkey")
+    described = joined(_at_least_one_task_per_core(lines), lines, items, part, "l_partkey")
+    lines = joined(described, lines, bought, orders, "l_orderkey")
     order, part = F.col("l_orderkey"), F.col("l_partkey")
     returned = ((F.col("l_returnflag") == "R") & (order % 10 == 0)) | (F.col("o_custkey") % 103 == 0)
     # Some lines arrive twice: emitted here, so that the joins run once.
