@@ -1,0 +1,62 @@
+"""Small frames for unit tests."""
+
+from datetime import datetime
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tillstar import schemas
+
+RAW_COLUMNS = [f.name for f in schemas.RAW.fields]
+
+
+def raw(spark, *rows):
+    """Raw lines from dicts; columns left out get a plain value."""
+    default = {
+        "invoice_no": "1", "stock_code": "P1", "description": "RED MUG", "quantity": 1,
+        "invoice_date": "2020-01-01 10:00:00", "unit_price": Decimal("1.0000"),
+        "customer_id": "7", "country": "France",
+    }
+    filled = [{**default, **row} for row in rows]
+    for row in filled:
+        if isinstance(row["unit_price"], (int, float, str)):
+            row["unit_price"] = Decimal(str(row["unit_price"]))
+    return spark.createDataFrame([[r[c] for c in RAW_COLUMNS] for r in filled], schemas.RAW)
+
+
+def lines(spark, *rows):
+    """Lines with parsed dates (given as text) and total_amount."""
+    from tillstar.operators.clean import parse_dates
+    from tillstar.operators.transform import add_amount
+
+    return add_amount(parse_dates(raw(spark, *rows)))
+
+
+def column(df, *names, order=None):
+    """Values of one column, or tuples of several, optionally ordered."""
+    df = df.orderBy(*order) if order else df
+    rows = [tuple(r) for r in df.select(*names).collect()]
+    return [r[0] for r in rows] if len(names) == 1 else rows
+
+
+def ts(text):
+    return datetime.fromisoformat(text)
+
+
+def same_rows(a, b):
+    """Multiset equality, columns by name."""
+    columns = sorted(a.columns)
+    assert columns == sorted(b.columns)
+    a, b = a.select(*columns), b.select(*columns)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def doubles(spark, **columns):
+    """Frame of double columns from equally long lists."""
+    names = list(columns)
+    schema = ", ".join(f"{n} double" for n in names)
+    return spark.createDataFrame(list(zip(*columns.values())), schema)
+
+
+def as_double(df, *names):
+    return df.withColumns({n: F.col(n).cast("double") for n in names})

@@ -108,5 +108,9 @@ def quantile_values(
     probabilities: Sequence[float],
     accuracy: int | None = None,
 ) -> dict[str, list[float | None]]:
-    """The one row of `quantiles` as numbers, to be used as literals in later plans."""
-    return quantiles(df, columns, probabilities, accuracy).first().asDict()
+    """The one row of `quantiles` as numbers, to be used as literals in later plans.
+
+    A column without values has None for each.
+    """
+    found = quantiles(df, columns, probabilities, accuracy).first()
+    return {c: found[c] or [None] * len(probabilities) for c in columns}
