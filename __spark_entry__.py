@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DateType, DecimalType
 
 import oracle
 from tillstar.operators import clean, rolling, segments, transform
@@ -78,13 +78,20 @@ def _filled(raw: DataFrame) -> DataFrame:
     return clean.fill_text(clean.fill_numeric(clean.parse_dates(raw)))
 
 
+# Integers that are null for undated lines.
+_DATE_PARTS = tuple(f"invoice_{p}" for p in ("year", "month", "day", "day_of_week", "quarter"))
+
+
 def _comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and the rolling mean to six places, as in the oracles."""
+    """Results in types that every client shows alike, as in the oracles: decimals
+    and nullable integers as doubles, days as text, rolling means to six places."""
     columns = []
     for field in df.schema.fields:
         column = F.col(field.name)
-        if isinstance(field.dataType, DecimalType):
+        if isinstance(field.dataType, DecimalType) or field.name in _DATE_PARTS:
             column = column.cast("double")
+        elif isinstance(field.dataType, DateType):
+            column = column.cast("string")
         elif field.name == rolling.NAME:
             column = F.round(column, 6)
         columns.append(column.alias(field.name))

@@ -220,6 +220,10 @@ _TO_DIMS = [*_TO_PROCESSED, DIMS]
 _TO_FACTS = [*_TO_DIMS, FACTS]
 
 _LINE = "invoice_no, stock_code, description, quantity, invoice_date, CAST(unit_price AS DOUBLE) AS unit_price, customer_id, country"
+_DATE_PARTS = ", ".join(
+    f"CAST(invoice_{p} AS DOUBLE) AS invoice_{p}"
+    for p in ("year", "month", "day", "day_of_week", "quarter")
+)
 _FACT = """customer_id, date_id, product_id, country_id, quantity,
            CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount,
            invoice_no, round(rolling_7d_sales, 6) AS rolling_7d_sales, is_valid, created_at"""
@@ -415,8 +419,7 @@ FROM parsed""",
         ),
         "derive_date_parts": _sql(
             _TO_PROCESSED,
-            """SELECT invoice_no, stock_code, invoice_date, invoice_year, invoice_month, invoice_day,
-       invoice_day_of_week, invoice_quarter FROM proc""",
+            f"SELECT invoice_no, stock_code, invoice_date, {_DATE_PARTS} FROM proc",
         ),
         "derive_product_category": _sql(
             _TO_PROCESSED, "SELECT invoice_no, stock_code, description, product_category FROM proc"
@@ -448,13 +451,13 @@ FROM parsed""",
         "processed_data": _sql(
             _TO_PROCESSED,
             f"""SELECT {_LINE}, is_valid, created_at, CAST(total_amount AS DOUBLE) AS total_amount,
-       invoice_year, invoice_month, invoice_day, invoice_day_of_week, invoice_quarter,
+       {_DATE_PARTS},
        customer_segment, product_category, round(rolling_7d_sales, 6) AS rolling_7d_sales
 FROM proc""",
         ),
         # Star schema
         "dim_customer": _sql(_TO_DIMS, "SELECT * FROM dim_customer"),
-        "dim_date": _sql(_TO_DIMS, "SELECT * FROM dim_date"),
+        "dim_date": _sql(_TO_DIMS, "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM dim_date"),
         "dim_product": _sql(_TO_DIMS, "SELECT * FROM dim_product"),
         "dim_country": _sql(_TO_DIMS, "SELECT * FROM dim_country"),
         **{

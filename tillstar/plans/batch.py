@@ -31,7 +31,7 @@ def run(
     approximate; `profiles` controls the input check and the summaries.
     """
     run_ts = run_ts or datetime.now()
-    L.create(spark, layers)
+    L.attach(spark, layers)
     raw = L.write(raw, layers, "raw", "raw_data")
     processed = L.write(
         transform(clean(raw, run_ts, date_format, accuracy), accuracy, max_group_rows),
