@@ -3,8 +3,6 @@
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from tillstar import schemas
 
 RAW_COLUMNS = [f.name for f in schemas.RAW.fields]
@@ -57,6 +55,3 @@ def doubles(spark, **columns):
     schema = ", ".join(f"{n} double" for n in names)
     return spark.createDataFrame(list(zip(*columns.values())), schema)
 
-
-def as_double(df, *names):
-    return df.withColumns({n: F.col(n).cast("double") for n in names})

@@ -19,11 +19,13 @@ def read_invoice_csv(
     """Read invoice lines; columns are found by header name, in any order.
 
     Columns of the contract get their declared type, unreadable numbers become
-    null, further columns stay text. `multi_line` allows line breaks inside
+    null, further columns stay text. All files of a folder must have the same
+    header; another one is an error. `multi_line` allows line breaks inside
     quotes, at the price of one task per file.
     """
     text = spark.read.csv(
-        path, header=True, quote='"', escape='"', encoding=encoding, multiLine=multi_line
+        path, header=True, enforceSchema=False, quote='"', escape='"', encoding=encoding,
+        multiLine=multi_line,
     )
     return to_contract(text)
 
