@@ -52,7 +52,9 @@ def join_unique(
     A lookup known to be `small` is broadcast. Otherwise both sides are shuffled,
     and rows of a hot key are dealt out by a hash of the whole row while its
     lookup row is copied once per share; fewer than 2 P copies in all. `counts`
-    holds (key, n): how often each key occurs.
+    holds (key, n): how often each key occurs. Rows should differ from each other,
+    as equal ones get one hash; a random number instead could change when a lost
+    task is repeated.
     """
     if small:
         return rows.join(F.broadcast(lookup), key, how)

@@ -18,6 +18,7 @@ COUNTRIES = (
     "New Zealand",
 )
 
+
 def _at_least_one_task_per_core(scan: DataFrame) -> DataFrame:
     """A small file is one task, which all later steps would inherit; deal its rows
     out. A scan with enough partitions is left alone."""
@@ -42,8 +43,10 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     items = part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
     heads = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    # Numbered in the scan, so that equal lines of a hot key can be told apart when dealt out.
     lines = table("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag",
+        F.monotonically_increasing_id().alias("_line"),
     )
     # The order heads are put together first, so that lines are joined only twice.
     located = joined(buyers, buyers, countries, nation, "n_nationkey")
