@@ -448,13 +448,16 @@ FROM parsed""",
             )
             for key in ("rolling_sales", "rolling_sales_by_range")
         },
-        "processed_data": _sql(
-            _TO_PROCESSED,
-            f"""SELECT {_LINE}, is_valid, created_at, CAST(total_amount AS DOUBLE) AS total_amount,
+        **{
+            key: _sql(
+                _TO_PROCESSED,
+                f"""SELECT {_LINE}, is_valid, created_at, CAST(total_amount AS DOUBLE) AS total_amount,
        {_DATE_PARTS},
        customer_segment, product_category, round(rolling_7d_sales, 6) AS rolling_7d_sales
 FROM proc""",
-        ),
+            )
+            for key in ("processed_data", "processed_data_by_range")
+        },
         # Star schema
         "dim_customer": _sql(_TO_DIMS, "SELECT * FROM dim_customer"),
         "dim_date": _sql(_TO_DIMS, "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM dim_date"),

@@ -150,8 +150,8 @@ def test_rolling_mean_spans_seven_lines(spark, operator):
     assert got == [0, 0.5, 1, 1.5, 2, 2.5, 3, 4, 5, 6]
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [0, 1000])
-def test_rolling_by_range_equals_rolling_by_country(spark, max_broadcast_rows):
+@pytest.mark.parametrize("ranges, block_rows", [(40, 7), (40, 1000), (2, 50), (900, 6)])
+def test_rolling_by_range_equals_rolling_by_country(spark, ranges, block_rows):
     # One country with most lines, one date with a third of them, tiny countries.
     df = spark.range(3000).select(
         F.col("id").cast("string").alias("invoice_no"),
@@ -166,9 +166,9 @@ def test_rolling_by_range_equals_rolling_by_country(spark, max_broadcast_rows):
         for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
     }
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
     try:
-        by_range = rolling.rolling_by_range(df, max_broadcast_rows).collect()
+        by_range = rolling.rolling_by_range(df, block_rows).collect()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

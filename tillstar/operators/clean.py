@@ -1,6 +1,8 @@
 """Cleaning: parse dates, fill gaps, drop repeats, flag outliers."""
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -101,15 +103,17 @@ def clean(
     run_ts: datetime,
     date_format: str = ISO_FORMAT,
     accuracy: int | None = None,
+    store: Callable[[DataFrame], DataFrame] = partial(materialize, label="clean"),
 ) -> DataFrame:
     """Parse, fill, dedupe, flag, stamp: in this order.
 
-    The deduplicated rows are written once, since the fences are taken from them
-    and then applied to them.
+    The deduplicated rows are written once (by `store`, which may add columns),
+    since the fences are taken from them and then applied to them.
     """
     filled = fill_text(fill_numeric(parse_dates(raw, date_format), accuracy))
-    unique = materialize(drop_repeats(filled), "clean")
-    return flag_outliers(unique, accuracy=accuracy).withColumn("created_at", timestamp(run_ts))
+    unique = store(drop_repeats(filled))
+    flagged = flag_outliers(unique, numeric_columns(filled), accuracy)
+    return flagged.withColumn("created_at", timestamp(run_ts))
 
 
 def timestamp(value: datetime) -> Column:

@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.expressions import mean_of
 from tillstar.operators.ranges import RANGE, ROW, range_sorted
-from tillstar.operators.scratch import materialize
-from tillstar.operators.spread import MAX_BROADCAST_ROWS, broadcast_if_small
 
 # Rows in the frame (the name says days, the semantics are rows).
 FRAME_ROWS = 7
@@ -15,7 +13,11 @@ NAME = "rolling_7d_sales"
 # A country with more lines than this is cut into ranges.
 MAX_GROUP_ROWS = 2_000_000
 
+# Rows per block of a range: small enough to sort in memory, and many per task.
+BLOCK_ROWS = 100_000
+
 _BEFORE = FRAME_ROWS - 1
+_BLOCK, _IS_GUEST = "_block", "_is_guest"
 _TIE_BREAKERS = (
     "invoice_no", "stock_code", "description", "quantity", "unit_price", "customer_id",
 )
@@ -48,51 +50,66 @@ def rolling_by_country(df: DataFrame) -> DataFrame:
     return df.withColumn(NAME, _of_known_country(_mean(window)))
 
 
-def rolling_by_range(
-    df: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+def rolling_by_range(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The same result with countries cut into blocks of the line order."""
+    ranged = sort_by_country(df)
+    return rolling_in_blocks(ranged, lines_before_ranges(ranged), block_rows)
+
+
+def sort_by_country(df: DataFrame) -> DataFrame:
+    """Range-sort by country and line order, as the functions below need."""
+    return range_sorted(df, [F.col("country").asc(), *line_order(df)], "country-ranges")
+
+
+def rolling_in_blocks(
+    ranged: DataFrame, before: DataFrame, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """The same result with countries cut into pieces, one per range of the line order.
+    """Add rolling_7d_sales to range-sorted lines; the range columns are dropped.
 
-    Only the first six lines of a piece, its head, lack some of their
-    predecessors; `_head_means` supplies their means.
+    A range is cut into blocks by row number. The last six lines of a block also
+    go into the next one, and `before` brings the six lines ahead of a range into
+    its first block. These guests complete the frames of the lines that follow
+    and are dropped again. Many equal blocks hash evenly over the tasks.
     """
-    ranged = range_sorted(df, [F.col("country").asc(), *line_order(df)], "country-ranges")
-    heads = materialize(_head_means(ranged, max_broadcast_rows), "piece-heads")
-    piece = Window.partitionBy("country", RANGE).orderBy(ROW)
-    mean = F.when(F.col("_is_head"), F.col("_head_mean")).otherwise(F.col(NAME))
+    block = F.floor(F.col(ROW) / block_rows)
+    is_late = F.col(ROW) % block_rows >= block_rows - _BEFORE
+    seats = F.when(is_late, F.array(block, block + 1)).otherwise(F.array(block))
+    seated = ranged.select("*", F.explode(seats).alias(_BLOCK))
+    lines = seated.withColumn(_IS_GUEST, F.col(_BLOCK) != block)
+    guests = before.withColumns({_BLOCK: F.lit(0).cast("long"), _IS_GUEST: F.lit(True)})
+    piece = Window.partitionBy("country", RANGE, _BLOCK).orderBy(ROW)
     return (
-        ranged.withColumn(NAME, _mean(piece))
-        .join(broadcast_if_small(heads, max_broadcast_rows), [RANGE, ROW], "left")
-        .withColumn(NAME, _of_known_country(mean))
-        .select(*df.columns, NAME)
+        lines.unionByName(guests, allowMissingColumns=True)
+        .withColumn(NAME, _of_known_country(_mean(piece)))
+        .where(~F.col(_IS_GUEST))
+        .drop(RANGE, ROW, _BLOCK, _IS_GUEST)
     )
 
 
-def _head_means(ranged: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    """Rows (range, row, mean) for the first six lines of every piece.
+def lines_before_ranges(ranged: DataFrame) -> DataFrame:
+    """For every range, the six lines before it, as rows of that range numbered up to -1.
 
-    Their predecessors are the last six lines of the pieces before (of more than
-    one piece, if these are short). Heads and tails, 12 lines per piece at most,
-    are picked by position and seen in order by one small window per country.
+    Worked out from the last six lines of every range, so from a few rows per
+    shuffle partition. Lines of another country do no harm: blocks are divided
+    by country.
     """
-    pieces = materialize(
-        ranged.where(F.col("country").isNotNull())
-        .groupBy("country", RANGE)
-        .agg(F.min(ROW).alias("first"), F.max(ROW).alias("last")),
-        "pieces",
-    )
-    is_head = F.col(ROW) < F.col("first") + _BEFORE
-    is_tail = F.col(ROW) > F.col("last") - _BEFORE
-    edges = (
-        ranged.select("country", RANGE, ROW, "total_amount")
-        .join(broadcast_if_small(pieces, max_broadcast_rows), ["country", RANGE])
-        .where(is_head | is_tail)
+    lines = ranged.select(RANGE, ROW, "country", "total_amount")
+    ends = lines.groupBy(RANGE).agg(F.max(ROW).alias("end"))
+    ending = lines.join(F.broadcast(ends), RANGE).where(F.col(ROW) > F.col("end") - _BEFORE)
+    tails = ending.groupBy(RANGE).agg(
+        F.array_sort(F.collect_list(F.struct(ROW, "country", "total_amount"))).alias("tail")
     )
-    country = Window.partitionBy("country").orderBy(RANGE, ROW)
+    # A range has a line at least, so six ranges hold the six lines.
+    earlier = Window.orderBy(RANGE).rowsBetween(-_BEFORE, -1)
+    before = tails.select(RANGE, F.flatten(F.collect_list("tail").over(earlier)).alias("lines"))
+    skipped = F.greatest(F.size("lines") - _BEFORE, F.lit(0))
     return (
-        edges.withColumn("_head_mean", _mean(country))
-        .where(is_head)
-        .select(RANGE, ROW, "_head_mean", F.lit(True).alias("_is_head"))
+        before.select(RANGE, F.slice("lines", skipped + 1, F.lit(_BEFORE)).alias("lines"))
+        .select(RANGE, F.size("lines").alias("n"), F.posexplode("lines").alias("i", "line"))
+        .select(
+            RANGE, (F.col("i") - F.col("n")).cast("long").alias(ROW), "line.country",
+            "line.total_amount",
+        )
     )
 
 

@@ -13,10 +13,6 @@ def is_small(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return stored.count() <= max_rows
 
 
-def broadcast_if_small(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(stored) if is_small(stored, max_rows) else stored
-
-
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import expressions as X
 from tillstar.operators.columns import has
-from tillstar.operators.rolling import MAX_GROUP_ROWS, add_rolling_sales, largest_country
+from tillstar.operators.ranges import RANGE, ROW
+from tillstar.operators.rolling import (
+    MAX_GROUP_ROWS,
+    add_rolling_sales,
+    largest_country,
+    lines_before_ranges,
+    rolling_in_blocks,
+)
 from tillstar.operators.segments import add_segments
 
 
@@ -31,13 +38,25 @@ def add_product_category(df: DataFrame) -> DataFrame:
 def transform(
     df: DataFrame, accuracy: int | None = None, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Amount, date parts, segment, category, rolling mean."""
-    # Counted on the input, of which this needs one column and no join.
-    largest = largest_country(df) if has(df, "country") else 0
+    """Amount, date parts, segment, category, rolling mean.
+
+    Lines that come range-sorted (`rolling.sort_by_country`) are not sorted again.
+    What the rolling mean must know beforehand is taken before the segments, as
+    it needs a few columns and no join.
+    """
+    sorted_already = has(df, RANGE, ROW)
     df = add_date_parts(add_amount(df))
+    rolls = has(df, "total_amount", "invoice_date", "country")
+    if rolls and sorted_already:
+        before = lines_before_ranges(df)
+    elif rolls:
+        largest = largest_country(df)
+
     if has(df, "total_amount", "customer_id"):
         df = add_segments(df, accuracy)
     df = add_product_category(df)
-    if has(df, "total_amount", "invoice_date", "country"):
+    if rolls and sorted_already:
+        df = rolling_in_blocks(df, before)
+    elif rolls:
         df = add_rolling_sales(df, largest, max_group_rows)
-    return df
+    return df.drop(RANGE, ROW)

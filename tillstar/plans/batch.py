@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.expressions import ISO_FORMAT
 from tillstar.operators.clean import clean
-from tillstar.operators.rolling import MAX_GROUP_ROWS
+from tillstar.operators.columns import has
+from tillstar.operators.rolling import MAX_GROUP_ROWS, largest_country, sort_by_country
 from tillstar.operators.transform import transform
 from tillstar.plans import profile, star
 from tillstar.sources import layers as L
@@ -34,7 +35,7 @@ def run(
     L.attach(spark, layers)
     raw = L.write(raw, layers, "raw", "raw_data")
     processed = L.write(
-        transform(clean(raw, run_ts, date_format, accuracy), accuracy, max_group_rows),
+        process(raw, run_ts, date_format, accuracy, max_group_rows),
         layers, "processed", "processed_data",
     )
     if profiles:
@@ -44,6 +45,22 @@ def run(
     return layers
 
 
+def process(
+    raw: DataFrame,
+    run_ts: datetime,
+    date_format: str = ISO_FORMAT,
+    accuracy: int | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Clean and derive. If a country is too large for one task, the deduplicated
+    lines are stored in the order that the rolling mean needs, and not once more."""
+    if has(raw, "country", "invoice_date") and largest_country(raw) > max_group_rows:
+        lines = clean(raw, run_ts, date_format, accuracy, store=sort_by_country)
+    else:
+        lines = clean(raw, run_ts, date_format, accuracy)
+    return transform(lines, accuracy, max_group_rows)
+
+
 def build_star(processed: DataFrame, layers: L.Layers, run_ts: datetime) -> None:
     """Replace the warehouse tables by those of the processed lines."""
     for table, build in (
