@@ -27,6 +27,14 @@ from tillstar.plans import analytics, batch, profile, quality, star
 from tillstar.sources import csv, feed
 from tillstar.sources import layers as L
 
+# The operators for text corpora are an optional part of the repository.
+try:
+    from tillstar.llm import queries as text_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("tillstar.llm", "corpus_pipeline"):
+        raise
+    text_queries = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 RUN_TS = datetime(2024, 1, 1)
 
@@ -386,8 +394,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def comparable(query):
         return lambda spark, sf_dir: _comparable(query(spark, sf_dir))
 
-    return {name: comparable(query) for name, query in _QUERIES.items()}
+    found = {name: comparable(query) for name, query in _QUERIES.items()}
+    return found | (text_queries.QUERIES if text_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (text_queries.ORACLES if text_queries else {})

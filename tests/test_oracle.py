@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracle
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.01"
@@ -12,10 +13,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._QUERIES) == set(oracle.statements())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry._QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     assert differences(spark, duck, SF, entry.queries()[name], entry.oracle_sql()[name]) == []
 
