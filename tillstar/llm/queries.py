@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, contamination, tokens
+from tillstar.llm import bpe, contamination, language, secrets, tokens
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -20,12 +21,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(modulus: int) -> Column:
+    """crc32 of doc_id as text, modulo: how the contracts deal out rows to learn from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _remainder(4) == 2
+    found = language.identify(_table(spark, sf_dir, "documents"), may_learn=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -38,6 +54,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op6_language": op6_language,
+    "op8_secrets": op8_secrets,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontaminate": op10_decontaminate,
 }
