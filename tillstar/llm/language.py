@@ -183,11 +183,17 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def temperature(scores: np.ndarray, truth: np.ndarray) -> float:
-    """Divisor of the scores with the least log loss on rows that the fit has not seen."""
-    if not len(scores):
+    """Divisor of the scores with the least log loss on rows that the fit has not seen.
+
+    As a few rows without an error don't prove certainty, the true language counts as
+    (n + 1) / (n + 2), and the rest falls on the others."""
+    n, kinds = scores.shape if len(scores) else (0, 0)
+    if n == 0 or kinds < 2:
         return 1.0
+    wanted = np.full((n, kinds), 1 / (n + 2) / (kinds - 1))
+    wanted[np.arange(n), truth] = (n + 1) / (n + 2)
     tried = np.geomspace(0.05, 20, 121)
-    losses = [-np.log(softmax(scores / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in tried]
+    losses = [-(wanted * np.log(softmax(scores / t) + 1e-12)).sum() for t in tried]
     return float(tried[int(np.argmin(losses))])
 
 
