@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, contamination, language, secrets, tokens
+from tillstar.llm import bpe, contamination, language, neardup, secrets, tokens, urls
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -26,12 +26,20 @@ def _remainder(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _remainder(4) == 2
     found = language.identify(_table(spark, sf_dir, "documents"), may_learn=~held_out)
@@ -53,10 +61,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_language": op6_language,
     "op8_secrets": op8_secrets,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_url_filter": urls.oracle()}
