@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, contamination, language, neardup, secrets, tokens, urls
+from tillstar.llm import bpe, contamination, fingerprints, language, neardup, secrets, tokens, toxicity, urls
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -36,10 +36,22 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(_table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _remainder(5) == 0
+    labels = _table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score(_table(spark, sf_dir, "documents"), labels)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _remainder(4) == 2
     found = language.identify(_table(spark, sf_dir, "documents"), may_learn=~held_out)
@@ -63,7 +75,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
+    "op3_fingerprints": op3_fingerprints,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
     "op8_secrets": op8_secrets,
     "op9_bpe_round_trip": op9_bpe_round_trip,
