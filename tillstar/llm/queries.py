@@ -12,9 +12,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, contamination, fingerprints, language, neardup, secrets, tokens, toxicity, urls
+from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, secrets, tokens, toxicity, urls
 
 TOKENIZER = "word_bpe_49k.json"
+# Of the registered query only; a real run passes a secret of its own.
+SURROGATE_KEY = "registered-query"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +60,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return privacy.replace(docs, SURROGATE_KEY)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
+    "op7_surrogates": op7_surrogates,
     "op8_secrets": op8_secrets,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontaminate": op10_decontaminate,
