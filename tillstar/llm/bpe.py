@@ -297,11 +297,18 @@ def decode(tokens: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -
 
 
 def round_trip(
-    docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", with_ids: bool = False
+    docs: DataFrame,
+    path: str,
+    id: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per document: id, n_tokens, ids_sha256 (of the ids as little-endian unsigned
-    32-bit integers), decoded_sha256 (of the decoded text); with_ids adds the ids."""
+    32-bit integers), decoded_sha256 (of the decoded text); `keep` names other columns that
+    stay, with_ids adds the ids."""
     schema = _id_field(docs, id) + "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batch: pa.RecordBatch) -> dict:
         coder = bpe(path)
@@ -313,8 +320,9 @@ def round_trip(
             "ids_sha256": pa.array([sha(ids).hexdigest() for ids, _ in encoded]),
             "decoded_sha256": pa.array([sha(coder.decode_pieces(p)).hexdigest() for _, p in encoded]),
         }
+        columns |= {c: batch.column(2 + i) for i, c in enumerate(keep)}
         if with_ids:
             columns["ids"] = id_lists([ids for ids, _ in encoded])
         return columns
 
-    return map_slices(docs.select(id, text), run, schema + ", ids array<int>" * with_ids, text)
+    return map_slices(docs.select(id, text, *keep), run, schema + ", ids array<int>" * with_ids, text)

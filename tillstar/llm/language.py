@@ -34,6 +34,8 @@ SIZE = 1 << BITS
 ORDERS = (1, 2, 3)
 ROWS_PER_CLASS = 1000
 UNKNOWN = "und"
+# Calibrated probability below which a filter takes a language for unknown.
+MIN_SCORE = 0.3
 # Parameters of the fit.
 ALPHA, BETA, L1, L2, EPOCHS, SCALE = 0.5, 1.0, 0.02, 0.5, 4, 20.0
 
@@ -237,6 +239,32 @@ def identify(
     return map_slices(docs.select(id, text), run, schema, text)
 
 
+def keep_identified(
+    docs: DataFrame,
+    may_learn: Column,
+    id: str = "doc_id",
+    text: str = "text",
+    label: str = "lang",
+    rows_per_class: int = ROWS_PER_CLASS,
+    min_score: float = MIN_SCORE,
+) -> DataFrame:
+    """The rows of `docs`, all columns, whose language is not `und` and has at least
+    `min_score`."""
+    classes, weights, heat = learn(docs, may_learn, id, label, text, rows_per_class)
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    inner = docs.toDF(*names)
+    place = names[docs.columns.index(text)]
+
+    def run(batch: pa.RecordBatch) -> dict:
+        found, scores = predict(strings(batch, place).to_pylist(), classes, weights, heat)
+        known = [x != UNKNOWN and score >= min_score for x, score in zip(found, scores, strict=True)]
+        rows = batch.filter(pa.array(known, pa.bool_()))
+        return dict(zip(names, rows.columns, strict=True))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields)
+    return map_slices(inner, run, schema, place).toDF(*docs.columns)
+
+
 def predict(texts: list[str], classes: list[str], weights: np.ndarray, heat: float) -> tuple[list[str], list[float]]:
     if not classes:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)

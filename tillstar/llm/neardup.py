@@ -345,3 +345,21 @@ def find(
         component.alias("component_id"),
         F.col(id).eqNullSafe(component).alias("kept"),
     )
+
+
+def drop_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of `docs`, all columns, that `find` keeps: one of each group, that of the
+    smallest id. Rows with one id and text are one document; rows without an id stay only
+    if their group has none with one."""
+    digest = F.xxhash64(text)
+    row = F.struct(F.col(id).isNull().alias("bare"), F.col(id).alias("id"), digest.alias("digest"))
+    found = find(docs.select(row.alias("_row"), F.col(text).alias("text")), "_row", "text", width, percent)
+    kept = found.where("kept").groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
+    kept = materialize(kept.select("_row.id", "_row.digest", "_n"), "kept")
+    repeated = not kept.where("_n > 1").isEmpty()
+    same = F.col(id).eqNullSafe(F.col("_kept.id")) & (digest == F.col("_kept.digest"))
+    wanted = kept.select(F.struct("id", "digest").alias("_kept")).hint("shuffle_hash")
+    rows = docs.join(wanted, same, "left_semi")
+    return rows.dropDuplicates([id, text]) if repeated else rows

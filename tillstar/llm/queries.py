@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, secrets, tokens, toxicity, urls
 
 TOKENIZER = "word_bpe_49k.json"
@@ -90,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontaminate": op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op1_url_filter": urls.oracle()}
