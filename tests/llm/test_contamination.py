@@ -1,0 +1,89 @@
+import hashlib
+import re
+
+import pytest
+
+from tests.llm import frames
+from tillstar.llm import contamination
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def expected(documents, items, window=10):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        size = min(window, len(w))
+        for k in range(len(w) - size + 1 if w else 0):
+            windows.setdefault(tuple(w[k : k + size]), set()).add(item)
+    sizes = {len(w) for w in windows}
+    out = []
+    for doc_id, text in documents:
+        w, hit, found = words(text), set(), set()
+        for size in sizes:
+            for k in range(len(w) - size + 1):
+                of = windows.get(tuple(w[k : k + size]))
+                if of:
+                    hit.update(range(k, k + size))
+                    found |= of
+        joined = ",".join(sorted(str(i) for i in found if i is not None))
+        digest = hashlib.sha256(joined.encode()).hexdigest()
+        n = len([i for i in found if i is not None])
+        out.append((doc_id, len(w), len(hit), n, digest, bool(hit)))
+    return sorted(out, key=repr)
+
+
+def judged(spark, documents, items, **options):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return contamination.judge(frames.docs(spark, documents), bench, **options)
+
+
+def test_equals_brute_force(spark):
+    documents = [r[:2] for r in frames.sample("sf0.01", limit=400)]
+    items = frames.sample("sf0.01", "benchmark", "item_id, text")
+    rows = sorted(map(tuple, judged(spark, documents, items).collect()), key=repr)
+    assert rows == expected(documents, items)
+    assert any(r[-1] for r in rows)
+
+
+def test_awkward_texts_items_and_repeats(spark):
+    items = [(1, None), (2, ""), (3, "?!"), (4, "Same TEXT twice"), (4, "Same TEXT twice"), (5, "word " * 12),
+             (None, "more or less"), (7, "日本語"), (8, "x" * 100_000)]
+    rows = sorted(map(tuple, judged(spark, frames.AWKWARD, items).collect()), key=repr)
+    assert rows == expected(frames.AWKWARD, items)
+
+
+def test_empty_tables(spark):
+    assert judged(spark, [], [(1, "a b")]).count() == 0
+    assert [r.contaminated for r in judged(spark, [(1, "a b")], []).collect()] == [False]
+
+
+@pytest.mark.parametrize("size", [1, 60])
+def test_several_benchmark_blocks_give_the_same(spark, monkeypatch, size):
+    documents = [(i, " ".join(frames.random_words(i, 60, 3))) for i in range(30)]
+    items = [(i, " ".join(frames.random_words(1000 + i, 14, 3))) for i in range(8)] + [(9, documents[3][1])]
+    monkeypatch.setattr(contamination, "BLOCK_BYTES", size)
+    rows = sorted(map(tuple, judged(spark, documents, items, window=5).collect()), key=repr)
+    assert rows == expected(documents, items, 5)
+
+
+def test_matches_tell_places_and_longest_agreement(spark):
+    text = "zero one two three four five six seven"
+    bench = spark.createDataFrame([(1, "nine two three four five zero")], "item_id long, text string")
+    docs = frames.docs(spark, [(1, text)])
+    (row,) = contamination.add_matches(docs, bench, window=3).collect()
+    found = [(m.item_id, m.item_start, m.doc_start, m.window, m.length) for m in row.matches]
+    assert found == [(1, 1, 2, 3, 4), (1, 2, 3, 3, 3)]
+
+
+def test_removes_contaminated_rows_and_keeps_columns(spark):
+    docs = frames.docs(spark, frames.AWKWARD)
+    bench = spark.createDataFrame([(1, "twice here more or less so")], "item_id long, text string")
+    left = contamination.remove_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    assert left.count() == len(frames.AWKWARD) - 4
