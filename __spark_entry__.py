@@ -26,6 +26,7 @@ from tillstar.operators.scratch import materialize, scratch_root
 from tillstar.plans import analytics, batch, profile, quality, star
 from tillstar.sources import csv, feed
 from tillstar.sources import layers as L
+from tillstar.sources.reports import read_report
 
 # The operators for text corpora are an optional part of the repository.
 try:
@@ -39,6 +40,7 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 RUN_TS = datetime(2024, 1, 1)
 
 _stored: dict[tuple[str, str], L.Layers] = {}
+_reported: set[L.Layers] = set()
 
 
 def layers_of(spark: SparkSession, sf_dir: str) -> L.Layers:
@@ -55,7 +57,19 @@ def build_layers(spark: SparkSession, sf_dir: str) -> L.Layers:
         f"{scratch_root(spark)}/tillstar/warehouse-{tag}",
         f"raw_data_{tag}", f"processed_data_{tag}", f"data_warehouse_{tag}",
     )
-    return batch.run(spark, feed.invoice_lines(spark, sf_dir), names, RUN_TS, profiles=False)
+    lines = feed.invoice_lines(spark, sf_dir)
+    return batch.run(spark, lines, names, RUN_TS, profiles=False, source="order tables")
+
+
+def reported(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the reports on a folder's warehouse: written on first use."""
+    names = layers_of(spark, sf_dir)
+    if names not in _reported:
+        raw, processed = _raw(spark, sf_dir), _processed(spark, sf_dir)
+        batch.write_profiles(raw, processed, names)
+        quality.run(spark, names, RUN_TS)
+        _reported.add(names)
+    return batch.reports(names)
 
 
 # Inputs of the operators: stored raw, cleaned and processed lines, star tables.
@@ -114,6 +128,34 @@ def scan_raw(spark, sf_dir):
     return csv.read_invoice_csv(spark, path)
 
 
+def scan_raw_quoted(spark, sf_dir):
+    """With line breaks, doubled quotes and white space in cells."""
+    path = f"{scratch_root(spark)}/tillstar/csv-{uuid4().hex}"
+    odd = feed.invoice_lines(spark, sf_dir).withColumns(
+        {
+            "description": F.concat("description", F.lit('\n"quoted", '), "stock_code"),
+            "customer_id": F.coalesce("customer_id", F.lit("  ")),
+            "country": F.concat(F.lit(" "), "country", F.lit(" ")),
+        }
+    )
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    odd.write.options(**kept).csv(path, header=True, quote='"', escape='"')
+    return csv.read_invoice_csv(spark, path)
+
+
+def layer_tables(spark, sf_dir):
+    """The tables that the catalog lists for each layer, with their rows."""
+    names, rows = layers_of(spark, sf_dir), None
+    for layer in L.TABLES:
+        for table in L.list_tables(spark, names, layer):
+            assert L.has_table(spark, names, layer, table)
+            row = spark.table(names.name(layer, table)).agg(
+                F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n")
+            )
+            rows = row if rows is None else rows.union(row)
+    return rows
+
+
 def _stored_twice(spark, sf_dir, if_exists):
     raw = _raw(spark, sf_dir)
     tag = uuid4().hex[:12]
@@ -139,6 +181,20 @@ def clean_parse_dates(spark, sf_dir):
     return clean.parse_dates(_raw(spark, sf_dir))
 
 
+def clean_parse_dates_typed(spark, sf_dir):
+    """Timestamps that the raw layer keeps as text, and days as they are, are one date."""
+    typed = clean.parse_dates(_raw(spark, sf_dir))
+    return clean.parse_dates(typed.withColumn("invoice_date", F.col("invoice_date").cast("timestamp")))
+
+
+def clean_parse_dates_us(spark, sf_dir):
+    """Dates like 12/1/2010 8:26, recognised."""
+    raw = _raw(spark, sf_dir)
+    date = F.try_to_timestamp("invoice_date", F.lit("yyyy-MM-dd HH:mm:ss"))
+    texts = F.coalesce(F.date_format(date, "M/d/yyyy H:mm"), "invoice_date")
+    return clean.parse_dates(raw.withColumn("invoice_date", texts))
+
+
 def clean_impute_numeric(spark, sf_dir):
     return clean.fill_numeric(clean.parse_dates(_raw(spark, sf_dir)))
 
@@ -199,8 +255,8 @@ def segment_cutoffs(spark, sf_dir):
 
 
 def segment_cutoffs_by_range(spark, sf_dir):
-    """As for more distinct totals than one task should hold."""
-    return _cutoffs(spark, sf_dir, max_rows=0)
+    """With a coarse sketch, so that many values lie between the bounds."""
+    return _cutoffs(spark, sf_dir, sketch=50)
 
 
 def derive_customer_segment(spark, sf_dir):
@@ -211,7 +267,7 @@ def derive_customer_segment(spark, sf_dir):
 
 def derive_customer_segment_spread(spark, sf_dir):
     """With the join that spreads hot customers, whatever the number of customers."""
-    return segments.add_segments(_amounts(spark, sf_dir), max_broadcast_rows=0).select(
+    return segments.add_segments(_amounts(spark, sf_dir), max_broadcast_bytes=0).select(
         "invoice_no", "stock_code", "customer_id", "customer_segment"
     )
 
@@ -227,7 +283,8 @@ def rolling_sales(spark, sf_dir):
 
 
 def rolling_sales_by_range(spark, sf_dir):
-    return rolling.rolling_by_range(_amounts(spark, sf_dir)).select(*_ROLLING)
+    """In small blocks."""
+    return rolling.add_rolling_sales(_amounts(spark, sf_dir), block_rows=1000).select(*_ROLLING)
 
 
 def processed_data(spark, sf_dir):
@@ -235,8 +292,13 @@ def processed_data(spark, sf_dir):
 
 
 def processed_data_by_range(spark, sf_dir):
-    """As for countries that are too large for one task."""
-    return batch.process(_raw(spark, sf_dir), RUN_TS, max_group_rows=0)
+    """In small blocks."""
+    return batch.process(_raw(spark, sf_dir), RUN_TS, block_rows=1000)
+
+
+def processed_without_price(spark, sf_dir):
+    """No amount, hence no segment and no rolling mean."""
+    return batch.process(_raw(spark, sf_dir).drop("unit_price"), RUN_TS)
 
 
 # Star schema
@@ -246,19 +308,18 @@ def _dimension(build):
 
 def fact_sales(spark, sf_dir):
     countries = _star(spark, sf_dir)["dim_country"]
-    return star.fact_sales(_processed(spark, sf_dir), countries, RUN_TS).drop("fact_id")
+    return star.fact_sales(_processed(spark, sf_dir), countries, RUN_TS)
 
 
 def fact_sales_lookup(spark, sf_dir):
     _, *dims = quality.star_tables(_star(spark, sf_dir))
-    return star.fact_sales_lookup(_processed(spark, sf_dir), *dims, RUN_TS).drop("fact_id")
+    return star.fact_sales_lookup(_processed(spark, sf_dir), *dims, RUN_TS)
 
 
 def fact_sales_lookup_spread(spark, sf_dir):
     """With the joins that spread hot customers and products."""
     _, *dims = quality.star_tables(_star(spark, sf_dir))
-    facts = star.fact_sales_lookup(_processed(spark, sf_dir), *dims, RUN_TS, max_broadcast_rows=0)
-    return facts.drop("fact_id")
+    return star.fact_sales_lookup(_processed(spark, sf_dir), *dims, RUN_TS, max_broadcast_bytes=0)
 
 
 def fact_ids(spark, sf_dir):
@@ -321,6 +382,33 @@ def q_recommendations(spark, sf_dir):
     return profile.recommendations(q_completeness(spark, sf_dir), q_consistency(spark, sf_dir))
 
 
+# Reports, read back from the files that a run writes
+def _report(spark, sf_dir, name):
+    return read_report(spark, f"{reported(spark, sf_dir)}/{name}")
+
+
+def report_summary(spark, sf_dir):
+    return _report(spark, sf_dir, "pipeline_summary").select(
+        "pipeline_status", "timestamp", "data_source", "raw_rows", "processed_rows", "fact_rows"
+    )
+
+
+def report_columns(spark, sf_dir):
+    return _report(spark, sf_dir, "processed_columns").select(
+        F.col("position").cast("int").alias("position"), "column_name", "data_type", "missing_values"
+    )
+
+
+def report_validation(spark, sf_dir):
+    """The best countries as the validation report has them."""
+    found = _report(spark, sf_dir, "validation_results")
+    return found.select(F.inline("star_schema.insights.top_countries"))
+
+
+def report_quality(spark, sf_dir):
+    return _report(spark, sf_dir, "data_quality_report").select("data_completeness.*")
+
+
 def q_sql_text(spark, sf_dir):
     """SQL text over the stored tables."""
     names = layers_of(spark, sf_dir)
@@ -363,18 +451,19 @@ _QUERIES = {
     **{
         f.__name__: f
         for f in (
-            scan_raw, layer_roundtrip, layer_append,
-            clean_parse_dates, clean_impute_numeric, clean_impute_string, clean_dedupe,
+            scan_raw, scan_raw_quoted, layer_roundtrip, layer_append, layer_tables,
+            clean_parse_dates, clean_parse_dates_typed, clean_parse_dates_us, clean_impute_numeric, clean_impute_string, clean_dedupe,
             outlier_bounds, flag_outliers,
             derive_amount, derive_date_parts, derive_product_category, customer_totals,
             segment_cutoffs, segment_cutoffs_by_range,
             derive_customer_segment, derive_customer_segment_spread,
             rolling_sales, rolling_sales_by_range,
-            processed_data, processed_data_by_range,
+            processed_data, processed_data_by_range, processed_without_price,
             fact_sales, fact_sales_lookup, fact_sales_lookup_spread, fact_ids, check_keys,
             validate_input, summary_shape, summary_numeric, summary_categorical,
             q_raw_stats, q_processed_stats, q_star_stats, q_completeness, q_completeness_raw,
             q_consistency, q_recommendations, q_sql_text,
+            report_summary, report_columns, report_validation, report_quality,
         )
     },
     "dim_customer": _dimension(star.dim_customer),

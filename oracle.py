@@ -200,7 +200,9 @@ dim_country AS (
 FACTS = """
 fact_sales AS (
   SELECT c.customer_id, d.date_id, p.product_id, k.country_id, quantity, unit_price, total_amount,
-         invoice_no, rolling_7d_sales, is_valid, TIMESTAMP '2024-01-01 00:00:00' AS created_at
+         invoice_no, rolling_7d_sales, is_valid, TIMESTAMP '2024-01-01 00:00:00' AS created_at,
+         -- The order of facts.
+         proc.invoice_date, proc.stock_code, proc.description, proc.country
   FROM proc
   JOIN dim_customer c ON proc.customer_id = c.customer_id AND c.customer_id <> ''
   JOIN dim_date d ON CAST(proc.invoice_date AS DATE) = d.date
@@ -229,6 +231,17 @@ _FACT = """customer_id, date_id, product_id, country_id, quantity,
            invoice_no, round(rolling_7d_sales, 6) AS rolling_7d_sales, is_valid, created_at"""
 
 
+# Columns and types of the processed lines.
+_PROCESSED_TYPES = (
+    ("invoice_no", "string"), ("stock_code", "string"), ("description", "string"), ("quantity", "int"),
+    ("invoice_date", "timestamp_ntz"), ("unit_price", "decimal(18,4)"), ("customer_id", "string"),
+    ("country", "string"), ("is_valid", "int"), ("created_at", "timestamp_ntz"),
+    ("total_amount", "decimal(29,4)"), ("invoice_year", "int"), ("invoice_month", "int"),
+    ("invoice_day", "int"), ("invoice_day_of_week", "int"), ("invoice_quarter", "int"),
+    ("customer_segment", "string"), ("product_category", "string"), ("rolling_7d_sales", "double"),
+)
+
+
 def _sql(ctes: list[str], select: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + select
 
@@ -382,12 +395,36 @@ def statements() -> dict[str, str]:
     return {
         # Sources and layers
         "scan_raw": _sql([FEED], f"SELECT {_LINE} FROM feed"),
+        "scan_raw_quoted": _sql(
+            [FEED],
+            """SELECT invoice_no, stock_code,
+       description || chr(10) || '"quoted", ' || stock_code AS description, quantity, invoice_date,
+       CAST(unit_price AS DOUBLE) AS unit_price, coalesce(customer_id, '  ') AS customer_id,
+       ' ' || country || ' ' AS country FROM feed""",
+        ),
+        "layer_tables": _sql(
+            _TO_FACTS,
+            " UNION ALL ".join(
+                f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS n FROM {source}"
+                for layer, table, source in (
+                    ("raw", "raw_data", "feed"),
+                    ("processed", "processed_data", "proc"),
+                    *[
+                        ("warehouse", t, t)
+                        for t in ("dim_country", "dim_customer", "dim_date", "dim_product", "fact_sales")
+                    ],
+                )
+            ),
+        ),
         "layer_roundtrip": _sql([FEED], f"SELECT {_LINE} FROM feed"),
         "layer_append": _sql(
             [FEED], f"SELECT {_LINE} FROM feed UNION ALL SELECT {_LINE} FROM feed"
         ),
         # Cleaning
-        "clean_parse_dates": _sql(_TO_PARSED, f"SELECT {_LINE} FROM parsed"),
+        **{
+            key: _sql(_TO_PARSED, f"SELECT {_LINE} FROM parsed")
+            for key in ("clean_parse_dates", "clean_parse_dates_typed", "clean_parse_dates_us")
+        },
         "clean_impute_numeric": _sql(
             _TO_FILLED,
             """SELECT invoice_no, stock_code, description,
@@ -458,13 +495,49 @@ FROM proc""",
             )
             for key in ("processed_data", "processed_data_by_range")
         },
+        "processed_without_price": _sql(
+            [
+                *_TO_PARSED,
+                """
+uniq AS (
+  SELECT DISTINCT coalesce(invoice_no, 'Unknown') AS invoice_no,
+         coalesce(stock_code, 'Unknown') AS stock_code,
+         coalesce(description, 'Unknown') AS description,
+         coalesce(quantity, CAST(round((SELECT quantile_cont(CAST(quantity AS DOUBLE), 0.5) FROM parsed))
+                                 AS INTEGER)) AS quantity,
+         invoice_date, coalesce(customer_id, 'Unknown') AS customer_id,
+         coalesce(country, 'Unknown') AS country
+  FROM parsed
+),
+fence AS (
+  SELECT quantile_cont(CAST(quantity AS DOUBLE), 0.25) AS q1,
+         quantile_cont(CAST(quantity AS DOUBLE), 0.75) AS q3 FROM uniq
+)""",
+            ],
+            """SELECT invoice_no, stock_code, description, quantity, invoice_date, customer_id, country,
+       CASE WHEN quantity < q1 - 1.5 * (q3 - q1) OR quantity > q3 + 1.5 * (q3 - q1) THEN 0 ELSE 1 END
+         AS is_valid,
+       TIMESTAMP '2024-01-01 00:00:00' AS created_at,
+       CAST(year(invoice_date) AS DOUBLE) AS invoice_year,
+       CAST(month(invoice_date) AS DOUBLE) AS invoice_month,
+       CAST(day(invoice_date) AS DOUBLE) AS invoice_day,
+       CAST(isodow(invoice_date) - 1 AS DOUBLE) AS invoice_day_of_week,
+       CAST(quarter(invoice_date) AS DOUBLE) AS invoice_quarter,
+       coalesce(nullif(regexp_extract(description, '([A-Z]{2,})', 1), ''), 'OTHER') AS product_category
+FROM uniq, fence""",
+        ),
         # Star schema
         "dim_customer": _sql(_TO_DIMS, "SELECT * FROM dim_customer"),
         "dim_date": _sql(_TO_DIMS, "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM dim_date"),
         "dim_product": _sql(_TO_DIMS, "SELECT * FROM dim_product"),
         "dim_country": _sql(_TO_DIMS, "SELECT * FROM dim_country"),
         **{
-            key: _sql(_TO_FACTS, f"SELECT {_FACT} FROM fact_sales")
+            key: _sql(
+                _TO_FACTS,
+                f"""SELECT row_number() OVER (ORDER BY invoice_date, invoice_no, stock_code, description,
+                              quantity, unit_price, fact_sales.customer_id, country) AS fact_id,
+       {_FACT} FROM fact_sales""",
+            )
             for key in ("fact_sales", "fact_sales_lookup", "fact_sales_lookup_spread")
         },
         "fact_ids": _sql(
@@ -507,6 +580,28 @@ FROM proc""",
        {_pct("count(CASE WHEN is_valid = 1 THEN 1 END)")} AS data_quality_percentage
 FROM proc""",
         ),
+        # Reports
+        "report_summary": _sql(
+            _TO_FACTS,
+            """SELECT 'Completed' AS pipeline_status, '2024-01-01T00:00:00' AS timestamp,
+       'order tables' AS data_source, (SELECT count(*) FROM feed) AS raw_rows,
+       (SELECT count(*) FROM proc) AS processed_rows, (SELECT count(*) FROM fact_sales) AS fact_rows""",
+        ),
+        "report_columns": _sql(
+            _TO_PROCESSED,
+            " UNION ALL ".join(
+                f"SELECT {i} AS position, '{name}' AS column_name, '{kind}' AS data_type, "
+                f"count(*) - count({name}) AS missing_values FROM proc"
+                for i, (name, kind) in enumerate(_PROCESSED_TYPES)
+            ),
+        ),
+        "report_validation": _sql(_TO_FACTS, _BY_COUNTRY.format(count="records")),
+        "report_quality": _sql(
+            _TO_PROCESSED,
+            "SELECT total_rows, missing_country_pct, missing_date_pct, missing_customer_id_pct, "
+            "missing_stock_code_pct, missing_total_amount_pct FROM ("
+            + _COMPLETENESS.format(table="proc") + ")",
+        ),
         "q_star_stats": _sql(_TO_FACTS, _star_stats()),
         "q_completeness": _sql(_TO_PROCESSED, _COMPLETENESS.format(table="proc")),
         "q_completeness_raw": _sql(

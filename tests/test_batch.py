@@ -23,7 +23,7 @@ def built(spark, raw_lines, tmp_path_factory):
     from datetime import datetime
 
     layers = L.Layers(str(tmp_path_factory.mktemp("built")), "b_raw", "b_processed", "b_star")
-    return batch.run(spark, raw_lines, layers, datetime(2024, 1, 1))
+    return batch.run(spark, raw_lines, layers, datetime(2024, 1, 1), source="order tables")
 
 
 def test_tables_follow_their_contracts(spark, built):
@@ -41,7 +41,7 @@ def test_second_run_gives_the_same_warehouse(spark, built, raw_lines, tmp_path,
     for layer, tables in L.TABLES.items():
         for table in tables:
             ours, first = (L.read(spark, x, layer, table) for x in (layers, built))
-            assert same_rows(ours.drop("fact_id"), first.drop("fact_id"))
+            assert same_rows(ours, first)
 
 
 def test_result_does_not_depend_on_order_or_partitions(spark, built, raw_lines, run_ts):
@@ -50,8 +50,12 @@ def test_result_does_not_depend_on_order_or_partitions(spark, built, raw_lines,
     try:
         shuffled = raw_lines.orderBy(F.reverse("description"), "invoice_no").repartition(3)
         stored = L.read(spark, built, "processed", "processed_data")
-        assert same_rows(transform.transform(clean(shuffled, run_ts), max_group_rows=10), stored)
-        assert same_rows(batch.process(shuffled, run_ts, max_group_rows=10), stored)
+        assert same_rows(transform.transform(clean(shuffled, run_ts)), stored)
+        processed = batch.process(shuffled, run_ts, block_rows=10)
+        assert same_rows(processed, stored)
+        countries = L.read(spark, built, "warehouse", "dim_country")
+        facts = L.read(spark, built, "warehouse", "fact_sales")
+        assert same_rows(star.fact_sales(processed, countries, run_ts), facts)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -72,6 +76,10 @@ def test_batch_writes_its_reports(spark, built):
     summary = report("pipeline_summary").first()
     assert (summary["pipeline_status"], summary["timestamp"]) == ("Completed", "2024-01-01T00:00:00")
     assert summary["layers"]["warehouse_schema"] == "b_star"
+    assert summary["data_source"] == "order tables"
+    assert summary["fact_rows"] == L.read(spark, built, "warehouse", "fact_sales").count()
+    columns = report("processed_columns").orderBy("position").collect()
+    assert [(r["column_name"], r["data_type"]) for r in columns] == L.read(spark, built, "processed", "processed_data").dtypes
     assert report("input_check").count() == len(schemas.RAW)
     assert report("processed_shape").first()["columns"] == len(schemas.PROCESSED)
     assert report("numeric_summary").count() == 12
@@ -108,6 +116,46 @@ def test_validation_skips_absent_tables(spark, layers, run_ts, built):
     assert row["processed_data"]["tables"] == ["processed_data"]
 
 
+def test_batch_leaves_no_scratch(spark, raw_lines, tmp_path, run_ts):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "scratch"))
+    try:
+        layers = L.Layers(str(tmp_path / "w"), "s_raw", "s_processed", "s_star")
+        batch.run(spark, raw_lines, layers, run_ts, profiles=False)
+        assert [p for p in (tmp_path / "scratch").rglob("*") if p.is_file()] == []
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_typed_dates_give_all_facts(spark, raw_lines, tmp_path, run_ts, kind):
+    lines = raw_lines.where("invoice_date <> 'not-a-date'")
+    typed = lines.withColumn("invoice_date", F.col("invoice_date").cast(kind))
+    layers = L.Layers(str(tmp_path), f"{kind}_raw", f"{kind}_processed", f"{kind}_star")
+    batch.run(spark, typed, layers, run_ts, profiles=False)
+    processed = L.read(spark, layers, "processed", "processed_data")
+    assert L.read(spark, layers, "warehouse", "fact_sales").count() == processed.count() > 0
+
+
+@pytest.mark.parametrize("absent, gone", [
+    ("unit_price", {"unit_price", "total_amount", "customer_segment", "rolling_7d_sales"}),
+    ("description", {"description", "product_category"}),
+])
+def test_absent_columns_skip_their_steps(spark, raw_lines, tmp_path, run_ts, absent, gone):
+    layers = L.Layers(str(tmp_path), f"{absent}_r", f"{absent}_p", f"{absent}_s")
+    batch.run(spark, raw_lines.drop(absent), layers, run_ts, profiles=False)
+    stored = L.read(spark, layers, "processed", "processed_data")
+    assert set(schemas.PROCESSED.fieldNames()) - set(stored.columns) == gone
+    assert L.read(spark, layers, "warehouse", "fact_sales").count() > 0
+
+
+def test_star_names_the_columns_it_needs(spark, raw_lines, tmp_path, run_ts):
+    layers = L.Layers(str(tmp_path), "c_raw", "c_processed", "c_star")
+    with pytest.raises(ValueError, match="country"):
+        batch.run(spark, raw_lines.drop("country"), layers, run_ts, profiles=False)
+    assert "country" not in L.read(spark, layers, "processed", "processed_data").columns
+
+
 def test_sql_text(spark, built):
     found = L.run_sql(
         spark,

@@ -58,11 +58,43 @@ def test_median_keeps_the_declared_type(spark):
 
 
 def test_text_fill_leaves_dates_alone(spark):
-    df = clean.parse_dates(raw(spark, {"description": None, "customer_id": None, "invoice_date": "x"}))
-    filled = clean.fill_text(df)
+    gaps = {"description": None, "customer_id": None, "invoice_date": "x", "invoice_no": "0"}
+    df = clean.parse_dates(raw(spark, gaps, {}))
+    filled = clean.fill_text(df).where("invoice_no = '0'")
     assert column(filled, "description", "customer_id", "invoice_date") == [("Unknown", "Unknown", None)]
 
 
+@pytest.mark.parametrize(
+    "texts",
+    [
+        ["12/1/2010 8:26", "1/13/2011 10:00", "bad", None],
+        ["2010-12-01 08:26:00", "2011-01-13 10:00:00", "bad", None],
+        ["2010-12-01 08:26:00.0", "2011-01-13 10:00:00.000000", None],
+        ["2010-12-01T08:26", "2011-01-13T10:00:00", "13/13/2013 1:00"],
+        ["1.12.2010 8:26", "13.1.2011 10:00"],
+        ["13/1/2011 10:00", "1/12/2010 8:26", "14/1/2011 10:00"],
+    ],
+)
+def test_date_formats_are_recognised(spark, texts):
+    df = raw(spark, *[{"invoice_date": t, "invoice_no": str(i)} for i, t in enumerate(texts)])
+    found = column(clean.parse_dates(df), "invoice_date")
+    assert {ts("2010-12-01 08:26:00"), ts("2011-01-13 10:00:00")} <= set(found)
+
+
+def test_typed_dates_are_taken_as_they_are(spark):
+    df = spark.sql("SELECT DATE '2020-01-02' AS invoice_date")
+    assert column(clean.parse_dates(df), "invoice_date") == [ts("2020-01-02 00:00:00")]
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2020-01-02 03:04:05.5' AS invoice_date")
+    assert column(clean.parse_dates(df), "invoice_date") == [ts("2020-01-02 03:04:05.500000")]
+
+
+def test_unreadable_dates_are_an_error(spark):
+    with pytest.raises(ValueError, match="invoice_date"):
+        clean.parse_dates(raw(spark, {"invoice_date": "soon"}, {"invoice_date": None}))
+    none = clean.parse_dates(raw(spark, {"invoice_date": None}))
+    assert dict(none.dtypes)["invoice_date"] == "timestamp_ntz"
+
+
 def test_repeats_count_null_as_equal(spark):
     rows = [{"description": "x"}, {"description": None}, {"description": None}, {"description": "x"}]
     assert clean.drop_repeats(raw(spark, *rows)).count() == 2
@@ -80,28 +112,24 @@ def test_quantiles(spark):
     values=st.lists(st.integers(-50, 50).map(lambda i: i / 4), min_size=1, max_size=60),
     probabilities=st.lists(st.floats(0, 1), min_size=1, max_size=3),
 )
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_quantiles_equal_linear_interpolation(spark, max_rows, values, probabilities):
+@pytest.mark.parametrize("sketch", [5, 1000])
+def test_quantiles_equal_linear_interpolation(spark, sketch, values, probabilities):
     from tillstar.operators.quantiles import quantiles
 
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
-    found = quantiles(df, ["x"], probabilities, max_rows=max_rows).first()["x"]
+    found = quantiles(df, ["x"], probabilities, sketch=sketch).first()["x"]
     assert found == pytest.approx(list(np.quantile(values, probabilities)), abs=1e-9)
 
 
-def test_quantiles_over_many_ranges(spark):
+@pytest.mark.parametrize("sketch", [10, 200, 20_000])
+def test_quantiles_of_many_values(spark, sketch):
     df = spark.range(100_000).select((F.pmod(F.col("id") * 7919, 100_003) * 1.0).alias("x"))
     df = df.union(spark.range(50_000).select(F.lit(5.0)))  # a third of all rows
     from tillstar.operators.quantiles import quantiles
 
     probabilities = [0.0, 0.1, 0.5, 0.77, 1.0]
     expected = df.agg(F.percentile("x", F.array(*map(F.lit, probabilities)))).first()[0]
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        found = quantiles(df, ["x"], probabilities, max_rows=0).first()["x"]
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    found = quantiles(df, ["x"], probabilities, sketch=sketch).first()["x"]
     assert found == pytest.approx(expected)
 
 

@@ -1,5 +1,10 @@
+import os
+import subprocess
+import sys
+
 import pytest
 
+import tillstar
 from tests.frames import column
 from tillstar.__main__ import main
 from tillstar.sources import layers as L
@@ -25,12 +30,12 @@ def test_build_twice_and_report(spark, tmp_path):
     source.write_text(LINES)
     layers = L.Layers(root)
     for _ in range(2):
-        main(["build", root, "--source", str(source), "--date-format", "M/d/yyyy H:mm"])
+        main(["build", root, "--source", str(source)])
         facts = L.read(spark, layers, "warehouse", "fact_sales")
         assert sorted(column(facts, "invoice_no")) == ["1", "2", "4"]
         # A new session's catalog does not know the tables that are on storage.
         drop_tables(spark, layers)
-    main(["report", root, "--date-format", "M/d/yyyy H:mm"])
+    main(["report", root])
     found = read_report(spark, f"{root}/reports/validation_results").first()
     assert found["raw_data"]["raw_data_stats"]["total_rows"] == 5
     # The price of line 4 is an outlier, so France has no valid sales.
@@ -39,6 +44,15 @@ def test_build_twice_and_report(spark, tmp_path):
     drop_tables(spark, layers)
 
 
+def test_the_command_starts_by_its_path(tmp_path):
+    script = os.path.join(os.path.dirname(tillstar.__file__), "__main__.py")
+    (tmp_path / "lines.csv").write_text(LINES)
+    command = [sys.executable, script, "build", str(tmp_path / "w"), "--source", str(tmp_path / "lines.csv")]
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"}
+    subprocess.run(command, check=True, cwd=tmp_path, env=env, timeout=300)
+    assert list((tmp_path / "w" / "data_warehouse" / "fact_sales").glob("*.parquet"))
+
+
 def test_build_needs_a_source(spark, tmp_path):
     with pytest.raises(SystemExit):
         main(["build", str(tmp_path)])

@@ -17,6 +17,7 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
         '"A, ""B""",6,2.55,017850,x\n'
         "NA,6.0,,17850.0,\n"
         "null,abc,1e1, ,n/a\n"
+        '"two\nlines",1,1,  NA ,\n'
     )
     df = csv.read_invoice_csv(spark, str(tmp_path / "lines.csv"))
     types = dict(df.dtypes)
@@ -24,7 +25,8 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert column(df, "country", "quantity", "unit_price", "customer_id", "note") == [
         ('A, "B"', 6, Decimal("2.5500"), "017850", "x"),
         (None, 6, None, "17850.0", None),
-        (None, None, Decimal("10.0000"), None, None),
+        (None, None, Decimal("10.0000"), " ", None),
+        ("two\nlines", 1, Decimal("1.0000"), "  NA ", None),
     ]
 
 
@@ -39,10 +41,16 @@ def test_csv_files_must_share_their_header(spark, tmp_path):
 
 def test_csv_may_hold_line_breaks(spark, tmp_path):
     (tmp_path / "lines.csv").write_text('invoice_no,description\n1,"two\nlines"\n')
-    df = csv.read_invoice_csv(spark, str(tmp_path / "lines.csv"), multi_line=True)
+    df = csv.read_invoice_csv(spark, str(tmp_path / "lines.csv"))
     assert column(df, "invoice_no", "description") == [("1", "two\nlines")]
 
 
+def test_csv_torn_rows_are_an_error(spark, tmp_path):
+    (tmp_path / "lines.csv").write_text('invoice_no,description,country\n1,"two\nlines",Italy\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        csv.read_invoice_csv(spark, str(tmp_path / "lines.csv"), multi_line=False).collect()
+
+
 def test_csv_encoding(spark, tmp_path):
     (tmp_path / "lines.csv").write_bytes("description\nCAFÉ\n".encode("latin-1"))
     df = csv.read_invoice_csv(spark, str(tmp_path / "lines.csv"), encoding="ISO-8859-1")
@@ -74,8 +82,19 @@ def test_contract_orders_and_types_columns(spark, layers):
     L.create(spark, layers)
     shuffled = raw(spark, {}).select(*reversed(schemas.RAW.fieldNames())).withColumnRenamed("country", "land")
     stored = L.write(shuffled, layers, "raw", "raw_data")
-    assert stored.columns == schemas.RAW.fieldNames()
-    assert column(stored, "country") == [None]
+    assert stored.columns == [c for c in schemas.RAW.fieldNames() if c != "country"]
+
+
+def test_roots_with_equal_names_read_their_own(spark, layers, tmp_path):
+    roots = [layers._replace(root=str(tmp_path / x)) for x in ("it's a", "b")]
+    for n, root in enumerate(roots, 1):
+        L.attach(spark, root)
+        assert L.list_tables(spark, root, "raw") == []
+        L.write(raw(spark, *[{"invoice_no": str(i)} for i in range(n)]), root, "raw", "raw_data")
+    for n, root in enumerate(roots, 1):
+        L.attach(spark, root)
+        assert L.read(spark, root, "raw", "raw_data").count() == n
+        assert spark.table(root.name("raw", "raw_data")).count() == n
 
 
 def test_attach_finds_stored_tables(spark, layers):

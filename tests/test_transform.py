@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.frames import column, doubles, lines, raw, same_rows
@@ -78,14 +79,14 @@ def test_segments_need_increasing_cut_points(spark, totals):
         segments.segment_customers(totals_of(spark, totals))
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [0, 100])
-def test_segments_reach_every_line(spark, max_broadcast_rows):
+@pytest.mark.parametrize("max_broadcast_bytes", [0, 10_000])
+def test_segments_reach_every_line(spark, max_broadcast_bytes):
     rows = [{"customer_id": None if i % 9 == 0 else str(i % 7), "unit_price": 1 + i % 5,
              "invoice_no": str(i)} for i in range(300)]
     df = lines(spark, *rows)
     # A third of all lines from one customer.
     df = df.union(lines(spark, *[{"customer_id": "hot", "invoice_no": f"h{i}"} for i in range(150)]))
-    found = segments.add_segments(df, max_broadcast_rows=max_broadcast_rows)
+    found = segments.add_segments(df, max_broadcast_bytes=max_broadcast_bytes)
     assert found.count() == df.count()
     per_customer = dict(
         column(segments.segment_customers(segments.customer_totals(df)), "customer_id", "customer_segment")
@@ -118,7 +119,15 @@ def by_rolling(df):
     return [tuple(r) for r in rows]
 
 
-ROLLING = [rolling.rolling_by_country, rolling.rolling_by_range]
+def rolling_by_country(df):
+    """The expected value: one window per country."""
+    window = Window.partitionBy("country").orderBy(*rolling.line_order(df)).rowsBetween(-6, 0)
+    total, n = F.sum("total_amount").over(window), F.count("total_amount").over(window)
+    mean = F.try_divide(total.cast("double"), n)
+    return df.withColumn(rolling.NAME, F.when(F.col("country").isNotNull(), mean))
+
+
+ROLLING = [rolling_by_country, rolling.add_rolling_sales]
 
 
 @pytest.mark.parametrize("operator", ROLLING)
@@ -168,18 +177,17 @@ def test_rolling_by_range_equals_rolling_by_country(spark, ranges, block_rows):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
     try:
-        by_range = rolling.rolling_by_range(df, block_rows).collect()
+        by_range = rolling.add_rolling_sales(df, block_rows).collect()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    by_country = rolling.rolling_by_country(df).collect()
+    by_country = rolling_by_country(df).collect()
     key = lambda r: int(r["invoice_no"])
     assert sorted(by_range, key=key) == sorted(by_country, key=key)
 
 
-def test_rolling_chooses_by_size(spark):
-    df = lines(spark, *[{"invoice_no": str(i)} for i in range(20)])
-    assert rolling.largest_country(df) == 20
-    assert same_rows(
-        rolling.add_rolling_sales(df, max_group_rows=5), rolling.add_rolling_sales(df, max_group_rows=50)
-    )
+def test_broadcasts_are_decided_by_bytes(spark):
+    narrow = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    wide = narrow.withColumn("text", F.repeat(F.lit("x"), F.lit(10_000)))
+    assert spread.measured_bytes(narrow) == 100 * 16 + 190
+    assert spread.is_small(narrow, 10_000) and not spread.is_small(wide, 10_000)

@@ -5,11 +5,15 @@ spark-submit tillstar/__main__.py report <root>
 """
 
 import argparse
+import os
+import sys
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from tillstar.functions.expressions import ISO_FORMAT
+if not __package__:  # started by its path: the package lies one folder up
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from tillstar.plans import batch, quality
 from tillstar.sources import layers as L
 from tillstar.sources.csv import read_invoice_csv
@@ -19,8 +23,11 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tillstar", description="Retail invoice warehouse")
     parser.add_argument("command", choices=("build", "report"))
     parser.add_argument("root", help="folder of the warehouse, reachable by all executors")
-    parser.add_argument("--source", help="invoice lines: a CSV file or folder, or Parquet")
-    parser.add_argument("--date-format", default=ISO_FORMAT)
+    parser.add_argument("--source", help="invoice lines: a file or folder")
+    parser.add_argument("--format", choices=("csv", "parquet"), help="by default from the source's name")
+    parser.add_argument("--single-line", action="store_true",
+                        help="CSV cells hold no line breaks, so that files can be divided among tasks")
+    parser.add_argument("--date-format", help="of invoice dates; recognised by default")
     parser.add_argument("--encoding", default="UTF-8")
     parser.add_argument("--accuracy", type=int, help="approximate quantiles, to one part in this")
     options = parser.parse_args(arguments)
@@ -30,12 +37,15 @@ def main(arguments: list[str] | None = None) -> None:
     if options.command == "build":
         if not options.source:
             parser.error("build needs --source")
-        if options.source.rstrip("/").endswith(".parquet"):
+        stored = options.source.rstrip("/").endswith(".parquet")
+        if (options.format or ("parquet" if stored else "csv")) == "parquet":
             raw = spark.read.parquet(options.source)
         else:
-            raw = read_invoice_csv(spark, options.source, options.encoding)
+            multi_line = not options.single_line
+            raw = read_invoice_csv(spark, options.source, options.encoding, multi_line)
         batch.run(
-            spark, raw, layers, date_format=options.date_format, accuracy=options.accuracy
+            spark, raw, layers, date_format=options.date_format, accuracy=options.accuracy,
+            source=options.source,
         )
     else:
         L.attach(spark, layers)

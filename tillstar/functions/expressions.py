@@ -3,7 +3,20 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Date texts that are recognised, the first of equally good ones wins.
+ISO_FORMAT = "yyyy-MM-dd[ HH:mm[:ss[.SSSSSS]]]"
+DATE_FORMATS = (
+    ISO_FORMAT,
+    "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSS]]",
+    "M/d/yyyy[ H:mm[:ss]]",
+    "d/M/yyyy[ H:mm[:ss]]",
+    "M/d/yy[ H:mm[:ss]]",
+    "d/M/yy[ H:mm[:ss]]",
+    "d.M.yyyy[ H:mm[:ss]]",
+    "d-M-yyyy[ H:mm[:ss]]",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "yyyyMMdd[ HH:mm[:ss]]",
+)
 
 # Region word lists, tested in this order.
 REGIONS = (

@@ -1,15 +1,15 @@
 """Cleaning: parse dates, fill gaps, drop repeats, flag outliers."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegralType
+from pyspark.sql.types import DateType, DoubleType, FloatType, IntegralType, TimestampType
 
-from tillstar.functions.expressions import ISO_FORMAT, parse_datetime
+from tillstar.functions.expressions import DATE_FORMATS, parse_datetime
 from tillstar.operators.columns import has, numeric_columns, text_columns
 from tillstar.operators.quantiles import quantile_values
 from tillstar.operators.scratch import materialize
@@ -19,11 +19,28 @@ MISSING_TEXT = "Unknown"
 FENCE = 1.5
 
 
-def parse_dates(df: DataFrame, fmt: str = ISO_FORMAT, column: str = "invoice_date") -> DataFrame:
-    """Text dates to timestamps, null where unreadable."""
-    if not has(df, column) or column not in text_columns(df):
+def recognise_format(
+    df: DataFrame, column: str = "invoice_date", formats: Sequence[str] = DATE_FORMATS
+) -> str:
+    """The format that reads most of the texts of a column, counted over all rows; the first
+    if it has no text. An error if there are texts and no format reads any."""
+    tried = [F.count(parse_datetime(column, fmt)).alias(f"f{i}") for i, fmt in enumerate(formats)]
+    texts, *read = df.agg(F.count(column).alias("texts"), *tried).first()
+    if texts and not max(read):
+        raise ValueError(f"none of {list(formats)} reads any of the {texts} texts of {column}")
+    return formats[read.index(max(read))]
+
+
+def parse_dates(df: DataFrame, fmt: str | None = None, column: str = "invoice_date") -> DataFrame:
+    """Dates to zone-less timestamps, null where unreadable. Texts follow `fmt`, by default
+    the recognised format; days and timestamps are taken as they are."""
+    if not has(df, column):
         return df
-    return df.withColumn(column, parse_datetime(column, fmt))
+    if column not in text_columns(df):
+        dated = isinstance(df.schema[column].dataType, (DateType, TimestampType))
+        return df.withColumn(column, F.col(column).cast("timestamp_ntz")) if dated else df
+    known = recognise_format(df, column, (fmt,) if fmt else DATE_FORMATS)
+    return df.withColumn(column, parse_datetime(column, known))
 
 
 def fill_numeric(df: DataFrame, accuracy: int | None = None) -> DataFrame:
@@ -101,7 +118,7 @@ def flag_outliers(
 def clean(
     raw: DataFrame,
     run_ts: datetime,
-    date_format: str = ISO_FORMAT,
+    date_format: str | None = None,
     accuracy: int | None = None,
     store: Callable[[DataFrame], DataFrame] = partial(materialize, label="clean"),
 ) -> DataFrame:

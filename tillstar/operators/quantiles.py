@@ -1,18 +1,40 @@
 """Quantiles with linear interpolation, exact at any number of distinct values.
 
-Spark's `percentile` holds every distinct value in one task. Here the values are
-counted first (partial counts shrink frequent values before the shuffle), the
-counts are range-sorted, and only the ranges that hold a wanted rank are read
-again.
+Spark's `percentile` holds every distinct value in one task. Here a sketch gives two
+bounds around every wanted rank, one more scan counts the values below the bounds and
+groups those between them, and the wanted ranks are found among these few. A rank that
+the bounds miss makes them wider and is looked for again.
 """
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.operators.ranges import RANGE, range_sorted, range_starts
-from tillstar.operators.spread import MAX_BROADCAST_ROWS, is_small
+# Relative precision of the sketch, as one part in this many: about four parts of the
+# values are grouped for each wanted rank.
+SKETCH = 20_000
+_WIDEN = 16
+
+
+class _Wanted(NamedTuple):
+    column: str
+    probability: float
+    rows: int
+
+    @property
+    def position(self) -> float:
+        """Where the quantile lies among the ranks 0 .. rows - 1."""
+        return self.probability * (self.rows - 1)
+
+    @property
+    def low(self) -> int:
+        return int(self.position)
+
+    @property
+    def high(self) -> int:
+        return min(self.low + (self.position > self.low), self.rows - 1)
 
 
 def quantiles(
@@ -20,86 +42,16 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int | None = None,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    sketch: int = SKETCH,
 ) -> DataFrame:
-    """One row: for every column, an array with its quantiles (null without values).
-
-    Nulls and NaN are left out. With `accuracy`, ranks are approximate to one
-    part in `accuracy` and taken from existing values: one scan and no sort. Up to
-    `max_rows` distinct values are ranked by one window per column.
-    """
-    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    if accuracy is not None:
-        wanted = F.array(*map(F.lit, probabilities))
-        return values.agg(
-            *[F.percentile_approx(c, wanted, accuracy).alias(c) for c in columns]
-        )
-    counts = (
-        values.unpivot([], list(columns), "col", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("col", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranged = range_sorted(counts, [F.col("col"), F.col("value")], "value-counts")
-    placed = _placed(ranged) if is_small(ranged, max_rows) else _placed_near(ranged, probabilities)
-    found = _at_ranks(placed, probabilities)
-    return found.agg(
-        *[F.max(F.when(F.col("col") == c, F.col("quantiles"))).alias(c) for c in columns]
-    )
-
+    """One row: for every column, an array with its quantiles (null without values)."""
+    found = quantile_values(df, columns, probabilities, accuracy, sketch)
 
-def _position(p: float) -> Column:
-    """Where the p-quantile lies among the ranks 0 .. total-1."""
-    return F.lit(float(p)) * (F.col("total") - 1)
+    def array(values: list[float | None]) -> Column:
+        filled = F.array(*[F.lit(v).cast("double") for v in values])
+        return F.lit(None).cast("array<double>") if None in values else filled
 
-
-def _placed(counts: DataFrame) -> DataFrame:
-    """Few value counts: add the rank after a value's last one, and the total."""
-    column = Window.partitionBy("col")
-    return counts.withColumns(
-        {
-            "end": F.sum("n").over(column.orderBy("value")),
-            "total": F.sum("n").over(column),
-        }
-    )
-
-
-def _placed_near(ranged: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """The same for many value counts, of which only the ranges are kept that hold a
-    wanted rank: one or two per column and probability."""
-    starts = range_starts(ranged, F.col("n"), by=("col",))
-    holds_rank = F.lit(False)
-    for p in probabilities:
-        low, high = F.floor(_position(p)), F.ceil(_position(p))
-        after = F.col("start") + F.col("size")
-        holds_rank = holds_rank | ((high >= F.col("start")) & (low < after))
-    wanted = starts.where(holds_rank).drop("size")
-    in_range = Window.partitionBy("col", RANGE).orderBy("value")
-    return ranged.join(F.broadcast(wanted), ["col", RANGE]).withColumn(
-        "end", F.col("start") + F.sum("n").over(in_range)
-    )
-
-
-def _at_ranks(placed: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Rows (col, quantiles), interpolated between the two neighbouring ranks."""
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("end") - F.col("n")) & (rank < F.col("end")), F.col("value")))
-
-    neighbours = [
-        F.struct(
-            value_at(F.floor(_position(p))).alias("low"),
-            value_at(F.ceil(_position(p))).alias("high"),
-            F.max(_position(p) - F.floor(_position(p))).alias("share"),
-        )
-        for p in probabilities
-    ]
-    return placed.groupBy("col").agg(
-        F.transform(
-            F.array(*neighbours),
-            lambda x: x["low"] + (x["high"] - x["low"]) * x["share"],
-        ).alias("quantiles")
-    )
+    return df.sparkSession.range(1).select(*[array(found[c]).alias(c) for c in columns])
 
 
 def quantile_values(
@@ -107,10 +59,85 @@ def quantile_values(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int | None = None,
+    sketch: int = SKETCH,
 ) -> dict[str, list[float | None]]:
-    """The one row of `quantiles` as numbers, to be used as literals in later plans.
+    """The quantiles of every column, to be used as literals in later plans.
 
-    A column without values has None for each.
+    Nulls and NaN are left out; a column without values has None for each. With
+    `accuracy`, ranks are approximate to one part in `accuracy` and taken from existing
+    values: one scan and no shuffle of values.
     """
-    found = quantiles(df, columns, probabilities, accuracy).first()
-    return {c: found[c] or [None] * len(probabilities) for c in columns}
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    if accuracy is not None:
+        asked = F.array(*map(F.lit, map(float, probabilities)))
+        row = values.agg(*[F.percentile_approx(c, asked, accuracy).alias(c) for c in columns]).first()
+        return {c: row[c] or [None] * len(probabilities) for c in columns}
+    rows = values.agg(*[F.count(c).alias(c) for c in columns]).first()
+    wanted = [_Wanted(c, float(p), rows[c]) for c in columns for p in probabilities if rows[c]]
+    answers: dict[_Wanted, float] = {}
+    margin = 2 / sketch
+    while open_ := [w for w in wanted if w not in answers]:
+        answers |= _between(values, open_, _bounds(values, open_, margin, sketch))
+        margin *= _WIDEN
+    by_place = {(w.column, w.probability): value for w, value in answers.items()}
+    return {c: [by_place.get((c, float(p))) for p in probabilities] for c in columns}
+
+
+def _bounds(
+    values: DataFrame, wanted: list[_Wanted], margin: float, sketch: int
+) -> list[tuple[float, float]]:
+    """Values that should lie around every wanted rank; the margin holds two ranks at least."""
+    sides = []
+    for i, w in enumerate(wanted):
+        reach = margin + 2 / w.rows
+        for name, p in (("low", w.probability - reach), ("high", w.probability + reach)):
+            if 0 < p < 1:
+                side = F.percentile_approx(w.column, float(p), sketch)
+            else:
+                side = F.min(w.column) if p <= 0 else F.max(w.column)
+            sides.append(side.alias(f"{name}{i}"))
+    row = values.agg(*sides).first()
+    return [(row[f"low{i}"], row[f"high{i}"]) for i in range(len(wanted))]
+
+
+def _between(
+    values: DataFrame, wanted: list[_Wanted], bounds: list[tuple[float, float]]
+) -> dict[_Wanted, float]:
+    """The quantiles whose ranks lie between their bounds."""
+    places = range(len(wanted))
+    below = values.agg(
+        *[F.count_if(F.col(w.column) < bounds[i][0]).alias(f"b{i}") for i, w in enumerate(wanted)]
+    ).first()
+    near = F.array(
+        *[
+            F.when(
+                F.col(w.column).between(*bounds[i]),
+                F.struct(F.lit(i).alias("place"), F.col(w.column).alias("value")),
+            )
+            for i, w in enumerate(wanted)
+        ]
+    )
+    counts = (
+        values.select(F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x"))
+        .groupBy("x.place", "x.value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # A few parts in SKETCH of the rows, by wanted rank.
+    end = F.sum("n").over(Window.partitionBy("place").orderBy("value"))
+    ranked = counts.withColumn("end", end)
+
+    def at(i: int, rank: int) -> Column:
+        inside = rank - below[f"b{i}"]
+        here = (F.col("place") == i) & (F.col("end") > inside) & (F.col("end") - F.col("n") <= inside)
+        return F.max(F.when(here, F.col("value")))
+
+    row = ranked.agg(
+        *[at(i, wanted[i].low).alias(f"low{i}") for i in places],
+        *[at(i, wanted[i].high).alias(f"high{i}") for i in places],
+    ).first()
+    answers = {}
+    for i, w in enumerate(wanted):
+        low, high = row[f"low{i}"], row[f"high{i}"]
+        if low is not None and high is not None:
+            answers[w] = low + (high - low) * (w.position - w.low)
+    return answers

@@ -10,9 +10,6 @@ from tillstar.operators.ranges import RANGE, ROW, range_sorted
 FRAME_ROWS = 7
 NAME = "rolling_7d_sales"
 
-# A country with more lines than this is cut into ranges.
-MAX_GROUP_ROWS = 2_000_000
-
 # Rows per block of a range: small enough to sort in memory, and many per task.
 BLOCK_ROWS = 100_000
 
@@ -29,29 +26,9 @@ def line_order(df: DataFrame) -> list[Column]:
     return [F.col("invoice_date").asc_nulls_last(), *ties]
 
 
-def largest_country(df: DataFrame) -> int:
-    """Number of lines of the country with the most of them."""
-    per_country = df.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
-    return per_country.agg(F.max("n")).first()[0] or 0
-
-
-def add_rolling_sales(
-    df: DataFrame, largest: int | None = None, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """Add rolling_7d_sales, by one window per country or, if a country is too
-    large for one task, by ranges. `largest` saves the count if it is known."""
-    largest = largest_country(df) if largest is None else largest
-    return rolling_by_country(df) if largest <= max_group_rows else rolling_by_range(df)
-
-
-def rolling_by_country(df: DataFrame) -> DataFrame:
-    """One window per country; lines without a country get null."""
-    window = Window.partitionBy("country").orderBy(*line_order(df))
-    return df.withColumn(NAME, _of_known_country(_mean(window)))
-
-
-def rolling_by_range(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The same result with countries cut into blocks of the line order."""
+def add_rolling_sales(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add rolling_7d_sales: lines are range-sorted, and even one country or one date
+    is cut into blocks. Lines without a country get null."""
     ranged = sort_by_country(df)
     return rolling_in_blocks(ranged, lines_before_ranges(ranged), block_rows)
 

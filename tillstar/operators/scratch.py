@@ -1,6 +1,8 @@
 """Intermediate tables on storage every executor can reach."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +20,38 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+# Folder of the run in progress, where there is one.
+_current: list[str] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Through the cluster's own file system, as the folder need not be local."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(configuration).delete(target, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """Tables that `materialize` writes inside go to one folder, deleted at the end.
+
+    Whatever reads them must have run by then."""
+    path = f"{scratch_root(spark)}/tillstar/run-{uuid4().hex}"
+    _current.append(path)
+    try:
+        yield path
+    finally:
+        _current.remove(path)
+        _delete(spark, path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the scratch folder and read it back.
 
     Cuts the lineage: later steps that need the same rows twice, or the
     partition a row was in, see one fixed table whatever happens to executors.
     """
-    path = f"{scratch_root(df.sparkSession)}/tillstar/{label}-{uuid4().hex}"
+    folder = _current[-1] if _current else f"{scratch_root(df.sparkSession)}/tillstar"
+    path = f"{folder}/{label}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

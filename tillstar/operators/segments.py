@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.quantiles import quantile_values
 from tillstar.operators.scratch import materialize
-from tillstar.operators.spread import MAX_BROADCAST_ROWS, is_small, join_unique
+from tillstar.operators.spread import MAX_BROADCAST_BYTES, is_small, join_unique
 
 # Cut points among the customer totals, segment names.
 CUTS = (0.33, 0.67)
@@ -40,7 +40,7 @@ def segment_customers(totals: DataFrame, accuracy: int | None = None) -> DataFra
 
 
 def add_segments(
-    df: DataFrame, accuracy: int | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    df: DataFrame, accuracy: int | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Add customer_segment to every line; null for unknown customers.
 
@@ -50,5 +50,5 @@ def add_segments(
     totals = materialize(customer_totals(df), "customer-totals")
     segments = segment_customers(totals, accuracy).select("customer_id", "customer_segment")
     counts = totals.select("customer_id", "n")
-    small = is_small(totals, max_broadcast_rows)
+    small = is_small(totals.select("customer_id"), max_broadcast_bytes)
     return join_unique(df, segments, "customer_id", counts, small, "left")

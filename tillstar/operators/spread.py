@@ -3,14 +3,24 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of up to this many narrow rows (some 50 bytes each) is broadcast.
-MAX_BROADCAST_ROWS = 500_000
+from tillstar.operators.columns import text_columns
 
+# A lookup of up to this many bytes is broadcast.
+MAX_BROADCAST_BYTES = 24 << 20
 
-def is_small(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a stored table has few enough rows to be broadcast; Parquet answers
-    from its footers."""
-    return stored.count() <= max_rows
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a frame's rows in memory: 8 bytes a row and a column, and all texts."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in text_columns(df)]
+    row = F.lit(8 * (1 + len(df.columns)))
+    for text in texts:
+        row = row + text
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
+def is_small(lookup: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a lookup, measured over all its rows, may be broadcast."""
+    return measured_bytes(lookup) <= max_bytes
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:

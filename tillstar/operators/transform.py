@@ -7,11 +7,10 @@ from tillstar.functions import expressions as X
 from tillstar.operators.columns import has
 from tillstar.operators.ranges import RANGE, ROW
 from tillstar.operators.rolling import (
-    MAX_GROUP_ROWS,
-    add_rolling_sales,
-    largest_country,
+    BLOCK_ROWS,
     lines_before_ranges,
     rolling_in_blocks,
+    sort_by_country,
 )
 from tillstar.operators.segments import add_segments
 
@@ -36,7 +35,7 @@ def add_product_category(df: DataFrame) -> DataFrame:
 
 
 def transform(
-    df: DataFrame, accuracy: int | None = None, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, accuracy: int | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Amount, date parts, segment, category, rolling mean.
 
@@ -44,19 +43,15 @@ def transform(
     What the rolling mean must know beforehand is taken before the segments, as
     it needs a few columns and no join.
     """
-    sorted_already = has(df, RANGE, ROW)
+    rolls = has(df, "quantity", "unit_price", "invoice_date", "country")
+    if rolls and not has(df, RANGE, ROW):
+        df = sort_by_country(df)
     df = add_date_parts(add_amount(df))
-    rolls = has(df, "total_amount", "invoice_date", "country")
-    if rolls and sorted_already:
+    if rolls:
         before = lines_before_ranges(df)
-    elif rolls:
-        largest = largest_country(df)
-
     if has(df, "total_amount", "customer_id"):
         df = add_segments(df, accuracy)
     df = add_product_category(df)
-    if rolls and sorted_already:
-        df = rolling_in_blocks(df, before)
-    elif rolls:
-        df = add_rolling_sales(df, largest, max_group_rows)
+    if rolls:
+        df = rolling_in_blocks(df, before, block_rows)
     return df.drop(RANGE, ROW)

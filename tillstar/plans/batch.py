@@ -5,10 +5,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.functions.expressions import ISO_FORMAT
 from tillstar.operators.clean import clean
 from tillstar.operators.columns import has
-from tillstar.operators.rolling import MAX_GROUP_ROWS, largest_country, sort_by_country
+from tillstar.operators.rolling import BLOCK_ROWS, sort_by_country
+from tillstar.operators.scratch import scratch_folder
 from tillstar.operators.transform import transform
 from tillstar.plans import profile, star
 from tillstar.sources import layers as L
@@ -20,49 +20,54 @@ def run(
     raw: DataFrame,
     layers: L.Layers,
     run_ts: datetime | None = None,
-    date_format: str = ISO_FORMAT,
+    date_format: str | None = None,
     accuracy: int | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
     profiles: bool = True,
+    source: str | None = None,
 ) -> L.Layers:
     """Load, store raw, check, clean, derive, summarise, store, build the star.
 
     Tables are replaced, so a second run gives the same warehouse. Every stage
     reads the stored table of the one before it. `accuracy` makes all quantiles
-    approximate; `profiles` controls the input check and the summaries.
+    approximate; `profiles` controls the input check and the summaries; `source`
+    names the input in the run summary. Without `date_format` the format is
+    recognised. The run's scratch tables are deleted at its end.
     """
     run_ts = run_ts or datetime.now()
     L.attach(spark, layers)
-    raw = L.write(raw, layers, "raw", "raw_data")
-    processed = L.write(
-        process(raw, run_ts, date_format, accuracy, max_group_rows),
-        layers, "processed", "processed_data",
-    )
-    if profiles:
-        write_profiles(raw, processed, layers, accuracy)
-    build_star(processed, layers, run_ts)
-    write_report(run_summary(spark, layers, run_ts), _reports(layers), "pipeline_summary")
+    with scratch_folder(spark):
+        raw = L.write(raw, layers, "raw", "raw_data")
+        processed = L.write(
+            process(raw, run_ts, date_format, accuracy), layers, "processed", "processed_data"
+        )
+        if profiles:
+            write_profiles(raw, processed, layers, accuracy)
+        build_star(processed, layers, run_ts)
+    write_report(run_summary(spark, layers, run_ts, source), reports(layers), "pipeline_summary")
     return layers
 
 
 def process(
     raw: DataFrame,
     run_ts: datetime,
-    date_format: str = ISO_FORMAT,
+    date_format: str | None = None,
     accuracy: int | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Clean and derive. If a country is too large for one task, the deduplicated
-    lines are stored in the order that the rolling mean needs, and not once more."""
-    if has(raw, "country", "invoice_date") and largest_country(raw) > max_group_rows:
+    """Clean and derive. The deduplicated lines are stored in the order that the
+    rolling mean needs, and not once more."""
+    if has(raw, "quantity", "unit_price", "country", "invoice_date"):
         lines = clean(raw, run_ts, date_format, accuracy, store=sort_by_country)
     else:
         lines = clean(raw, run_ts, date_format, accuracy)
-    return transform(lines, accuracy, max_group_rows)
+    return transform(lines, accuracy, block_rows)
 
 
 def build_star(processed: DataFrame, layers: L.Layers, run_ts: datetime) -> None:
     """Replace the warehouse tables by those of the processed lines."""
+    absent = [c for c in star.NEEDED if not has(processed, c)]
+    if absent:
+        raise ValueError(f"a star schema needs the columns {', '.join(absent)}")
     for table, build in (
         ("dim_customer", star.dim_customer),
         ("dim_date", star.dim_date),
@@ -78,19 +83,31 @@ def write_profiles(
     raw: DataFrame, processed: DataFrame, layers: L.Layers, accuracy: int | None = None
 ) -> None:
     """Input check of the raw lines and summaries of the processed ones."""
-    folder = _reports(layers)
+    folder = reports(layers)
     write_report(profile.validate_input(raw), folder, "input_check")
     write_report(profile.shape(processed), folder, "processed_shape")
+    write_report(profile.column_check(processed), folder, "processed_columns")
     write_report(profile.numeric_summary(processed, accuracy), folder, "numeric_summary")
-    # As large as the distinct values: written in parallel, most frequent first.
-    counts = profile.categorical_summary(processed).orderBy("column_name", F.desc("count"), "value")
+    # As large as the distinct values: written in parallel, in no order.
+    counts = profile.categorical_summary(processed)
     counts.write.mode("overwrite").parquet(f"{folder}/categorical_summary")
 
 
-def run_summary(spark: SparkSession, layers: L.Layers, run_ts: datetime) -> DataFrame:
+def run_summary(
+    spark: SparkSession, layers: L.Layers, run_ts: datetime, source: str | None = None
+) -> DataFrame:
     return spark.range(1).select(
         F.lit("Completed").alias("pipeline_status"),
         F.lit(run_ts.isoformat()).alias("timestamp"),
+        F.lit(source).cast("string").alias("data_source"),
+        *[
+            F.lit(L.read(spark, layers, layer, table).count()).cast("long").alias(name)
+            for layer, table, name in (
+                ("raw", "raw_data", "raw_rows"),
+                ("processed", "processed_data", "processed_rows"),
+                ("warehouse", "fact_sales", "fact_rows"),
+            )
+        ],
         F.struct(
             F.lit(layers.root).alias("root"),
             F.lit(layers.raw).alias("raw_schema"),
@@ -100,5 +117,5 @@ def run_summary(spark: SparkSession, layers: L.Layers, run_ts: datetime) -> Data
     )
 
 
-def _reports(layers: L.Layers) -> str:
+def reports(layers: L.Layers) -> str:
     return f"{layers.root.rstrip('/')}/reports"

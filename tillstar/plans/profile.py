@@ -4,7 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from tillstar.functions.expressions import ISO_FORMAT, mean_of, parse_datetime, percent
+from tillstar.functions.expressions import mean_of, percent
+from tillstar.operators.clean import parse_dates
 from tillstar.operators.columns import numeric_columns, text_columns
 from tillstar.operators.quantiles import quantiles
 
@@ -43,6 +44,27 @@ def validate_input(df: DataFrame) -> DataFrame:
     return totals.select("total_rows", "duplicates", F.inline(rows))
 
 
+# Parts of a double that are summed as decimals, so that sums don't depend on task order.
+_PART = "decimal(28,8)"
+
+
+def _exact(column: Column) -> Column:
+    return column.cast(_PART)
+
+
+def _mean(name: str) -> Column:
+    return mean_of(F.sum(_exact(F.col(name))), F.count(name))
+
+
+def _deviation(name: str) -> Column:
+    """Sample standard deviation from exact sums of values and squares."""
+    value, n = F.col(name), F.count(name)
+    total = F.sum(_exact(value))
+    squares = F.sum((_exact(value) * _exact(value)).cast("decimal(38,8)"))
+    spread = squares.cast("double") - total.cast("double") * total.cast("double") / n
+    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)))
+
+
 def numeric_summary(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles and max per numeric and date column.
 
@@ -67,8 +89,8 @@ def numeric_summary(df: DataFrame, accuracy: int | None = None) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                (F.stddev_samp(c) if c in numeric else F.lit(None).cast("double")).alias("std"),
+                _mean(c).alias("mean"),
+                (_deviation(c) if c in numeric else F.lit(None).cast("double")).alias("std"),
                 F.min(c).alias("min"),
                 F.max(c).alias("max"),
             ).alias(c)
@@ -106,10 +128,23 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def raw_stats(raw: DataFrame, date_format: str = ISO_FORMAT) -> DataFrame:
+def column_check(df: DataFrame) -> DataFrame:
+    """One row per column in their order: name, type, nulls."""
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.count_if(F.col(f.name).isNull()).alias("missing_values"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def raw_stats(raw: DataFrame, date_format: str | None = None) -> DataFrame:
     """Profile of the raw lines; dates are compared as timestamps, not as text."""
-    dates = raw.withColumn("invoice_date", parse_datetime("invoice_date", date_format))
-    return dates.agg(
+    return parse_dates(raw, date_format).agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.countDistinct("country").alias("unique_countries"),
         F.countDistinct("invoice_date").alias("unique_dates"),

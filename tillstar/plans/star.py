@@ -2,22 +2,27 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar import schemas
 from tillstar.functions import expressions as X
 from tillstar.operators.clean import timestamp
 from tillstar.operators.columns import has
 from tillstar.operators.ranges import with_dense_ids
 from tillstar.operators.rolling import line_order
 from tillstar.operators.spread import (
-    MAX_BROADCAST_ROWS,
+    MAX_BROADCAST_BYTES,
     is_small,
     join_unique,
     key_counts,
 )
 
 
+# Columns without which there are no facts.
+NEEDED = ("customer_id", "stock_code", "country", "invoice_date")
+
+
 def dim_customer(processed: DataFrame, run_ts: datetime) -> DataFrame:
     """One row per customer, with the country of its earliest line."""
     segment = (
@@ -76,6 +81,8 @@ def dim_product(processed: DataFrame, run_ts: datetime) -> DataFrame:
     distinct = processed.where(F.col("stock_code").isNotNull()).withColumn(
         "product_category", category
     )
+    if not has(distinct, "description"):
+        distinct = distinct.withColumn("description", F.lit(None).cast("string"))
     return _earliest(distinct, "stock_code", ["description", "product_category"]).select(
         F.col("stock_code").alias("product_id"),
         "stock_code",
@@ -106,10 +113,20 @@ def fact_sales(processed: DataFrame, countries: DataFrame, run_ts: datetime) ->
 
     Every key of a line is then present in its dimension, customer and product
     keys are their own surrogates, and the day key is computed. Only the country
-    number must be looked up, so no line is shuffled. `fact_sales_lookup` gives
-    the same rows for dimensions of any other origin.
+    number must be looked up. `fact_sales_lookup` gives the same rows for
+    dimensions of any other origin.
     """
-    return _facts(_keyed(processed).join(_country_ids(countries), "country"), run_ts)
+    lines = _keyed(processed)
+    return _facts(_looked_up(lines, lines, _country_ids(countries), "country"), run_ts)
+
+
+def _looked_up(
+    lines: DataFrame, counted: DataFrame, lookup: DataFrame, key: str,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Join to a lookup; a lookup too large to be broadcast has its hot keys spread."""
+    small = is_small(lookup, max_broadcast_bytes)
+    return join_unique(lines, lookup, key, key_counts(counted, key), small)
 
 
 def fact_sales_lookup(
@@ -119,19 +136,17 @@ def fact_sales_lookup(
     products: DataFrame,
     countries: DataFrame,
     run_ts: datetime,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Facts with all four keys looked up; a line with a missing key is left out."""
-    lines = (
-        _keyed(processed)
-        .join(_country_ids(countries), "country")
-        .join(dates.select("date_id"), "date_id")
-    )
-    customers = customers.select("customer_id")
-    products = products.select(F.col("product_id").alias("stock_code"))
-    for lookup, key in ((customers, "customer_id"), (products, "stock_code")):
-        counts = key_counts(_keyed(processed), key)
-        lines = join_unique(lines, lookup, key, counts, is_small(lookup, max_broadcast_rows))
+    lines = keyed = _keyed(processed)
+    for lookup, key in (
+        (_country_ids(countries), "country"),
+        (dates.select("date_id"), "date_id"),
+        (customers.select("customer_id"), "customer_id"),
+        (products.select(F.col("product_id").alias("stock_code")), "stock_code"),
+    ):
+        lines = _looked_up(lines, keyed, lookup, key, max_broadcast_bytes)
     return _facts(lines, run_ts)
 
 
@@ -150,29 +165,37 @@ def _country_ids(countries: DataFrame) -> DataFrame:
 
 
 def _facts(lines: DataFrame, run_ts: datetime) -> DataFrame:
-    valid = F.col("is_valid") if has(lines, "is_valid") else F.lit(1)
-    rolling = F.col("rolling_7d_sales") if has(lines, "rolling_7d_sales") else F.lit(None).cast("double")
-    return lines.select(
-        # Unique, not consecutive: needs no shuffle. See number_facts.
-        (F.monotonically_increasing_id() + 1).alias("fact_id"),
+    """The fact columns; facts are numbered in line order, so the same lines get the same
+    ids whatever the partitions."""
+
+    def optional(name: str, default: Column) -> Column:
+        return F.col(name) if has(lines, name) else default
+
+    kinds = {f.name: f.dataType for f in schemas.FACT_SALES.fields}
+    measures = {
+        c: optional(c, F.lit(None).cast(kinds[c])).alias(c)
+        for c in ("quantity", "unit_price", "total_amount", "invoice_no", "rolling_7d_sales")
+    }
+    return with_dense_ids(lines, _fact_order(lines), "fact_id", "facts").select(
+        F.col("fact_id").cast("long").alias("fact_id"),
         "customer_id",
         "date_id",
         F.col("stock_code").alias("product_id"),
         "country_id",
-        "quantity",
-        "unit_price",
-        "total_amount",
-        "invoice_no",
-        rolling.alias("rolling_7d_sales"),
-        valid.alias("is_valid"),
+        *measures.values(),
+        optional("is_valid", F.lit(1)).alias("is_valid"),
         timestamp(run_ts).alias("created_at"),
     )
 
 
+def _fact_order(lines: DataFrame) -> list[Column]:
+    """By date; with all raw columns, so that it tells distinct lines apart."""
+    return [*line_order(lines), F.col("country").asc()]
+
+
 def number_lines(processed: DataFrame) -> DataFrame:
     """Dated lines with a consecutive fact_id 1, 2, 3, ... in line order."""
-    order = [*line_order(processed), F.col("country").asc()]
-    return with_dense_ids(_keyed(processed), order, "fact_id", "numbered")
+    return with_dense_ids(_keyed(processed), _fact_order(processed), "fact_id", "numbered")
 
 
 def key_checks(

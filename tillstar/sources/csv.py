@@ -14,18 +14,23 @@ MISSING_TEXTS = (
 
 
 def read_invoice_csv(
-    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = False
+    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True
 ) -> DataFrame:
     """Read invoice lines; columns are found by header name, in any order.
 
     Columns of the contract get their declared type, unreadable numbers become
     null, further columns stay text. All files of a folder must have the same
-    header; another one is an error. `multi_line` allows line breaks inside
-    quotes, at the price of one task per file.
+    header; another one is an error, and so is a row with more or fewer cells.
+    `multi_line` allows line breaks inside quotes, at the price of one task per
+    file; without it a file is divided among tasks, and a row that such a break
+    tears apart is an error.
+
+    A cell is missing if it is exactly one of MISSING_TEXTS; white space counts as
+    text.
     """
     text = spark.read.csv(
         path, header=True, enforceSchema=False, quote='"', escape='"', encoding=encoding,
-        multiLine=multi_line,
+        multiLine=multi_line, mode="FAILFAST",
     )
     return to_contract(text)
 
@@ -36,7 +41,7 @@ def to_contract(text: DataFrame) -> DataFrame:
 
     def typed(name):
         value = F.col(name)
-        value = F.when(~F.trim(value).isin(*MISSING_TEXTS), value)
+        value = F.when(~value.isin(*MISSING_TEXTS), value)
         kind = types.get(name, StringType())
         if isinstance(kind, StringType):
             return value.alias(name)

@@ -33,7 +33,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     def joined(rows, counted, lookup, stored, key):
-        # A lookup has one row per key, so it has no more rows than its stored table.
+        # A lookup has one row per key of its stored table, and no wider ones.
         return join_unique(rows, lookup, key, key_counts(counted, key), is_small(stored))
 
     customer, nation, part, orders = map(table, ("customer", "nation", "part", "orders"))

@@ -2,8 +2,8 @@
 
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillstar import schemas
 
@@ -39,28 +39,56 @@ class Layers(NamedTuple):
         return f"{getattr(self, layer)}.{table}"
 
 
+def _quoted(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _named(database: str, table: str) -> str:
+    """A table name in SQL, whatever characters it has."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in (database, table))
+
+
+def _plain(location: str) -> str:
+    """A location without the ways to write a local one."""
+    return "/" + location.removeprefix("file:").strip("/") if location.startswith(("file:", "/")) else location.rstrip("/")
+
+
 def create(spark: SparkSession, layers: Layers) -> None:
-    """Create the three databases where absent."""
+    """Create the three databases where absent. Tables that a database of the same name
+    has from another root are taken off the catalog; their files stay."""
     for layer in TABLES:
         database = getattr(layers, layer)
         location = f"{layers.root.rstrip('/')}/{database}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
+        quoted = "`" + database.replace("`", "``") + "`"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted} LOCATION {_quoted(location)}")
+        for table in spark.catalog.listTables(database):
+            if table.isTemporary:
+                continue
+            name = _named(database, table.name)
+            at = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+            if at and _plain(at.data_type) != _plain(layers.path(layer, table.name)):
+                spark.sql(f"DROP TABLE {name}")
 
 
 def write(
     df: DataFrame, layers: Layers, layer: str, table: str, if_exists: str = "replace"
 ) -> DataFrame:
-    """Write a table under its contract, if it has one, and read it back."""
+    """Write a table under its contract, if it has one, and read it back. Columns of the
+    contract that the frame does not have are left out."""
     contract = TABLES[layer].get(table)
     if contract is not None:
-        df = df.to(contract)
+        df = df.to(StructType([f for f in contract.fields if f.name in df.columns]))
     writer = df.write.mode(SAVE_MODES[if_exists]).format("parquet")
-    writer.option("path", layers.path(layer, table)).saveAsTable(layers.name(layer, table))
+    writer.option("path", layers.path(layer, table)).saveAsTable(
+        _named(getattr(layers, layer), table)
+    )
     return read(df.sparkSession, layers, layer, table)
 
 
 def read(spark: SparkSession, layers: Layers, layer: str, table: str) -> DataFrame:
-    return spark.table(layers.name(layer, table))
+    """The table below this root, whatever the catalog calls by its name."""
+    return spark.read.parquet(layers.path(layer, table))
 
 
 def attach(spark: SparkSession, layers: Layers) -> None:
@@ -69,14 +97,17 @@ def attach(spark: SparkSession, layers: Layers) -> None:
     for layer, tables in TABLES.items():
         for table in tables:
             path = layers.path(layer, table)
-            try:
-                spark.read.parquet(path)
-            except AnalysisException:
-                continue
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {layers.name(layer, table)} "
-                f"USING parquet LOCATION '{path}'"
-            )
+            if _exists(spark, path):
+                spark.sql(
+                    f"CREATE TABLE IF NOT EXISTS {_named(getattr(layers, layer), table)} "
+                    f"USING parquet LOCATION {_quoted(path)}"
+                )
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Through the cluster's own file system; a folder that cannot be read is an error."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def list_tables(spark: SparkSession, layers: Layers, layer: str) -> list[str]:
