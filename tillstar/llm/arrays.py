@@ -2,17 +2,46 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Text bytes worked on at once; one longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application: they need not have it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """`mapInArrow` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def map_slices(
     df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text"
 ) -> DataFrame:
@@ -29,7 +58,7 @@ def map_slices(
                 if columns:
                     yield pa.RecordBatch.from_pydict(columns)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:

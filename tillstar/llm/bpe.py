@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillstar.llm.arrays import map_slices, strings
+from tillstar.llm.arrays import map_arrow, map_slices, strings
 
 MAX_KNOWN = 600_000
 MAX_PAIRS = 2_000_000
@@ -293,7 +293,7 @@ def decode(tokens: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -
             texts = pa.array([bpe(path).decode(x) for x in rows], pa.string())
             yield pa.RecordBatch.from_pydict({id: batch.column(0), "text": texts})
 
-    return tokens.select(id, ids).mapInArrow(run, _id_field(tokens, id) + "text string")
+    return map_arrow(tokens.select(id, ids), run, _id_field(tokens, id) + "text string")
 
 
 def round_trip(

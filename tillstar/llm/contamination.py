@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.arrays import LOWER, Words, map_slices, strings
+from tillstar.llm.arrays import LOWER, Words, map_arrow, map_slices, strings
 
 # Words in a window; an item of fewer words is one window.
 WINDOW = 10
@@ -274,7 +274,7 @@ def judge(
         for batch in batches:
             yield pa.RecordBatch.from_pydict(digest(batch, id))
 
-    return marked.select(id, "n_words", "matches").mapInArrow(run, schema)
+    return map_arrow(marked.select(id, "n_words", "matches"), run, schema)
 
 
 def digest(batch: pa.RecordBatch, id: str) -> dict:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.arrays import map_slices, slices, strings
+from tillstar.llm.arrays import map_arrow, map_slices, slices, strings
 
 BITS = 15
 SIZE = 1 << BITS
@@ -96,7 +96,7 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
         feature = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"feature": pa.array(feature, pa.int32()), "n": counts[feature]})
 
-    counted = docs.select(text).mapInArrow(run, "feature int, n long")
+    counted = map_arrow(docs.select(text), run, "feature int, n long")
     totals = np.zeros(SIZE + 1, np.int64)
     table = counted.groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     totals[table.column("feature").to_numpy()] = table.column("n").to_numpy()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.arrays import map_slices, slices, strings
+from tillstar.llm.arrays import map_arrow, map_slices, slices, strings
 
 # Kinds in their order, and the rules of the first three.
 KINDS = ("assign", "access", "hex", "random")
@@ -140,7 +140,7 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
             {"label": pa.array(label, pa.int32()), "pair": pa.array(pair, pa.int32()), "n": counts[label, pair]}
         )
 
-    counted = docs.select(text).mapInArrow(run, "label int, pair int, n long")
+    counted = map_arrow(docs.select(text), run, "label int, pair int, n long")
     counts = np.zeros((2, SIZE * SIZE))
     for label, pair, n in counted.groupBy("label", "pair").agg(F.sum("n")).collect():
         counts[label, pair] = n

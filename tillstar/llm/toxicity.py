@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.arrays import CODES, LOWER, Words, map_slices, mix, powers, slices, strings, utf8
+from tillstar.llm.arrays import CODES, LOWER, Words, map_arrow, map_slices, mix, powers, slices, strings, utf8
 
 ROWS_PER_LABEL = 3000
 MIN_Z = 5.5
@@ -135,7 +135,7 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) ->
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"term": pa.array(at, pa.int32()), "n": found[at]})
 
-    sums = docs.select(text).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    sums = map_arrow(docs.select(text), run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     totals = np.zeros(size + 1, np.int64)
     for term, n in sums.collect():
         totals[term] = n
