@@ -128,6 +128,7 @@ segments AS (
   FROM totals, cuts
 )"""
 
+# Fixed values below: shape and default of a product category.
 PROCESSED = """
 proc AS (
   SELECT a.*,
@@ -147,6 +148,7 @@ proc AS (
                ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 )"""
 
+# Fixed values below: names and words of the regions.
 DIMS = """
 dim_customer AS (
   SELECT customer_id, customer_segment, country,
@@ -294,6 +296,7 @@ raw_amounts AS (SELECT *, quantity * unit_price AS total_amount FROM parsed)"""
 
 
 def _recommendations(table: str) -> str:
+    # Advice texts and their limits.
     return f"""
 SELECT position, recommendation FROM (
   SELECT 1 AS position,

@@ -1,4 +1,8 @@
-"""Profiles of one table: input check, statistics, summaries, quality shares."""
+"""Profiles of one table: input check, statistics, summaries, quality shares.
+
+Output names of raw_stats, processed_stats, star_stats, completeness and consistency are
+fixed values: the contract of the reports.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
