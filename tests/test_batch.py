@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import column, same_rows
 from tillstar import schemas
-from tillstar.operators import transform
+from tillstar.operators import scratch, transform
 from tillstar.operators.clean import clean
 from tillstar.plans import batch, quality, star
 from tillstar.sources import feed
@@ -116,15 +116,11 @@ def test_validation_skips_absent_tables(spark, layers, run_ts, built):
     assert row["processed_data"]["tables"] == ["processed_data"]
 
 
-def test_batch_leaves_no_scratch(spark, raw_lines, tmp_path, run_ts):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "scratch"))
-    try:
-        layers = L.Layers(str(tmp_path / "w"), "s_raw", "s_processed", "s_star")
-        batch.run(spark, raw_lines, layers, run_ts, profiles=False)
-        assert [p for p in (tmp_path / "scratch").rglob("*") if p.is_file()] == []
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_batch_leaves_no_scratch(spark, raw_lines, tmp_path, run_ts, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path / "scratch"))
+    layers = L.Layers(str(tmp_path / "w"), "s_raw", "s_processed", "s_star")
+    batch.run(spark, raw_lines, layers, run_ts, profiles=False)
+    assert [p for p in (tmp_path / "scratch").rglob("*") if p.is_file()] == []
 
 
 @pytest.mark.parametrize("kind", ["date", "timestamp"])
