@@ -266,7 +266,8 @@ def later_attempts(docs: DataFrame, key: str) -> DataFrame:
         .agg(F.min("value").alias("value")),
         "entities",
     )
-    numbered = entities.withColumn("attempt", F.lit(0))
+    # A stored table of short rows is read by few tasks; making surrogates takes many.
+    numbered = entities.repartition("kind", "entity").withColumn("attempt", F.lit(0))
     while True:
         made = canonical(surrogate(value, F.col("kind"), key, F.col("attempt")), F.col("kind"))
         tried = materialize(numbered.withColumn("made", made), "surrogates")
@@ -308,7 +309,7 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     def attempt_of(kind: Column, value: Column) -> Column:
         own = lambda a: (a["kind"] == kind) & (a["entity"] == canonical(value, kind))
         return F.when(
-            F.col("_attempts").isNotNull(), F.coalesce(F.filter("_attempts", own)[0]["attempt"], F.lit(0))
+            F.col("_attempts").isNotNull(), F.coalesce(F.get(F.filter("_attempts", own), F.lit(0))["attempt"], F.lit(0))
         ).otherwise(F.lit(0))
 
     def new(e: Column) -> Column:
