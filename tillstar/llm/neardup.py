@@ -11,7 +11,8 @@
    shingle sets. Confirmed links join classes to components.
 4. A list whose members all are in one component is done: further links would change
    nothing. In the others every member outside the list's main component meets all
-   members of other components, in blocks of bounded size, and step 3's checks follow.
+   members of other components, in blocks of bounded size; pairs that join components
+   are confirmed on the full sets, too.
 
 No pair is dropped by a cap; copies and groups that hang together are never expanded into
 all pairs. With 64 hashes and 36 matches a link of similarity 0.8 is missed with a
@@ -35,15 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.arrays import Words, map_slices, mix, strings
+from tillstar.llm.arrays import Words, map_arrow, map_slices, mix, strings
 from tillstar.operators.scratch import materialize
 
 WORDS = 5
 PERCENT = 80
 HASHES = 64
 MATCHES = 36
-# Members of a posting list that meet in one block.
+# Members of a posting list that meet in one block, and the longest list whose pairs are
+# put out instead of being compared there.
 BLOCK = 512
+SHORT_LIST = 32
 
 # A word is a run of bytes other than white space.
 IS_WORD = np.ones(256, bool)
@@ -126,20 +129,26 @@ def shingle_sets(docs: DataFrame, text: str, width: int) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(token, key): each class under the rarest (coordinate, value) pairs of its signature."""
-    tokens = classes.select("key", F.posexplode("signature").alias("place", "value")).select(
-        "key", F.xxhash64("place", "value").alias("token")
+    """(token, key): each class under the rarest (coordinate, value) pairs of its signature,
+    as far as another class is there, too."""
+    # 64 bits stand for the key on the way; should two keys share them, each just gets the
+    # postings of both.
+    short = F.xxhash64("key").alias("short")
+    tokens = classes.select(short, F.posexplode("signature").alias("place", "value")).select(
+        "short", F.xxhash64("place", "value").alias("token")
     )
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranked = tokens.join(shared, "token").groupBy("key").agg(
+    ranked = tokens.join(shared, "token").groupBy("short").agg(
         F.sort_array(F.collect_list(F.struct("n", "token"))).alias("pairs")
     )
     # Pairs that occur once come first in the order, so they use up the prefix.
     kept = F.size("pairs") - (MATCHES - 1)
     listed = ranked.where(kept > 0).select(
-        "key", F.explode(F.slice("pairs", F.lit(1), kept)).alias("pair")
+        "short", F.explode(F.slice("pairs", F.lit(1), kept)).alias("pair")
     )
-    return listed.select(F.col("pair.token").alias("token"), "key")
+    listed = materialize(listed.select(F.col("pair.token").alias("token"), "short"), "prefixes")
+    lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return listed.join(lists, "token", "left_semi").join(classes.select(short, "key"), "short").select("token", "key")
 
 
 def hub_pairs(posted: DataFrame) -> DataFrame:
@@ -177,7 +186,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b")
-    return joined.mapInArrow(run, "a binary, b binary")
+    return map_arrow(joined, run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -208,9 +217,10 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("key", "component")
 
 
-def remaining_pairs(posted: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): pairs with enough collisions that share a posting list, are in different
-    components, and have not met as hub and member."""
+def open_lists(posted: DataFrame, found: DataFrame) -> DataFrame:
+    """(token, key, component, hub, main, n, others, blocks): the members of lists that have
+    several components; `others` and `blocks` are the numbers of blocks of the members
+    outside the main component, and of all n."""
     labelled = posted.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
     sizes = labelled.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least"))
     lists = sizes.groupBy("token").agg(
@@ -220,15 +230,26 @@ def remaining_pairs(posted: DataFrame, classes: DataFrame, found: DataFrame) ->
         F.min("least").alias("hub"),
     )
     # Beside the hub, two members of different components are needed.
-    open_ = lists.where("n > 2 and n > n_main").withColumns(
+    chosen = lists.where("n > 2 and n > n_main").withColumns(
         {
             "others": F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int"),
             "blocks": F.ceil(F.col("n") / BLOCK).cast("int"),
         }
     )
-    members = labelled.join(open_.drop("n", "n_main"), "token")
+    return labelled.join(chosen.drop("n_main"), "token")
+
+
+def remaining_pairs(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of an open list that join its components.
+
+    Every member outside the main component meets all members of other components, block
+    by block. A list of at most SHORT_LIST members puts out the pairs with enough
+    collisions. In longer ones such pairs are compared on their sets, in 32 bits a shingle,
+    and a pair is only put out if it joins components of the block that no pair before it
+    did, or if it is so close to the threshold that the full sets must tell.
+    """
     draw = F.xxhash64("key")
-    columns = ("token", "key", "component", "hub")
+    columns = ("token", "key", "component", "hub", "n")
     outside = members.where("component != main").select(
         *columns,
         F.lit(True).alias("outside"),
@@ -241,19 +262,33 @@ def remaining_pairs(posted: DataFrame, classes: DataFrame, found: DataFrame) ->
         F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"),
         F.pmod(draw, "blocks").cast("int").alias("j"),
     )
-    meeting = outside.union(everyone).join(classes.select("key", "signature"), "key")
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = [
+                np.unique((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes()
+                for x in batch.column(1)
+            ]
+            columns = [batch.column(0), pa.array(short, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "short"])
+
     group = ("token", "i", "j")
-    dealt = meeting.repartition(*group).sortWithinPartitions(*group)
+    meeting = outside.union(everyone).join(classes.select("key", "signature"), "key")
+    in_long = members.where(F.col("n") > SHORT_LIST).select("key").distinct()
+    short = map_arrow(sets.join(in_long, "key", "left_semi").select("key", "members"), shorten, "key binary, short binary")
+    is_short = F.col("n") <= SHORT_LIST
+    brief = meeting.where(is_short).withColumn("short", F.lit(None).cast("binary"))
+    met = brief.unionByName(meeting.where(~is_short).join(short, "key"))
+    dealt = met.repartition(*group).sortWithinPartitions(*group)
     kind = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, group):
-            a, b = meet(rows)
+            a, b = meet(rows, percent)
             yield pa.RecordBatch.from_arrays([a, b], schema=kind)
 
-    return dealt.select(*group, "key", "component", "hub", "outside", "signature").mapInArrow(
-        run, "a binary, b binary"
-    ).distinct()
+    rows = dealt.select(*group, "key", "component", "hub", "outside", "signature", "short")
+    return map_arrow(rows, run, "a binary, b binary").distinct()
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
@@ -274,7 +309,8 @@ def whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> I
         yield rest
 
 
-def meet(rows: pa.Table) -> tuple[pa.Array, pa.Array]:
+def meet(rows: pa.Table, percent: int) -> tuple[pa.Array, pa.Array]:
+    """Pairs of one block of a list that join components."""
     rows = rows.combine_chunks()
     keys = rows.column("key").to_pylist()
     parts = rows.column("component").to_pylist()
@@ -282,23 +318,50 @@ def meet(rows: pa.Table) -> tuple[pa.Array, pa.Array]:
     outside = rows.column("outside").to_numpy()
     signature = rows.column("signature").combine_chunks()
     values = signature.flatten().to_numpy().reshape(len(keys), -1)
-    # One number per component of the group.
+    brief = rows.column("short").null_count > 0
+    short = [] if brief else [np.frombuffer(x, np.uint32) for x in rows.column("short").to_pylist()]
+    # One number per component of the block; they merge as pairs join them.
     number = {part: i for i, part in enumerate(dict.fromkeys(parts))}
     part = np.array([number[x] for x in parts])
-    every = np.flatnonzero(~outside)
+    every = np.array([i for i in np.flatnonzero(~outside) if keys[i] != hub], np.int64)
     a, b = [], []
     for i in np.flatnonzero(outside).tolist():
         if keys[i] == hub:
             continue
         others = every[part[every] != part[i]]
-        equal = (values[others] == values[i]).sum(axis=1)
-        for j in others[equal >= MATCHES].tolist():
-            if keys[j] != hub:
-                a.append(min(keys[i], keys[j]))
-                b.append(max(keys[i], keys[j]))
+        others = others[(values[others] == values[i]).sum(axis=1) >= MATCHES]
+        if not len(others):
+            continue
+        if brief:
+            a += [min(keys[i], keys[j]) for j in others]
+            b += [max(keys[i], keys[j]) for j in others]
+            continue
+        likeness, size = jaccard(short[i], [short[j] for j in others])
+        # One shingle more or less: 32 bits may make two of them one.
+        doubt = 0.001 + 2 / size
+        close = likeness > percent / 100 - doubt
+        sure = likeness > percent / 100 + doubt
+        for j, is_sure in zip(others[close].tolist(), sure[close].tolist(), strict=True):
+            if part[j] == part[i]:
+                continue
+            a.append(min(keys[i], keys[j]))
+            b.append(max(keys[i], keys[j]))
+            if is_sure:
+                part[part == part[j]] = part[i]
     return pa.array(a, pa.binary()), pa.array(b, pa.binary())
 
 
+def jaccard(one: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Similarity of a sorted set to each of several, none of them empty, and the size of
+    their unions."""
+    sizes = np.array([len(x) for x in others])
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, joined), len(one) - 1)
+    both = np.add.reduceat((one[at] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+    union = len(one) + sizes - both
+    return both / union, union
+
+
 def find(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -314,22 +377,21 @@ def find(
     )
     posted = materialize(postings(classes), "postings")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        ids = classes.join(wanted, "key", "left_semi").select(F.col("least").alias("_least"))
-        # Ids are far smaller than texts: hash them, and leave the texts unsorted.
-        rows = docs.join(ids.distinct().hint("shuffle_hash"), F.col(id).eqNullSafe(F.col("_least")), "left_semi")
-        return shingle_sets(rows, text, width).groupBy("key").agg(F.first("members").alias("members"))
-
-    def links_of(pairs: DataFrame, label: str) -> DataFrame:
-        return materialize(confirmed(pairs, sets_of(pairs), percent), label)
+    # The sets of all classes in a posting list, from their texts. Ids are far smaller than
+    # texts: hash them, and leave the texts unsorted.
+    ids = classes.join(posted.select("key").distinct(), "key", "left_semi").select(F.col("least").alias("_least"))
+    rows = docs.join(ids.distinct().hint("shuffle_hash"), F.col(id).eqNullSafe(F.col("_least")), "left_semi")
+    sets = materialize(
+        shingle_sets(rows, text, width).groupBy("key").agg(F.first("members").alias("members")), "sets"
+    )
 
     pairs = materialize(enough_collisions(hub_pairs(posted), classes), "pairs")
-    links = links_of(pairs, "links")
+    links = materialize(confirmed(pairs, sets, percent), "links")
     found = components(links)
-    more = materialize(remaining_pairs(posted, classes, found), "pairs")
-    if not more.isEmpty():
-        links = links.union(links_of(more, "links"))
+    members = materialize(open_lists(posted, found), "open-lists")
+    if not members.isEmpty():
+        more = materialize(remaining_pairs(members, classes, sets, percent), "pairs")
+        links = links.union(materialize(confirmed(more, sets, percent), "links"))
         found = components(links)
 
     labelled = classes.select("key", "least").join(found, "key")
