@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 
 from tillstar.llm.arrays import map_arrow, map_slices, strings
 
-MAX_KNOWN = 600_000
-MAX_PAIRS = 2_000_000
+MAX_KNOWN = 300_000
+MAX_PAIRS = 500_000
 
 # How the tokenizer file cuts lower-case text into words.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)

@@ -27,7 +27,7 @@ from tillstar.llm.arrays import map_slices, strings
 
 # Bytes encoded in one call, and parts that a task remembers.
 BATCH_BYTES = 256 << 10
-MAX_KNOWN = 800_000
+MAX_KNOWN = 500_000
 LIMIT = 2048
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
