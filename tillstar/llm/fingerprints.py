@@ -1,7 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A document is the set of digests of its paragraphs; a paragraph is a line, cut at sentence
-ends, so that an edit touches few of them. A sketch has 3 * width cells, and each digest
+A document is the set of digests of its paragraphs; a paragraph is a line, cut at about
+every second sentence end (by the next sentence's first letter, so that an edit moves no
+other cut), so that an edit touches few of them. A sketch has 3 * width cells, and each digest
 falls into one cell of each third. A cell holds how many digests fell into it, their XOR,
 and the XOR of their checks. Subtracting the sketches of two versions leaves the digests
 that differ; peeling recovers them: a cell with one digest gives it away, which is then
@@ -29,10 +30,11 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.scratch import materialize
 
-PARAGRAPH_END = r"\s*\n\s*|(?<=[.!?]) +"
-# Cells per third of the fingerprint, and of the sketches of groups, tried in this order.
+PARAGRAPH_END = r"\s*\n\s*|(?<=[.!?]) +(?=[^BDFHJLNPRTVXZbdfhjlnprtvxz])"
+# Cells per third of the fingerprint, and of the sketches of groups, tried in this order:
+# powers of two.
 WIDTH = 16
-GROUP_WIDTHS = (10, 40)
+GROUP_WIDTHS = (8, 32)
 GROUP = 8
 ROUNDS = 24
 
@@ -51,41 +53,50 @@ def check(digest: Column) -> Column:
     return F.hash(digest)
 
 
-def cell_of(digest: Column, third: Column, width: int) -> Column:
-    """Which cell of a third a digest falls into: other bits for each third."""
-    bits = F.when(third == 0, digest).when(third == 1, F.shiftrightunsigned(digest, 21))
-    return F.pmod(bits.otherwise(F.shiftrightunsigned(digest, 42)), F.lit(width))
+def cell_of(digest: Column, third: int, width: int) -> Column:
+    """Which cell of a third a digest falls into: other bits for each third. The width is
+    a power of two."""
+    return F.shiftrightunsigned(digest, 21 * third).bitwiseAND(F.lit(width - 1).cast("long"))
 
 
 def sketch(values: Column, width: int) -> Column:
-    """Cells (n, key, check) of a set of digests."""
-
-    def members(cell: Column) -> Column:
-        third, place = F.floor(cell / width), cell % width
-        return F.filter(values, lambda d: cell_of(d, third, width) == place)
+    """The cells (n, key, check) of a set of digests: one array for each third."""
 
     def cell(inside: Column) -> Column:
         return F.struct(
             F.size(inside).alias("n"),
-            F.aggregate(inside, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(d)).alias("key"),
-            F.aggregate(inside, F.lit(0), lambda a, d: a.bitwiseXOR(check(d))).alias("check"),
+            F.aggregate(inside, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x["digest"])).alias("key"),
+            F.aggregate(inside, F.lit(0), lambda a, x: a.bitwiseXOR(check(x["digest"]))).alias("check"),
         )
 
-    lists = F.transform(F.sequence(F.lit(0), F.lit(3 * width - 1)), members)
-    return F.transform(lists, cell)
+    def cells(third: int) -> Column:
+        def placed(digest: Column) -> Column:
+            return F.struct(cell_of(digest, third, width).alias("place"), digest.alias("digest"))
+
+        def of_third(all_placed: Column) -> Column:
+            inside = lambda place: F.filter(all_placed, lambda x: x["place"] == place)
+            return F.transform(F.transform(_places(width), inside), cell)
+
+        return F.transform(F.array(F.transform(values, placed)), of_third)[0]
+
+    return F.array(*[cells(third) for third in range(3)])
+
+
+def _places(width: int) -> Column:
+    return F.array(*[F.lit(i).cast("long") for i in range(width)])
 
 
 def subtract(a: Column, b: Column) -> Column:
     """Cells of the digests that only one of two sketches of the same width holds."""
-    return F.zip_with(
-        a,
-        b,
-        lambda x, y: F.struct(
+
+    def difference(x: Column, y: Column) -> Column:
+        return F.struct(
             (x["n"] - y["n"]).alias("n"),
             x["key"].bitwiseXOR(y["key"]).alias("key"),
             x["check"].bitwiseXOR(y["check"]).alias("check"),
-        ),
-    )
+        )
+
+    return F.zip_with(a, b, lambda x, y: F.zip_with(x, y, difference))
 
 
 _NO_DIGESTS = "array<bigint>"
@@ -98,24 +109,31 @@ def peel(cells: Column, width: int) -> Column:
         return (F.abs(c["n"]) == 1) & (check(c["key"]) == c["check"])
 
     def pure(state: Column) -> Column:
-        single = F.filter(state["cells"], is_pure)
+        single = F.filter(F.flatten(state["cells"]), is_pure)
         return F.array_distinct(F.transform(single, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n"))))
 
     def without(state: Column, taken: Column) -> Column:
-        def rest(c: Column, i: Column) -> Column:
-            third, place = F.floor(i / width), i % width
-            here = F.filter(taken, lambda t: cell_of(t["key"], third, width) == place)
-            return F.aggregate(
-                here,
-                c,
-                lambda left, t: F.struct(
-                    (left["n"] - t["n"]).alias("n"),
-                    left["key"].bitwiseXOR(t["key"]).alias("key"),
-                    left["check"].bitwiseXOR(check(t["key"])).alias("check"),
-                ),
-            )
+        def rest(third: int) -> Column:
+            def placed(t: Column) -> Column:
+                place = cell_of(t["key"], third, width).cast("int").alias("place")
+                return F.struct(place, t["key"].alias("key"), t["n"].alias("n"))
+
+            def less(c: Column, t: Column) -> Column:
+                return F.struct(
+                    (c["n"] - t["n"]).alias("n"),
+                    c["key"].bitwiseXOR(t["key"]).alias("key"),
+                    c["check"].bitwiseXOR(check(t["key"])).alias("check"),
+                )
+
+            def of_third(all_placed: Column) -> Column:
+                def one(c: Column, i: Column) -> Column:
+                    return F.aggregate(F.filter(all_placed, lambda t: t["place"] == i), c, less)
+
+                return F.transform(state["cells"][third], one)
+
+            return F.transform(F.array(F.transform(taken, placed)), of_third)[0]
 
-        return F.transform(state["cells"], rest)
+        return F.array(*[rest(third) for third in range(3)])
 
     def step(state: Column, _: Column) -> Column:
         def taken_out(taken: Column) -> Column:
@@ -136,7 +154,7 @@ def peel(cells: Column, width: int) -> Column:
         F.sequence(F.lit(1), F.lit(ROUNDS)),
         start,
         step,
-        lambda end: F.struct(end["found"].alias("found"), (~F.exists(end["cells"], left)).alias("whole")),
+        lambda end: F.struct(end["found"].alias("found"), (~F.exists(F.flatten(end["cells"]), left)).alias("whole")),
     )
 
 
@@ -151,7 +169,8 @@ def differing_in_groups(a: Column, b: Column) -> Column:
     groups = F.ceil((F.size(a) + F.size(b)) / GROUP).cast("int")
 
     def of_group(g: Column) -> Column:
-        mine = lambda values: F.filter(values, lambda d: F.pmod(F.xxhash64(d), groups) == g)
+        group_of = lambda d: F.pmod(F.shiftrightunsigned(d, 48), groups)
+        mine = lambda values: F.filter(values, lambda d: group_of(d) == g)
         pair = F.struct(mine(a).alias("a"), mine(b).alias("b"))
 
         def differing(p: Column) -> Column:
@@ -185,7 +204,7 @@ def serialized(cells: Column) -> Column:
         )
 
     # Java's line breaks every 76 characters are taken out.
-    return F.translate(F.base64(F.unhex(F.array_join(F.transform(cells, one), ""))), "\r\n", "")
+    return F.translate(F.base64(F.unhex(F.array_join(F.transform(F.flatten(cells), one), ""))), "\r\n", "")
 
 
 def with_successors(docs: DataFrame, id: str, text: str) -> DataFrame:
