@@ -89,3 +89,34 @@ def test_score_depends_on_text_only(spark):
     docs = frames.docs(spark, rows + [(10_000 + i, t) for i, t in rows])
     found = frames.by_id(toxicity.score(docs, labelled(spark, labels)), "score")
     assert all(found[i] == found[10_000 + i] for i, _ in rows)
+
+
+def test_rare_wording_has_neighbours(spark):
+    """One toxic example in words that no other has: its copy and a near copy are next to it."""
+    rows, labels = corpus()
+    ids = range(5000, 5008)
+    rare = " ".join(f"zyx{i}q" for i in range(12))
+    texts = [(i, rare.replace("zyx", f"zyx{i}")) for i in ids]
+    copies = [(i + 1000, t) for i, t in texts] + [(i + 2000, t.replace("q", "r", 3)) for i, t in texts]
+    scored = toxicity.score(frames.docs(spark, rows + texts + copies), labelled(spark, labels + [(i, 1) for i in ids]))
+    found = frames.by_id(scored, "score", "neighbours")
+    # A quarter of the labelled rows calibrates.
+    indexed = [i for i in ids if any(n.id == i for n in found[i][1])]
+    assert len(indexed) > 2
+    for i in indexed:
+        assert found[i + 1000][1][0].id == i and np.isclose(found[i + 1000][1][0].cosine, 1)
+        assert found[i + 2000][1][0].id == i and found[i + 1000][0] > found[1][0]
+
+
+def test_nearest_is_the_same_for_long_and_short_lists():
+    r = np.random.default_rng(6)
+    examples = []
+    for i in range(500):
+        term = np.unique((r.random(12) ** 3 * 300).astype(int))
+        weight = r.random(len(term)) + 0.01
+        examples.append((i, i % 2, term, weight / np.sqrt((weight**2).sum())))
+    indexes = [toxicity.BlockMaxIndex(300, examples, long_list=n) for n in (0, 20, 1000)]
+    for _, _, term, weight in examples[:100]:
+        first, *others = [x.nearest(term, weight, 7) for x in indexes]
+        for at, near in others:
+            assert at.tolist() == first[0].tolist() and np.allclose(near, first[1])

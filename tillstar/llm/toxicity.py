@@ -1,19 +1,22 @@
-"""Toxicity: nearest labelled examples by exact TF-IDF cosine, block-max inverted index.
-
-Terms are words and their first 4 to 6 bytes. From a bounded sample of labelled rows (about
-ROWS_PER_LABEL of each label, taken by a hash of the id) come the vocabulary - terms whose
-frequency differs between the labels by more than MIN_Z standard deviations - and the
-examples. Document frequencies of the vocabulary cover all documents.
-
-The examples are indexed by term, in blocks of BLOCK examples that share their main term.
-A query adds up, for every block, its weights times the terms' greatest weights in it; a
-block whose bound is below the k-th best similarity so far cannot hold a nearer example
-and is left out, so the k nearest are exact. Their votes, weighted by distance, are turned
+"""Toxicity: nearest labelled examples by label-weighted TF-IDF cosine, block-max inverted index.
+
+Terms are words and their first 4 to 6 bytes. The examples are a bounded sample of labelled
+rows (about ROWS_PER_LABEL of each label, taken by a hash of the id). Every term of them
+counts, however rare: a term's weight is its TF-IDF times how far the toxic share of the
+examples that hold it is from that of all, drawn in as if PRIOR_ROWS more held it at the
+common share. Terms of no example, or with exactly the common share, so weigh nothing, and
+norms are over the whole text. Document frequencies cover all documents.
+
+The examples are indexed by term. Terms of at most LONG_LIST examples are added up exactly.
+For the others there is each term's greatest weight in every block of BLOCK examples that
+share their main term, which bounds what they can add. An example whose bound is below the
+k-th best similarity so far cannot be nearer and is left out; the others' cosines are
+computed over all their terms, so the k nearest are exact. Their votes, weighted by distance, are turned
 into a probability by a logistic curve fitted to a quarter of the sample that is not
 indexed, with each row weighted by how many rows it was drawn for. The neighbours are the
 evidence.
 
-Defined cases: a text without a term of the vocabulary (null and empty ones, too) has no
+Defined cases: a text without a term that weighs (null and empty ones, too) has no
 neighbours and gets the share of toxic rows among such texts; without labelled rows of
 both kinds every score is the share of toxic rows, 0 if there are none; rows are scored
 one by one, whatever their ids, and repeated labels are examples each; an empty table
@@ -33,10 +36,10 @@ from pyspark.sql import functions as F
 from tillstar.llm.arrays import CODES, LOWER, Words, map_arrow, map_slices, mix, powers, slices, strings, utf8
 
 ROWS_PER_LABEL = 3000
-MIN_Z = 5.5
-MAX_TERMS = 20_000
+PRIOR_ROWS = 4
 PREFIXES = (4, 5, 6)
 BLOCK = 64
+LONG_LIST = 1024
 NEIGHBOURS = 15
 
 # A word is a run of letters a-z, digits and characters beyond ASCII.
@@ -96,8 +99,9 @@ def draw_sample(labels: DataFrame, id: str, label: str, rows_per_label: int) ->
     return kinds.where(keep).withColumn("_tested", tested), shares
 
 
-def choose_terms(examples: DataFrame, text: str) -> np.ndarray:
-    """Sorted hashes of the terms that tell the labels apart."""
+def weigh_terms(examples: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of all terms of the examples that weigh, and how far their toxic
+    shares are from the common one."""
 
     def run(batch: pa.RecordBatch) -> dict:
         row, term, _ = counted(strings(batch, text))
@@ -113,14 +117,17 @@ def choose_terms(examples: DataFrame, text: str) -> np.ndarray:
     chosen = examples.where("not _tested").select(text, "_label").dropDuplicates()
     totals = chosen.agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("toxic")).first()
     if not totals.n or not 0 < totals.toxic < totals.n:
-        return np.zeros(0, np.uint64)
-    rate = totals.toxic / totals.n
+        return np.zeros(0, np.uint64), np.zeros(0)
     sums = map_slices(chosen, run, "term long, n long, toxic long", text).groupBy("term").agg(
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic")
     )
-    z = F.abs(F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
-    best = sums.withColumn("z", z).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_TERMS)
-    return np.sort(np.array([r.term for r in best.select("term").collect()], np.int64).view(np.uint64))
+    found = sums.toArrow()
+    term, n, toxic = (found.column(i).to_numpy() for i in range(3))
+    # Whole numbers, so that a term at the common share weighs exactly nothing.
+    apart = np.abs(toxic * totals.n - n * totals.toxic)
+    term, n, apart = (x[apart > 0] for x in (term, n, apart))
+    order = np.argsort(term.view(np.uint64))
+    return term.view(np.uint64)[order], (apart / totals.n / (n + PRIOR_ROWS))[order]
 
 
 def document_frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
@@ -138,8 +145,8 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) ->
 
     sums = map_arrow(docs.select(text), run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     totals = np.zeros(size + 1, np.int64)
-    for term, n in sums.collect():
-        totals[term] = n
+    found = sums.toArrow()
+    totals[found.column(0).to_numpy()] = found.column(1).to_numpy()
     return totals[:size], int(totals[size])
 
 
@@ -151,62 +158,91 @@ class Vectors(NamedTuple):
     weight: np.ndarray
 
 
-def vectors(column: pa.Array, vocabulary: np.ndarray, idf: np.ndarray) -> Vectors:
+def vectors(column: pa.Array, vocabulary: np.ndarray, scale: np.ndarray) -> Vectors:
+    """scale: what each term's frequency in a text is multiplied by."""
     row, term, times = counted(column, vocabulary)
-    weight = (1 + np.log(np.maximum(times, 1))) * idf[term]
+    weight = (1 + np.log(np.maximum(times, 1))) * scale[term]
     norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(column)))
     return Vectors(np.searchsorted(row, np.arange(len(column) + 1)), term, weight / norm[row])
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of several ranges, and the number of the range each is of."""
+    count = end - begin
+    of = np.repeat(np.arange(len(count)), count)
+    return np.arange(len(of)) + (begin - (np.cumsum(count) - count))[of], of
+
+
 class BlockMaxIndex:
-    """Examples by term, in blocks, with each term's greatest weight in each block."""
+    """Examples by term: short lists with their weights, long ones with the greatest weight
+    in each block of examples; and terms by example."""
 
-    def __init__(self, size: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]]):
+    def __init__(
+        self, size: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]], long_list: int = LONG_LIST
+    ):
         def main(e):
             return (int(e[2][np.argmax(e[3])]), e[0])
 
         examples = sorted((e for e in examples if len(e[2])), key=main)
+        # Of one query at a time; all 0 between queries.
+        self.query = np.zeros(size)
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.labels = np.array([e[1] for e in examples], np.int64)
-        self.blocks = -(-len(examples) // BLOCK)
-        term = np.concatenate([e[2] for e in examples] or [np.zeros(0, np.int64)])
-        weight = np.concatenate([e[3] for e in examples] or [np.zeros(0)])
-        example = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order], weight[order]
-        # Postings of one term in one block lie together.
-        cell = term[order] * self.blocks + self.example // BLOCK
-        self.starts = np.searchsorted(cell, np.arange(size * self.blocks + 1))
-        self.greatest = np.zeros(size * self.blocks)
-        np.maximum.at(self.greatest, cell, self.weight)
-        self.greatest = self.greatest.reshape(size, self.blocks)
+        self.ends = np.cumsum([0] + [len(e[2]) for e in examples])
+        self.term = np.concatenate([e[2] for e in examples] or [np.zeros(0)]).astype(np.int32)
+        self.weight = np.concatenate([e[3] for e in examples] or [np.zeros(0)])
+        example = np.repeat(np.arange(len(examples), dtype=np.int32), np.diff(self.ends))
+        self.is_long = np.bincount(self.term, minlength=size) > long_list
+        long = self.is_long[self.term]
+        order = np.flatnonzero(~long)
+        order = order[np.argsort(self.term[order], kind="stable")]
+        self.list_example, self.list_weight = example[order], self.weight[order]
+        self.lists = np.searchsorted(self.term[order], np.arange(size + 1))
+        # Of the long lists, one cell for each term in each block.
+        order = np.flatnonzero(long)
+        order = order[np.argsort(self.term[order], kind="stable")]
+        term, block = self.term[order], example[order] // BLOCK
+        new = np.ones(len(order), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        self.cell_block = block[first]
+        self.greatest = np.maximum.reduceat(self.weight[order], first) if len(first) else np.zeros(0)
+        self.cells = np.searchsorted(term[first], np.arange(size + 1))
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine, ties by number, and their cosines; only
         examples that share a term."""
-        if not self.blocks or not len(term):
+        total = len(self.ids)
+        if not total or not len(term):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = weight @ self.greatest[term]
-        order = np.argsort(-bound, kind="stable")
-        first = max(1, -(-k // BLOCK)) + 1
-        example, cosine = self._score(term, weight, order[:first])
-        least = np.partition(cosine, len(cosine) - k)[len(cosine) - k] if len(cosine) >= k else 0.0
-        rest = order[first:]
-        rest = rest[(bound[rest] > 0) & (bound[rest] >= least - 1e-12)]
-        if len(rest):
-            more, also = self._score(term, weight, rest)
-            example, cosine = np.concatenate([example, more]), np.concatenate([cosine, also])
+        long = self.is_long[term]
+        short, long = term[~long], term[long]
+        at, of = _ranges(self.lists[short], self.lists[short + 1])
+        bound = np.bincount(
+            self.list_example[at], weights=self.list_weight[at] * weight[~self.is_long[term]][of], minlength=total
+        )
+        at, of = _ranges(self.cells[long], self.cells[long + 1])
+        blocks = np.bincount(
+            self.cell_block[at], weights=self.greatest[at] * weight[self.is_long[term]][of], minlength=-(-total // BLOCK)
+        )
+        bound = bound + np.repeat(blocks, BLOCK)[:total]
+        query = self.query
+        query[term] = weight
+        some = np.argpartition(-bound, k - 1)[:k] if total > k else np.arange(total)
+        cosine = self._cosines(query, some)
+        least = cosine.min() if len(cosine) >= k else 0.0
+        may = (bound > 0) & (bound >= least - 1e-12)
+        may[some] = False
+        rest = np.flatnonzero(may)
+        example, cosine = np.concatenate([some, rest]), np.concatenate([cosine, self._cosines(query, rest)])
+        query[term] = 0
+        example, cosine = example[cosine > 0], cosine[cosine > 0]
         best = np.lexsort((example, -np.round(cosine, 12)))[:k]
         return example[best], cosine[best]
 
-    def _score(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cells = (term[:, None] * self.blocks + blocks[None, :]).ravel()
-        begin, count = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
-        total = int(count.sum())
-        at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(total)
-        of = np.repeat(np.repeat(weight, len(blocks)), count)
-        example, place = np.unique(self.example[at], return_inverse=True)
-        return example, np.bincount(place, weights=of * self.weight[at], minlength=len(example))
+    def _cosines(self, query: np.ndarray, examples: np.ndarray) -> np.ndarray:
+        at, of = _ranges(self.ends[examples], self.ends[examples + 1])
+        return np.bincount(of, weights=query[self.term[at]] * self.weight[at], minlength=len(examples))
 
 
 def vote(cosine: np.ndarray, label: np.ndarray) -> float:
@@ -218,7 +254,7 @@ def vote(cosine: np.ndarray, label: np.ndarray) -> float:
 
 class Model(NamedTuple):
     vocabulary: np.ndarray
-    idf: np.ndarray
+    scale: np.ndarray
     index: BlockMaxIndex
     curve: tuple[float, float]
     without: float  # score of a text without neighbours
@@ -254,26 +290,31 @@ def learn(
     sample, shares = draw_sample(labels, id, label, rows_per_label)
     # The sample is bounded by 2 * rows_per_label expected rows.
     examples = docs.select(id, text).join(F.broadcast(sample), id)
-    vocabulary = choose_terms(examples, text)
+    vocabulary, apart = weigh_terms(examples, text)
     frequency, total = document_frequencies(docs, text, vocabulary)
-    idf = np.log((1 + total) / (1 + frequency)) + 1
+    scale = (np.log((1 + total) / (1 + frequency)) + 1) * apart
 
     def run(batch: pa.RecordBatch) -> dict:
-        found = vectors(strings(batch, text), vocabulary, idf)
+        found = vectors(strings(batch, text), vocabulary, scale)
         return {
             "id": batch.column(0),
             "label": batch.column(2),
             "tested": batch.column(3),
-            "term": pa.ListArray.from_arrays(pa.array(found.offsets, pa.int32()), pa.array(found.term, pa.int64())),
+            "term": pa.ListArray.from_arrays(pa.array(found.offsets, pa.int32()), pa.array(found.term, pa.int32())),
             "weight": pa.ListArray.from_arrays(pa.array(found.offsets, pa.int32()), pa.array(found.weight, pa.float64())),
         }
 
     chosen = examples.select(F.col(id).cast("long").alias("id"), text, "_label", "_tested")
-    rows = map_slices(
-        chosen, run, "id long, label int, tested boolean, term array<long>, weight array<double>", text
-    ).collect()
+    found = map_slices(
+        chosen, run, "id long, label int, tested boolean, term array<int>, weight array<double>", text
+    ).toArrow()
     rows = sorted(
-        ((r.id, r.label, r.tested, np.array(r.term, np.int64), np.array(r.weight, float)) for r in rows),
+        (
+            (i, y, tested, t.values.to_numpy(), w.values.to_numpy())
+            for i, y, tested, t, w in zip(
+                *(found.column(c).to_pylist() for c in ("id", "label", "tested")), found["term"], found["weight"], strict=True
+            )
+        ),
         key=lambda r: (r[0], r[1]),
     )
     index = BlockMaxIndex(len(vocabulary), [(i, y, t, w) for i, y, tested, t, w in rows if not tested])
@@ -295,7 +336,7 @@ def learn(
     if value:
         scaled = np.array(weight) / np.mean(weight)
         curve = fit_curve(np.array(value), np.array(truth), scaled)
-    return Model(vocabulary, idf, index, curve, without)
+    return Model(vocabulary, scale, index, curve, without)
 
 
 def score(
@@ -314,7 +355,7 @@ def score(
     model = learn(docs, labels, id, text, label, rows_per_label)
 
     def run(batch: pa.RecordBatch) -> dict:
-        found = vectors(strings(batch, text), model.vocabulary, model.idf)
+        found = vectors(strings(batch, text), model.vocabulary, model.scale)
         scores, ids, near, toxic, ends = [], [], [], [], [0]
         for a, b in zip(found.offsets[:-1], found.offsets[1:], strict=True):
             at, cosine = model.index.nearest(found.term[a:b], found.weight[a:b], k)
