@@ -81,3 +81,13 @@ def test_peeling_fails_when_overfull_and_groups_answer(spark):
 def test_no_python_in_the_plan(spark):
     plan = fingerprints.edits(frames.docs(spark, frames.AWKWARD))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
+
+
+def test_edits_leave_the_other_sentences_and_parts_of_long_lines(spark):
+    """Sentences that all begin with T, and a line without a sentence end."""
+    sentences = " ".join(f"The number {i} stands here." for i in range(30))
+    line = " ".join(chr(97 + i * 7 % 26) + w for i, w in enumerate(frames.random_words(1, 600, 10**6)))
+    rows = [(2, sentences), (1, line), (0, "other")]
+    found = frames.by_id(fingerprints.edits(frames.docs(spark, rows)), *COLUMNS)
+    check(rows, found)
+    assert found[2][2] > 0.3 and found[1][2] > 0.4

@@ -1,8 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A document is the set of digests of its paragraphs; a paragraph is a line, cut at about
-every second sentence end (by the next sentence's first letter, so that an edit moves no
-other cut), so that an edit touches few of them. A sketch has 3 * width cells, and each digest
+A document is the set of digests of its paragraphs; a paragraph is a line, cut at sentence
+ends, and from the LONG-th character after one also before words that begin with one of
+LONG_CUTS, so that an edit touches few of them and moves no far cut. A sketch has 3 * width cells, and each digest
 falls into one cell of each third. A cell holds how many digests fell into it, their XOR,
 and the XOR of their checks. Subtracting the sketches of two versions leaves the digests
 that differ; peeling recovers them: a cell with one digest gives it away, which is then
@@ -18,7 +18,7 @@ moves rows.
 
 Defined cases: a null text is an empty one; an empty text has no digests, and two of them
 are alike (1.0); texts that differ in white space between paragraphs only have one
-fingerprint; an only document is its own successor; documents that repeat an id follow
+fingerprint; a long run without a word that LONG_CUTS begin is one paragraph; an only document is its own successor; documents that repeat an id follow
 each other in the order of their text's hash; documents without an id come last; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -30,7 +30,10 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.scratch import materialize
 
-PARAGRAPH_END = r"\s*\n\s*|(?<=[.!?]) +(?=[^BDFHJLNPRTVXZbdfhjlnprtvxz])"
+LONG = 120
+# About one word in eight; Latin, Greek, Cyrillic, digits.
+LONG_CUTS = "FMVWfmvwΜΚμκБЗМбзм37"
+PARAGRAPH_END = rf"\s*\n\s*|(?<=[.!?]) +| (?=[{LONG_CUTS}])(?<=[^.!?\n]{{{LONG}}} )"
 # Cells per third of the fingerprint, and of the sketches of groups, tried in this order:
 # powers of two.
 WIDTH = 16
