@@ -88,3 +88,27 @@ def test_no_python_in_the_plan(spark):
 @pytest.mark.parametrize("url,host", [("http://u@H:80/x", "u@h:80"), ("http:///x", "")])
 def test_odd_hosts(spark, url, host):
     assert judged(spark, [(1, url, None)])[1][0] == host
+
+
+def test_distrust_reaches_the_far_end_of_a_chain(spark):
+    """Further than the number of steps, and below any fixed number of decimals."""
+    n = 3 * urls.STEPS
+    rows = [(0, "http://bad.com/de/", "")]
+    names = ["bad.com"] + [f"h{i}.net" for i in range(1, n)]
+    rows += [(i, f"http://{names[i]}/x", link(names[i - 1])) for i in range(1, n)]
+    assert {r[3] for r in judged(spark, rows).values()} == {"block"}
+
+
+def test_small_scores_count(spark):
+    """One blocked page of a thousand million, shared by thousands of hosts that link to it."""
+    hosts = spark.createDataFrame(
+        [("big", 0, 10**9), ("bad", 0, 1)] + [(f"h{i}", 0, 0) for i in range(3000)],
+        "host string, allowed long, blocked long",
+    )
+    far = [(f"g{i}", f"h{i}", 1.0) for i in range(3000)]
+    edges = spark.createDataFrame(
+        [(f"h{i}", "bad", 1.0) for i in range(3000)] + far + [("f", "g0", 1.0), ("f", "e", 10.0**9)] + [("z", "g0", 10.0**9)],
+        "source string, target string, n double",
+    )
+    scores = {r.host: r for r in urls.host_scores(hosts, edges).collect()}
+    assert 0 < scores["f"].distrust < 1e-15 and scores["f"].trust == 0

@@ -3,7 +3,8 @@
 A page whose url a rule fits gets the longest rule's verdict. The others get their host's:
 trust is a personalised PageRank from hosts with allowed pages along the edges, distrust
 one from hosts with blocked pages against them, and a host is blocked if distrust is more
-than BLOCK_ABOVE of both. A host that neither reaches is allowed.
+than BLOCK_ABOVE of both. STEPS steps are taken, and more as long as they reach hosts, so
+that every host that a path leads to is scored. A host that neither reaches is allowed.
 
 Edges are the links between pages of different hosts, weighted by pages that hold them,
 and one edge each way between a host and the domain above it, down to two labels.
@@ -49,6 +50,8 @@ LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 DAMPING = 0.85
 STEPS = 8
 BLOCK_ABOVE = 0.75
+# No score of a host that is reached falls below this.
+LEAST = 1e-300
 # Steps whose plan is run as one.
 _AT_ONCE = 4
 _DIGITS = 15
@@ -97,7 +100,7 @@ def domain_edges(hosts: DataFrame) -> DataFrame:
 
 
 def host_scores(hosts: DataFrame, edges: DataFrame) -> DataFrame:
-    """(host, trust, distrust) after STEPS steps.
+    """(host, trust, distrust) after STEPS steps, or as many more as reach further hosts.
 
     hosts: (host, allowed, blocked), numbers of pages; edges: (source, target, n).
     """
@@ -123,17 +126,28 @@ def host_scores(hosts: DataFrame, edges: DataFrame) -> DataFrame:
     seeds = materialize(seeds, "host-seeds")
     home = seeds.withColumn("score", F.col("score") * F.lit(1 - DAMPING))
     scores = seeds
-    for step in range(1, STEPS + 1):
-        moved = scores.join(graph, ["kind", "host"]).select(
-            F.col("next").alias("host"), "kind", (F.col("score") * F.col("share") * DAMPING).alias("score")
-        )
-        scores = home.union(moved).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        if step % _AT_ONCE == 0:
-            scores = materialize(scores, "host-scores")
-    of = lambda kind: F.coalesce(F.round(F.sum(F.when(F.col("kind") == kind, F.col("score"))), _DIGITS), F.lit(0.0))
+    # Seeds come in at every step, so a host once reached stays so.
+    step = 0
+    while step < STEPS or _reaches_more(scores, graph):
+        for _ in range(_AT_ONCE):
+            moved = scores.join(graph, ["kind", "host"]).select(
+                F.col("next").alias("host"),
+                "kind",
+                F.greatest(F.col("score") * F.col("share") * DAMPING, F.lit(LEAST)).alias("score"),
+            )
+            scores = home.union(moved).groupBy("host", "kind").agg(F.sum("score").alias("score"))
+        step += _AT_ONCE
+        scores = materialize(scores, "host-scores")
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
     return scores.groupBy("host").agg(of(0).alias("trust"), of(1).alias("distrust"))
 
 
+def _reaches_more(scores: DataFrame, graph: DataFrame) -> bool:
+    """Whether an edge leads from a host with a score to one without."""
+    reached = scores.join(graph, ["kind", "host"]).select(F.col("next").alias("host"), "kind")
+    return not reached.join(scores, ["host", "kind"], "left_anti").isEmpty()
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, id: str = "page_id") -> DataFrame:
     """One row per page: id, host, path, rule (that fits, else null), verdict."""
     parsed = pages.select(
@@ -151,9 +165,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, id: str = "page_id")
     named = hosts.select("host").union(links.select("target")).distinct()
     edges = links.union(domain_edges(named)).groupBy("source", "target").agg(F.sum("n").alias("n"))
     scores = host_scores(hosts, edges)
-    blocked = scores.where(
-        F.col("distrust") > F.lit(BLOCK_ABOVE) * (F.col("trust") + F.col("distrust"))
-    ).select("host", F.lit("block").alias("by_host"))
+    # The share is rounded, as scores have no least size.
+    share = F.round(F.col("distrust") / (F.col("trust") + F.col("distrust")), _DIGITS)
+    blocked = scores.where(share > BLOCK_ABOVE).select("host", F.lit("block").alias("by_host"))
     verdict = F.coalesce("by_rule", "by_host", F.lit("allow"))
     return ruled.join(blocked, "host", "left").select(id, "host", "path", "rule", verdict.alias("verdict"))
 
