@@ -1,0 +1,135 @@
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tillstar.llm import vectors
+
+EXTRA = "label int, key string, short long, n long, bucket long, component_id string, _vector int"
+
+
+def frame(spark, rows, kind="float"):
+    full = [(i, v, 1, "k", 2, 3, 4, "c", 5) for i, v in rows]
+    return spark.createDataFrame(full, f"vec_id long, embedding array<{kind}>, {EXTRA}")
+
+
+def expected(rows, cosine=0.95):
+    """Rows as the operator returns them, by comparing all pairs."""
+    good = []
+    for place, (_, v) in enumerate(rows):
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            x = np.array(v, float) / max(map(abs, v))
+            good.append((place, x / np.sqrt((x * x).sum())))
+    parent, links = list(range(len(rows))), [0] * len(rows)
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, x) in enumerate(good):
+        for j, y in good[:a]:
+            if len(x) == len(y) and x @ y >= cosine:
+                links[i] += 1
+                links[j] += 1
+                parent[top(i)] = top(j)
+    names = defaultdict(list)
+    for i, (vec_id, _) in enumerate(rows):
+        names[top(i)].append(vec_id)
+    out = []
+    for i, (vec_id, _) in enumerate(rows):
+        component = min((x for x in names[top(i)] if x is not None), default=None)
+        out.append((vec_id, links[i], component, vec_id == component))
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, **kind):
+    return sorted(map(tuple, vectors.find(frame(spark, rows, **kind)).collect()), key=repr)
+
+
+def noisy(draw, base, angle):
+    """A unit vector at the given angle to `base`."""
+    side = draw.standard_normal(len(base))
+    side -= (side @ base) * base
+    return math.cos(angle) * base + math.sin(angle) * side / np.linalg.norm(side)
+
+
+def planted(seed=1, size=64):
+    """Strangers, copies, a dense family, a chain, and pairs of cosines 0.90 to 0.999."""
+    draw = np.random.default_rng(seed)
+
+    def base():
+        v = draw.standard_normal(size)
+        return v / np.linalg.norm(v)
+
+    rows = [base() for _ in range(300)]
+    one = base()
+    rows += [one] * 60
+    hub = base()
+    rows += [noisy(draw, hub, 0.08) for _ in range(150)]
+    link = base()
+    for _ in range(30):
+        rows.append(link)
+        link = noisy(draw, link, 0.1)
+    for angle in np.linspace(0.05, 0.45, 100):
+        v = base()
+        rows += [v, noisy(draw, v, angle)]
+    order = draw.permutation(len(rows))
+    return [(int(i) * 3, [float(np.float32(x)) for x in rows[i]]) for i in order]
+
+
+@pytest.mark.parametrize("block", [8192, 16])
+def test_finds_planted_links(spark, monkeypatch, block):
+    if block == 16:
+        # All sampled: many buckets are large and are cut into blocks.
+        monkeypatch.setattr(vectors, "BLOCK", 16)
+        monkeypatch.setattr(vectors, "SAMPLE", 1)
+    rows = planted()
+    exact = {r[0]: r for r in expected(rows)}
+    ours = {r[0]: r for r in found(spark, rows)}
+    assert ours.keys() == exact.keys()
+    assert all(ours[i][1] <= exact[i][1] for i in exact)
+    total = sum(r[1] for r in exact.values())
+    assert sum(r[1] for r in ours.values()) >= 0.97 * total
+    same = sum(ours[i][2:] == exact[i][2:] for i in exact)
+    assert same >= 0.98 * len(exact)
+    # Copies and strangers need no luck.
+    copies = [i for i in exact if exact[i][1] == 59]
+    assert len(copies) == 60
+    assert all(ours[i] == exact[i] for i in exact if i in copies or exact[i][1] == 0)
+
+
+def test_recall_at_the_threshold():
+    draw = np.random.default_rng(5)
+    a = vectors.unit(draw.standard_normal((4000, 64)))[0]
+    b = np.array([noisy(draw, v, math.acos(0.95)) for v in a])
+    shared = (vectors.buckets(a) == vectors.buckets(b)).any(axis=1)
+    other = np.bitwise_count((vectors.sign_bits(a) ^ vectors.sign_bits(b)).view(np.uint64))
+    assert shared.mean() > 0.9
+    assert other.max() <= vectors.NEAR_SIGNS
+    strangers = (vectors.buckets(a) == vectors.buckets(a[::-1])).any(axis=1)
+    assert strangers.mean() < 0.01
+
+
+def test_buckets_do_not_depend_on_the_slice():
+    units = vectors.unit(np.random.default_rng(2).standard_normal((500, 64)))[0]
+    alone = np.concatenate([vectors.buckets(units[i : i + 1]) for i in range(500)])
+    assert (alone == vectors.buckets(units)).all()
+
+
+AWKWARD = [
+    (1, None), (2, []), (3, [0.0] * 8), (4, [1.0, None] * 4), (5, [math.nan] + [1.0] * 7), (6, [math.inf] * 8),
+    (7, [1.0] * 8), (8, [2.0] * 8), (9, [1.0] * 8), (None, [1.0] * 8), (None, None), (7, [1.0] * 8), (10, [1.0] * 4),
+    (11, [-1.0] * 8), (12, [5.0]), (13, [3.0]), (None, [1.0, -1.0] * 4), (14, [0.0, 0.0, 1.0]), (15, [-0.0, 0.0, 1.0]),
+]
+
+
+def test_awkward_vectors(spark):
+    assert found(spark, AWKWARD) == expected(AWKWARD)
+    assert found(spark, []) == []
+
+
+def test_huge_and_tiny_components(spark):
+    rows = [(1, [1e300, 1e300]), (2, [1e-300, 1e-300]), (3, [1e300, -1e300]), (4, [5e-324, 5e-324])]
+    assert found(spark, rows, kind="double") == expected(rows)

@@ -1,4 +1,4 @@
-"""Registered queries over the whole text tables: op1 to op10 and the pipeline.
+"""Registered queries over the whole text tables: op1 to op13 and the pipeline.
 
 Each applies one operator of this package with production parameters to all rows and
 derives the contract's columns from its result.
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, secrets, tokens, toxicity, urls
+from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, secrets, tokens, toxicity, urls, vectors
 
 TOKENIZER = "word_bpe_49k.json"
 # Of the registered query only; a real run passes a secret of its own.
@@ -80,6 +80,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.find(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontaminate": op10_decontaminate,
+    "op13_vector_duplicates": op13_vector_duplicates,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op1_url_filter": urls.oracle()}
