@@ -1,0 +1,135 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm import frames
+from tillstar.llm import queries, spelling
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def misspelt(doc_id, run):
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+    return run if h % 31 else run[: h % len(run)] + run[h % len(run) + 1 :]
+
+
+def words_of(rows):
+    runs = ((i, r.translate(LOWER)) for i, text, *_ in rows for r in RUN.findall(text or ""))
+    counts = Counter(misspelt(i, r) for i, r in runs)
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def grouped(words):
+    """Rows as the operator returns them, from every word with one letter left out."""
+    near = defaultdict(set)
+    holes = defaultdict(list)
+    for w in words:
+        for k in range(len(w)):
+            rest = w[:k] + w[k + 1 :]
+            if rest in words:
+                near[w].add(rest)
+                near[rest].add(w)
+            holes[k, w[:k], w[k + 1 :]].append(w)
+    for same in holes.values():
+        for w in same:
+            near[w].update(x for x in same if x != w)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        if best and words[best] >= 10 * n:
+            form[w] = best
+    out = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), words.get(form.get(w))))
+    return sorted(out, key=repr)
+
+
+def found(spark, words, **options):
+    table = spark.createDataFrame(list(words.items()), "word string, n long")
+    return sorted(map(tuple, spelling.group(table, **options).collect()), key=repr)
+
+
+def alike(seed=3, families=60):
+    """Families of words one to three edits apart, some far more frequent than others."""
+    r = random.Random(seed)
+    letters = "abcdeéÿÀz"
+    words = {}
+    for _ in range(families):
+        base = "".join(r.choice(letters) for _ in range(r.randrange(7, 14)))
+        words[base] = r.choice([5, 300, 40_000])
+        for _ in range(r.randrange(12)):
+            w = base
+            for _ in range(r.randrange(1, 4)):
+                k = r.randrange(len(w) + 1)
+                w = r.choice([w[:k] + r.choice(letters) + w[k:], w[:k] + w[k + 1 :], w[:k] + r.choice(letters) + w[k + 1 :]])
+            if len(w) >= 7:
+                words.setdefault(w, r.choice([2, 30, 3000]))
+    # Repeated letters, and words that many others hang on.
+    for k in range(7, 20):
+        words["a" * k] = 2 + k
+    words |= {"mainword": 10**6, **{f"mainwor{c}": 50 for c in letters if c != "d"}}
+    return words
+
+
+@pytest.mark.parametrize("grams,block", [(65_536, 8192), (40, 8192), (300, 40)])
+def test_equals_brute_force(spark, monkeypatch, grams, block):
+    monkeypatch.setattr(spelling, "GRAMS", grams)
+    if block == 40:
+        monkeypatch.setattr(spelling, "BLOCK", 8)
+        monkeypatch.setattr(spelling, "SAMPLE", 1)
+    words = alike()
+    result = found(spark, words)
+    assert result == grouped(words)
+    assert sum(r[1] is not None for r in result) > 50
+    assert any(r[2] != r[1] and r[1] is not None for r in result)
+
+
+def test_query_on_documents(spark, monkeypatch):
+    rows = frames.sample("sf0.01", limit=300)
+    docs = frames.docs(spark, rows)
+    result = sorted(map(tuple, queries.misspelt_variants(docs).collect()), key=repr)
+    assert result == grouped(words_of(rows))
+    assert len(result) > 1000
+
+
+def test_awkward_texts(spark):
+    rows = frames.AWKWARD + [(20, "Écoutez ÉCOUTEZ écoutez Longword longword LONGWORD longwood longwood"), (21, "y" * 50_000), (21, "y" * 50_000), (None, "y" * 49_999 + " " + "y" * 49_999)]
+    result = sorted(map(tuple, queries.misspelt_variants(frames.docs(spark, rows)).collect()), key=repr)
+    assert result == grouped(words_of(rows))
+    assert found(spark, {}) == []
+
+
+def test_letters_and_short_words_are_checked(spark):
+    with pytest.raises(ValueError, match="5 letters"):
+        found(spark, {"word": 3})
+    with pytest.raises(ValueError, match="U\\+00FF"):
+        spelling.Marked(pa.array(["wordzż"]))
+
+
+def test_bound_holds_for_every_edit():
+    """All grams but the bound are found again after any edit, at most one place further."""
+    words = sorted(alike(7, 40))
+    r = random.Random(1)
+    every = Counter(("^" + w + "$")[p : p + q] for w in words for p in range(len(w) + 1) for q in range(2, 6))
+    coded = {g: int.from_bytes(bytes([len(g)]) + g.encode("latin-1")) for g, n in every.items() if n > 6 and len(g) > 1}
+    codes = np.array(sorted(coded.values()), np.uint64)
+    lists = spelling.Lists(codes, np.full(len(codes), 7))
+    for w in r.sample(words, 60):
+        k = r.randrange(len(w))
+        for edited in (w[:k] + w[k + 1 :], w[:k] + "q" + w[k:], w[:k] + "q" + w[k + 1 :]):
+            both = spelling.Marked(pa.array([w, edited]))
+            word, place, code, length = lists.grams(both)
+            bound = lists.bounds(both, word, place, length)[0]
+            shifts = (0, -1) if len(edited) < len(w) else (0, 1) if len(edited) > len(w) else (0,)
+            theirs = {(c, p) for i, p, c in zip(word, place, code) if i == 1}
+            again = sum(any((c, p + s) in theirs for s in shifts) for i, p, c in zip(word, place, code) if i == 0)
+            assert again >= (word == 0).sum() - bound > 0

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, secrets, tokens, toxicity, urls, vectors
+from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, secrets, spelling, tokens, toxicity, urls, vectors
 
 TOKENIZER = "word_bpe_49k.json"
 # Of the registered query only; a real run passes a secret of its own.
@@ -80,6 +80,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misspelt_variants(docs: DataFrame) -> DataFrame:
+    """Groups of the contract's words: a run loses a letter where 31 divides the crc32 of its
+    document's id (none: the empty text) and itself."""
+    run = F.col("run")
+    named = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), run)
+    h = F.crc32(named.cast("binary"))
+    cut = F.pmod(h, F.length(run)).cast("int")
+    shorter = F.concat(F.substr(run, F.lit(1), cut), F.substr(run, cut + 2))
+    changed = F.when(F.pmod(h, F.lit(31)) == 0, shorter).otherwise(run)
+    return spelling.variants(spelling.runs(docs).select(changed.alias("run")))
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return misspelt_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.find(_table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_vector_duplicates": op13_vector_duplicates,
     "pipeline": corpus_pipeline.run,
 }
