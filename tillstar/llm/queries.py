@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, secrets, spelling, tokens, toxicity, urls, vectors
+from tillstar.llm import bpe, contamination, fingerprints, language, neardup, privacy, ranking, secrets, spelling, tokens, toxicity, urls, vectors
 
 TOKENIZER = "word_bpe_49k.json"
 # Of the registered query only; a real run passes a secret of its own.
@@ -96,6 +96,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return misspelt_variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.find(_table(spark, sf_dir, "embeddings"))
 
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontaminate": op10_decontaminate,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_ranked_search": op12_ranked_search,
     "op13_vector_duplicates": op13_vector_duplicates,
     "pipeline": corpus_pipeline.run,
 }
