@@ -120,4 +120,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_vector_duplicates": op13_vector_duplicates,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op1_url_filter": urls.oracle()}
+# The words of `misspelt_variants`: crc32 by its table of bytes, made by eight shifts each.
+_MISSPELT_WORDS = r"""
+    WITH RECURSIVE bytes AS (SELECT list(code ORDER BY i) AS codes FROM (
+        SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS code
+        FROM range(256) t(i))),
+    runs AS (SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+        FROM documents) GROUP BY doc_id, run),
+    coded AS (SELECT run, n, codes, flatten(list_transform(
+        string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+        lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                  ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END)) AS b
+        FROM runs, bytes),
+    hashed AS (SELECT run, n, xor(list_reduce([4294967295] || b,
+        lambda c, x: xor(c >> 8, codes[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM coded),
+    words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                     ELSE run END AS word FROM (SELECT run, h, unnest(range(n)) FROM hashed))
+"""
+ORACLES: dict[str, str] = {
+    "op1_url_filter": urls.oracle(),
+    "op11_spelling_variants": spelling.oracle(_MISSPELT_WORDS),
+    "op12_ranked_search": ranking.oracle(),
+    "op13_vector_duplicates": vectors.oracle(),
+}

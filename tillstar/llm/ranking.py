@@ -359,3 +359,30 @@ def _ranked(
     # Names of one block of items.
     named = first.join(F.broadcast(names), "item")
     return materialize(named.select("item_id", "rank", F.col("id").alias("doc_id"), "score"), "ranks")
+
+
+def oracle() -> str:
+    """SQL for `rank` over `documents` and `benchmark`, scoring everything."""
+    found = (
+        "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {found} AS terms FROM documents WHERE text IS NOT NULL),
+    sized AS (SELECT r, doc_id, terms, len(terms) AS n FROM docs WHERE len(terms) > 0),
+    total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+    tf AS (SELECT r, doc_id, n, term, count(*) AS tf
+           FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM sized) GROUP BY r, doc_id, n, term),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+          FROM tf, total GROUP BY term, docs),
+    wanted AS (SELECT item_id, text, term, count(*) AS c
+               FROM (SELECT item_id, text, unnest({found}) AS term
+                     FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, text, term),
+    scored AS (SELECT item_id, text, r, doc_id, CAST(sum(
+                   c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total.terms)))) AS BIGINT) AS score
+               FROM wanted JOIN w USING (term) JOIN tf USING (term), total GROUP BY item_id, text, r, doc_id),
+    ranked AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (
+                   PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank
+               FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {K}
+    """

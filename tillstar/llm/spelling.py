@@ -446,3 +446,29 @@ def group(words: DataFrame, factor: int = FACTOR) -> DataFrame:
 def variants(words: DataFrame, word: str = "run") -> DataFrame:
     """Words counted, stored and grouped."""
     return group(materialize(count_words(words, word), "words"))
+
+
+def oracle(runs: str) -> str:
+    """SQL for `variants` of the table `words(word)` that `runs` defines, by all pairs of words
+    that are equal but for one letter."""
+    return f"""
+    {runs},
+    counted AS (SELECT word, count(*) AS n FROM words WHERE length(word) >= {LEAST_LENGTH}
+                GROUP BY word HAVING count(*) >= {LEAST_COUNT}),
+    holes AS (SELECT word, n, k, substr(word, 1, k) AS head, substr(word, k + 2) AS tail
+              FROM (SELECT word, n, unnest(range(length(word))) AS k FROM counted)),
+    shorter AS (SELECT DISTINCT word, n, head || tail AS rest FROM holes),
+    near AS (SELECT a.word, b.word AS near, b.n FROM holes a JOIN holes b USING (k, head, tail) WHERE a.word <> b.word
+             UNION ALL SELECT s.word, c.word, c.n FROM shorter s JOIN counted c ON s.rest = c.word
+             UNION ALL SELECT c.word, s.word, s.n FROM shorter s JOIN counted c ON s.rest = c.word),
+    best AS (SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word),
+    forms AS (SELECT b.word, min(near.near) AS form, b.most AS form_n FROM best b
+              JOIN counted c ON c.word = b.word AND b.most >= {FACTOR} * c.n
+              JOIN near ON near.word = b.word AND near.n = b.most GROUP BY b.word, b.most),
+    paths(word, root, steps) AS (SELECT word, form, 1 FROM forms
+        UNION ALL SELECT paths.word, forms.form, steps + 1 FROM paths JOIN forms ON paths.root = forms.word),
+    roots AS (SELECT word, arg_max(root, steps) AS root FROM paths GROUP BY word)
+    SELECT c.word, form, coalesce(root, c.word) AS root, c.n, coalesce(n_near, 0) AS n_near, form_n
+    FROM counted c LEFT JOIN best ON best.word = c.word LEFT JOIN forms ON forms.word = c.word
+    LEFT JOIN roots ON roots.word = c.word
+    """

@@ -389,3 +389,21 @@ def find(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", cosine:
         component.alias("component_id"),
         F.col(id).eqNullSafe(component).alias("kept"),
     )
+
+
+def oracle() -> str:
+    """SQL for `find` over `embeddings`, comparing all pairs. Hashing finds the same links
+    except with the chance that the module states."""
+    return f"""
+    WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    good AS (SELECT r, vec_id, v FROM rows WHERE len(v) > 0 AND list_count(v) = len(v)
+             AND len(list_filter(v, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    links AS (SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.v) = len(b.v)
+              WHERE list_cosine_similarity(a.v, b.v) >= {COSINE}),
+    reached(a, b) AS (SELECT r, r FROM rows UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+    parts AS (SELECT reached.a AS r, min(rows.vec_id) AS component_id
+              FROM reached JOIN rows ON rows.r = reached.b GROUP BY reached.a),
+    counts AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+    FROM rows JOIN parts USING (r) LEFT JOIN counts USING (r)
+    """
