@@ -18,7 +18,7 @@ TABLES = (
 # Spark type -> DuckDB type a result column must have.
 TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
 }
 
 
@@ -71,7 +71,7 @@ if __name__ == "__main__":
     queries, oracles = entry.queries(), entry.oracle_sql()
     print("without oracle:", sorted(set(queries) - set(oracles)), sorted(set(oracles) - set(queries)))
     for name, query in queries.items():
-        if wanted and name not in wanted:
+        if name not in oracles or wanted and name not in wanted:
             continue
         start = time.time()
         result = differences(spark, con, sf_dir, query, oracles[name])
