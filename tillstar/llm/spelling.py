@@ -50,7 +50,7 @@ GRAMS = 65_536
 BLOCK = 8192
 SAMPLE = 16
 # Pairs, and letters of them, compared at once.
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 
 _START, _END = ord("^"), ord("$")
 _ODD = powers(8)[1:]
