@@ -168,7 +168,7 @@ class Lists:
         return np.maximum.reduceat(holding, words.starts) if len(words) else holding
 
     def of(self, words: Marked) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, list, own): all lists of words, each once for a word."""
+        """(word, list, own): all lists of words, even numbers, each once for a word."""
         word, place, code, length = self.grams(words)
         kept = self.bounds(words, word, place, length) + 1
         order = np.lexsort((place, code, self.count(code), word))
@@ -180,7 +180,8 @@ class Lists:
 
         def named(size: np.ndarray, place: np.ndarray) -> np.ndarray:
             at = size.astype(np.uint64) * _ODD[0] + place.astype(np.uint64) * _ODD[1]
-            return mix(code * _ODD[2] + mix(at))
+            # The last bit is kept for `own`.
+            return mix(code * _ODD[2] + mix(at)) & ~np.uint64(1)
 
         lists = np.concatenate((named(size, place), named(size + 1, place), named(size + 1, place + 1)))
         own = np.repeat((True, False, False), len(word))
@@ -193,39 +194,40 @@ class Lists:
 
 
 def postings(words: DataFrame, lists: Lists) -> DataFrame:
-    """(list, own, word, n): every word in its lists, and where it looks for longer ones."""
+    """(key, word, n): every word in its lists, and where it looks for longer ones. A key is
+    a list and, as its last bit, whether it is the word's own."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             word, found, own = lists.of(Marked(batch.column(0)))
             rows = batch.take(pa.array(word))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array(own), rows.column(0), rows.column(1)], ["list", "own", "word", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(found | own), *rows.columns], ["key", "word", "n"])
 
-    return map_arrow(words.select("word", "n"), run, "list long, own boolean, word string, n long")
+    return map_arrow(words.select("word", "n"), run, "key long, word string, n long")
 
 
-def cells(posted: DataFrame) -> DataFrame:
-    """(list, i, j, block, own, word, n): lists, the long ones cut into blocks. A cell holds
-    the blocks i and j of a list; where these differ only pairs across them count."""
+def _list() -> Column:
+    return F.shiftright("key", 1)
+
+
+def long_lists(posted: DataFrame) -> DataFrame:
+    """(list, blocks) of lists that fill more than one block."""
     drawn = posted.where(F.pmod(F.xxhash64("word"), F.lit(SAMPLE)) == 0)
-    long = drawn.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * SAMPLE > BLOCK)
-    long = materialize(
-        long.select("list", F.ceil(F.col("n") * SAMPLE / BLOCK).cast("int").alias("blocks")), "long-lists"
-    )
-    zero = F.lit(0)
-    columns = ("list", "i", "j", "block", "own", "word", "n")
-    if long.isEmpty():
-        return posted.withColumns({"i": zero, "j": zero, "block": zero}).select(*columns)
+    counts = drawn.groupBy(_list().alias("list")).agg(F.count(F.lit(1)).alias("n"))
+    long = counts.where(F.col("n") * SAMPLE > BLOCK)
+    return long.select("list", F.ceil(F.col("n") * SAMPLE / BLOCK).cast("int").alias("blocks"))
+
+
+def cells(posted: DataFrame, long: DataFrame) -> DataFrame:
+    """(key, word, n, i, j, block) of long lists, cut into blocks. A cell holds the blocks i and
+    j of a list; where these differ only pairs across them count."""
     block = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")
-    cut = (
-        posted.join(long, "list")
-        .withColumns({"block": block, "other": F.explode(F.sequence(zero, F.col("blocks") - 1))})
-        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    return (
+        posted.withColumn("list", _list())
+        .join(long, "list")
+        .withColumns({"block": block, "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+        .select("key", "word", "n", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
     )
-    short = posted.join(long, "list", "left_anti").withColumns({"i": zero, "j": zero, "block": zero})
-    return short.select(*columns).unionByName(cut.select(*columns))
 
 
 def _ends(words: Marked) -> tuple[np.ndarray, np.ndarray]:
@@ -286,9 +288,8 @@ def one_edit(words: Marked, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def near_pairs(table: pa.Table, lists: Lists) -> pa.RecordBatch:
     """Links of whole cells, sorted so that a cell's words of its own come last: (a, n_a, b, n_b),
     each link in the first of the lists that both words are in."""
-    found = [table.column(name).to_numpy() for name in ("list", "i", "j", "block")]
-    of_list, i, j, block = found
-    own = table.column("own").to_numpy(zero_copy_only=False)
+    key, i, j, block = cell_columns(table)
+    own, of_list = (key & 1).astype(bool), key & ~1
     words = Marked(table.column("word").combine_chunks())
     sizes, (first, last) = words.ends - words.starts, _ends(words)
     n = len(own)
@@ -363,6 +364,13 @@ def _first_common(table: pa.Table, lists: Lists, a: np.ndarray, b: np.ndarray) -
     return name[firsts]
 
 
+def cell_columns(table: pa.Table) -> list[np.ndarray]:
+    """key, i, j, block; the last three are 0 for lists of one block."""
+    zero = np.zeros(table.num_rows, np.int32)
+    names = table.column_names
+    return [table.column(c).to_numpy() if c in names else zero for c in ("key", "i", "j", "block")]
+
+
 def whole_cells(batches: Batches) -> Iterator[pa.Table]:
     """Sorted rows as tables that end where a cell ends."""
     rest: pa.Table | None = None
@@ -371,7 +379,8 @@ def whole_cells(batches: Batches) -> Iterator[pa.Table]:
             continue
         table = pa.Table.from_batches([batch])
         table = table if rest is None else pa.concat_tables([rest, table])
-        ids = [table.column(name).to_numpy() for name in ("list", "i", "j")]
+        key, i, j, _ = cell_columns(table)
+        ids = (key >> 1, i, j)
         change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ids], axis=0)) + 1
         last = int(change[-1]) if len(change) else 0
         if last:
@@ -384,8 +393,8 @@ def whole_cells(batches: Batches) -> Iterator[pa.Table]:
 def links(words: DataFrame) -> DataFrame:
     """(a, n_a, b, n_b): all pairs of words one edit apart, each once."""
     lists = Lists(*dictionary(words))
-    place = ("list", "i", "j")
-    dealt = cells(postings(words, lists)).repartition(*place).sortWithinPartitions(*place, "own")
+    posted = postings(words, lists)
+    long = materialize(long_lists(posted), "long-lists")
 
     def run(batches: Batches) -> Batches:
         for table in whole_cells(batches):
@@ -393,7 +402,17 @@ def links(words: DataFrame) -> DataFrame:
             if found.num_rows:
                 yield found
 
-    return map_arrow(dealt, run, "a string, n_a long, b string, n_b long")
+    schema = "a string, n_a long, b string, n_b long"
+
+    def merged(rows: DataFrame, *place: str) -> DataFrame:
+        """Lists dealt out whole, or cell by cell, a list's own words last."""
+        order = (_list(), *place, "key") if place else ("key",)
+        return map_arrow(rows.repartition(_list(), *place).sortWithinPartitions(*order), run, schema)
+
+    if long.isEmpty():
+        return merged(posted)
+    short = posted.join(long.select(F.col("list").alias("_list")), _list() == F.col("_list"), "left_anti")
+    return merged(short).unionByName(merged(cells(posted, long), "i", "j"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
