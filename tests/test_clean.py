@@ -112,27 +112,73 @@ def test_quantiles(spark):
     values=st.lists(st.integers(-50, 50).map(lambda i: i / 4), min_size=1, max_size=60),
     probabilities=st.lists(st.floats(0, 1), min_size=1, max_size=3),
 )
-@pytest.mark.parametrize("sketch", [5, 1000])
-def test_quantiles_equal_linear_interpolation(spark, sketch, values, probabilities):
+@pytest.mark.parametrize("bits", [5, 16])
+def test_quantiles_equal_linear_interpolation(spark, bits, values, probabilities):
     from tillstar.operators.quantiles import quantiles
 
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
-    found = quantiles(df, ["x"], probabilities, sketch=sketch).first()["x"]
+    found = quantiles(df, ["x"], probabilities, bits=bits).first()["x"]
     assert found == pytest.approx(list(np.quantile(values, probabilities)), abs=1e-9)
 
 
-@pytest.mark.parametrize("sketch", [10, 200, 20_000])
-def test_quantiles_of_many_values(spark, sketch):
+@pytest.mark.parametrize("bits", [7, 16, 22])
+def test_quantiles_of_many_values(spark, bits):
     df = spark.range(100_000).select((F.pmod(F.col("id") * 7919, 100_003) * 1.0).alias("x"))
     df = df.union(spark.range(50_000).select(F.lit(5.0)))  # a third of all rows
     from tillstar.operators.quantiles import quantiles
 
     probabilities = [0.0, 0.1, 0.5, 0.77, 1.0]
     expected = df.agg(F.percentile("x", F.array(*map(F.lit, probabilities)))).first()[0]
-    found = quantiles(df, ["x"], probabilities, sketch=sketch).first()["x"]
+    found = quantiles(df, ["x"], probabilities, bits=bits).first()["x"]
     assert found == pytest.approx(expected)
 
 
+ODD_DOUBLES = [
+    0.0, 5e-324, 2.2250738585072009e-308, 2.2250738585072014e-308, 1e-300, 0.1, 0.5, 1.0, 1.0000000000000002, 2.0,
+    3.9999999999999996, 4.0, 8.0, 1e15, 2.0**53, 2.0**1023, 1.7976931348623157e308, float("inf"),
+    *[2.0**k for k in range(-1074, 1024, 13)], *[np.nextafter(2.0**k, 0) for k in range(-1073, 1024, 13)],
+]
+
+
+def test_codes_are_the_bits_of_doubles(spark):
+    import struct
+
+    from tillstar.operators.quantiles import with_codes
+
+    rows = [(float(v),) for v in ODD_DOUBLES] + [(-float(v),) for v in ODD_DOUBLES] + [(None,), (float("nan"),)]
+    coded = with_codes(spark.createDataFrame(rows, "x double"), "x").collect()
+    for value, code in coded:
+        if value is None or value != value:
+            assert code is None
+        else:
+            (bits,) = struct.unpack("q", struct.pack("d", abs(value)))
+            assert code == (bits if value >= 0 else -bits)
+
+
+@pytest.mark.parametrize("bits", [11, 16])
+def test_quantiles_of_odd_doubles(spark, bits):
+    finite = [v for v in ODD_DOUBLES if v != float("inf")]
+    values = sorted([*finite, *[-v for v in finite]])
+    df = spark.createDataFrame([(float(v),) for v in [*values, float("nan")]] + [(None,)], "x double")
+    steps = [k / (len(values) - 1) for k in range(0, len(values), 9)]
+    found = quantile_values(df, ["x"], steps, bits=bits)["x"]
+    assert found == pytest.approx([values[round(p * (len(values) - 1))] for p in steps], rel=1e-9)
+    infinite = spark.createDataFrame([(float("-inf"),), (1.0,), (float("inf"),)], "x double")
+    assert quantile_values(infinite, ["x"], [0.0, 0.5, 1.0], bits=bits)["x"] == [float("-inf"), 1.0, float("inf")]
+
+
+def test_quantiles_take_few_scans(spark, monkeypatch):
+    """Four scans for any doubles, with no window and no sketch."""
+    from tillstar.operators import quantiles as module
+
+    scans = []
+    plain = module._counts
+    monkeypatch.setattr(module, "_counts", lambda *a: scans.append(a) or plain(*a))
+    df = spark.range(20_000).select(*[F.rand(k).alias(f"x{k}") for k in range(4)])
+    module.quantile_values(df, df.columns, [0.25, 0.5, 0.75])
+    assert len(scans) <= 4
+
+
 def test_approximate_quantiles_take_existing_values(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
     (median,) = quantile_values(df, ["x"], [0.5], accuracy=10_000)["x"]

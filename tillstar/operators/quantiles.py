@@ -1,40 +1,74 @@
 """Quantiles with linear interpolation, exact at any number of distinct values.
 
-Spark's `percentile` holds every distinct value in one task. Here a sketch gives two
-bounds around every wanted rank, one more scan counts the values below the bounds and
-groups those between them, and the wanted ranks are found among these few. A rank that
-the bounds miss makes them wider and is looked for again.
+Radix selection: every value has a 64-bit code in the order of the values (the bits of the
+double). The first scan counts the values by the top BITS of their codes, for all columns
+and ranks at once; each further scan counts the next bits, of those values only that share
+their bits so far with a wanted rank. A rank whose bucket holds one value is found, so
+there are at most 64 / BITS scans, and fewer for short numbers. Counts are combined before
+the shuffle; the driver gets at most 2**BITS of them per column in the first scan, and per
+wanted bucket in the others.
 """
 
 from collections.abc import Sequence
-from typing import NamedTuple
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Relative precision of the sketch, as one part in this many: about four parts of the
-# values are grouped for each wanted rank.
-SKETCH = 20_000
-_WIDEN = 16
+BITS = 16
 
+# Of a double: bits of its fraction, its least normal exponent, its largest exponent.
+_FRACTION, _LEAST, _MOST = 52, -1022, 1023
 
-class _Wanted(NamedTuple):
-    column: str
-    probability: float
-    rows: int
 
-    @property
-    def position(self) -> float:
-        """Where the quantile lies among the ranks 0 .. rows - 1."""
-        return self.probability * (self.rows - 1)
+def with_codes(values: DataFrame, value: str = "value", code: str = "code") -> DataFrame:
+    """Add a 64-bit integer in the order of doubles; null for null and NaN. Of x > 0 it has the
+    bits of x, of -x it is the negative.
+
+    Step by step, as each step is used more than once and should be computed once."""
+    size, near, exponent = F.col("_size"), F.col("_near"), F.col("_exponent")
+    two = F.lit(2.0)
+    # log2 is off by less than one; the comparisons set it right. Powers of two are exact.
+    right = near - (F.pow(two, near) > size).cast("long") + (F.pow(two, near + 1) <= size).cast("long")
+    fraction = (size / F.pow(two, exponent) * F.lit(float(2**_FRACTION))).cast("long")
+    bits = (
+        F.when(size == 0, F.lit(0).cast("long"))
+        .when(size == float("inf"), F.lit((_MOST - _LEAST + 2) * 2**_FRACTION))
+        .otherwise((exponent - _LEAST) * F.lit(2**_FRACTION) + fraction)
+    )
+    finite = (size > 0) & (size < float("inf"))
+    return (
+        values.withColumn("_size", F.abs(F.nanvl(F.col(value), F.lit(None))))
+        .withColumn("_near", F.when(finite, F.floor(F.log2(size))))
+        .withColumn("_exponent", F.greatest(right, F.lit(_LEAST).cast("long")))
+        .withColumn("_bits", bits)
+        .withColumn(code, F.when(F.col(value) < 0, -F.col("_bits")).otherwise(F.col("_bits")))
+        .drop("_size", "_near", "_exponent", "_bits")
+    )
+
+
+# Counts of a column's values by bucket, in order: (n, least, greatest).
+_Buckets = dict[int, tuple[int, float, float]]
 
-    @property
-    def low(self) -> int:
-        return int(self.position)
 
-    @property
-    def high(self) -> int:
-        return min(self.low + (self.position > self.low), self.rows - 1)
+@dataclass
+class _Rank:
+    """A wanted rank of a column: the bits of its code found so far, and its place among the
+    values that share them."""
+
+    column: int
+    place: int
+    bucket: int | None = None
+    value: float | None = None
+
+    def find(self, inside: _Buckets) -> None:
+        """Go to the bucket that holds the rank."""
+        for bucket, (n, least, most) in inside.items():
+            if self.place < n:
+                self.bucket = bucket
+                self.value = least if least == most else None
+                return
+            self.place -= n
 
 
 def quantiles(
@@ -42,10 +76,10 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int | None = None,
-    sketch: int = SKETCH,
+    bits: int = BITS,
 ) -> DataFrame:
     """One row: for every column, an array with its quantiles (null without values)."""
-    found = quantile_values(df, columns, probabilities, accuracy, sketch)
+    found = quantile_values(df, columns, probabilities, accuracy, bits)
 
     def array(values: list[float | None]) -> Column:
         filled = F.array(*[F.lit(v).cast("double") for v in values])
@@ -59,7 +93,7 @@ def quantile_values(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int | None = None,
-    sketch: int = SKETCH,
+    bits: int = BITS,
 ) -> dict[str, list[float | None]]:
     """The quantiles of every column, to be used as literals in later plans.
 
@@ -72,72 +106,69 @@ def quantile_values(
         asked = F.array(*map(F.lit, map(float, probabilities)))
         row = values.agg(*[F.percentile_approx(c, asked, accuracy).alias(c) for c in columns]).first()
         return {c: row[c] or [None] * len(probabilities) for c in columns}
-    rows = values.agg(*[F.count(c).alias(c) for c in columns]).first()
-    wanted = [_Wanted(c, float(p), rows[c]) for c in columns for p in probabilities if rows[c]]
-    answers: dict[_Wanted, float] = {}
-    margin = 2 / sketch
-    while open_ := [w for w in wanted if w not in answers]:
-        answers |= _between(values, open_, _bounds(values, open_, margin, sketch))
-        margin *= _WIDEN
-    by_place = {(w.column, w.probability): value for w, value in answers.items()}
-    return {c: [by_place.get((c, float(p))) for p in probabilities] for c in columns}
-
-
-def _bounds(
-    values: DataFrame, wanted: list[_Wanted], margin: float, sketch: int
-) -> list[tuple[float, float]]:
-    """Values that should lie around every wanted rank; the margin holds two ranks at least."""
-    sides = []
-    for i, w in enumerate(wanted):
-        reach = margin + 2 / w.rows
-        for name, p in (("low", w.probability - reach), ("high", w.probability + reach)):
-            if 0 < p < 1:
-                side = F.percentile_approx(w.column, float(p), sketch)
-            else:
-                side = F.min(w.column) if p <= 0 else F.max(w.column)
-            sides.append(side.alias(f"{name}{i}"))
-    row = values.agg(*sides).first()
-    return [(row[f"low{i}"], row[f"high{i}"]) for i in range(len(wanted))]
-
-
-def _between(
-    values: DataFrame, wanted: list[_Wanted], bounds: list[tuple[float, float]]
-) -> dict[_Wanted, float]:
-    """The quantiles whose ranks lie between their bounds."""
-    places = range(len(wanted))
-    below = values.agg(
-        *[F.count_if(F.col(w.column) < bounds[i][0]).alias(f"b{i}") for i, w in enumerate(wanted)]
-    ).first()
-    near = F.array(
-        *[
-            F.when(
-                F.col(w.column).between(*bounds[i]),
-                F.struct(F.lit(i).alias("place"), F.col(w.column).alias("value")),
-            )
-            for i, w in enumerate(wanted)
-        ]
-    )
-    counts = (
-        values.select(F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x"))
-        .groupBy("x.place", "x.value")
-        .agg(F.count(F.lit(1)).alias("n"))
+
+    if not columns:
+        return {}
+    shift = 64 - bits
+    counted = _counts(values, columns, [None] * len(columns), shift)
+    totals = [sum(n for n, *_ in buckets.values()) for buckets in counted]
+    # Where a quantile lies among the ranks 0 .. rows - 1.
+    positions = {
+        (i, p): float(p) * (rows - 1) for i, rows in enumerate(totals) if rows for p in probabilities
+    }
+    wanted = {
+        (i, place): _Rank(i, place)
+        for (i, _), position in positions.items()
+        for place in (int(position), min(int(position) + 1, totals[i] - 1))
+    }
+    for rank in wanted.values():
+        rank.find(counted[rank.column])
+    while open_ := [rank for rank in wanted.values() if rank.value is None]:
+        before, shift = shift, max(shift - bits, 0)
+        prefixes: list[set[int] | None] = [set() for _ in columns]
+        for rank in open_:
+            prefixes[rank.column].add(rank.bucket)
+        counted = _counts(values, columns, prefixes, shift, before)
+        for rank in open_:
+            inside = counted[rank.column].items()
+            rank.find({b: n for b, n in inside if b >> (before - shift) == rank.bucket})
+
+    def quantile(i: int, p: float) -> float | None:
+        if (i, p) not in positions:
+            return None
+        position = positions[i, p]
+        low = int(position)
+        high = min(low + 1, totals[i] - 1)
+        below, above = wanted[i, low].value, wanted[i, high].value
+        return below if position == low or below == above else below + (above - below) * (position - low)
+
+    return {c: [quantile(i, p) for p in probabilities] for i, c in enumerate(columns)}
+
+
+def _counts(
+    values: DataFrame,
+    columns: Sequence[str],
+    prefixes: Sequence[set[int] | None],
+    shift: int,
+    before: int = 64,
+) -> list[_Buckets]:
+    """One scan: values by their codes without the last `shift` bits, as far as the bits
+    above `before` are among the prefixes of the column (None: all values)."""
+    chosen = [i for i, prefix in enumerate(prefixes) if prefix is None or prefix]
+    each = F.array(*[F.struct(F.lit(i).alias("column"), F.col(columns[i]).alias("value")) for i in chosen])
+    kept = F.lit(before == 64)
+    for i in chosen if before < 64 else ():
+        kept = kept | ((F.col("column") == i) & F.shiftright("code", before).isin(*prefixes[i]))
+    # Values outside become one group without a bucket, left out at the end: a filter in the
+    # plan would be pushed below the steps of the code and repeat them.
+    rows = (
+        with_codes(values.select(F.explode(each).alias("x")).select("x.*").where("value is not null"))
+        .groupBy("column", F.when(kept, F.shiftright("code", shift)).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+        .toArrow()
     )
-    # A few parts in SKETCH of the rows, by wanted rank.
-    end = F.sum("n").over(Window.partitionBy("place").orderBy("value"))
-    ranked = counts.withColumn("end", end)
-
-    def at(i: int, rank: int) -> Column:
-        inside = rank - below[f"b{i}"]
-        here = (F.col("place") == i) & (F.col("end") > inside) & (F.col("end") - F.col("n") <= inside)
-        return F.max(F.when(here, F.col("value")))
-
-    row = ranked.agg(
-        *[at(i, wanted[i].low).alias(f"low{i}") for i in places],
-        *[at(i, wanted[i].high).alias(f"high{i}") for i in places],
-    ).first()
-    answers = {}
-    for i, w in enumerate(wanted):
-        low, high = row[f"low{i}"], row[f"high{i}"]
-        if low is not None and high is not None:
-            answers[w] = low + (high - low) * (w.position - w.low)
-    return answers
+    rows = rows.filter(rows.column("bucket").is_valid())
+    found: list[_Buckets] = [{} for _ in columns]
+    for column, bucket, *counts in sorted(zip(*[c.to_pylist() for c in rows.columns], strict=True)):
+        found[column][bucket] = tuple(counts)
+    return found
