@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
 from tillstar.schemas import PRICE, RAW
+from tillstar.sources.records import read_records
 
 # Texts a CSV cell may hold to say "missing".
 MISSING_TEXTS = (
@@ -21,13 +22,16 @@ def read_invoice_csv(
     Columns of the contract get their declared type, unreadable numbers become
     null, further columns stay text. All files of a folder must have the same
     header; another one is an error, and so is a row with more or fewer cells.
-    `multi_line` allows line breaks inside quotes, at the price of one task per
-    file; without it a file is divided among tasks, and a row that such a break
-    tears apart is an error.
+    `multi_line` allows line breaks inside quotes: a UTF-8 file is read twice, both
+    times by many tasks (see `records`); in other encodings a file is one task.
+    Without it a file is read once, and a row that such a break tears apart is an
+    error.
 
     A cell is missing if it is exactly one of MISSING_TEXTS; white space counts as
     text.
     """
+    if multi_line and encoding.upper().replace("-", "") == "UTF8":
+        return to_contract(read_records(spark, path))
     text = spark.read.csv(
         path, header=True, enforceSchema=False, quote='"', escape='"', encoding=encoding,
         multiLine=multi_line, mode="FAILFAST",
