@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from uuid import uuid4
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,7 +23,7 @@ import oracle
 from tillstar.operators import clean, rolling, segments, transform
 from tillstar.operators.quantiles import quantiles
 from tillstar.operators.scratch import materialize, scratch_root
-from tillstar.plans import analytics, batch, profile, quality, star
+from tillstar.plans import analytics, batch, load, profile, quality, star
 from tillstar.sources import csv, feed
 from tillstar.sources import layers as L
 from tillstar.sources.reports import read_report
@@ -38,9 +38,12 @@ except ModuleNotFoundError as error:
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 RUN_TS = datetime(2024, 1, 1)
+# Divides the lines into two loads.
+LOAD_DATE = "1995-06-01 00:00:00"
 
 _stored: dict[tuple[str, str], L.Layers] = {}
 _reported: set[L.Layers] = set()
+_loaded: dict[tuple[str, str, bool], str] = {}
 
 
 def layers_of(spark: SparkSession, sf_dir: str) -> L.Layers:
@@ -332,6 +335,52 @@ def check_keys(spark, sf_dir):
     return star.key_checks(*quality.star_tables(_star(spark, sf_dir)))
 
 
+# Loads, one after the other
+def _loads(spark, sf_dir, changed=False):
+    """The star of two loads. Either the older lines come first, or they come a day later and
+    some customers have moved in them."""
+    processed = _processed(spark, sf_dir)
+    older = F.col("invoice_date") < F.lit(LOAD_DATE).cast("timestamp_ntz")
+    first, second = processed.where(older), processed.where(~older | F.col("invoice_date").isNull())
+    later = RUN_TS
+    if changed:
+        moved = F.when(F.col("customer_id").endswith("7"), F.concat(F.lit("Old "), "country"))
+        first, second = second, first.withColumn("country", F.coalesce(moved, "country"))
+        later = RUN_TS + timedelta(days=1)
+    key = (spark.sparkContext.applicationId, sf_dir, changed)
+    if key not in _loaded:
+        root = f"{scratch_root(spark)}/tillstar/loads-{uuid4().hex}"
+        load.append(spark, first, root, "first", RUN_TS)
+        load.append(spark, second, root, "second", later)
+        # Known by its name, so that it adds nothing.
+        load.append(spark, second, root, "second", later)
+        _loaded[key] = root
+    return load.tables(spark, _loaded[key])
+
+
+def load_fact_sales(spark, sf_dir):
+    """Two loads have the facts, and the ids, of one."""
+    return _loads(spark, sf_dir)["fact_sales"]
+
+
+def load_dim_customer(spark, sf_dir):
+    """Rows keep their creation time; only changed ones get a new update time."""
+    return _loads(spark, sf_dir, changed=True)["dim_customer"]
+
+
+def load_dim_product(spark, sf_dir):
+    return _loads(spark, sf_dir, changed=True)["dim_product"]
+
+
+def load_dim_country(spark, sf_dir):
+    """Countries keep their numbers; new ones get the next."""
+    return _loads(spark, sf_dir, changed=True)["dim_country"]
+
+
+def load_dim_date(spark, sf_dir):
+    return _loads(spark, sf_dir, changed=True)["dim_date"]
+
+
 # Profiles and quality
 def validate_input(spark, sf_dir):
     return profile.validate_input(_raw(spark, sf_dir))
@@ -460,6 +509,7 @@ _QUERIES = {
             rolling_sales, rolling_sales_by_range,
             processed_data, processed_data_by_range, processed_without_price,
             fact_sales, fact_sales_lookup, fact_sales_lookup_spread, fact_ids, check_keys,
+            load_fact_sales, load_dim_customer, load_dim_product, load_dim_country, load_dim_date,
             validate_input, summary_shape, summary_numeric, summary_categorical,
             q_raw_stats, q_processed_stats, q_star_stats, q_completeness, q_completeness_raw,
             q_consistency, q_recommendations, q_sql_text,

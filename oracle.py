@@ -212,6 +212,15 @@ fact_sales AS (
   JOIN dim_country k ON proc.country = k.country_name
 )"""
 
+# Two loads: undated lines and those from a date on, then a day later the older ones, in
+# which some customers have another country.
+LOADS = """
+early AS (SELECT * REPLACE (CASE WHEN customer_id LIKE '%7' THEN 'Old ' || country ELSE country END AS country)
+          FROM proc WHERE invoice_date < TIMESTAMP '1995-06-01 00:00:00'),
+late AS (SELECT * FROM proc WHERE invoice_date >= TIMESTAMP '1995-06-01 00:00:00' OR invoice_date IS NULL),
+every AS (SELECT * FROM late UNION ALL SELECT * FROM early)"""
+_FIRST_LOAD, _SECOND_LOAD = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-02 00:00:00'"
+
 _TO_PARSED = [FEED, PARSED]
 _TO_FILLED = [*_TO_PARSED, FILLED]
 _TO_UNIQUE = [*_TO_FILLED, UNIQUE]
@@ -393,6 +402,23 @@ FROM fact_sales f WHERE NOT EXISTS (SELECT 1 FROM {t} x WHERE x.{k} = f.{k})"""
     return "\nUNION ALL ".join(parts)
 
 
+def _loaded(key: str, attributes: list[str], has_update: bool) -> str:
+    """A dimension after both loads: the earliest values of all lines, and when they came."""
+    names = ", ".join(attributes)
+
+    def earliest(lines: str) -> str:
+        order = ", ".join(f"{a} NULLS FIRST" for a in attributes)
+        return f"""(SELECT {key}, {names} FROM (SELECT *, row_number() OVER (
+            PARTITION BY {key} ORDER BY invoice_date NULLS LAST, {order}) AS rn FROM {lines} WHERE {key} IS NOT NULL)
+            WHERE rn = 1)"""
+
+    same = " AND ".join(f"a.{x} IS NOT DISTINCT FROM b.{x}" for x in attributes)
+    kept = f"CASE WHEN b.{key} IS NULL THEN {_SECOND_LOAD} ELSE {_FIRST_LOAD} END AS created_at"
+    updated = f", CASE WHEN b.{key} IS NOT NULL AND {same} THEN {_FIRST_LOAD} ELSE {_SECOND_LOAD} END AS updated_at"
+    return f"""SELECT a.*, {kept}{updated if has_update else ""}
+FROM {earliest("every")} a LEFT JOIN {earliest("late")} b USING ({key})"""
+
+
 def statements() -> dict[str, str]:
     """Query name -> SQL."""
     return {
@@ -541,8 +567,28 @@ FROM uniq, fence""",
                               quantity, unit_price, fact_sales.customer_id, country) AS fact_id,
        {_FACT} FROM fact_sales""",
             )
-            for key in ("fact_sales", "fact_sales_lookup", "fact_sales_lookup_spread")
+            for key in ("fact_sales", "fact_sales_lookup", "fact_sales_lookup_spread", "load_fact_sales")
         },
+        "load_dim_customer": _sql([*_TO_PROCESSED, LOADS], _loaded("customer_id", ["country", "customer_segment"], True)),
+        "load_dim_product": _sql(
+            [*_TO_PROCESSED, LOADS],
+            f"SELECT stock_code AS product_id, * FROM ({_loaded('stock_code', ['description', 'product_category'], False)})",
+        ),
+        "load_dim_country": _sql(
+            [*_TO_PROCESSED, LOADS, DIMS.replace("dim_", "plain_").replace("FROM proc", "FROM every"), f"""
+first_names AS (SELECT country, row_number() OVER (ORDER BY country) AS i FROM (SELECT DISTINCT country FROM late)),
+new_names AS (SELECT country, row_number() OVER (ORDER BY country) + (SELECT max(i) FROM first_names) AS i
+              FROM (SELECT DISTINCT country FROM early WHERE country NOT IN (SELECT country FROM first_names))),
+numbered AS (SELECT *, {_FIRST_LOAD} AS loaded FROM first_names UNION ALL SELECT *, {_SECOND_LOAD} FROM new_names)"""],
+            """SELECT CAST(i AS INTEGER) AS country_id, country_name, region, loaded AS created_at, loaded AS updated_at
+FROM numbered JOIN plain_country ON country = country_name""",
+        ),
+        "load_dim_date": _sql(
+            [*_TO_PROCESSED, LOADS, DIMS],
+            f"""SELECT * REPLACE (CAST(date AS VARCHAR) AS date, CASE WHEN date IN (
+       SELECT CAST(invoice_date AS DATE) FROM late) THEN {_FIRST_LOAD} ELSE {_SECOND_LOAD} END AS created_at)
+FROM dim_date""",
+        ),
         "fact_ids": _sql(
             _TO_PROCESSED,
             """SELECT row_number() OVER (ORDER BY invoice_date, invoice_no, stock_code, description,

@@ -25,13 +25,21 @@ NEEDED = ("customer_id", "stock_code", "country", "invoice_date")
 
 def dim_customer(processed: DataFrame, run_ts: datetime) -> DataFrame:
     """One row per customer, with the country of its earliest line."""
+    return customers(customer_values(processed), run_ts)
+
+
+def customer_values(processed: DataFrame) -> DataFrame:
+    """The attribute values of every customer, with the date of their first line."""
     segment = (
         F.col("customer_segment") if has(processed, "customer_segment") else F.lit("Unknown")
     )
-    distinct = processed.where(F.col("customer_id").isNotNull()).withColumn(
-        "customer_segment", segment
+    return seen_values(
+        processed.withColumn("customer_segment", segment), "customer_id", ["country", "customer_segment"]
     )
-    return _earliest(distinct, "customer_id", ["country", "customer_segment"]).select(
+
+
+def customers(values: DataFrame, run_ts: datetime) -> DataFrame:
+    return _earliest(values, "customer_id", ["country", "customer_segment"]).select(
         "customer_id",
         "customer_segment",
         "country",
@@ -40,16 +48,22 @@ def dim_customer(processed: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def _earliest(lines: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+def seen_values(lines: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """The distinct attribute values per key, and when each was first seen. Those of several
+    sets of lines, taken together by the least `seen`, are those of all the lines."""
+    known = lines.where(F.col(key).isNotNull())
+    return known.groupBy(key, *attributes).agg(F.min("invoice_date").alias("seen"))
+
+
+def _earliest(values: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     """One survivor per key among the distinct attribute values: the one seen
     first; on equal days the smallest; undated values last.
 
-    The lines shrink to their distinct values in a hash aggregation with partial
+    The lines have shrunk to their distinct values in a hash aggregation with partial
     results. Only those few rows meet the minimum over structs, which Spark sorts.
     """
-    distinct = lines.groupBy(key, *attributes).agg(F.min("invoice_date").alias("seen"))
     survivor = F.struct(F.col("seen").isNull().alias("undated"), "seen", *attributes)
-    return distinct.groupBy(key).agg(F.min(survivor).alias("_s")).select(
+    return values.groupBy(key).agg(F.min(survivor).alias("_s")).select(
         key, *[F.col(f"_s.{a}").alias(a) for a in attributes]
     )
 
@@ -75,15 +89,22 @@ def dim_date(processed: DataFrame, run_ts: datetime) -> DataFrame:
 
 def dim_product(processed: DataFrame, run_ts: datetime) -> DataFrame:
     """One row per stock code, described by its earliest line."""
+    return products(product_values(processed), run_ts)
+
+
+def product_values(processed: DataFrame) -> DataFrame:
+    """The attribute values of every stock code, with the date of their first line."""
     category = (
         F.col("product_category") if has(processed, "product_category") else F.lit(X.NO_CATEGORY)
     )
-    distinct = processed.where(F.col("stock_code").isNotNull()).withColumn(
-        "product_category", category
-    )
-    if not has(distinct, "description"):
-        distinct = distinct.withColumn("description", F.lit(None).cast("string"))
-    return _earliest(distinct, "stock_code", ["description", "product_category"]).select(
+    lines = processed.withColumn("product_category", category)
+    if not has(lines, "description"):
+        lines = lines.withColumn("description", F.lit(None).cast("string"))
+    return seen_values(lines, "stock_code", ["description", "product_category"])
+
+
+def products(values: DataFrame, run_ts: datetime) -> DataFrame:
+    return _earliest(values, "stock_code", ["description", "product_category"]).select(
         F.col("stock_code").alias("product_id"),
         "stock_code",
         "description",
@@ -94,13 +115,18 @@ def dim_product(processed: DataFrame, run_ts: datetime) -> DataFrame:
 
 def dim_country(processed: DataFrame, run_ts: datetime) -> DataFrame:
     """One row per country name, numbered by name."""
-    names = (
-        processed.where(F.col("country").isNotNull())
-        .select(F.col("country").alias("country_name"))
-        .distinct()
-    )
+    return countries(country_names(processed), run_ts)
+
+
+def country_names(processed: DataFrame) -> DataFrame:
+    names = processed.where(F.col("country").isNotNull())
+    return names.select(F.col("country").alias("country_name")).distinct()
+
+
+def countries(names: DataFrame, run_ts: datetime, after: int = 0) -> DataFrame:
+    """Countries numbered by name from `after` + 1."""
     return with_dense_ids(names, [F.col("country_name")], "country_id", "countries").select(
-        F.col("country_id").cast("int").alias("country_id"),
+        (F.col("country_id") + after).cast("int").alias("country_id"),
         "country_name",
         X.region("country_name").alias("region"),
         timestamp(run_ts).alias("created_at"),
