@@ -402,6 +402,11 @@ def summary_categorical(spark, sf_dir):
     return profile.categorical_summary(_processed(spark, sf_dir))
 
 
+def summary_top_values(spark, sf_dir):
+    """The ten most frequent values of each column."""
+    return profile.top_values(_processed(spark, sf_dir))
+
+
 def q_raw_stats(spark, sf_dir):
     return profile.raw_stats(_raw(spark, sf_dir))
 
@@ -510,7 +515,7 @@ _QUERIES = {
             processed_data, processed_data_by_range, processed_without_price,
             fact_sales, fact_sales_lookup, fact_sales_lookup_spread, fact_ids, check_keys,
             load_fact_sales, load_dim_customer, load_dim_product, load_dim_country, load_dim_date,
-            validate_input, summary_shape, summary_numeric, summary_categorical,
+            validate_input, summary_shape, summary_numeric, summary_categorical, summary_top_values,
             q_raw_stats, q_processed_stats, q_star_stats, q_completeness, q_completeness_raw,
             q_consistency, q_recommendations, q_sql_text,
             report_summary, report_columns, report_validation, report_quality,

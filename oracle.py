@@ -610,6 +610,12 @@ FROM proc WHERE invoice_date IS NOT NULL AND customer_id <> '' AND stock_code <>
 FROM proc""",
         ),
         "summary_numeric": _sql(_TO_PROCESSED, _numeric_summary()),
+        "summary_top_values": _sql(
+            _TO_PROCESSED,
+            f"""SELECT column_name, CAST(position AS INTEGER) AS position, value, count FROM (
+SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value) AS position
+FROM ({_categorical_summary()})) WHERE position <= 10""",
+        ),
         "summary_categorical": _sql(_TO_PROCESSED, _categorical_summary()),
         "q_raw_stats": _sql(
             _TO_PARSED,

@@ -88,6 +88,7 @@ def write_profiles(
     write_report(profile.shape(processed), folder, "processed_shape")
     write_report(profile.column_check(processed), folder, "processed_columns")
     write_report(profile.numeric_summary(processed, accuracy), folder, "numeric_summary")
+    write_report(profile.top_values(processed), folder, "top_values")
     # As large as the distinct values: written in parallel, in no order.
     counts = profile.categorical_summary(processed)
     counts.write.mode("overwrite").parquet(f"{folder}/categorical_summary")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tillstar.functions.expressions import mean_of, percent
+from tillstar.operators import frequent
 from tillstar.operators.clean import parse_dates
 from tillstar.operators.columns import numeric_columns, text_columns
 from tillstar.operators.quantiles import quantiles
@@ -124,6 +125,11 @@ def categorical_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def top_values(df: DataFrame, k: int = 10) -> DataFrame:
+    """The k most frequent values of each string column; equally frequent ones in order."""
+    return frequent.top_values(df, text_columns(df), k)
+
+
 def shape(df: DataFrame) -> DataFrame:
     """One row: number of rows, number of columns, column names."""
     names = F.array(*map(F.lit, df.columns))
