@@ -95,6 +95,35 @@ def test_unreadable_dates_are_an_error(spark):
     assert dict(none.dtypes)["invoice_date"] == "timestamp_ntz"
 
 
+DATES = [
+    "2010-12-01 08:26:00", "2010-12-01", "2010-02-30", "2010-12-01T08:26", "12/1/2010 8:26", "1/12/2010", "13/1/2010 8:26",
+    "1/13/2010", "12/1/10", "31.1.2010 10:00", "1-2-2010", "2010/1/31 1:02:03", "20101231", "20101331", "20101231 23:59",
+    "not-a-date", "", "0/0/0000", "99/99/9999", "2010-12-01 24:00:00", "2010-12-01 08:26:00.123456", "+2010-12-01", "-1/2/2010",
+]
+
+
+def test_shapes_leave_out_no_format(spark):
+    """What reads a text also reads its shape."""
+    from tillstar.functions.expressions import DATE_FORMATS, parse_datetime
+
+    df = spark.createDataFrame([(t,) for t in DATES], "x string")
+    df = df.withColumn("shape", F.translate("x", "0123456789", "1" * 10))
+    for fmt in DATE_FORMATS:
+        lost = df.where(parse_datetime("x", fmt).isNotNull() & parse_datetime("shape", fmt).isNull())
+        assert lost.count() == 0
+
+
+def test_recognition_counts_all_rows(spark):
+    def recognised(*texts):
+        return clean.recognise_format(spark.createDataFrame([(t,) for t in texts], "invoice_date string"))
+
+    assert recognised("1/2/2010", "1/13/2010", None) == "M/d/yyyy[ H:mm[:ss]]"
+    assert recognised("1/2/2010", "13/1/2010", "junk") == "d/M/yyyy[ H:mm[:ss]]"
+    assert recognised(None, None) == clean.DATE_FORMATS[0]
+    with pytest.raises(ValueError, match="2 texts"):
+        recognised("99/99/9999", "junk", None)
+
+
 def test_repeats_count_null_as_equal(spark):
     rows = [{"description": "x"}, {"description": None}, {"description": None}, {"description": "x"}]
     assert clean.drop_repeats(raw(spark, *rows)).count() == 2

@@ -177,3 +177,39 @@ def test_segments_feed_the_customer_dimension(spark, run_ts):
     df = add_product_category(add_segments(lines(spark, *rows)))
     found = column(star.dim_customer(df, run_ts), "customer_segment", order=["customer_id"])
     assert found == [None, None, "Medium", "Medium", "High", "High"]
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_files_show_that_ids_are_unique(spark, tmp_path, files):
+    def stored(ids, name):
+        path = f"{tmp_path}/{name}-{files}"
+        spark.createDataFrame([(i,) for i in ids], "fact_id long").coalesce(files).write.parquet(path)
+        return spark.read.parquet(path)
+
+    in_order = spark.range(0, 1000, 1, files).withColumnRenamed("id", "fact_id")
+    in_order.write.parquet(f"{tmp_path}/order-{files}")
+    assert star.unique_by_runs(spark.read.parquet(f"{tmp_path}/order-{files}"), "fact_id")
+    assert star.unique_by_runs(stored([5, 6, 7, 1, 2, 3], "parts"), "fact_id")
+    assert star.unique_by_runs(stored([9, 7, 5], "reversed"), "fact_id")
+    assert star.unique_by_runs(stored([], "empty"), "fact_id")
+    for ids in ([1, 2, 3, 3], [1, 2, 2, 3], [1, 2, 3, 1, 2], [4, 5, 6, 5], [1, None], [None]):
+        assert not star.unique_by_runs(stored(ids, "bad" + "-".join(map(str, ids))), "fact_id")
+    # Not from files: it cannot be told.
+    assert not star.unique_by_runs(spark.range(5).select(F.lit(1).alias("fact_id")).union(spark.range(2)), "fact_id")
+
+
+def test_a_planted_repeat_is_counted(spark, run_ts, tmp_path):
+    facts, *dims = build(processed(spark, *[{"invoice_no": str(i)} for i in range(20)]), run_ts)
+    facts.write.parquet(f"{tmp_path}/facts")
+    facts.where("fact_id = 7").write.mode("append").parquet(f"{tmp_path}/facts")
+    checks = star.key_checks(spark.read.parquet(f"{tmp_path}/facts"), *dims)
+    assert column(checks.where("column_name = 'fact_id'"), "violations") == [2]
+
+
+def test_stored_ids_are_checked_without_a_shuffle_of_facts(spark, run_ts, tmp_path):
+    facts, *dims = build(processed(spark, *[{"invoice_no": str(i)} for i in range(20)]), run_ts)
+    facts.write.parquet(f"{tmp_path}/facts")
+    checks = star.key_checks(spark.read.parquet(f"{tmp_path}/facts"), *dims)
+    assert column(checks, "violations") == [0] * checks.count()
+    plan = checks._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [customer_id" in plan and "Aggregate [fact_id" not in plan
