@@ -43,9 +43,9 @@ def map_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str
 
 
 def map_slices(
-    df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text"
+    df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text", size: int = SLICE_BYTES
 ) -> DataFrame:
-    """Apply `function` to slices of Arrow batches that hold about SLICE_BYTES of `text`.
+    """Apply `function` to slices of Arrow batches that hold about `size` bytes of `text`.
 
     It gets a record batch and returns equally long columns by name, in the order of
     `schema`; none if nothing is to be put out. Spark bounds the batches themselves
@@ -53,7 +53,7 @@ def map_slices(
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, size):
                 columns = function(part)
                 if columns:
                     yield pa.RecordBatch.from_pydict(columns)
@@ -61,8 +61,8 @@ def map_slices(
     return map_arrow(df, run, schema)
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch into row ranges of about SLICE_BYTES of text."""
+def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into row ranges of about `size` bytes of text."""
     if batch.num_rows == 0:
         return
     column = batch.column(batch.schema.get_field_index(text))
@@ -70,7 +70,7 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(start, stop - start)
         start = stop
 

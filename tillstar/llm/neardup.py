@@ -47,6 +47,8 @@ MATCHES = 36
 # put out instead of being compared there.
 BLOCK = 512
 SHORT_LIST = 32
+# Text bytes hashed at once; a byte takes about 40 bytes on the way.
+SLICE_BYTES = 1 << 20
 
 # A word is a run of bytes other than white space.
 IS_WORD = np.ones(256, bool)
@@ -114,7 +116,7 @@ def signatures(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
         }
 
     schema = f"`{id}` {docs.schema[id].dataType.simpleString()}, n_shingles long, key binary, signature array<int>"
-    return map_slices(docs.select(id, text), run, schema, text)
+    return map_slices(docs.select(id, text), run, schema, text, SLICE_BYTES)
 
 
 def shingle_sets(docs: DataFrame, text: str, width: int) -> DataFrame:
@@ -125,7 +127,7 @@ def shingle_sets(docs: DataFrame, text: str, width: int) -> DataFrame:
         members = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         return {"key": set_keys(hashes, offsets), "members": pa.array(members, pa.binary())}
 
-    return map_slices(docs.select(text), run, "key binary, members binary", text).where("key is not null")
+    return map_slices(docs.select(text), run, "key binary, members binary", text, SLICE_BYTES).where("key is not null")
 
 
 def postings(classes: DataFrame) -> DataFrame:
