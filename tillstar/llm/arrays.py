@@ -36,14 +36,34 @@ def ship(spark: SparkSession) -> None:
 Batches = Iterator[pa.RecordBatch]
 
 
-def map_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """`mapInArrow` with this package on the executors."""
+# What operators keep in a worker process from one task to the next: name -> how to forget it.
+held: dict[str, Callable[[], None]] = {}
+
+
+def release(name: str | None) -> None:
+    """Forget what other operators than `name` keep, as workers outlive their stages."""
+    for other, forget in held.items():
+        if other != name:
+            forget()
+
+
+def map_arrow(
+    df: DataFrame, function: Callable[[Batches], Batches], schema: str, holds: str | None = None
+) -> DataFrame:
+    """`mapInArrow` with this package on the executors; `holds` names what the function keeps
+    in its worker."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Batches) -> Batches:
+        release(holds)
+        return function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def map_slices(
-    df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text", size: int = SLICE_BYTES
+    df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text",
+    size: int = SLICE_BYTES, holds: str | None = None,
 ) -> DataFrame:
     """Apply `function` to slices of Arrow batches that hold about `size` bytes of `text`.
 
@@ -58,7 +78,7 @@ def map_slices(
                 if columns:
                     yield pa.RecordBatch.from_pydict(columns)
 
-    return map_arrow(df, run, schema)
+    return map_arrow(df, run, schema, holds)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

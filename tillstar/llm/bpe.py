@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillstar.llm.arrays import map_arrow, map_slices, strings
+from tillstar.llm.arrays import held, map_arrow, map_slices, strings
 
 MAX_KNOWN = 300_000
 MAX_PAIRS = 500_000
@@ -261,6 +261,7 @@ def bpe(path: str) -> Bpe:
     """The tokenizer of this process, loaded once."""
     if path not in _loaded:
         _loaded[path] = Bpe(path)
+        held["bpe"] = _loaded.clear
     return _loaded[path]
 
 
@@ -275,7 +276,7 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -
         encoded = bpe(path).encode(strings(batch, text).to_pylist())
         return {id: batch.column(0), "ids": id_lists([ids for ids, _ in encoded])}
 
-    return map_slices(docs.select(id, text), run, _id_field(docs, id) + "ids array<int>", text)
+    return map_slices(docs.select(id, text), run, _id_field(docs, id) + "ids array<int>", text, holds="bpe")
 
 
 def id_lists(encoded: list[bytes]) -> pa.ListArray:
@@ -293,7 +294,7 @@ def decode(tokens: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -
             texts = pa.array([bpe(path).decode(x) for x in rows], pa.string())
             yield pa.RecordBatch.from_pydict({id: batch.column(0), "text": texts})
 
-    return map_arrow(tokens.select(id, ids), run, _id_field(tokens, id) + "text string")
+    return map_arrow(tokens.select(id, ids), run, _id_field(tokens, id) + "text string", "bpe")
 
 
 def round_trip(
@@ -325,4 +326,4 @@ def round_trip(
             columns["ids"] = id_lists([ids for ids, _ in encoded])
         return columns
 
-    return map_slices(docs.select(id, text, *keep), run, schema + ", ids array<int>" * with_ids, text)
+    return map_slices(docs.select(id, text, *keep), run, schema + ", ids array<int>" * with_ids, text, holds="bpe")
