@@ -14,9 +14,9 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_queries_are_registered():
-    names = {f"op{n}_" for n in range(1, 11)}
+    names = {f"op{n}_" for n in range(1, 14)}
     found = [q for q in entry.queries() if q.startswith("op")]
-    assert {q[: q.index("_") + 1] for q in found} == names and len(found) == 10
+    assert {q[: q.index("_") + 1] for q in found} == names and len(found) == 13
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
