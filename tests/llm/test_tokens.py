@@ -110,3 +110,17 @@ def test_empty_tables(spark):
     empty = frames.docs(spark, [])
     assert tokens.count_tokens(empty, PATH).count() == 0
     assert bpe.round_trip(empty, PATH).count() == 0
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    """With room for a few pieces and pairs only, ids stay the same."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [row[1] or "" for row in frames.sample("sf0.01", columns="doc_id, text", limit=60)]
+    plain = bpe.Bpe(path).encode(texts)
+    monkeypatch.setattr(bpe, "MAX_KNOWN", 50)
+    monkeypatch.setattr(bpe, "MAX_PAIRS", 20)
+    small = bpe.Bpe(path)
+    for _ in range(2):
+        for text, (ids, pieces) in zip(texts, plain, strict=True):
+            ((again, same),) = small.encode([text])
+            assert again == ids and small.decode_pieces(same) == small.decode(ids).encode()

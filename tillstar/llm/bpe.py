@@ -8,8 +8,9 @@ compatible if no merge would cross their border, which their merge ranks tell. F
 the last tokens back from the word's end gives the ids. New words are sorted, so that a
 word takes over the prefixes it shares with the one before.
 
-Ids of words and white-space separated pieces are remembered per Python process, up to
-MAX_KNOWN; forgetting them changes nothing but time.
+Ids of words and white-space separated pieces are remembered per Python process, in two
+generations of up to MAX_KNOWN: when the younger one is full it becomes the older, and of
+that before it only what is asked for comes over. Forgetting changes nothing but time.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; special
 strings inside a text become their ids, as is the library's default; a piece of any
@@ -30,8 +31,8 @@ from pyspark.sql import DataFrame
 
 from tillstar.llm.arrays import held, map_arrow, map_slices, strings
 
-MAX_KNOWN = 300_000
-MAX_PAIRS = 500_000
+MAX_KNOWN = 250_000
+MAX_PAIRS = 400_000
 
 # How the tokenizer file cuts lower-case text into words.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
@@ -82,6 +83,11 @@ class Bpe:
         self.words: dict[str, tuple[int, ...]] = {}
         self.pieces: dict[str, bytes] = {"": b""}
         self.decoded: dict[str, bytes] = {"": b""}
+        # The older generation.
+        self.old_words: dict[str, tuple[int, ...]] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        self.old_decoded: dict[str, bytes] = {}
+        self.old_pairs: dict[int, bool] = {}
         self.alone = {t: self._is_own_encoding(t) for t in self.length}
 
     def _is_own_encoding(self, token: int) -> bool:
@@ -128,8 +134,13 @@ class Bpe:
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > MAX_PAIRS:
+                # A copy: a running loop holds the younger one.
+                self.old_pairs = dict(self.pairs)
                 self.pairs.clear()
-            known = self.pairs[key] = self._meets_at(a, b) == _NEVER
+            known = self.old_pairs.get(key)
+            if known is None:
+                known = self._meets_at(a, b) == _NEVER
+            self.pairs[key] = known
         return known
 
     def encode_words(self, words: list[str]) -> None:
@@ -182,13 +193,21 @@ class Bpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Encode pieces that are not known yet."""
-        if len(self.pieces) + len(pieces) > MAX_KNOWN:
+        unknown = pieces.difference(self.pieces)
+        if len(self.pieces) + len(unknown) > MAX_KNOWN:
+            self.old_pieces, self.old_decoded = self.pieces, self.decoded
             self.pieces, self.decoded = {"": b""}, {"": b""}
+            unknown = pieces.difference(self.pieces)
         if len(self.words) > MAX_KNOWN:
-            self.words.clear()
-        new = {piece: self.split(piece) for piece in pieces.difference(self.pieces)}
-        words = {w for parts in new.values() for w in parts if isinstance(w, str)}
-        self.encode_words(list(words.difference(self.words)))
+            self.old_words, self.words = self.words, {}
+        again = unknown.intersection(self.old_pieces)
+        self.pieces.update((piece, self.old_pieces[piece]) for piece in again)
+        self.decoded.update((piece, self.old_decoded[piece]) for piece in again)
+        new = {piece: self.split(piece) for piece in unknown.difference(again)}
+        words = {w for parts in new.values() for w in parts if isinstance(w, str)}.difference(self.words)
+        again = words.intersection(self.old_words)
+        self.words.update((word, self.old_words[word]) for word in again)
+        self.encode_words(list(words.difference(again)))
         known, names = self.words, self.names
         for piece, parts in new.items():
             ids: list[int] = []
