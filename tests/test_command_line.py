@@ -56,3 +56,24 @@ def test_the_command_starts_by_its_path(tmp_path):
 def test_build_needs_a_source(spark, tmp_path):
     with pytest.raises(SystemExit):
         main(["build", str(tmp_path)])
+
+
+def test_loads_are_added(spark, tmp_path):
+    from tillstar.plans import load
+
+    root = str(tmp_path / "star")
+    (tmp_path / "one.csv").write_text(LINES)
+    (tmp_path / "two.csv").write_text(LINES.splitlines()[0] + "\n" + "".join(
+        f"{n},P{n % 3 + 1},NEW,{n},2/{n}/2011 9:00,{n},{c},Italy\n" for n, c in ((5, "a"), (6, "d"), (7, "e"))
+    ))
+    for name in ("one", "two", "two"):
+        main(["load", root, "--source", str(tmp_path / f"{name}.csv"), "--name", name])
+    tables = load.tables(spark, root)
+    assert column(tables["fact_sales"], "fact_id", "invoice_no", order=["fact_id"]) == [
+        (1, "1"), (2, "2"), (3, "4"), (4, "5"), (5, "6"), (6, "7"),
+    ]
+    assert column(tables["dim_customer"], "customer_id", "country", order=["customer_id"]) == [
+        ("a", "United Kingdom"), ("b", "Japan"), ("c", "Japan"), ("d", "France"), ("e", "Italy"),
+    ]
+    with pytest.raises(SystemExit):
+        main(["load", root, "--source", str(tmp_path / "one.csv")])

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tillstar.operators.clean import clean
 from tillstar.operators.columns import has
 from tillstar.operators.rolling import BLOCK_ROWS, sort_by_country
-from tillstar.operators.scratch import scratch_folder
+from tillstar.operators.scratch import materialize, scratch_folder
 from tillstar.operators.transform import transform
-from tillstar.plans import profile, star
+from tillstar.plans import load, profile, star
 from tillstar.sources import layers as L
+from tillstar.sources import versions
 from tillstar.sources.reports import write_report
 
 
@@ -47,6 +48,26 @@ def run(
     return layers
 
 
+def load_lines(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    name: str,
+    run_ts: datetime | None = None,
+    date_format: str | None = None,
+    accuracy: int | None = None,
+) -> versions.Version:
+    """Clean raw lines by themselves and add them to the star below `root` as the load `name`.
+    A load of a known name adds nothing and reads nothing."""
+    before = versions.current(spark, root.rstrip("/"))
+    if name in before.loads:
+        return before
+    run_ts = run_ts or datetime.now()
+    with scratch_folder(spark):
+        processed = materialize(process(raw, run_ts, date_format, accuracy), "processed")
+        return load.append(spark, processed, root, name, run_ts)
+
+
 def process(
     raw: DataFrame,
     run_ts: datetime,
