@@ -2,17 +2,21 @@
 
 1. Every text becomes the set of its distinct word shingles and a signature of HASHES
    minimum hashes. Texts with one set form a class; only classes go on.
-2. A class is posted under its (coordinate, value) pairs. Two signatures that agree in at
-   least MATCHES coordinates share one of the HASHES - MATCHES + 1 rarest pairs of each
-   (prefix filter in order of frequency); pairs that occur once join nothing and are
-   skipped. Passages that many documents share are frequent pairs, so they come last.
+2. A class is posted under its (coordinate, value) pairs, taken two neighbouring coordinates
+   at a time. Two signatures that agree in at least MATCHES of HASHES coordinates agree in
+   LEAST whole twos, so they share one of the HASHES / 2 - LEAST + 1 rarest of each (prefix
+   filter in order of frequency); twos that occur once join nothing and are skipped. Passages
+   that many documents share are frequent, so they come last. Of lists with the same members
+   one is read.
 3. In each posting list the smallest class, its hub, meets the others; collisions are
    counted over whole signatures, and pairs with enough of them are confirmed on the full
    shingle sets. Confirmed links join classes to components.
 4. A list whose members all are in one component is done: further links would change
    nothing. In the others every member outside the list's main component meets all
-   members of other components, in blocks of bounded size; pairs that join components
-   are confirmed on the full sets, too.
+   members of other components, in blocks of bounded rows and shingles. Collisions are
+   counted in 8 bits a coordinate (never too few), then full sets are compared in the
+   block, and only links that join two components of the block are put out, fewer than it
+   has members.
 
 No pair is dropped by a cap; copies and groups that hang together are never expanded into
 all pairs. With 64 hashes and 36 matches a link of similarity 0.8 is missed with a
@@ -33,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.arrays import Words, map_arrow, map_slices, mix, strings
@@ -43,10 +47,12 @@ WORDS = 5
 PERCENT = 80
 HASHES = 64
 MATCHES = 36
-# Members of a posting list that meet in one block, and the longest list whose pairs are
-# put out instead of being compared there.
+# Twos of neighbouring coordinates that agree at least: each of the others differs in one
+# coordinate or two.
+LEAST = MATCHES - HASHES // 2
+# Members of a posting list, and shingles of theirs, that meet in one block.
 BLOCK = 512
-SHORT_LIST = 32
+BLOCK_SHINGLES = 1 << 19
 # Text bytes hashed at once; a byte takes about 40 bytes on the way.
 SLICE_BYTES = 1 << 20
 
@@ -131,32 +137,37 @@ def shingle_sets(docs: DataFrame, text: str, width: int) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(token, key): each class under the rarest (coordinate, value) pairs of its signature,
-    as far as another class is there, too."""
+    """(token, key, n_shingles): each class under the rarest twos of (coordinate, value) pairs
+    of its signature, as far as another class is there, too; of lists with the same members
+    only one."""
     # 64 bits stand for the key on the way; should two keys share them, each just gets the
     # postings of both.
     short = F.xxhash64("key").alias("short")
-    tokens = classes.select(short, F.posexplode("signature").alias("place", "value")).select(
-        "short", F.xxhash64("place", "value").alias("token")
-    )
+    value = F.col("signature")
+    twos = [F.xxhash64(F.lit(k), value[k], value[k + 1]) for k in range(0, HASHES, 2)]
+    tokens = classes.select(short, F.explode(F.array(*twos)).alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     ranked = tokens.join(shared, "token").groupBy("short").agg(
         F.sort_array(F.collect_list(F.struct("n", "token"))).alias("pairs")
     )
-    # Pairs that occur once come first in the order, so they use up the prefix.
-    kept = F.size("pairs") - (MATCHES - 1)
+    # Twos that occur once come first in the order, so they use up the prefix.
+    kept = F.size("pairs") - (LEAST - 1)
     listed = ranked.where(kept > 0).select(
         "short", F.explode(F.slice("pairs", F.lit(1), kept)).alias("pair")
     )
     listed = materialize(listed.select(F.col("pair.token").alias("token"), "short"), "prefixes")
-    lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return listed.join(lists, "token", "left_semi").join(classes.select(short, "key"), "short").select("token", "key")
+    # The members of a list, named by their number and 128 bits.
+    named = (F.bit_xor("short").alias("one"), F.bit_xor(F.xxhash64("short", F.lit(1))).alias("other"))
+    lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *named).where("n > 1")
+    lists = lists.groupBy("n", "one", "other").agg(F.min("token").alias("token")).select("token")
+    known = classes.select(short, "key", "n_shingles")
+    return listed.join(lists, "token", "left_semi").join(known, "short").select("token", "key", "n_shingles")
 
 
 def hub_pairs(posted: DataFrame) -> DataFrame:
     """(a, b): the smallest class of each posting list with each of the others."""
-    hubs = posted.groupBy("token").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = posted.join(hubs.select("token", "a"), "token").where("key != a")
+    hubs = posted.groupBy("token").agg(F.min("key").alias("a"))
+    pairs = posted.join(hubs, "token").where("key != a")
     return pairs.select("a", F.col("key").alias("b")).distinct()
 
 
@@ -220,67 +231,73 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def open_lists(posted: DataFrame, found: DataFrame) -> DataFrame:
-    """(token, key, component, hub, main, n, others, blocks): the members of lists that have
+    """(token, key, component, hub, main, others, blocks): the members of lists that have
     several components; `others` and `blocks` are the numbers of blocks of the members
-    outside the main component, and of all n."""
+    outside the main component, and of all."""
     labelled = posted.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    sizes = labelled.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least"))
+    sizes = labelled.groupBy("token", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"), F.min("key").alias("least")
+    )
     lists = sizes.groupBy("token").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.max(F.struct("n", "component", "shingles")).alias("most"),
         F.sum("n").alias("n"),
-        F.max("n").alias("n_main"),
+        F.sum("shingles").alias("shingles"),
         F.min("least").alias("hub"),
     )
+
+    def blocks(n: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+    n, shingles = F.col("n"), F.col("shingles")
     # Beside the hub, two members of different components are needed.
-    chosen = lists.where("n > 2 and n > n_main").withColumns(
-        {
-            "others": F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int"),
-            "blocks": F.ceil(F.col("n") / BLOCK).cast("int"),
-        }
+    chosen = lists.where("n > 2 and n > most.n").select(
+        "token",
+        "hub",
+        "main",
+        blocks(n - F.col("most.n"), shingles - F.col("most.shingles")).alias("others"),
+        blocks(n, shingles).alias("blocks"),
     )
-    return labelled.join(chosen.drop("n_main"), "token")
+    return labelled.drop("n_shingles").join(chosen, "token")
 
 
-def remaining_pairs(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of an open list that join its components.
+def remaining_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of open lists that join their components.
 
-    Every member outside the main component meets all members of other components, block
-    by block. A list of at most SHORT_LIST members puts out the pairs with enough
-    collisions. In longer ones such pairs are compared on their sets, in 32 bits a shingle,
-    and a pair is only put out if it joins components of the block that no pair before it
-    did, or if it is so close to the threshold that the full sets must tell.
+    Every member outside the main component (it probes) meets all members of other
+    components, block by block.
     """
     draw = F.xxhash64("key")
-    columns = ("token", "key", "component", "hub", "n")
-    outside = members.where("component != main").select(
+    columns = ("token", "key", "component", "hub")
+    # A list of one block needs no member twice.
+    one = (F.col("others") == 1) & (F.col("blocks") == 1)
+    apart = F.col("component") != F.col("main")
+    outside = members.where(apart & ~one).select(
         *columns,
-        F.lit(True).alias("outside"),
+        F.lit(True).alias("probes"),
+        F.lit(False).alias("stays"),
         F.pmod(draw, "others").cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
     )
     everyone = members.select(
         *columns,
-        F.lit(False).alias("outside"),
+        (apart & one).alias("probes"),
+        F.lit(True).alias("stays"),
         F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"),
         F.pmod(draw, "blocks").cast("int").alias("j"),
     )
 
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            short = [
-                np.unique((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes()
-                for x in batch.column(1)
-            ]
-            columns = [batch.column(0), pa.array(short, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "short"])
+            values = batch.column(1)
+            low = values.flatten().to_numpy().astype(np.uint8).reshape(batch.num_rows, HASHES)
+            columns = [batch.column(0), pa.array([row.tobytes() for row in low], pa.binary()), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "brief", "members"])
 
     group = ("token", "i", "j")
-    meeting = outside.union(everyone).join(classes.select("key", "signature"), "key")
-    in_long = members.where(F.col("n") > SHORT_LIST).select("key").distinct()
-    short = map_arrow(sets.join(in_long, "key", "left_semi").select("key", "members"), shorten, "key binary, short binary")
-    is_short = F.col("n") <= SHORT_LIST
-    brief = meeting.where(is_short).withColumn("short", F.lit(None).cast("binary"))
-    met = brief.unionByName(meeting.where(~is_short).join(short, "key"))
+    held = classes.select("key", "signature").join(members.select("key").distinct(), "key", "left_semi").join(sets, "key")
+    held = map_arrow(held.select("key", "signature", "members"), brief, "key binary, brief binary, members binary")
+    met = outside.union(everyone).join(held, "key")
     dealt = met.repartition(*group).sortWithinPartitions(*group)
     kind = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -289,7 +306,7 @@ def remaining_pairs(members: DataFrame, classes: DataFrame, sets: DataFrame, per
             a, b = meet(rows, percent)
             yield pa.RecordBatch.from_arrays([a, b], schema=kind)
 
-    rows = dealt.select(*group, "key", "component", "hub", "outside", "signature", "short")
+    rows = dealt.select(*group, "key", "component", "hub", "probes", "stays", "brief", "members")
     return map_arrow(rows, run, "a binary, b binary").distinct()
 
 
@@ -312,56 +329,47 @@ def whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> I
 
 
 def meet(rows: pa.Table, percent: int) -> tuple[pa.Array, pa.Array]:
-    """Pairs of one block of a list that join components."""
+    """Links of one block of a list that join its components."""
     rows = rows.combine_chunks()
     keys = rows.column("key").to_pylist()
     parts = rows.column("component").to_pylist()
     hub = rows.column("hub")[0].as_py()
-    outside = rows.column("outside").to_numpy()
-    signature = rows.column("signature").combine_chunks()
-    values = signature.flatten().to_numpy().reshape(len(keys), -1)
-    brief = rows.column("short").null_count > 0
-    short = [] if brief else [np.frombuffer(x, np.uint32) for x in rows.column("short").to_pylist()]
-    # One number per component of the block; they merge as pairs join them.
+    # The hub has met all.
+    is_hub = np.array([key == hub for key in keys])
+    probes = np.flatnonzero(rows.column("probes").to_numpy() & ~is_hub)
+    every = np.flatnonzero(rows.column("stays").to_numpy() & ~is_hub)
+    values = np.frombuffer(b"".join(rows.column("brief").to_pylist()), np.uint8).reshape(len(keys), -1)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("members").combine_chunks()]
+    sizes = np.array([len(x) for x in sets])
+    # One number per component of the block; they merge as links join them.
     number = {part: i for i, part in enumerate(dict.fromkeys(parts))}
     part = np.array([number[x] for x in parts])
-    every = np.array([i for i in np.flatnonzero(~outside) if keys[i] != hub], np.int64)
     a, b = [], []
-    for i in np.flatnonzero(outside).tolist():
-        if keys[i] == hub:
-            continue
+    for i in probes.tolist():
         others = every[part[every] != part[i]]
+        fits = np.minimum(sizes[others], sizes[i]) * 100 >= percent * np.maximum(sizes[others], sizes[i])
+        others = others[fits]
         others = others[(values[others] == values[i]).sum(axis=1) >= MATCHES]
         if not len(others):
             continue
-        if brief:
-            a += [min(keys[i], keys[j]) for j in others]
-            b += [max(keys[i], keys[j]) for j in others]
-            continue
-        likeness, size = jaccard(short[i], [short[j] for j in others])
-        # One shingle more or less: 32 bits may make two of them one.
-        doubt = 0.001 + 2 / size
-        close = likeness > percent / 100 - doubt
-        sure = likeness > percent / 100 + doubt
-        for j, is_sure in zip(others[close].tolist(), sure[close].tolist(), strict=True):
+        both, union = overlaps(sets[i], [sets[j] for j in others])
+        for j in others[100 * both >= percent * union].tolist():
             if part[j] == part[i]:
                 continue
             a.append(min(keys[i], keys[j]))
             b.append(max(keys[i], keys[j]))
-            if is_sure:
-                part[part == part[j]] = part[i]
+            part[part == part[j]] = part[i]
     return pa.array(a, pa.binary()), pa.array(b, pa.binary())
 
 
-def jaccard(one: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Similarity of a sorted set to each of several, none of them empty, and the size of
-    their unions."""
+def overlaps(one: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the intersections and unions of a sorted set with each of several, none of
+    them empty."""
     sizes = np.array([len(x) for x in others])
     joined = np.concatenate(others)
     at = np.minimum(np.searchsorted(one, joined), len(one) - 1)
     both = np.add.reduceat((one[at] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
-    union = len(one) + sizes - both
-    return both / union, union
+    return both, len(one) + sizes - both
 
 
 def find(
@@ -374,7 +382,11 @@ def find(
     classes = materialize(
         signed.where("key is not null")
         .groupBy("key")
-        .agg(F.min(id).alias("least"), F.first("signature").alias("signature")),
+        .agg(
+            F.min(id).alias("least"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("signature").alias("signature"),
+        ),
         "classes",
     )
     posted = materialize(postings(classes), "postings")
@@ -392,9 +404,8 @@ def find(
     found = components(links)
     members = materialize(open_lists(posted, found), "open-lists")
     if not members.isEmpty():
-        more = materialize(remaining_pairs(members, classes, sets, percent), "pairs")
-        links = links.union(materialize(confirmed(more, sets, percent), "links"))
-        found = components(links)
+        more = materialize(remaining_links(members, classes, sets, percent), "links")
+        found = components(links.union(more))
 
     labelled = classes.select("key", "least").join(found, "key")
     names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -402,13 +413,12 @@ def find(
     of_class = classes.select("key", "least").join(named, "key", "left").select(
         "key", F.coalesce("_linked", "least").alias("_of_class")
     )
-    component = F.when(F.col("key").isNull(), F.col(id)).otherwise(F.col("_of_class"))
-    return signed.drop("signature").join(of_class, "key", "left").select(
-        id,
-        "n_shingles",
-        component.alias("component_id"),
-        F.col(id).eqNullSafe(component).alias("kept"),
-    )
+    # Texts without words have no key, and meet nothing.
+    columns = (id, "n_shingles")
+    judged = signed.where("key is not null").select(*columns, "key").join(of_class, "key", "left")
+    alone = signed.where("key is null").select(*columns, F.col(id).alias("component_id"))
+    every = judged.select(*columns, F.col("_of_class").alias("component_id")).union(alone)
+    return every.withColumn("kept", F.col(id).eqNullSafe(F.col("component_id")))
 
 
 def drop_duplicates(
