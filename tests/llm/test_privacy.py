@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import frames
@@ -63,6 +64,46 @@ def test_surrogate_is_no_entity_of_the_corpus(spark):
     assert found[1][0] != first and first not in found[2][0]
 
 
+def test_few_surrogates_of_a_format(spark):
+    """One-letter addresses of a domain are more than the letters that stand for one."""
+    mails = [f"{chr(97 + i)}@x.com" for i in range(26)]
+    found = frames.by_id(replaced(spark, [(i, f"to {m} now") for i, m in enumerate(mails)]), "text")
+    made = [found[i][0][3:-4] for i in range(26)]
+    assert len(set(made)) == 26 and not set(made) & set(mails)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.com", m) for m in made)
+
+
+def test_words_of_a_name_stay_one_person(spark):
+    rows = [
+        (1, "John Smith came. Mr. Smith left, then JOHN SMITH and Smith; smith is a trade."),
+        (2, "Mrs. Zelda Kowalski spoke. Later Zelda Kowalski left."),
+        (3, "Smith without a name stays"),
+    ]
+    found = frames.by_id(replaced(spark, rows), "text")
+    text = re.fullmatch(r"(\w+) (\w+) came\. Mr\. (\w+) left, then (\w+) (\w+) and (\w+); smith is a trade\.", found[1][0])
+    given, family = text[1], text[2]
+    assert given in privacy.GIVEN["m", "latin"] and given != "John" and family != "Smith"
+    assert text.groups()[2:] == (family, given.upper(), family.upper(), family)
+    zelda = re.fullmatch(r"Mrs\. (\w+a \w+) spoke\. Later (\w+ \w+) left\.", found[2][0])
+    assert zelda[1] == zelda[2] and "Kowalski" not in zelda[1]
+    assert found[3][0] == rows[2][1]
+
+
+def test_given_names_change_in_pairs(spark):
+    listed = [(name, group) for group, names in privacy.GIVEN.items() for name in names]
+    names = spark.createDataFrame([(name,) for name, _ in listed], "name string")
+    made = dict(map(tuple, names.select("name", privacy._other_given(F.col("name"), "k")).collect()))
+    assert len(set(made.values())) == len(listed)
+    for name, group in listed:
+        assert made[name] != name and made[name] in privacy.GIVEN[group]
+
+
+def test_too_few_surrogates_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(privacy, "MAX_ATTEMPTS", 1)
+    with pytest.raises(ValueError, match="email"):
+        replaced(spark, [(i, f"{chr(97 + i)}@x.com") for i in range(26)]).count()
+
+
 def test_awkward_texts_and_columns(spark):
     docs = frames.docs(spark, frames.AWKWARD)
     out = privacy.replace(docs, "k")

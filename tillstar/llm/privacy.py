@@ -7,8 +7,17 @@ the format (separators, letter case, digits for digits), the network and check d
 card, the country code of a phone number, the top domain, and the gender and script of a
 name.
 
+Names are replaced word by word, so that `John Smith`, `Mr. Smith` and `Smith` stay one
+person: a listed given name before others becomes another one of its gender and script, in
+a keyed order in which no two names get the same; every other word is an entity of its own,
+made of syllables. A document with names is searched again for each of their words, as they
+were found and in capitals.
+
 Two checks keep entities distinct: no two share a surrogate, and no surrogate is itself an
 entity of the corpus. Entities that fail get the next attempt's surrogate until none does.
+A later attempt lengthens words and addresses, and from WIDEN on phone and social security
+numbers, so that free surrogates never run out; for cards and IP addresses MAX_ATTEMPTS
+attempts without one are an error.
 Attempt 0 needs no lookup, so texts are not shuffled for it; only documents with one of
 the few entities of a later attempt are joined to those attempts.
 
@@ -21,6 +30,9 @@ result; other columns are kept as they are.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +84,10 @@ ANY = "|".join(f"(?:{rule})" for rule in RULES.values())
 # What a text must hold to have an entity of any kind; cheap to test.
 _HINT = rf"@|[0-9][0-9 .)-]{{5}}|(?<!\p{{L}})(?=\p{{Lu}})(?:{_TITLE}|{_LISTED})\b"
 
+# Attempts before numbers are lengthened, and before none is taken to be left.
+WIDEN = 8
+MAX_ATTEMPTS = 60
+
 LETTERS = "bcdfghjklmnprstv"
 HEX = "0123456789abcdef"
 
@@ -173,28 +189,18 @@ def _ip(stream: Column) -> Column:
     return F.concat_ws(".", *[(_number(stream, at, 254) + 1).cast("string") for at in (1, 9, 17, 25)])
 
 
-def _email(value: Column, key: str, stream: Column) -> Column:
+def _email(value: Column, key: str, stream: Column, attempt: Column) -> Column:
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     top = F.regexp_extract(domain, r"(\.[^.]+)$", 1)
     inner = F.substring(domain, F.lit(1), F.length(domain) - F.length(top))
-    return F.concat(_alike(local, stream), F.lit("@"), _alike(inner, _stream(key, F.lit("domain"), F.lower(domain))), top)
+    longer = F.substring(F.translate(stream, HEX, LETTERS), F.lit(1), attempt)
+    return F.concat(_alike(local, stream), longer, F.lit("@"), _alike(inner, _stream(key, F.lit("domain"), F.lower(domain))), top)
 
 
 def _choice(options: tuple[str, ...], number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, options)), F.pmod(number, F.lit(len(options))) + 1)
 
 
-def _gender(value: Column) -> Column:
-    """f or m by title, else by given name, else m or f by the key."""
-    bare = F.regexp_extract(value, rf"^(?:(?:{_TITLE})\.? )?(\S+)", 1)
-    found = F.lit(None).cast("string")
-    for (gender, _), names in GIVEN.items():
-        found = F.when(F.lower(bare).isin(*[n.lower() for n in names]), F.lit(gender)).otherwise(found)
-    for gender, titles in TITLES.items():
-        found = F.when(value.rlike(rf"^(?:{'|'.join(titles)})\.? "), F.lit(gender)).otherwise(found)
-    return found
-
-
 def _syllables(options: tuple[str, ...], stream: Column, n: Column) -> Column:
     """n lower-case syllables."""
 
@@ -205,40 +211,90 @@ def _syllables(options: tuple[str, ...], stream: Column, n: Column) -> Column:
     return F.when(n == 0, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(1), n), one), ""))
 
 
-def _name(value: Column, entity: Column, stream: Column, attempt: Column) -> Column:
-    """Title kept, given name of the same gender and script, family name of syllables, one
-    more for each attempt; as many words as the entity."""
-    title = F.regexp_extract(value, rf"^((?:{_TITLE})\.? )?", 1)
-    words = F.size(F.split(entity, " "))
-    script = F.when(entity.rlike("[а-яё]"), "cyrillic").otherwise("latin")
-    gender = F.coalesce(_gender(value), F.lit("m"))
-    given, family = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for (g, s), names in GIVEN.items():
-        chosen = _choice(names, _number(stream, 1, 1 << 20))
-        given = F.when((gender == g) & (script == s), chosen).otherwise(given)
-    for s in FAMILY:
-        middle = _syllables(FAMILY[s], stream, attempt)
+def _word(entity: Column, stream: Column, attempt: Column) -> Column:
+    """A word of a name in the script of `entity`, one more syllable for each attempt."""
+    made = F.lit(None).cast("string")
+    for script in FAMILY:
         whole = F.concat(
-            _choice(FAMILY[s], _number(stream, 9, 1 << 20)), middle, _choice(FAMILY_END[s], _number(stream, 17, 1 << 20))
+            _choice(FAMILY[script], _number(stream, 9, 1 << 20)),
+            _syllables(FAMILY[script], stream, attempt),
+            _choice(FAMILY_END[script], _number(stream, 17, 1 << 20)),
         )
-        family = F.when(script == s, whole).otherwise(family)
-    # A title with one word names a family; else the first word is the given name.
-    return F.concat(title, F.when(words == 1, family).otherwise(F.concat_ws(" ", given, family)))
+        made = F.when(entity.rlike("[а-яё]") if script == "cyrillic" else ~entity.rlike("[а-яё]"), whole).otherwise(made)
+    return made
+
+
+def _words(name: Column) -> Column:
+    return F.split(F.regexp_replace(name, rf"^(?:{_TITLE})\.? ", ""), " ")
+
+
+def _listed(name: Column) -> Column:
+    """The listed given name that `name` begins with; null if there is none or nothing else."""
+    words = _words(name)
+    every = [n for names in GIVEN.values() for n in names]
+    return F.when((F.size(words) > 1) & F.get(words, F.lit(0)).isin(every), F.get(words, F.lit(0)))
+
+
+def _own_words(name: Column) -> Column:
+    """Words of a name that are entities of their own."""
+    words = _words(name)
+    return F.when(_listed(name).isNull(), words).otherwise(F.slice(words, F.lit(2), F.size(words) - 1))
+
+
+def _other_given(name: Column, key: str) -> Column:
+    """Another given name of the same gender and script: the next in an order by the key."""
+    pairs = []
+    for names in GIVEN.values():
+        order = sorted(names, key=lambda n: hashlib.sha256(f"{key}\x1fgiven\x1f{n}".encode()).hexdigest())
+        pairs += zip(order, order[1:] + order[:1], strict=True)
+    return F.element_at(F.create_map(*[F.lit(x) for pair in pairs for x in pair]), name)
+
+
+Attempts = Callable[[Column, Column], Column]
+
+
+def _renamed(name: Column, key: str, attempt_of: Attempts) -> Column:
+    """(word, made) of the words of a name, without its title."""
+    woman = name.rlike(rf"^(?:{'|'.join(TITLES['f'])})\.? \S+ ")
+
+    def own(word: Column, i: Column) -> Column:
+        made = surrogate(word, F.lit("name"), key, attempt_of(F.lit("name"), word))
+        # After a woman's title the first of two words is hers; no made word ends like this.
+        end = F.when(word.rlike("[а-яё]"), "а").otherwise("a")
+        first = woman & (i == 0) & _listed(name).isNull()
+        return F.struct(word.alias("word"), F.when(first, F.concat(made, end)).otherwise(made).alias("made"))
+
+    given = F.struct(_listed(name).alias("word"), _other_given(_listed(name), key).alias("made"))
+    others = F.transform(_own_words(name), own)
+    return F.when(_listed(name).isNull(), others).otherwise(F.concat(F.array(given), others))
 
 
 def surrogate(value: Column, kind: Column, key: str, attempt: Column) -> Column:
+    """What stands for an entity; of kind `name`, for one word."""
     entity = canonical(value, kind)
     stream = _stream(key, kind, entity, attempt.cast("string"))
+    more = F.substring(F.reverse(_digits(stream)), F.lit(1), F.greatest(attempt - WIDEN, F.lit(0)))
     return (
-        F.when(kind == "email", _email(value, key, stream))
+        F.when(kind == "email", _email(value, key, stream, attempt))
         .when(kind == "ip", _ip(stream))
         .when(kind == "card", _fill(value, _card(entity, stream)))
-        .when(kind == "phone", _fill(value, _phone(value, entity, stream)))
-        .when(kind == "ssn", _fill(value, F.substring(_digits(stream), F.lit(1), F.length(entity))))
-        .otherwise(_name(value, entity, stream, attempt))
+        .when(kind == "phone", F.concat(_fill(value, _phone(value, entity, stream)), more))
+        .when(kind == "ssn", F.concat(_fill(value, F.substring(_digits(stream), F.lit(1), F.length(entity))), more))
+        .otherwise(_word(entity, stream, attempt))
     )
 
 
+def single(e: Column) -> Column:
+    """(kind, value) of the entities of a match: the words of a name, else itself."""
+    own = F.transform(_own_words(e["value"]), lambda w: F.struct(e["kind"].alias("kind"), w.alias("value")))
+    return F.when(e["kind"] == "name", own).otherwise(F.array(F.struct(e["kind"].alias("kind"), e["value"].alias("value"))))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with `value` evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def with_entities(docs: DataFrame, text: str) -> DataFrame:
     """`docs` with `_found`: (kind, value) of all entities in the order of the text. A number
     that fails a card's check digit is not one."""
@@ -258,7 +314,7 @@ def with_entities(docs: DataFrame, text: str) -> DataFrame:
 
 def later_attempts(docs: DataFrame, key: str) -> DataFrame:
     """(kind, entity, attempt): entities whose first surrogate is not theirs alone."""
-    each = docs.select(F.explode("_found").alias("e")).where("e.kind is not null")
+    each = docs.select(F.explode(F.flatten(F.transform("_found", single))).alias("e")).where("e.kind is not null")
     value = F.col("value")
     entities = materialize(
         each.select("e.kind", "e.value", canonical(F.col("e.value"), F.col("e.kind")).alias("entity"))
@@ -266,9 +322,11 @@ def later_attempts(docs: DataFrame, key: str) -> DataFrame:
         .agg(F.min("value").alias("value")),
         "entities",
     )
-    # A stored table of short rows is read by few tasks; making surrogates takes many.
-    numbered = entities.repartition("kind", "entity").withColumn("attempt", F.lit(0))
-    while True:
+    # A stored table of short rows is read by few tasks; making surrogates takes many. A given
+    # number of partitions is not merged.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = entities.repartition(tasks, "kind", "entity").withColumn("attempt", F.lit(0))
+    for _ in range(MAX_ATTEMPTS):
         made = canonical(surrogate(value, F.col("kind"), key, F.col("attempt")), F.col("kind"))
         tried = materialize(numbered.withColumn("made", made), "surrogates")
         # Of several with one surrogate the earliest attempt, then the least entity, keeps it.
@@ -282,7 +340,9 @@ def later_attempts(docs: DataFrame, key: str) -> DataFrame:
         following = materialize(following, "attempts")
         if following.where("clash").isEmpty():
             return following.where("attempt > 0").select("kind", "entity", "attempt")
-        numbered = following.drop("clash")
+        numbered = following.drop("clash").repartition(tasks, "kind", "entity")
+    left = following.where("clash").groupBy("kind").count().collect()
+    raise ValueError(f"no free surrogates of these formats are left: {dict(map(tuple, left))}")
 
 
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -294,7 +354,7 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     attempts = materialize(later_attempts(marked, key), "later-attempts")
     # Documents that hold an entity of a later attempt, by a hash of their text.
     by_text = F.xxhash64(place, F.length(place))
-    occurrences = marked.where(F.size("_found") > 0).select(by_text.alias("_text"), F.explode("_found").alias("e"))
+    occurrences = marked.where(F.size("_found") > 0).select(by_text.alias("_text"), F.explode(F.flatten(F.transform("_found", single))).alias("e"))
     occurrences = occurrences.select("_text", "e.kind", canonical(F.col("e.value"), F.col("e.kind")).alias("entity"))
     special = materialize(
         occurrences.where("kind is not null")
@@ -313,11 +373,34 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         ).otherwise(F.lit(0))
 
     def new(e: Column) -> Column:
-        made = surrogate(e["value"], e["kind"], key, attempt_of(e["kind"], e["value"]))
-        return F.when(e["kind"].isNull(), e["value"]).otherwise(made)
+        value = e["value"]
+        title = F.regexp_extract(value, rf"^((?:{_TITLE})\.? )?", 1)
+        words = F.transform(_renamed(value, key, attempt_of), lambda w: w["made"])
+        return (
+            F.when(e["kind"].isNull(), value)
+            .when(e["kind"] == "name", F.concat(title, F.array_join(words, " ")))
+            .otherwise(surrogate(value, e["kind"], key, attempt_of(e["kind"], value)))
+        )
+
+    names_found = F.transform(F.filter("_found", lambda e: e["kind"] == "name"), lambda e: e["value"])
+    known = F.array_distinct(F.flatten(F.transform(F.array_distinct(names_found), lambda v: _renamed(v, key, attempt_of))))
+
+    def again(gap: Column, known: Column) -> Column:
+        """`gap` with the words of known names replaced."""
+
+        def word(w: Column) -> Column:
+            same = F.get(F.filter(known, lambda k: (k["word"] == w) | (F.upper(k["word"]) == w)), F.lit(0))
+            made = F.when(same["word"] == w, same["made"]).otherwise(F.upper(same["made"]))
+            return F.when(w.rlike(r"^\p{Lu}"), F.coalesce(made, w)).otherwise(w)
+
+        parts = F.regexp_extract_all(gap, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+        return F.when(F.size(known) == 0, gap).otherwise(F.array_join(F.transform(parts, word), ""))
 
     gaps = F.split(F.col(place), ANY)
-    pieces = F.zip_with(gaps, F.transform("_found", new), lambda gap, e: F.concat(gap, F.coalesce(e, F.lit(""))))
+    made = F.transform("_found", new)
+    pieces = let(
+        known, lambda k: F.zip_with(gaps, made, lambda gap, e: F.concat(again(gap, k), F.coalesce(e, F.lit(""))))
+    )
 
     def count(kind: str) -> Column:
         k = F.size(F.filter("_found", lambda e: e["kind"] == kind))
