@@ -7,9 +7,15 @@ its window occurs verbatim, and comparing on from there gives the longest match.
 The arrays live in the task that reads the documents, so nothing is shuffled, and a
 text that thousands of documents share only gives each of them its own matches.
 
+Verdicts (`add_hits`) search each distinct window once and keep the passages hit and the
+items they are of, so their rows and memory follow the texts, also where a text repeats
+itself. `add_matches` lists every place of every window, which for a text of n equal words
+and an item of m are n * m.
+
 The benchmark is a query set: it goes through the driver in blocks of at most
 BLOCK_BYTES of text, one pass over the documents per block (one block for all usual
-benchmarks). Words are compared by 64-bit hashes.
+benchmarks); the verdicts of a block are stored before the next is read. Words are
+compared by 64-bit hashes.
 
 Defined cases: a null or empty text, or one without words, has no words, no matches
 and is never contaminated; an item without words has no window; repeated rows and
@@ -28,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.arrays import LOWER, Words, map_arrow, map_slices, strings
+from tillstar.operators.scratch import materialize
 
 # Words in a window; an item of fewer words is one window.
 WINDOW = 10
@@ -72,6 +79,104 @@ def add_matches(
     return marked if found else _search(marked, [], schema, id, text, window)
 
 
+HITS = "array<struct<start: int, end: int>>"
+
+
+def add_hits(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """(id, text, n_words, contaminated, hits, items): the passages of each document that
+    lie inside test windows, as word ranges that do not touch (end exclusive), and the sorted
+    ids of the items with a window there."""
+    marked = docs.select(
+        F.col(id),
+        F.col(text),
+        F.lit(0).alias("n_words"),
+        F.lit(False).alias("contaminated"),
+        F.from_json(F.lit("[]"), HITS).alias("hits"),
+        F.from_json(F.lit("[]"), "array<bigint>").alias("items"),
+    )
+    schema = f"`{id}` {docs.schema[id].dataType.simpleString()}, `{text}` string, "
+    schema += f"n_words int, contaminated boolean, hits {HITS}, items array<bigint>"
+    found = False
+    for block in _blocks(benchmark):
+        # One block at a time in the plan.
+        marked = _judge(materialize(marked, "hits") if found else marked, block, schema, id, text, window)
+        found = True
+    return marked if found else _judge(marked, [], schema, id, text, window)
+
+
+def _judge(
+    marked: DataFrame, block: list[tuple[int | None, str]], schema: str, id: str, text: str, window: int
+) -> DataFrame:
+    test = TestSuffixes(block, window)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        words = Words(strings(batch, text), IS_WORD)
+        document, place, group = SuffixArray(words, test).distinct_occurrences()
+        ranges, of_range = _flat(batch.column(4))
+        earlier = words.offsets[of_range]
+        begin = np.concatenate((place, ranges.field(0).to_numpy() + earlier))
+        end = np.concatenate((place + test.window[test.first_of[group]], ranges.field(1).to_numpy() + earlier))
+        # A place of its own after each document, so that passages end with it.
+        n_words = np.diff(words.offsets)
+        gap = np.repeat(np.arange(len(n_words)), n_words)
+        change = np.zeros(len(gap) + len(n_words) + 1, np.int64)
+        inside = np.append(gap, 0)
+        np.add.at(change, begin + inside[begin], 1)
+        np.add.at(change, end + inside[end - 1] if len(end) else end, -1)
+        hit = np.concatenate(([0], (np.cumsum(change) > 0).astype(np.int8), [0]))
+        edges = np.diff(hit)
+        start, stop = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        firsts = words.offsets[:-1] + np.arange(len(n_words))
+        owner = np.searchsorted(firsts, start, "right") - 1
+        # An empty document has a place, too, but no hit.
+        bounds = np.searchsorted(owner, np.arange(len(n_words) + 1))
+        passages = pa.StructArray.from_arrays(
+            [pa.array(start - firsts[owner], pa.int32()), pa.array(stop - firsts[owner], pa.int32())], ["start", "end"]
+        )
+        return {
+            id: batch.column(0),
+            text: batch.column(1),
+            "n_words": pa.array(n_words, pa.int32()),
+            "contaminated": pa.array(np.diff(bounds) > 0),
+            "hits": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), passages),
+            "items": _items(batch.column(5), test, document, group),
+        }
+
+    return map_slices(marked, run, schema, text)
+
+
+def _flat(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """All values of the lists, and the row each is of."""
+    return lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def _items(earlier: pa.ListArray, test: TestSuffixes, document: np.ndarray, group: np.ndarray) -> pa.ListArray:
+    """Sorted distinct ids of each document's items, of earlier blocks and this one."""
+    n = max(1, len(test.first_of))
+    pairs = np.unique(document * n + group)
+    document, group = pairs // n, pairs % n
+    count = test.items_until[group + 1] - test.items_until[group]
+    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    item = test.items_of[np.repeat(test.items_until[group], count) + nth]
+    values, rows = _flat(earlier)
+    ids = pa.array(test.item_ids, pa.int64()).take(pa.array(item, pa.int64()))
+    known = np.array(ids.is_valid())
+    every = np.concatenate((values.to_numpy(zero_copy_only=False).astype(np.int64), ids.filter(pa.array(known)).to_numpy()))
+    owner = np.concatenate((rows, np.repeat(document, count)[known]))
+    order = np.lexsort((every, owner))
+    every, owner = every[order], owner[order]
+    new = np.ones(len(every), bool)
+    new[1:] = (every[1:] != every[:-1]) | (owner[1:] != owner[:-1])
+    bounds = np.searchsorted(owner[new], np.arange(len(earlier) + 1))
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(every[new], pa.int64()))
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     rows, size = [], 0
     items = benchmark.select(F.col("item_id").cast("long"), "text").where(F.col("text").isNotNull())
@@ -152,6 +257,22 @@ class TestSuffixes:
         self.bits = max(1, int(len(self.vocabulary)).bit_length())
         self.longest = int(sizes.max()) if len(sizes) else 0
         self.low, self.high = self._bounds()
+        self._group()
+
+    def _group(self) -> None:
+        """Equal windows as one group: its first suffix, and the items that hold it."""
+        order = np.lexsort([*self.low[::-1], self.window])
+        new = np.ones(len(order), bool)
+        same = self.window[order][1:] == self.window[order][:-1]
+        for key in self.low:
+            same &= key[order][1:] == key[order][:-1]
+        new[1:] = ~same
+        self.first_of = order[new]
+        group = np.cumsum(new) - 1
+        size = max(1, len(self.item_ids))
+        pairs = np.unique(group * size + self.item[order])
+        self.items_of = pairs % size
+        self.items_until = np.searchsorted(pairs // size, np.arange(len(self.first_of) + 1))
 
     def _bounds(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Least and greatest key of any suffix that begins with each window."""
@@ -230,8 +351,15 @@ class SuffixArray:
 
     def occurrences(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, word number in the slice, test suffix) of all windows found."""
-        begin = self.search(self.test.low, right=False)
-        count = self.search(self.test.high, right=True) - begin
+        return self._places(np.arange(len(self.test.item)))
+
+    def distinct_occurrences(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, word number in the slice, group) of all distinct windows found."""
+        return self._places(self.test.first_of)
+
+    def _places(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        begin = self.search([key[wanted] for key in self.test.low], right=False)
+        count = self.search([key[wanted] for key in self.test.high], right=True) - begin
         suffix = np.repeat(np.arange(len(count)), count)
         nth = np.arange(len(suffix)) - np.repeat(np.cumsum(count) - count, count)
         position = self.at[begin[suffix] + nth] if len(suffix) else np.zeros(0, np.int64)
@@ -263,7 +391,7 @@ def judge(
 ) -> DataFrame:
     """One row per document: id, n_words, n_hit (words inside any match), n_items (items
     with a match), items_sha256 (of their ids), contaminated (n_hit > 0)."""
-    marked = add_matches(docs, benchmark, id, text, window)
+    marked = add_hits(docs, benchmark, id, text, window)
     kind = docs.schema[id].dataType.simpleString()
     schema = (
         f"`{id}` {kind}, n_words long, n_hit long, n_items long, "
@@ -274,28 +402,22 @@ def judge(
         for batch in batches:
             yield pa.RecordBatch.from_pydict(digest(batch, id))
 
-    return map_arrow(marked.select(id, "n_words", "matches"), run, schema)
+    return map_arrow(marked.select(id, "n_words", "contaminated", "hits", "items"), run, schema)
 
 
 def digest(batch: pa.RecordBatch, id: str) -> dict:
-    n_hit, n_items, hashes = [], [], []
-    for matches in batch.column(2).to_pylist():
-        reach = hit = 0
-        for match in sorted(matches, key=lambda m: m["doc_start"]):
-            end = match["doc_start"] + match["window"]
-            hit += max(0, end - max(reach, match["doc_start"]))
-            reach = max(reach, end)
-        items = sorted({str(m["item_id"]) for m in matches if m["item_id"] is not None})
-        n_hit.append(hit)
-        n_items.append(len(items))
-        hashes.append(hashlib.sha256(",".join(items).encode()).hexdigest())
+    ranges, rows = _flat(batch.column(3))
+    length = ranges.field(1).to_numpy() - ranges.field(0).to_numpy()
+    n_hit = np.bincount(rows, weights=length, minlength=batch.num_rows).astype(np.int64)
+    items = [sorted(map(str, ids)) for ids in batch.column(4).to_pylist()]
+    hashes = [hashlib.sha256(",".join(ids).encode()).hexdigest() for ids in items]
     return {
         id: batch.column(0),
         "n_words": batch.column(1).cast(pa.int64()),
         "n_hit": pa.array(n_hit, pa.int64()),
-        "n_items": pa.array(n_items, pa.int64()),
+        "n_items": pa.array([len(ids) for ids in items], pa.int64()),
         "items_sha256": pa.array(hashes, pa.string()),
-        "contaminated": pa.array([n > 0 for n in n_hit], pa.bool_()),
+        "contaminated": batch.column(2),
     }
 
 
@@ -304,6 +426,6 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text
     names = [f"_{i}" for i in range(len(docs.columns))]
     place = docs.columns.index(text)
     renamed = docs.toDF(*names).select(F.struct(*names).alias("_row"), F.col(names[place]).alias("text"))
-    marked = add_matches(renamed, benchmark, "_row", "text")
-    clean = marked.where(F.size("matches") == 0).select("_row.*")
+    marked = add_hits(renamed, benchmark, "_row", "text")
+    clean = marked.where("not contaminated").select("_row.*")
     return clean.toDF(*docs.columns)
