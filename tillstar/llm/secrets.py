@@ -4,7 +4,9 @@ The rules find assignments to names such as `password`, access keys and long hex
 What they find is the labelled sample of secrets; all other identifiers of the corpus are
 the sample of ordinary strings. Both samples give a first-order character model, counted
 over all documents: P(next character | character). A run of 16 or more key characters with
-letters and digits is a secret, too, if the models' log-likelihood ratio exceeds MARGIN.
+letters and digits, cut where the rules found something, is a secret, too, if the models'
+log-likelihood ratio exceeds MARGIN; of a run whose ordinary parts outweigh, the stretch of
+greatest ratio is judged in the same way.
 
 Only the two tables of pair counts (67 x 67 each) come to the driver.
 
@@ -80,20 +82,17 @@ class Buffer:
                 yield Span(match.start(), kind, match.end()), match.span()
 
     def runs(self, least: int, blocked: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of runs of ALPHABET that touch no blocked place."""
+        """Starts and ends of runs of ALPHABET, without blocked places."""
         inside = NUMBER[self.bytes] > 0
+        if blocked:
+            covered = np.zeros(len(self.bytes) + 1, np.int32)
+            np.add.at(covered, [a for a, _ in blocked], 1)
+            np.add.at(covered, [b for _, b in blocked], -1)
+            inside &= np.cumsum(covered[:-1]) == 0
         edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0))
         start, end = edges[::2], edges[1::2]
         keep = end - start >= least
         start, end = start[keep], end[keep]
-        if blocked and len(start):
-            covered = np.zeros(len(self.bytes) + 1, np.int32)
-            for a, b in blocked:
-                covered[a] += 1
-                covered[b] -= 1
-            so_far = np.concatenate(([0], np.cumsum(np.cumsum(covered) > 0)))
-            keep = so_far[end] == so_far[start]
-            start, end = start[keep], end[keep]
         return start, end
 
     def pairs(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,6 +156,17 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     return np.log((random + uniform) / 2 / ordinary).ravel()
 
 
+def best_stretch(ratio: np.ndarray, margin: float) -> tuple[int, int]:
+    """Characters (from, to) between which the sum of pair ratios is greatest, the first
+    such; (0, 0) if that is not above `margin`."""
+    so_far = np.concatenate(([0.0], np.cumsum(ratio)))
+    least = np.minimum.accumulate(so_far)
+    to = int(np.argmax(so_far - least))
+    if so_far[to] - least[to] <= margin:
+        return 0, 0
+    return int(np.argmin(so_far[: to + 1])), to + 1
+
+
 def find(column: pa.Array, model: np.ndarray, margin: float) -> tuple[list[list[Span]], list[list[Span]]]:
     """Per text: spans of the fixed rules, and those that the models add."""
     buffer = Buffer(column)
@@ -165,9 +175,16 @@ def find(column: pa.Array, model: np.ndarray, margin: float) -> tuple[list[list[
     added = []
     if len(start):
         pairs, first = buffer.pairs(start, end)
-        score = np.add.reduceat(model[pairs], first)
-        for a, b in zip(start[score > margin].tolist(), end[score > margin].tolist(), strict=True):
-            if IS_DIGIT[buffer.bytes[a:b]].any() and IS_LETTER[buffer.bytes[a:b]].any():
+        ratio = model[pairs]
+        score = np.add.reduceat(ratio, first)
+        at_most = np.add.reduceat(np.maximum(ratio, 0), first)
+        for run in np.flatnonzero(at_most > margin).tolist():
+            a, b = int(start[run]), int(end[run])
+            if score[run] <= margin:
+                low, high = best_stretch(ratio[first[run] : first[run] + b - a - 1], margin)
+                a, b = a + low, a + high
+            part = buffer.bytes[a:b]
+            if b - a >= MIN_RUN and IS_DIGIT[part].any() and IS_LETTER[part].any():
                 added.append(Span(a, len(KINDS) - 1, b))
     return buffer.per_text(rules), buffer.per_text(added)
 
