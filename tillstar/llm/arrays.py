@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -41,10 +43,17 @@ held: dict[str, Callable[[], None]] = {}
 
 
 def release(name: str | None) -> None:
-    """Forget what other operators than `name` keep, as workers outlive their stages."""
+    """Forget what other operators than `name` keep, as workers outlive their stages, and
+    give free memory back to the machine."""
     for other, forget in held.items():
         if other != name:
             forget()
+    pa.default_memory_pool().release_unused()
+    # glibc keeps freed arrays otherwise.
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def map_arrow(

@@ -50,6 +50,8 @@ IS_LETTER[0x41:0x5B] = IS_LETTER[0x61:0x7B] = True
 # Shortest identifier that is learned from, shortest run that is judged.
 MIN_IDENTIFIER = 6
 MIN_RUN = 16
+# Text bytes scanned at once; a byte takes about 40 bytes on the way.
+SLICE_BYTES = 1 << 20
 # Log-likelihood ratio from which a run is a secret.
 MARGIN = 20.0
 
@@ -125,7 +127,7 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, SIZE * SIZE), np.int64)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE_BYTES):
                 buffer = Buffer(strings(part, text))
                 places = [(span.start, span.end) for span, _ in buffer.rules]
                 ordinary, _ = buffer.pairs(*buffer.runs(MIN_IDENTIFIER, places))
@@ -203,7 +205,7 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", margin: float
         return {id: batch.column(0), "spans": pa.array(rows, kind)}
 
     schema = f"`{id}` {docs.schema[id].dataType.simpleString()}, spans {SPANS}"
-    return map_slices(docs.select(id, text), run, schema, text)
+    return map_slices(docs.select(id, text), run, schema, text, SLICE_BYTES)
 
 
 def digest(scanned: DataFrame, id: str = "doc_id") -> DataFrame:
@@ -244,7 +246,7 @@ def redact(docs: DataFrame, text: str = "text", margin: float = MARGIN) -> DataF
         return columns
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields)
-    return map_slices(inner, run, schema, names[place]).toDF(*docs.columns)
+    return map_slices(inner, run, schema, names[place], SLICE_BYTES).toDF(*docs.columns)
 
 
 def masked(text: str, spans: list[Span]) -> str:
