@@ -3,10 +3,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tests.frames import column, lines, same_rows
+from tests.frames import column, lines, raw, same_rows
 from tillstar.operators.segments import add_segments
 from tillstar.operators.transform import add_product_category
-from tillstar.plans import analytics, profile, star
+from tillstar.plans import analytics, batch, profile, star
 
 
 def processed(spark, *rows):
@@ -213,3 +213,18 @@ def test_stored_ids_are_checked_without_a_shuffle_of_facts(spark, run_ts, tmp_pa
     assert column(checks, "violations") == [0] * checks.count()
     plan = checks._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [customer_id" in plan and "Aggregate [fact_id" not in plan
+
+
+def test_lookups_shuffle_only_what_facts_need(spark, run_ts, monkeypatch):
+    seen, looked_up = [], star._looked_up
+
+    def watched(lines, counted, *others):
+        seen.append(set(lines.columns) | set(counted.columns))
+        return looked_up(lines, counted, *others)
+
+    monkeypatch.setattr(star, "_looked_up", watched)
+    processed = batch.process(raw(spark, {"customer_id": "1"}, {"customer_id": "2", "quantity": 2}, {"customer_id": "3", "quantity": 3}), run_ts)
+    dims = [build(processed, run_ts) for build in (star.dim_customer, star.dim_date, star.dim_product, star.dim_country)]
+    facts = star.fact_sales_lookup(processed, *dims, run_ts, 0)
+    assert facts.count() == 3 and len(seen) == 4
+    assert not set().union(*seen) & {"created_at", "invoice_year", "customer_segment", "product_category"}

@@ -167,7 +167,9 @@ def fact_sales_lookup(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Facts with all four keys looked up; a line with a missing key is left out."""
-    lines = keyed = _keyed(processed)
+    # The joins hash, and shuffle, whole lines: only what facts are made and ordered of.
+    keyed = _keyed(processed)
+    lines = keyed = keyed.select(*[c for c in keyed.columns if c in _USED])
     for lookup, key in (
         (_country_ids(countries), "country"),
         (dates.select("date_id"), "date_id"),
@@ -178,6 +180,13 @@ def fact_sales_lookup(
     return _facts(lines, run_ts)
 
 
+# Columns of the lines that facts and their order are taken from.
+_USED = (
+    "invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price", "customer_id",
+    "country", "total_amount", "rolling_7d_sales", "is_valid", "date_id",
+)
+
+
 def _keyed(processed: DataFrame) -> DataFrame:
     """Lines that can have all keys: dated, and with non-empty customer and product."""
     return processed.where(
