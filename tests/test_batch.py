@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import column, same_rows
 from tillstar import schemas
-from tillstar.operators import scratch, transform
+from tillstar.operators import ranges, rolling, scratch, transform
 from tillstar.operators.clean import clean
 from tillstar.plans import batch, quality, star
 from tillstar.sources import feed
@@ -165,3 +165,23 @@ def test_sql_text(spark, built):
 def test_approximate_statistics_run(spark, raw_lines, run_ts):
     processed = transform.transform(clean(raw_lines, run_ts, accuracy=100), accuracy=100)
     assert processed.where("is_valid = 1").count() > 0
+
+
+def test_repeats_are_dropped_by_the_shuffle_that_sorts(spark, raw_lines):
+    """One shuffle of whole lines, and the order holds whatever the types."""
+    names = ["country", "invoice_date", "invoice_no", "stock_code", "description", "quantity", "unit_price", "customer_id"]
+    for lines in (raw_lines, raw_lines.withColumn("unit_price", F.col("unit_price").cast("double"))):
+        order = [F.col("country").asc(), *rolling.line_order(lines)]
+        df = lines.repartition(5).localCheckpoint()
+        plan = ranges._distinct(df, order, names)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
+        sorted_ = rolling.sort_distinct_by_country(df)
+        assert same_rows(sorted_.drop(ranges.RANGE, ranges.ROW), df.distinct())
+        placed = column(sorted_, *names, order=[ranges.RANGE, ranges.ROW])
+        assert placed == column(df.distinct(), *names, order=order)
+
+
+def test_equal_doubles_of_two_signs_are_one_line(spark, raw_lines):
+    lines = raw_lines.limit(50).withColumn("unit_price", F.lit(0.0)).localCheckpoint()
+    both = lines.union(lines.withColumn("unit_price", F.lit(-0.0)))
+    assert rolling.sort_distinct_by_country(both).count() == lines.distinct().count()

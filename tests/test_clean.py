@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.frames import column, doubles, raw, ts
+from tillstar.functions import expressions
 from tillstar.operators import clean
 from tillstar.operators.columns import numeric_columns, text_columns
 from tillstar.operators.quantiles import quantile_values
@@ -244,3 +245,14 @@ def test_clean_fills_before_it_dedupes(spark, run_ts):
     assert sorted(column(df, "unit_price")) == [1, 2, 3]
     assert set(column(df, "created_at")) == {run_ts}
     assert set(column(df, "is_valid")) == {1}
+
+
+def test_texts_of_an_iso_shape_are_read_alike(spark):
+    days = [f"{y}-{m}-{d}" for y in ("0000", "1900", "2000", "9999") for m in ("00", "02", "12", "13") for d in ("00", "01", "29", "30", "31")]
+    texts = days + [f"{day} {time}" for day in days for time in ("00:00", "24:00", "23:59:59", "23:59:60", "12:60")]
+    odd = ["2000-1-02", " 2000-01-02", "2000-01-02 1:00", "2000-01-02 10", "2000-01-02 10:00:00.5", "+2000-01-02", "\u0662000-01-02", "", None]
+    df = spark.createDataFrame([(t,) for t in texts + odd], "x string")
+    read = df.select("x", expressions.parse_datetime("x").alias("fast"), expressions._read(F.col("x"), expressions.ISO_FORMAT).alias("slow"))
+    assert read.where("not (fast <=> slow)").isEmpty()
+    assert read.where("fast is not null").count() > 40
+    assert "CASE WHEN" in df.select(expressions.parse_datetime("x"))._jdf.queryExecution().analyzed().toString()

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 # Date texts that are recognised, the first of equally good ones wins.
 ISO_FORMAT = "yyyy-MM-dd[ HH:mm[:ss[.SSSSSS]]]"
+# Texts that ISO_FORMAT and a cast read alike, all digits made 1.
+ISO_SHAPES = ("1111-11-11", "1111-11-11 11:11", "1111-11-11 11:11:11")
 DATE_FORMATS = (
     ISO_FORMAT,
     "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSS]]",
@@ -42,8 +44,19 @@ def parse_datetime(column, fmt: str = ISO_FORMAT) -> Column:
 
     The text is read as UTC and rebuilt by arithmetic on a zone-less anchor, so
     the session time zone and its clock changes have no say in the result.
+
+    Texts of an ISO shape are cast, which reads them as the format does at a fraction of
+    the time.
     """
-    text = F.concat(F.col(column) if isinstance(column, str) else column, F.lit(" +0000"))
+    column = F.col(column) if isinstance(column, str) else column
+    if fmt == ISO_FORMAT:
+        shaped = F.translate(column, "023456789", "1" * 9).isin(*ISO_SHAPES)
+        return F.when(shaped, column.try_cast("timestamp_ntz")).otherwise(_read(column, fmt))
+    return _read(column, fmt)
+
+
+def _read(column: Column, fmt: str) -> Column:
+    text = F.concat(column, F.lit(" +0000"))
     instant = F.try_to_timestamp(text, F.lit(f"{fmt} Z"))
     anchor = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), anchor)

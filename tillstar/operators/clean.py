@@ -2,7 +2,6 @@
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
-from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -131,15 +130,17 @@ def clean(
     run_ts: datetime,
     date_format: str | None = None,
     accuracy: int | None = None,
-    store: Callable[[DataFrame], DataFrame] = partial(materialize, label="clean"),
+    store_distinct: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Parse, fill, dedupe, flag, stamp: in this order.
 
-    The deduplicated rows are written once (by `store`, which may add columns),
-    since the fences are taken from them and then applied to them.
+    The deduplicated rows are written once, since the fences are taken from them and then
+    applied to them. `store_distinct` drops repeats and writes in one step of its own, and
+    may add columns.
     """
+    store_distinct = store_distinct or (lambda rows: materialize(drop_repeats(rows), "clean"))
     filled = fill_text(fill_numeric(parse_dates(raw, date_format), accuracy))
-    unique = store(drop_repeats(filled))
+    unique = store_distinct(filled)
     flagged = flag_outliers(unique, numeric_columns(filled), accuracy)
     return flagged.withColumn("created_at", timestamp(run_ts))
 

@@ -8,6 +8,7 @@ many rows as there are shuffle partitions), with no second shuffle.
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from tillstar.operators.scratch import materialize
 
@@ -17,10 +18,17 @@ RANGE, ROW = "_range", "_row"
 _ROW_BITS = 2**33 - 1
 
 
-def range_sorted(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+def range_sorted(
+    df: DataFrame, order: list[Column], label: str, distinct_by: list[str] | None = None
+) -> DataFrame:
     """`df` with its global order, on storage. The order columns should tell all
-    rows apart, so that no value is too frequent to be divided between ranges."""
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows apart, so that no value is too frequent to be divided between ranges.
+
+    With `distinct_by`, the names of the order columns, one of every set of equal rows is
+    kept: they meet in one range, so no shuffle is needed but that of the ranges. Doubles do
+    not divide ranges then, as equal ones (0.0 and -0.0) need not be in one range."""
+    placed = df.repartitionByRange(*order) if distinct_by is None else _distinct(df, order, distinct_by)
+    placed = placed.sortWithinPartitions(*order)
     return materialize(
         placed.withColumns(
             {
@@ -32,6 +40,13 @@ def range_sorted(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     )
 
 
+def _distinct(df: DataFrame, order: list[Column], names: list[str]) -> DataFrame:
+    floating = [isinstance(df.schema[name].dataType, (DoubleType, FloatType)) for name in names]
+    # What comes first decides the range; it stays in order if later columns are left out.
+    exact = order[: floating.index(True)] if True in floating else order
+    return df.repartitionByRange(*exact).dropDuplicates()
+
+
 def range_starts(ranged: DataFrame, weight: Column, by: tuple[str, ...] = ()) -> DataFrame:
     """Per range: summed weight, weight of all earlier ranges, weight of all ranges."""
     sizes = ranged.groupBy(*by, RANGE).agg(F.sum(weight).alias("size"))

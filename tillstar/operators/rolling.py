@@ -22,10 +22,14 @@ _TIE_BREAKERS = (
 
 def line_order(df: DataFrame) -> list[Column]:
     """By date, undated lines last; the other columns break ties."""
-    ties = [F.col(c).asc() for c in _TIE_BREAKERS if c in df.columns]
+    ties = [F.col(c).asc() for c in _tie_breakers(df)]
     return [F.col("invoice_date").asc_nulls_last(), *ties]
 
 
+def _tie_breakers(df: DataFrame) -> list[str]:
+    return [c for c in _TIE_BREAKERS if c in df.columns]
+
+
 def add_rolling_sales(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add rolling_7d_sales: lines are range-sorted, and even one country or one date
     is cut into blocks. Lines without a country get null."""
@@ -35,7 +39,17 @@ def add_rolling_sales(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
 def sort_by_country(df: DataFrame) -> DataFrame:
     """Range-sort by country and line order, as the functions below need."""
-    return range_sorted(df, [F.col("country").asc(), *line_order(df)], "country-ranges")
+    return range_sorted(df, _country_order(df), "country-ranges")
+
+
+def sort_distinct_by_country(df: DataFrame) -> DataFrame:
+    """The same with one of every set of equal lines, by one shuffle for both."""
+    names = ["country", "invoice_date", *_tie_breakers(df)]
+    return range_sorted(df, _country_order(df), "country-ranges", names)
+
+
+def _country_order(df: DataFrame) -> list[Column]:
+    return [F.col("country").asc(), *line_order(df)]
 
 
 def rolling_in_blocks(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.clean import clean
 from tillstar.operators.columns import has
-from tillstar.operators.rolling import BLOCK_ROWS, sort_by_country
+from tillstar.operators.rolling import BLOCK_ROWS, sort_distinct_by_country
 from tillstar.operators.scratch import materialize, scratch_folder
 from tillstar.operators.transform import transform
 from tillstar.plans import load, profile, star
@@ -75,10 +75,10 @@ def process(
     accuracy: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Clean and derive. The deduplicated lines are stored in the order that the
-    rolling mean needs, and not once more."""
+    """Clean and derive. Repeats are dropped by the shuffle that puts the lines in the order
+    that the rolling mean needs, and the lines are stored in it, and not once more."""
     if has(raw, "quantity", "unit_price", "country", "invoice_date"):
-        lines = clean(raw, run_ts, date_format, accuracy, store=sort_by_country)
+        lines = clean(raw, run_ts, date_format, accuracy, store_distinct=sort_distinct_by_country)
     else:
         lines = clean(raw, run_ts, date_format, accuracy)
     return transform(lines, accuracy, block_rows)
