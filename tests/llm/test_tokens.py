@@ -124,3 +124,13 @@ def test_forgetting_changes_nothing(monkeypatch):
         for text, (ids, pieces) in zip(texts, plain, strict=True):
             ((again, same),) = small.encode([text])
             assert again == ids and small.decode_pieces(same) == small.decode(ids).encode()
+
+
+def test_ids_are_decoded_in_bounded_runs(monkeypatch):
+    """A few ids at once: texts of none, longer ones than a run, and all others."""
+    coder = bpe.Bpe(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["", "a", "Don't <|endoftext|> stop", "\u00e9t\u00e9 " * 40, "", "x y z 1234"]
+    encoded = [ids for ids, _ in coder.encode(texts)]
+    for size in (1, 4, 1 << 18):
+        monkeypatch.setattr(bpe, "DECODE_IDS", size)
+        assert list(coder.decode_all(encoded)) == [coder.decode(ids).encode() for ids in encoded]

@@ -24,6 +24,7 @@ import hashlib
 import json
 import re
 from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ from pyspark.sql import DataFrame
 
 from tillstar.llm.arrays import held, map_arrow, map_slices, strings
 
-MAX_KNOWN = 250_000
-MAX_PAIRS = 400_000
+MAX_KNOWN = 200_000
+MAX_PAIRS = 300_000
+DECODE_IDS = 1 << 18
 
 # How the tokenizer file cuts lower-case text into words.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
@@ -75,18 +77,23 @@ class Bpe:
             self.rank[left, right] = rank
             self.parent_pair[vocabulary[a + b]] = (left, right, rank)
         self.length = {vocabulary[name]: len(s) for name, s in symbols.items()}
-        self.step, self.outputs = _automaton({s: vocabulary[name] for name, s in symbols.items()})
+        self.id_bytes = {i: i.to_bytes(4, "little") for i in self.names}
+        # The decoded bytes of all ids, one after the other, each with a space before it.
+        decoded = [b" " + self.names.get(i, "").encode() for i in range(max(self.names) + 1)]
+        self.name_data = np.frombuffer(b"".join(decoded), np.uint8)
+        self.name_size = np.array([len(x) for x in decoded], np.int32)
+        self.name_start = np.cumsum(self.name_size, dtype=np.int32) - self.name_size
+        self.goto, self.fail, self.outputs = _automaton({s: vocabulary[name] for name, s in symbols.items()})
 
         self.left_spine: dict[int, list[tuple[int, int]]] = {}
         self.right_spine: dict[int, list[tuple[int, int]]] = {}
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        # Ids as little-endian unsigned 32-bit integers.
+        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {"": b""}
-        self.decoded: dict[str, bytes] = {"": b""}
         # The older generation.
-        self.old_words: dict[str, tuple[int, ...]] = {}
+        self.old_words: dict[str, bytes] = {}
         self.old_pieces: dict[str, bytes] = {}
-        self.old_decoded: dict[str, bytes] = {}
         self.old_pairs: dict[int, bool] = {}
         self.alone = {t: self._is_own_encoding(t) for t in self.length}
 
@@ -145,8 +152,9 @@ class Bpe:
 
     def encode_words(self, words: list[str]) -> None:
         """Add the ids of byte-level words to `self.words`."""
-        step, outputs, alone, length = self.step, self.outputs, self.alone, self.length
+        goto, fail, outputs, alone, length = self.goto, self.fail, self.outputs, self.alone, self.length
         pairs, compatible = self.pairs, self.compatible
+        id_bytes, known = self.id_bytes, self.words
         before, states, last = "", [0], [0]
         for word in sorted(words):
             symbols = word[:-1] + chr(ord(word[-1]) + _LAST)
@@ -156,7 +164,12 @@ class Bpe:
             del states[shared + 1 :], last[shared + 1 :]
             state = states[shared]
             for i in range(shared, len(symbols)):
-                state = step(state, symbols[i])
+                symbol = symbols[i]
+                following = goto[state].get(symbol)
+                while following is None and state:
+                    state = fail[state]
+                    following = goto[state].get(symbol)
+                state = following or 0
                 states.append(state)
                 for token, size in outputs[state]:
                     start = i + 1 - size
@@ -170,11 +183,12 @@ class Bpe:
                 else:
                     raise ValueError(f"no token ends prefix {i + 1} of {word!r}")
                 last.append(token)
-            ids, end = [], len(symbols)
+            ids, end = b"", len(symbols)
             while end:
-                ids.append(last[end])
-                end -= length[last[end]]
-            self.words[word] = tuple(reversed(ids))
+                token = last[end]
+                ids = id_bytes[token] + ids
+                end -= length[token]
+            known[word] = ids
             before = symbols
 
     def split(self, piece: str) -> list[str | int]:
@@ -187,37 +201,32 @@ class Bpe:
                 elif part:
                     out += self.split(part)
             return out
-        if piece.isascii() and piece.isprintable():
-            return ASCII_WORDS.findall(piece.lower())
+        if piece.isascii():
+            if piece.isalpha():
+                return [piece.lower()]
+            if piece.isprintable():
+                return ASCII_WORDS.findall(piece.lower())
         return [word for word, _ in self.pre_tokenize(self.normalize(piece))]
 
     def learn(self, pieces: set[str]) -> None:
         """Encode pieces that are not known yet."""
         unknown = pieces.difference(self.pieces)
         if len(self.pieces) + len(unknown) > MAX_KNOWN:
-            self.old_pieces, self.old_decoded = self.pieces, self.decoded
-            self.pieces, self.decoded = {"": b""}, {"": b""}
+            self.old_pieces, self.pieces = self.pieces, {"": b""}
             unknown = pieces.difference(self.pieces)
         if len(self.words) > MAX_KNOWN:
             self.old_words, self.words = self.words, {}
         again = unknown.intersection(self.old_pieces)
         self.pieces.update((piece, self.old_pieces[piece]) for piece in again)
-        self.decoded.update((piece, self.old_decoded[piece]) for piece in again)
         new = {piece: self.split(piece) for piece in unknown.difference(again)}
         words = {w for parts in new.values() for w in parts if isinstance(w, str)}.difference(self.words)
         again = words.intersection(self.old_words)
         self.words.update((word, self.old_words[word]) for word in again)
         self.encode_words(list(words.difference(again)))
-        known, names = self.words, self.names
+        known, encoded = self.words, self.pieces
         for piece, parts in new.items():
-            ids: list[int] = []
-            for part in parts:
-                if isinstance(part, int):
-                    ids.append(part)
-                else:
-                    ids += known[part]
-            self.pieces[piece] = np.array(ids, "<u4").tobytes()
-            self.decoded[piece] = "".join([" " + names[i] for i in ids]).encode()
+            # Of a single word the very bytes, not a copy of them.
+            encoded[piece] = b"".join([known[x] if isinstance(x, str) else self.id_bytes[x] for x in parts])
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, list[str]]]:
         """Per text: ids as little-endian unsigned 32-bit integers, and its pieces."""
@@ -232,12 +241,32 @@ class Bpe:
 
     def decode_pieces(self, pieces: list[str]) -> bytes:
         """The UTF-8 text that the ids of known pieces decode to."""
-        return b"".join(map(self.decoded.__getitem__, pieces))[1:]
+        return next(self.decode_all([b"".join(map(self.pieces.__getitem__, pieces))]))
+
+    def decode_all(self, encoded: list[bytes]) -> Iterator[bytes]:
+        """The UTF-8 texts that ids decode to; about DECODE_IDS ids at once."""
+        first = 0
+        while first < len(encoded):
+            last, size = first, 0
+            while last < len(encoded) and (last == first or size + len(encoded[last]) <= 4 * DECODE_IDS):
+                size += len(encoded[last])
+                last += 1
+            ids = np.frombuffer(b"".join(encoded[first:last]), "<u4")
+            sizes = self.name_size[ids]
+            ends = np.cumsum(sizes, dtype=np.int64)
+            at = np.repeat(self.name_start[ids] - (ends - sizes), sizes)
+            at += np.arange(len(at))
+            data = self.name_data[at].tobytes()
+            stops = np.concatenate([[0], ends])[np.cumsum([0] + [len(x) // 4 for x in encoded[first:last]])].tolist()
+            for start, stop in zip(stops[:-1], stops[1:], strict=True):
+                yield data[start + 1 : stop]
+            first = last
 
 
 def _automaton(tokens: dict[str, int]):
-    """Step function and outputs of the automaton that finds all tokens ending at a
-    position: outputs[state] lists (token, length), longest first."""
+    """(goto, fail, outputs) of the automaton that finds all tokens ending at a position:
+    from a state on to goto[state] by symbol or else back to fail[state]; outputs[state]
+    lists (token, length), longest first."""
     goto: list[dict[str, int]] = [{}]
     own: list[tuple[int, int] | None] = [None]
     for symbols, token in tokens.items():
@@ -264,16 +293,7 @@ def _automaton(tokens: dict[str, int]):
             outputs[child] = ((own[child],) if own[child] else ()) + outputs[fail[child]]
             queue.append(child)
 
-    def step(state: int, c: str) -> int:
-        while True:
-            following = goto[state].get(c)
-            if following is not None:
-                return following
-            if not state:
-                return 0
-            state = fail[state]
-
-    return step, outputs
+    return goto, fail, outputs
 
 
 def bpe(path: str) -> Bpe:
@@ -338,7 +358,7 @@ def round_trip(
             id: batch.column(0),
             "n_tokens": pa.array([len(ids) // 4 for ids, _ in encoded], pa.int64()),
             "ids_sha256": pa.array([sha(ids).hexdigest() for ids, _ in encoded]),
-            "decoded_sha256": pa.array([sha(coder.decode_pieces(p)).hexdigest() for _, p in encoded]),
+            "decoded_sha256": pa.array([sha(x).hexdigest() for x in coder.decode_all([ids for ids, _ in encoded])]),
         }
         columns |= {c: batch.column(2 + i) for i, c in enumerate(keep)}
         if with_ids:
