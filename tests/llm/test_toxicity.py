@@ -120,3 +120,23 @@ def test_nearest_is_the_same_for_long_and_short_lists():
         first, *others = [x.nearest(term, weight, 7) for x in indexes]
         for at, near in others:
             assert at.tolist() == first[0].tolist() and np.allclose(near, first[1])
+
+
+def test_nearest_takes_long_lists_from_their_table(monkeypatch):
+    """The same whichever lists are long; all terms only of the nearest are added up."""
+    r = np.random.default_rng(7)
+    size, examples = 60, []
+    for i in range(900):
+        term = np.unique(r.integers(0, size, r.integers(1, 12)))
+        weight = r.random(len(term))
+        examples.append((i, i % 2, term, weight / np.sqrt((weight**2).sum())))
+    queries = [examples[i] for i in range(0, 900, 9)]
+    found = []
+    for long_list in (0, 60, 10_000):
+        index, summed = toxicity.BlockMaxIndex(size, examples, long_list), []
+        cosines = index._cosines
+        monkeypatch.setattr(index, "_cosines", lambda q, e, f=cosines, s=summed: s.append(len(e)) or f(q, e), raising=False)
+        found.append([[x.tolist() for x in (lambda at, c: (index.ids[at], c))(*index.nearest(t, w, 10))] for _, _, t, w in queries])
+        assert max(summed) < 40
+    assert [[ids for ids, _ in f] for f in found] == [[ids for ids, _ in found[0]]] * 3
+    assert np.allclose([c for _, c in found[0]], [c for _, c in found[2]])
