@@ -91,3 +91,13 @@ def test_edits_leave_the_other_sentences_and_parts_of_long_lines(spark):
     found = frames.by_id(fingerprints.edits(frames.docs(spark, rows)), *COLUMNS)
     check(rows, found)
     assert found[2][2] > 0.3 and found[1][2] > 0.4
+
+
+def test_difference_sketch_equals_subtraction(spark):
+    rows = [(list(range(0, 40, 2)), list(range(0, 40, 3))), ([], [5]), ([7], []), ([], []), ([1, 2], [1, 2])]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    a, b = (F.transform(F.col(c), lambda x: F.xxhash64(x)) for c in "ab")
+    for width in fingerprints.GROUP_WIDTHS:
+        both = fingerprints.subtract(fingerprints.sketch(a, width), fingerprints.sketch(b, width))
+        for row in df.select(fingerprints.difference_sketch(a, b, width).alias("x"), both.alias("y")).collect():
+            assert row.x == row.y

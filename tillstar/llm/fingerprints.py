@@ -25,6 +25,8 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,17 +66,39 @@ def cell_of(digest: Column, third: int, width: int) -> Column:
 
 def sketch(values: Column, width: int) -> Column:
     """The cells (n, key, check) of a set of digests: one array for each third."""
+    return _cells(values, width, F.size)
+
+
+def difference_sketch(a: Column, b: Column, width: int) -> Column:
+    """What subtracting the sketch of b from that of a gives, put together at once: an XOR
+    takes out what it has put in, and the digests of b count down."""
+    signed = F.struct(a.alias("a"), b.alias("b"))
+
+    def count(inside: Column) -> Column:
+        return F.aggregate(inside, F.lit(0), lambda n, x: n + x["sign"])
+
+    def of_pair(p: Column) -> Column:
+        with_sign = lambda values, sign: F.transform(
+            values, lambda d: F.struct(d.alias("digest"), F.lit(sign).alias("sign"))
+        )
+        return _cells(F.concat(with_sign(p["a"], 1), with_sign(p["b"], -1)), width, count, signed=True)
 
+    return F.transform(F.array(signed), of_pair)[0]
+
+
+def _cells(values: Column, width: int, count: Callable[[Column], Column], signed: bool = False) -> Column:
     def cell(inside: Column) -> Column:
         return F.struct(
-            F.size(inside).alias("n"),
+            count(inside).alias("n"),
             F.aggregate(inside, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x["digest"])).alias("key"),
             F.aggregate(inside, F.lit(0), lambda a, x: a.bitwiseXOR(check(x["digest"]))).alias("check"),
         )
 
     def cells(third: int) -> Column:
-        def placed(digest: Column) -> Column:
-            return F.struct(cell_of(digest, third, width).alias("place"), digest.alias("digest"))
+        def placed(value: Column) -> Column:
+            digest = value["digest"] if signed else value
+            place = cell_of(digest, third, width).alias("place")
+            return F.struct(place, digest.alias("digest"), *([value["sign"].alias("sign")] if signed else []))
 
         def of_third(all_placed: Column) -> Column:
             inside = lambda place: F.filter(all_placed, lambda x: x["place"] == place)
@@ -171,21 +195,31 @@ def differing_in_groups(a: Column, b: Column) -> Column:
     """Number of differing digests, group by group."""
     groups = F.ceil((F.size(a) + F.size(b)) / GROUP).cast("int")
 
-    def of_group(g: Column) -> Column:
+    def placed(values: Column) -> Column:
         group_of = lambda d: F.pmod(F.shiftrightunsigned(d, 48), groups)
-        mine = lambda values: F.filter(values, lambda d: group_of(d) == g)
-        pair = F.struct(mine(a).alias("a"), mine(b).alias("b"))
+        return F.transform(values, lambda d: F.struct(group_of(d).alias("group"), d.alias("digest")))
+
+    def of_group(all_placed: Column, g: Column) -> Column:
+        mine = lambda values: F.transform(
+            F.filter(values, lambda x: x["group"] == g), lambda x: x["digest"]
+        )
+        pair = F.struct(mine(all_placed["a"]).alias("a"), mine(all_placed["b"]).alias("b"))
 
         def differing(p: Column) -> Column:
             found = F.size(F.array_except(p["a"], p["b"])) + F.size(F.array_except(p["b"], p["a"]))
             for width in reversed(GROUP_WIDTHS):
-                found = _if_whole(peel(subtract(sketch(p["a"], width), sketch(p["b"], width)), width), found)
+                found = _if_whole(peel(difference_sketch(p["a"], p["b"], width), width), found)
             return found
 
         return F.transform(F.array(pair), differing)[0]
 
-    each = F.transform(F.sequence(F.lit(0), F.greatest(groups, F.lit(1)) - 1), of_group)
-    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+    def of_groups(all_placed: Column) -> Column:
+        each = F.sequence(F.lit(0), F.greatest(groups, F.lit(1)) - 1)
+        differing = F.transform(each, lambda g: of_group(all_placed, g))
+        return F.aggregate(differing, F.lit(0), lambda total, n: total + n)
+
+    # In an array of one, so that the groups of the digests are worked out once.
+    return F.transform(F.array(F.struct(placed(a).alias("a"), placed(b).alias("b"))), of_groups)[0]
 
 
 def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
