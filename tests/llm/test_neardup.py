@@ -106,3 +106,41 @@ def test_drop_duplicates_keeps_one_of_each_group(spark):
 def test_drop_duplicates_takes_repeated_rows_as_one(spark):
     docs = frames.docs(spark, [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "other words in a text"), (2, "a b c d e f g")])
     assert sorted(r.text for r in neardup.drop_duplicates(docs).collect()) == ["a b c d e f g", "other words in a text"]
+
+
+def test_large_groups_meet_in_rows_in_proportion(spark, monkeypatch):
+    """In many blocks near copies hang together once each has met one block of every list."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    base = frames.random_words(5, 120, 10**6)
+    rows = [(i, edited(base, 2 + i % 3, 5000 + i)) for i in range(400)]
+    dealt, members = [], []
+
+    def count(rows_of, into, kind):
+        def counted(*args):
+            out = kind(*args)
+            into.append(rows_of(args, out))
+            return out
+
+        return counted
+
+    monkeypatch.setattr(neardup, "open_lists", count(lambda _, out: out.count(), members, neardup.open_lists))
+    monkeypatch.setattr(
+        neardup, "links_in_blocks", count(lambda args, _: args[0].count(), dealt, neardup.links_in_blocks)
+    )
+    assert found(spark, rows, width=2) == expected(rows, 2)
+    assert sum(dealt) <= 3 * members[0]
+
+
+def test_whole_texts_are_not_shuffled(spark, monkeypatch):
+    plans = {}
+
+    def keep(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, label)
+
+    materialize = neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", keep)
+    monkeypatch.setattr(neardup, "FILTER", 1 << 16)
+    rows = families()
+    assert found(spark, rows, width=2) == expected(rows, 2)
+    assert "Join" not in plans["sets"]

@@ -2,26 +2,28 @@
 
 1. Every text becomes the set of its distinct word shingles and a signature of HASHES
    minimum hashes. Texts with one set form a class; only classes go on.
-2. A class is posted under its (coordinate, value) pairs, taken two neighbouring coordinates
-   at a time. Two signatures that agree in at least MATCHES of HASHES coordinates agree in
-   LEAST whole twos, so they share one of the HASHES / 2 - LEAST + 1 rarest of each (prefix
-   filter in order of frequency); twos that occur once join nothing and are skipped. Passages
-   that many documents share are frequent, so they come last. Of lists with the same members
-   one is read.
+2. A class is posted under its (coordinate, value) pairs, taken in runs of RUN neighbouring
+   coordinates. Two signatures that agree in LEAST whole runs share one of the
+   HASHES / RUN - LEAST + 1 rarest of each (prefix filter in order of frequency); runs that
+   occur once join nothing and are skipped. Passages that many documents share are frequent,
+   so they come last. Of lists with the same members one is read.
 3. In each posting list the smallest class, its hub, meets the others; collisions are
    counted over whole signatures, and pairs with enough of them are confirmed on the full
    shingle sets. Confirmed links join classes to components.
 4. A list whose members all are in one component is done: further links would change
-   nothing. In the others every member outside the list's main component meets all
-   members of other components, in blocks of bounded rows and shingles. Collisions are
+   nothing. In the others members meet in blocks of bounded rows and shingles: first each
+   member in one block, dealt out anew in every list, so that near copies hang together
+   after rows in proportion; then, in the lists of several blocks that are still open,
+   every member outside the list's main component meets all members of other components,
+   block by block. Collisions are
    counted in 8 bits a coordinate (never too few), then full sets are compared in the
    block, and only links that join two components of the block are put out, fewer than it
    has members.
 
 No pair is dropped by a cap; copies and groups that hang together are never expanded into
-all pairs. With 64 hashes and 36 matches a link of similarity 0.8 is missed with a
-probability of about 6e-6 per pair, a closer one far less often. Sets are compared by
-64-bit hashes of their shingles.
+all pairs. A link of similarity 0.8 is missed with a probability of about 4e-6 per pair (8e-7
+for fewer than 36 matches of 66, 3.4e-6 for fewer than 2 whole runs of 22), a closer one far
+less often. Sets are compared by 64-bit hashes of their shingles.
 
 Defined cases: a text without words (null and empty ones, too) has the empty set, is
 linked with nothing and kept; a text of fewer words than a shingle has one shingle, the
@@ -45,14 +47,18 @@ from tillstar.operators.scratch import materialize
 
 WORDS = 5
 PERCENT = 80
-HASHES = 64
+HASHES = 66
 MATCHES = 36
-# Twos of neighbouring coordinates that agree at least: each of the others differs in one
-# coordinate or two.
-LEAST = MATCHES - HASHES // 2
+# Neighbouring coordinates that are posted as one, and how many such runs agree at least.
+RUN = 3
+LEAST = 2
 # Members of a posting list, and shingles of theirs, that meet in one block.
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 19
+# Bits that tell, before texts are hashed again, most documents whose sets are not needed;
+# more documents than bits only let more pass. Spark aggregates bits in groups of 1 << 15.
+FILTER = 1 << 25
+FILTER_GROUP = 1 << 15
 # Text bytes hashed at once; a byte takes about 40 bytes on the way.
 SLICE_BYTES = 1 << 20
 
@@ -125,32 +131,47 @@ def signatures(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
     return map_slices(docs.select(id, text), run, schema, text, SLICE_BYTES)
 
 
-def shingle_sets(docs: DataFrame, text: str, width: int) -> DataFrame:
-    """(key, members) of every text with words: its sorted shingle hashes."""
+def filter_bits(ids: DataFrame, id: str) -> np.ndarray:
+    """FILTER bits, of which those that some id's hash names are set."""
+    place = F.pmod(F.xxhash64(id), F.lit(FILTER))
+    group, bit = F.floor(place / FILTER_GROUP).alias("group"), F.pmod(place, F.lit(FILTER_GROUP)).alias("bit")
+    found = np.zeros((FILTER // FILTER_GROUP, FILTER_GROUP // 8), np.uint8)
+    for row in ids.select(group, bit).groupBy("group").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        found[row["group"]] = np.frombuffer(row["bits"], np.uint8)
+    return found.ravel()
+
+
+def shingle_sets(docs: DataFrame, id: str, text: str, width: int, ids: DataFrame) -> DataFrame:
+    """(key, members) of every text with words of a document in `ids`, and of a few others:
+    its sorted shingle hashes."""
+    bits = filter_bits(ids, id)
 
     def run(batch: pa.RecordBatch) -> dict:
+        place = batch.column(1).to_numpy()
+        batch = batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
         hashes, offsets = shingles(strings(batch, text), width)
         members = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         return {"key": set_keys(hashes, offsets), "members": pa.array(members, pa.binary())}
 
-    return map_slices(docs.select(text), run, "key binary, members binary", text, SLICE_BYTES).where("key is not null")
+    placed = docs.select(text, F.pmod(F.xxhash64(id), F.lit(FILTER)).alias("_place"))
+    return map_slices(placed, run, "key binary, members binary", text, SLICE_BYTES).where("key is not null")
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(token, key, n_shingles): each class under the rarest twos of (coordinate, value) pairs
+    """(token, key, n_shingles): each class under the rarest runs of (coordinate, value) pairs
     of its signature, as far as another class is there, too; of lists with the same members
     only one."""
     # 64 bits stand for the key on the way; should two keys share them, each just gets the
     # postings of both.
     short = F.xxhash64("key").alias("short")
     value = F.col("signature")
-    twos = [F.xxhash64(F.lit(k), value[k], value[k + 1]) for k in range(0, HASHES, 2)]
-    tokens = classes.select(short, F.explode(F.array(*twos)).alias("token"))
+    runs = [F.xxhash64(F.lit(k), *[value[k + i] for i in range(RUN)]) for k in range(0, HASHES, RUN)]
+    tokens = classes.select(short, F.explode(F.array(*runs)).alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     ranked = tokens.join(shared, "token").groupBy("short").agg(
         F.sort_array(F.collect_list(F.struct("n", "token"))).alias("pairs")
     )
-    # Twos that occur once come first in the order, so they use up the prefix.
+    # Runs that occur once come first in the order, so they use up the prefix.
     kept = F.size("pairs") - (LEAST - 1)
     listed = ranked.where(kept > 0).select(
         "short", F.explode(F.slice("pairs", F.lit(1), kept)).alias("pair")
@@ -231,7 +252,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def open_lists(posted: DataFrame, found: DataFrame) -> DataFrame:
-    """(token, key, component, hub, main, others, blocks): the members of lists that have
+    """(token, key, n_shingles, component, hub, main, others, blocks): the members of lists that have
     several components; `others` and `blocks` are the numbers of blocks of the members
     outside the main component, and of all."""
     labelled = posted.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -258,21 +279,24 @@ def open_lists(posted: DataFrame, found: DataFrame) -> DataFrame:
         blocks(n - F.col("most.n"), shingles - F.col("most.shingles")).alias("others"),
         blocks(n, shingles).alias("blocks"),
     )
-    return labelled.drop("n_shingles").join(chosen, "token")
+    return labelled.join(chosen, "token")
 
 
-def remaining_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links of open lists that join their components.
+def dealt_once(members: DataFrame) -> DataFrame:
+    """Every member of open lists in one block; lists of one block need no more."""
+    # With the token, so that near copies that share many lists meet others in each.
+    block = F.pmod(F.xxhash64("key", "token"), "blocks").cast("int")
+    probes = (F.col("component") != F.col("main")).alias("probes")
+    return members.select(
+        "token", "key", "component", "hub", probes, F.lit(True).alias("stays"), block.alias("i"), block.alias("j")
+    )
+
 
-    Every member outside the main component (it probes) meets all members of other
-    components, block by block.
-    """
+def dealt_across(members: DataFrame) -> DataFrame:
+    """Every member outside the main component (it probes) in all blocks of the others."""
     draw = F.xxhash64("key")
     columns = ("token", "key", "component", "hub")
-    # A list of one block needs no member twice.
-    one = (F.col("others") == 1) & (F.col("blocks") == 1)
-    apart = F.col("component") != F.col("main")
-    outside = members.where(apart & ~one).select(
+    outside = members.where("component != main").select(
         *columns,
         F.lit(True).alias("probes"),
         F.lit(False).alias("stays"),
@@ -281,11 +305,16 @@ def remaining_links(members: DataFrame, classes: DataFrame, sets: DataFrame, per
     )
     everyone = members.select(
         *columns,
-        (apart & one).alias("probes"),
+        F.lit(False).alias("probes"),
         F.lit(True).alias("stays"),
         F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"),
         F.pmod(draw, "blocks").cast("int").alias("j"),
     )
+    return outside.union(everyone)
+
+
+def links_in_blocks(dealt: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of members dealt to one block that join their components."""
 
     def brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,10 +324,9 @@ def remaining_links(members: DataFrame, classes: DataFrame, sets: DataFrame, per
             yield pa.RecordBatch.from_arrays(columns, ["key", "brief", "members"])
 
     group = ("token", "i", "j")
-    held = classes.select("key", "signature").join(members.select("key").distinct(), "key", "left_semi").join(sets, "key")
+    held = classes.select("key", "signature").join(dealt.select("key").distinct(), "key", "left_semi").join(sets, "key")
     held = map_arrow(held.select("key", "signature", "members"), brief, "key binary, brief binary, members binary")
-    met = outside.union(everyone).join(held, "key")
-    dealt = met.repartition(*group).sortWithinPartitions(*group)
+    met = dealt.join(held, "key").repartition(*group).sortWithinPartitions(*group)
     kind = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +334,7 @@ def remaining_links(members: DataFrame, classes: DataFrame, sets: DataFrame, per
             a, b = meet(rows, percent)
             yield pa.RecordBatch.from_arrays([a, b], schema=kind)
 
-    rows = dealt.select(*group, "key", "component", "hub", "probes", "stays", "brief", "members")
+    rows = met.select(*group, "key", "component", "hub", "probes", "stays", "brief", "members")
     return map_arrow(rows, run, "a binary, b binary").distinct()
 
 
@@ -391,21 +419,23 @@ def find(
     )
     posted = materialize(postings(classes), "postings")
 
-    # The sets of all classes in a posting list, from their texts. Ids are far smaller than
-    # texts: hash them, and leave the texts unsorted.
-    ids = classes.join(posted.select("key").distinct(), "key", "left_semi").select(F.col("least").alias("_least"))
-    rows = docs.join(ids.distinct().hint("shuffle_hash"), F.col(id).eqNullSafe(F.col("_least")), "left_semi")
-    sets = materialize(
-        shingle_sets(rows, text, width).groupBy("key").agg(F.first("members").alias("members")), "sets"
-    )
+    # The sets of all classes in a posting list, from their texts, which stay where they are.
+    ids = classes.join(posted.select("key").distinct(), "key", "left_semi").select(F.col("least").alias(id))
+    hashed = shingle_sets(docs, id, text, width, ids)
+    sets = materialize(hashed.groupBy("key").agg(F.first("members").alias("members")), "sets")
 
     pairs = materialize(enough_collisions(hub_pairs(posted), classes), "pairs")
     links = materialize(confirmed(pairs, sets, percent), "links")
     found = components(links)
     members = materialize(open_lists(posted, found), "open-lists")
     if not members.isEmpty():
-        more = materialize(remaining_links(members, classes, sets, percent), "links")
-        found = components(links.union(more))
+        links = links.union(materialize(links_in_blocks(dealt_once(members), classes, sets, percent), "links"))
+        found = components(links)
+        large = members.where("blocks > 1").select("token", "key", "n_shingles")
+        members = materialize(open_lists(large, found), "open-lists")
+        if not members.isEmpty():
+            links = links.union(materialize(links_in_blocks(dealt_across(members), classes, sets, percent), "links"))
+            found = components(links)
 
     labelled = classes.select("key", "least").join(found, "key")
     names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
