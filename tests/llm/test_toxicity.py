@@ -140,3 +140,34 @@ def test_nearest_takes_long_lists_from_their_table(monkeypatch):
         assert max(summed) < 40
     assert [[ids for ids, _ in f] for f in found] == [[ids for ids, _ in found[0]]] * 3
     assert np.allclose([c for _, c in found[0]], [c for _, c in found[2]])
+
+
+def test_lists_of_many_examples_are_bounded_not_added_up():
+    """No list that is added up holds more than a share of the examples; the nearest are exact."""
+    r = np.random.default_rng(8)
+    size, examples = 400, []
+    for i in range(900):
+        term = np.unique((r.random(30) ** 2 * size).astype(int))
+        weight = r.random(len(term)) / (size - term)
+        examples.append((i, i % 2, term, weight / np.sqrt((weight**2).sum())))
+    index = toxicity.BlockMaxIndex(size, examples)
+    assert np.diff(index.lists).max() <= len(index.ids) // toxicity.MIDDLE
+    dense = np.zeros((900, size))
+    for i, _, term, weight in examples:
+        dense[index.ids.tolist().index(i), term] = weight
+    for _, _, term, weight in examples[::9]:
+        cosine = dense[:, term] @ weight
+        order = np.lexsort((np.arange(900), -np.round(cosine, 12)))[:15]
+        at, near = index.nearest(term, weight, 15)
+        assert at.tolist() == order.tolist() and np.allclose(near, cosine[order], rtol=0, atol=1e-12)
+
+
+def test_known_terms_are_those_of_every_word():
+    texts = ["Scum of the scummy scummiest", "", "scum scum éclairage x", "12345678 scummy"]
+    column = pa.array(texts, pa.large_string())
+    text, hashes = toxicity.terms(column)
+    vocabulary = np.unique(hashes)[::2]
+    kept = np.isin(hashes, vocabulary)
+    want = np.sort(text[kept] * len(vocabulary) + np.searchsorted(vocabulary, hashes[kept]))
+    assert np.array_equal(np.sort(toxicity.known_terms(column, vocabulary)), want)
+    assert all(len(x) == 0 for x in toxicity.counted(pa.array(["", " "], pa.large_string()), vocabulary))

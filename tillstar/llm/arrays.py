@@ -129,6 +129,7 @@ def lower_table() -> np.ndarray:
 LOWER = lower_table()
 # Random but fixed 64-bit codes of bytes, and the multiplier of word positions.
 CODES = np.random.Generator(np.random.PCG64(20240101)).integers(1, 1 << 63, 256, dtype=np.uint64)
+LOWER_CODES = CODES[LOWER]
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -169,7 +170,8 @@ class Words:
         firsts = np.cumsum(lengths) - lengths
         if len(lengths):
             place = np.arange(len(kept), dtype=np.int32) - np.repeat(firsts.astype(np.int32), lengths)
-            terms = CODES[LOWER[kept]] * powers(int(lengths.max()))[place]
+            terms = LOWER_CODES[kept]
+            terms *= powers(int(lengths.max()))[place]
             self.hash = mix(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64))
         else:
             self.hash = np.zeros(0, np.uint64)

@@ -7,12 +7,14 @@ examples that hold it is from that of all, drawn in as if PRIOR_ROWS more held i
 common share. Terms of no example, or with exactly the common share, so weigh nothing, and
 norms are over the whole text. Document frequencies cover all documents.
 
-The examples are indexed by term. Terms of at most LONG_LIST examples are added up exactly.
-For the others there is each term's greatest weight in every block of BLOCK examples that
-share their main term, which bounds what they can add. An example whose bound is below the
-k-th best similarity so far cannot be nearer and is left out; to the others what the long
-lists add is computed from a table of their weights by example. The cosines of the nearest
-are then computed over all their terms, so the k nearest are exact. Their votes, weighted by distance, are turned
+The examples are indexed by term. Terms of few examples are added up exactly. For those of
+more than LONG_LIST examples there is each term's greatest weight in every block of BLOCK
+examples that share their main term, which bounds what they can add; what terms of more than
+one in MIDDLE examples add is bounded by the products of the two texts' norms over classes of
+terms of like greatest weights and numbers of examples. An example whose bound is below the k-th best similarity so far cannot be nearer and is left
+out; to the others what these lists add is computed from a table of their weights by example.
+The cosines of the nearest are then computed over all their terms, so the k nearest are
+exact. Their votes, weighted by distance, are turned
 into a probability by a logistic curve fitted to a quarter of the sample that is not
 indexed, with each row weighted by how many rows it was drawn for. The neighbours are the
 evidence.
@@ -41,6 +43,7 @@ PRIOR_ROWS = 4
 PREFIXES = (4, 5, 6)
 BLOCK = 64
 LONG_LIST = 512
+MIDDLE = 12
 NEIGHBOURS = 15
 # Examples of the greatest bounds whose cosines are computed first, as a multiple of the neighbours.
 FIRST = 4
@@ -58,30 +61,55 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     words = Words(column, IS_WORD)
     texts, hashes = [words.text_of()], [words.hash]
     data, _ = utf8(column)
+    for long, prefix in prefixes(data, words.start, words.end):
+        texts.append(texts[0][long])
+        hashes.append(prefix)
+    return np.concatenate(texts), np.concatenate(hashes)
+
+
+def prefixes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size of prefix, which words are longer, and the hashes of their prefixes."""
     power = powers(max(PREFIXES))
-    lengths = words.end - words.start
     for size in PREFIXES:
-        long = np.flatnonzero(lengths > size)
+        long = np.flatnonzero(end - start > size)
         h = np.full(len(long), size, np.uint64)
         for k in range(size):
-            h += CODES[LOWER[data[words.start[long] + k]]] * power[k]
-        texts.append(texts[0][long])
-        hashes.append(mix(h ^ np.uint64(0x5555555555555555)))
-    return np.concatenate(texts), np.concatenate(hashes)
+            h += CODES[LOWER[data[start[long] + k]]] * power[k]
+        yield long, mix(h ^ np.uint64(0x5555555555555555))
+
+
+def known_terms(column: pa.Array, vocabulary: np.ndarray) -> np.ndarray:
+    """text * len(vocabulary) + term of every occurrence of a term of the vocabulary. Each
+    distinct word is looked up once."""
+    words = Words(column, IS_WORD)
+    coded = pa.array(words.hash).dictionary_encode()
+    number, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    some = np.zeros(len(distinct), np.int64)
+    some[number] = np.arange(len(number))
+    data, _ = utf8(column)
+    everyone = np.arange(len(distinct))
+    text = words.text_of() * len(vocabulary)
+    found = []
+    for at, term in ((everyone, distinct), *prefixes(data, words.start[some], words.end[some])):
+        place = np.searchsorted(vocabulary, term)
+        place[place == len(vocabulary)] = 0
+        of_word = np.full(len(distinct), -1)
+        of_word[at] = np.where(vocabulary[place] == term, place, -1)
+        of_word = of_word[number]
+        known = of_word >= 0
+        found.append(text[known] + of_word[known])
+    return np.concatenate(found)
 
 
 def counted(column: pa.Array, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term, times): terms of each text, of the vocabulary by number if given."""
-    text, term = terms(column)
     if vocabulary is not None:
-        if not len(vocabulary) or not len(term):
+        if not len(vocabulary):
             none = np.zeros(0, np.int64)
             return none, none, none
-        at = np.searchsorted(vocabulary, term)
-        at[at == len(vocabulary)] = 0
-        known = vocabulary[at] == term
-        both, times = np.unique(text[known] * len(vocabulary) + at[known], return_counts=True)
+        both, times = np.unique(known_terms(column, vocabulary), return_counts=True)
         return both // len(vocabulary), both % len(vocabulary), times
+    text, term = terms(column)
     order = np.lexsort((term, text))
     text, term = text[order], term[order]
     new = np.ones(len(text), bool)
@@ -172,15 +200,17 @@ def vectors(column: pa.Array, vocabulary: np.ndarray, scale: np.ndarray) -> Vect
 
 
 def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All positions of several ranges, and the number of the range each is of."""
+    """All positions of several ranges, and how many each has."""
     count = end - begin
-    of = np.repeat(np.arange(len(count)), count)
-    return np.arange(len(of)) + (begin - (np.cumsum(count) - count))[of], of
+    at = np.repeat(begin - (np.cumsum(count) - count), count)
+    at += np.arange(len(at))
+    return at, count
 
 
 class BlockMaxIndex:
     """Examples by term: short lists with their weights, long ones with the greatest weight
-    in each block of examples; and terms by example."""
+    in each block of examples, the weights of the longer ones by example; and terms by
+    example."""
 
     def __init__(
         self, size: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]], long_list: int = LONG_LIST
@@ -193,28 +223,49 @@ class BlockMaxIndex:
         self.query = np.zeros(size)
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.labels = np.array([e[1] for e in examples], np.int64)
-        self.ends = np.cumsum([0] + [len(e[2]) for e in examples])
-        self.term = np.concatenate([e[2] for e in examples] or [np.zeros(0)]).astype(np.int32)
-        self.weight = np.concatenate([e[3] for e in examples] or [np.zeros(0)])
-        example = np.repeat(np.arange(len(examples), dtype=np.int32), np.diff(self.ends))
-        self.is_long = np.bincount(self.term, minlength=size) > long_list
-        long = self.is_long[self.term]
-        order = np.flatnonzero(~long)
-        order = order[np.argsort(self.term[order], kind="stable")]
-        self.list_example, self.list_weight = example[order].astype(np.int64), self.weight[order]
-        self.lists = np.searchsorted(self.term[order], np.arange(size + 1))
-        # Of the long lists, the weights by example, and one cell for each term in each block.
-        order = np.flatnonzero(long)
-        self.long_place = np.cumsum(self.is_long) - 1
-        self.long_weight = np.zeros((len(examples), int(self.is_long.sum())))
-        self.long_weight[example[order], self.long_place[self.term[order]]] = self.weight[order]
-        order = order[np.argsort(self.term[order], kind="stable")]
-        term, block = self.term[order], example[order] // BLOCK
+        terms = np.concatenate([e[2] for e in examples] or [np.zeros(0)]).astype(np.int32)
+        weights = np.concatenate([e[3] for e in examples] or [np.zeros(0)])
+        example = np.repeat(np.arange(len(examples), dtype=np.int32), [len(e[2]) for e in examples])
+        count = np.bincount(terms, minlength=size)
+        self.is_long = count > long_list
+        # Of those that are not added up: place in the table, else -1.
+        in_table = self.is_long | (count > len(examples) // MIDDLE)
+        self.place = np.where(in_table, np.cumsum(in_table) - 1, -1)
+        place = self.place[terms]
+        order = np.flatnonzero(place < 0)
+        order = order[np.argsort(terms[order], kind="stable")]
+        self.list_example, self.list_weight = example[order], weights[order]
+        self.lists = np.searchsorted(terms[order], np.arange(size + 1))
+        # Terms and weights of the table by example, and there in single precision as a matrix.
+        order = np.flatnonzero(place >= 0)
+        self.term, self.weight = terms[order], weights[order]
+        self.ends = np.searchsorted(example[order], np.arange(len(examples) + 1))
+        self.table = np.zeros((len(examples), int(in_table.sum())), np.float32)
+        self.table[example[order], place[order]] = self.weight
+        # Classes of the table's terms, those of middle lists first, and the examples' norms over
+        # each, in single precision.
+        greatest = np.zeros(self.table.shape[1])
+        np.maximum.at(greatest, place[order], self.weight)
+        of_weight = np.log2(greatest.max(initial=0) / greatest).astype(int).clip(0, 7)
+        of_count = (2 * np.log2(count[in_table] / count[in_table].min(initial=size + len(examples)))).astype(int).clip(0, 7)
+        kinds, self.kind = np.unique(of_weight * 8 + of_count + 64 * self.is_long[in_table], return_inverse=True)
+        self.middle = int(np.searchsorted(kinds, 64))
+        self.norms = np.sqrt(
+            np.bincount(
+                self.kind[place[order]] * len(examples) + example[order],
+                weights=self.weight * self.weight,
+                minlength=len(kinds) * len(examples),
+            )
+        ).reshape(len(kinds), len(examples)).astype(np.float32)
+        # One cell for each long list in each block.
+        order = np.flatnonzero(self.is_long[terms])
+        order = order[np.argsort(terms[order], kind="stable")]
+        term, block = terms[order], example[order] // BLOCK
         new = np.ones(len(order), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         first = np.flatnonzero(new)
         self.cell_block = block[first]
-        self.greatest = np.maximum.reduceat(self.weight[order], first) if len(first) else np.zeros(0)
+        self.greatest = np.maximum.reduceat(weights[order], first) if len(first) else np.zeros(0)
         self.cells = np.searchsorted(term[first], np.arange(size + 1))
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,43 +274,59 @@ class BlockMaxIndex:
         total = len(self.ids)
         if not total or not len(term):
             return np.zeros(0, np.int64), np.zeros(0)
-        long = self.is_long[term]
-        short, short_weight, long, long_weight = term[~long], weight[~long], term[long], weight[long]
-        begin, end = self.lists[short], self.lists[short + 1]
-        at, _ = _ranges(begin, end)
-        added = np.bincount(
-            self.list_example[at], weights=self.list_weight[at] * np.repeat(short_weight, end - begin), minlength=total
-        )
-        at, of = _ranges(self.cells[long], self.cells[long + 1])
+        place = self.place.take(term)
+        short, rest = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+        place, longer, longer_weight = place[rest], term[rest], weight[rest]
+        is_long = self.is_long[longer]
+        at, count = _ranges(self.lists[term[short]], self.lists[term[short] + 1])
+        product = self.list_weight.take(at)
+        product *= np.repeat(weight[short], count)
+        added = np.bincount(self.list_example.take(at), weights=product, minlength=total)
+        long = longer[is_long]
+        at, count = _ranges(self.cells[long], self.cells[long + 1])
         blocks = np.bincount(
-            self.cell_block[at], weights=self.greatest[at] * long_weight[of], minlength=-(-total // BLOCK)
+            self.cell_block[at],
+            weights=self.greatest[at] * np.repeat(longer_weight[is_long], count),
+            minlength=-(-total // BLOCK),
         )
-        bound = added + np.repeat(blocks, BLOCK)[:total]
-        of_long = np.zeros(self.long_weight.shape[1])
-        of_long[self.long_place[long]] = long_weight
+        of_table = np.zeros(self.table.shape[1], np.float32)
+        of_table[place] = longer_weight
+        norms = np.sqrt(np.bincount(self.kind[place], weights=longer_weight * longer_weight, minlength=len(self.norms)))
+        single, middle = norms.astype(np.float32), self.middle
+        bound = added + single[:middle] @ self.norms[:middle]
+        bound += np.minimum(np.repeat(blocks, BLOCK)[:total], single[middle:] @ self.norms[middle:])
+        # Sums from the table and bounds are in single precision: off by less than this.
+        slack = _SLACK + 4 * (len(of_table) + 4) * 2.0**-24 * np.sqrt((norms * norms).sum())
         first = FIRST * k
         some = np.argpartition(-bound, first - 1)[:first] if total > first else np.arange(total)
-        cosine = added[some] + self.long_weight[some] @ of_long
+        cosine = added[some] + self.table[some] @ of_table
         least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
-        may = (bound > 0) & (bound >= least - _SLACK)
+        may = (bound > 0) & (bound >= least - slack)
         may[some] = False
         rest = np.flatnonzero(may)
         example = np.concatenate([some, rest])
-        cosine = np.concatenate([cosine, added[rest] + self.long_weight[rest] @ of_long])
+        of_rest = self.table[rest] @ of_table if len(rest) < total // 4 else (self.table @ of_table)[rest]
+        cosine = np.concatenate([cosine, added[rest] + of_rest])
         if len(example) > k:
-            near = cosine >= np.partition(cosine, -k)[-k] - _SLACK
+            near = cosine >= np.partition(cosine, -k)[-k] - slack
             example = example[near]
         query = self.query
-        query[term] = weight
-        cosine = self._cosines(query, example)
-        query[term] = 0
+        query[longer] = longer_weight
+        cosine = added[example] + self._cosines(query, example)
+        query[longer] = 0
         example, cosine = example[cosine > 0], cosine[cosine > 0]
         best = np.lexsort((example, -np.round(cosine, 12)))[:k]
         return example[best], cosine[best]
 
     def _cosines(self, query: np.ndarray, examples: np.ndarray) -> np.ndarray:
-        at, of = _ranges(self.ends[examples], self.ends[examples + 1])
-        return np.bincount(of, weights=query[self.term[at]] * self.weight[at], minlength=len(examples))
+        """What the terms of the table add to the cosines."""
+        begin, end = self.ends[examples], self.ends[examples + 1]
+        parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        if not parts:
+            return np.zeros(0)
+        product = np.concatenate([self.weight[part] for part in parts])
+        product *= query.take(np.concatenate([self.term[part] for part in parts]))
+        return np.bincount(np.repeat(np.arange(len(parts)), end - begin), weights=product, minlength=len(parts))
 
 
 def vote(cosine: np.ndarray, label: np.ndarray) -> float:
