@@ -101,3 +101,16 @@ def test_difference_sketch_equals_subtraction(spark):
         both = fingerprints.subtract(fingerprints.sketch(a, width), fingerprints.sketch(b, width))
         for row in df.select(fingerprints.difference_sketch(a, b, width).alias("x"), both.alias("y")).collect():
             assert row.x == row.y
+
+
+def test_groups_are_sketched_from_signed_digests(spark):
+    """One list of digests with signs gives the difference, whatever else its entries carry."""
+    a, b = list(range(0, 30, 2)), list(range(0, 30, 3))
+    values = [(9, x, 1) for x in a] + [(9, x, -1) for x in b]
+    df = spark.createDataFrame([(a, b, values)], "a array<long>, b array<long>, v array<struct<group:int,digest:long,sign:int>>")
+    for width in fingerprints.GROUP_WIDTHS:
+        both = fingerprints.subtract(fingerprints.sketch(F.col("a"), width), fingerprints.sketch(F.col("b"), width))
+        row = df.select(fingerprints.signed_sketch(F.col("v"), width).alias("x"), both.alias("y")).first()
+        assert row.x == row.y
+    row = df.select(fingerprints.differing_in_groups(F.col("a"), F.col("b")).alias("n")).first()
+    assert row.n == len(set(a) ^ set(b))

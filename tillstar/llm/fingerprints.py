@@ -72,18 +72,26 @@ def sketch(values: Column, width: int) -> Column:
 def difference_sketch(a: Column, b: Column, width: int) -> Column:
     """What subtracting the sketch of b from that of a gives, put together at once: an XOR
     takes out what it has put in, and the digests of b count down."""
-    signed = F.struct(a.alias("a"), b.alias("b"))
+    return F.transform(F.array(_signed(a, b)), lambda values: signed_sketch(values, width))[0]
 
-    def count(inside: Column) -> Column:
-        return F.aggregate(inside, F.lit(0), lambda n, x: n + x["sign"])
 
-    def of_pair(p: Column) -> Column:
-        with_sign = lambda values, sign: F.transform(
-            values, lambda d: F.struct(d.alias("digest"), F.lit(sign).alias("sign"))
+def _signed(a: Column, b: Column, **more: Callable[[Column], Column]) -> Column:
+    """The digests of a with sign 1 and those of b with sign -1, and what more each carries."""
+
+    def with_sign(values: Column, sign: int) -> Column:
+        return F.transform(
+            values,
+            lambda d: F.struct(
+                d.alias("digest"), F.lit(sign).alias("sign"), *[f(d).alias(name) for name, f in more.items()]
+            ),
         )
-        return _cells(F.concat(with_sign(p["a"], 1), with_sign(p["b"], -1)), width, count, signed=True)
 
-    return F.transform(F.array(signed), of_pair)[0]
+    return F.concat(with_sign(a, 1), with_sign(b, -1))
+
+
+def signed_sketch(values: Column, width: int) -> Column:
+    """The cells of digests with signs."""
+    return _cells(values, width, lambda inside: F.aggregate(inside, F.lit(0), lambda n, x: n + x["sign"]), signed=True)
 
 
 def _cells(values: Column, width: int, count: Callable[[Column], Column], signed: bool = False) -> Column:
@@ -129,6 +137,10 @@ def subtract(a: Column, b: Column) -> Column:
 _NO_DIGESTS = "array<bigint>"
 
 
+def _is_left(c: Column) -> Column:
+    return (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0)
+
+
 def peel(cells: Column, width: int) -> Column:
     """(found, whole): the differing digests that peeling recovers, and whether all were."""
 
@@ -154,7 +166,9 @@ def peel(cells: Column, width: int) -> Column:
 
             def of_third(all_placed: Column) -> Column:
                 def one(c: Column, i: Column) -> Column:
-                    return F.aggregate(F.filter(all_placed, lambda t: t["place"] == i), c, less)
+                    # Nothing is taken out of an empty cell.
+                    mine = F.filter(all_placed, lambda t: t["place"] == i)
+                    return F.when(_is_left(c), F.aggregate(mine, c, less)).otherwise(c)
 
                 return F.transform(state["cells"][third], one)
 
@@ -176,12 +190,11 @@ def peel(cells: Column, width: int) -> Column:
     start = F.struct(
         cells.alias("cells"), F.array().cast(_NO_DIGESTS).alias("found"), F.lit(False).alias("over")
     )
-    left = lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0)
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)),
         start,
         step,
-        lambda end: F.struct(end["found"].alias("found"), (~F.exists(F.flatten(end["cells"]), left)).alias("whole")),
+        lambda end: F.struct(end["found"].alias("found"), (~F.exists(F.flatten(end["cells"]), _is_left)).alias("whole")),
     )
 
 
@@ -195,23 +208,18 @@ def differing_in_groups(a: Column, b: Column) -> Column:
     """Number of differing digests, group by group."""
     groups = F.ceil((F.size(a) + F.size(b)) / GROUP).cast("int")
 
-    def placed(values: Column) -> Column:
-        group_of = lambda d: F.pmod(F.shiftrightunsigned(d, 48), groups)
-        return F.transform(values, lambda d: F.struct(group_of(d).alias("group"), d.alias("digest")))
+    def of_sign(values: Column, sign: int) -> Column:
+        return F.transform(F.filter(values, lambda x: x["sign"] == sign), lambda x: x["digest"])
 
     def of_group(all_placed: Column, g: Column) -> Column:
-        mine = lambda values: F.transform(
-            F.filter(values, lambda x: x["group"] == g), lambda x: x["digest"]
-        )
-        pair = F.struct(mine(all_placed["a"]).alias("a"), mine(all_placed["b"]).alias("b"))
-
-        def differing(p: Column) -> Column:
-            found = F.size(F.array_except(p["a"], p["b"])) + F.size(F.array_except(p["b"], p["a"]))
+        def differing(values: Column) -> Column:
+            a, b = of_sign(values, 1), of_sign(values, -1)
+            found = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
             for width in reversed(GROUP_WIDTHS):
-                found = _if_whole(peel(difference_sketch(p["a"], p["b"], width), width), found)
+                found = _if_whole(peel(signed_sketch(values, width), width), found)
             return found
 
-        return F.transform(F.array(pair), differing)[0]
+        return F.transform(F.array(F.filter(all_placed, lambda x: x["group"] == g)), differing)[0]
 
     def of_groups(all_placed: Column) -> Column:
         each = F.sequence(F.lit(0), F.greatest(groups, F.lit(1)) - 1)
@@ -219,7 +227,8 @@ def differing_in_groups(a: Column, b: Column) -> Column:
         return F.aggregate(differing, F.lit(0), lambda total, n: total + n)
 
     # In an array of one, so that the groups of the digests are worked out once.
-    return F.transform(F.array(F.struct(placed(a).alias("a"), placed(b).alias("b"))), of_groups)[0]
+    placed = _signed(a, b, group=lambda d: F.pmod(F.shiftrightunsigned(d, 48), groups))
+    return F.transform(F.array(placed), of_groups)[0]
 
 
 def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
