@@ -114,3 +114,21 @@ def test_groups_are_sketched_from_signed_digests(spark):
         assert row.x == row.y
     row = df.select(fingerprints.differing_in_groups(F.col("a"), F.col("b")).alias("n")).first()
     assert row.n == len(set(a) ^ set(b))
+
+
+def test_dealt_digests_are_cut_into_runs_of_one_group(spark):
+    keys = [[], [4], [0, 0, 0], [0, 1, 1, 5, 5, 5, 9], list(range(30))]
+    rows = [([(k, i) for i, k in enumerate(ks)],) for ks in keys]
+    df = spark.createDataFrame(rows, "v array<struct<group:int,digest:long>>")
+    each = fingerprints._of_runs(F.col("v"), "group", lambda run: F.transform(run, lambda x: x["group"]))
+    got = [r.x for r in df.select(each.alias("x")).collect()]
+    assert sorted(got) == sorted([[k] * ks.count(k) for k in sorted(set(ks))] for ks in keys)
+
+
+def test_peeling_that_runs_out_of_rounds_is_not_whole(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ROUNDS", 1)
+    df = spark.range(0, 40).select(F.transform(F.sequence(F.lit(1), F.col("id") % 20 + 1), lambda i: F.xxhash64(i, "id")).alias("a"))
+    cells = fingerprints.sketch(F.col("a"), 8)
+    rows = df.select("a", fingerprints.peel(cells, 8).alias("p")).collect()
+    assert {r.p.whole for r in rows} == {True, False}
+    assert all(r.p.whole == (sorted(r.p.found) == sorted(r.a)) for r in rows)

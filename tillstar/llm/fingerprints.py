@@ -64,6 +64,11 @@ def cell_of(digest: Column, third: int, width: int) -> Column:
     return F.shiftrightunsigned(digest, 21 * third).bitwiseAND(F.lit(width - 1).cast("long"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def sketch(values: Column, width: int) -> Column:
     """The cells (n, key, check) of a set of digests: one array for each third."""
     return _cells(values, width, F.size)
@@ -72,7 +77,7 @@ def sketch(values: Column, width: int) -> Column:
 def difference_sketch(a: Column, b: Column, width: int) -> Column:
     """What subtracting the sketch of b from that of a gives, put together at once: an XOR
     takes out what it has put in, and the digests of b count down."""
-    return F.transform(F.array(_signed(a, b)), lambda values: signed_sketch(values, width))[0]
+    return _once(_signed(a, b), lambda values: signed_sketch(values, width))
 
 
 def _signed(a: Column, b: Column, **more: Callable[[Column], Column]) -> Column:
@@ -82,7 +87,7 @@ def _signed(a: Column, b: Column, **more: Callable[[Column], Column]) -> Column:
         return F.transform(
             values,
             lambda d: F.struct(
-                d.alias("digest"), F.lit(sign).alias("sign"), *[f(d).alias(name) for name, f in more.items()]
+                *[f(d).alias(name) for name, f in more.items()], d.alias("digest"), F.lit(sign).alias("sign")
             ),
         )
 
@@ -95,26 +100,34 @@ def signed_sketch(values: Column, width: int) -> Column:
 
 
 def _cells(values: Column, width: int, count: Callable[[Column], Column], signed: bool = False) -> Column:
+    def placed(value: Column) -> Column:
+        digest = value["digest"] if signed else value
+        places = [cell_of(digest, third, width).alias(f"place{third}") for third in range(3)]
+        sign = [value["sign"].alias("sign")] if signed else []
+        return F.struct(*places, digest.alias("digest"), check(digest).alias("check"), *sign)
+
     def cell(inside: Column) -> Column:
-        return F.struct(
-            count(inside).alias("n"),
-            F.aggregate(inside, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x["digest"])).alias("key"),
-            F.aggregate(inside, F.lit(0), lambda a, x: a.bitwiseXOR(check(x["digest"]))).alias("check"),
+        def of(n: Column, key: Column, checks: Column) -> Column:
+            return F.struct(n.alias("n"), key.alias("key"), checks.alias("check"))
+
+        only = inside[0]
+        several = of(
+            count(inside),
+            F.aggregate(inside, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x["digest"])),
+            F.aggregate(inside, F.lit(0), lambda a, x: a.bitwiseXOR(x["check"])),
+        )
+        # Most cells of a group's sketch hold one digest or none.
+        return (
+            F.when(F.size(inside) == 0, of(F.lit(0), F.lit(0).cast("long"), F.lit(0)))
+            .when(F.size(inside) == 1, of(only["sign"] if signed else F.lit(1), only["digest"], only["check"]))
+            .otherwise(several)
         )
 
-    def cells(third: int) -> Column:
-        def placed(value: Column) -> Column:
-            digest = value["digest"] if signed else value
-            place = cell_of(digest, third, width).alias("place")
-            return F.struct(place, digest.alias("digest"), *([value["sign"].alias("sign")] if signed else []))
-
-        def of_third(all_placed: Column) -> Column:
-            inside = lambda place: F.filter(all_placed, lambda x: x["place"] == place)
-            return F.transform(F.transform(_places(width), inside), cell)
-
-        return F.transform(F.array(F.transform(values, placed)), of_third)[0]
+    def cells(all_placed: Column, third: int) -> Column:
+        inside = lambda place: F.filter(all_placed, lambda x: x[f"place{third}"] == place)
+        return F.transform(_places(width), lambda place: _once(inside(place), cell))
 
-    return F.array(*[cells(third) for third in range(3)])
+    return _once(F.transform(values, placed), lambda p: F.array(*[cells(p, third) for third in range(3)]))
 
 
 def _places(width: int) -> Column:
@@ -147,88 +160,106 @@ def peel(cells: Column, width: int) -> Column:
     def is_pure(c: Column) -> Column:
         return (F.abs(c["n"]) == 1) & (check(c["key"]) == c["check"])
 
-    def pure(state: Column) -> Column:
-        single = F.filter(F.flatten(state["cells"]), is_pure)
-        return F.array_distinct(F.transform(single, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n"))))
+    def pure(thirds: Column) -> Column:
+        def placed(c: Column) -> Column:
+            places = [cell_of(c["key"], third, width).cast("int").alias(f"place{third}") for third in range(3)]
+            return F.struct(*[c[name].alias(name) for name in ("n", "key", "check")], *places)
 
-    def without(state: Column, taken: Column) -> Column:
-        def rest(third: int) -> Column:
-            def placed(t: Column) -> Column:
-                place = cell_of(t["key"], third, width).cast("int").alias("place")
-                return F.struct(place, t["key"].alias("key"), t["n"].alias("n"))
+        return F.transform(F.array_distinct(F.filter(F.flatten(thirds), is_pure)), placed)
 
-            def less(c: Column, t: Column) -> Column:
-                return F.struct(
-                    (c["n"] - t["n"]).alias("n"),
-                    c["key"].bitwiseXOR(t["key"]).alias("key"),
-                    c["check"].bitwiseXOR(check(t["key"])).alias("check"),
-                )
-
-            def of_third(all_placed: Column) -> Column:
-                def one(c: Column, i: Column) -> Column:
-                    # Nothing is taken out of an empty cell.
-                    mine = F.filter(all_placed, lambda t: t["place"] == i)
-                    return F.when(_is_left(c), F.aggregate(mine, c, less)).otherwise(c)
+    def without(thirds: Column, taken: Column) -> Column:
+        def less(c: Column, t: Column) -> Column:
+            # The check of a pure cell is that of its digest.
+            return F.struct(
+                (c["n"] - t["n"]).alias("n"),
+                c["key"].bitwiseXOR(t["key"]).alias("key"),
+                c["check"].bitwiseXOR(t["check"]).alias("check"),
+            )
 
-                return F.transform(state["cells"][third], one)
+        def rest(third: int) -> Column:
+            def one(c: Column, i: Column) -> Column:
+                # Nothing is taken out of an empty cell.
+                mine = F.filter(taken, lambda t: t[f"place{third}"] == i)
+                return F.when(_is_left(c), F.aggregate(mine, c, less)).otherwise(c)
 
-            return F.transform(F.array(F.transform(taken, placed)), of_third)[0]
+            return F.transform(thirds[third], one)
 
         return F.array(*[rest(third) for third in range(3)])
 
+    def emptied(thirds: Column) -> Column:
+        return ~F.exists(F.flatten(thirds), _is_left)
+
     def step(state: Column, _: Column) -> Column:
         def taken_out(taken: Column) -> Column:
+            stuck = F.size(taken) == 0
             return F.struct(
-                F.when(F.size(taken) > 0, without(state, taken)).otherwise(state["cells"]).alias("cells"),
+                # The rounds after the last one carry no cells.
+                F.when(stuck, F.slice(state["cells"], F.lit(1), F.lit(0))).otherwise(without(state["cells"], taken)).alias("cells"),
                 F.concat(state["found"], F.transform(taken, lambda t: t["key"])).alias("found"),
-                (F.size(taken) == 0).alias("over"),
+                F.when(stuck, emptied(state["cells"])).alias("whole"),
             )
 
-        following = F.transform(F.array(pure(state)), taken_out)[0]
-        return F.when(state["over"], state).otherwise(following)
+        return F.when(state["whole"].isNotNull(), state).otherwise(_once(pure(state["cells"]), taken_out))
 
     start = F.struct(
-        cells.alias("cells"), F.array().cast(_NO_DIGESTS).alias("found"), F.lit(False).alias("over")
+        cells.alias("cells"), F.array().cast(_NO_DIGESTS).alias("found"), F.lit(None).cast("boolean").alias("whole")
     )
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)),
         start,
         step,
-        lambda end: F.struct(end["found"].alias("found"), (~F.exists(F.flatten(end["cells"]), _is_left)).alias("whole")),
+        lambda end: F.struct(
+            end["found"].alias("found"), F.coalesce(end["whole"], emptied(end["cells"])).alias("whole")
+        ),
     )
 
 
 def _if_whole(peeled: Column, otherwise: Column) -> Column:
     """The number of digests found, or `otherwise` if some were not."""
     answer = lambda r: F.when(r["whole"], F.size(r["found"])).otherwise(otherwise)
-    return F.transform(F.array(peeled), answer)[0]
+    return _once(peeled, answer)
 
 
 def differing_in_groups(a: Column, b: Column) -> Column:
     """Number of differing digests, group by group."""
-    groups = F.ceil((F.size(a) + F.size(b)) / GROUP).cast("int")
+    groups = F.greatest(F.ceil((F.size(a) + F.size(b)) / GROUP), F.lit(1)).cast("long")
 
     def of_sign(values: Column, sign: int) -> Column:
         return F.transform(F.filter(values, lambda x: x["sign"] == sign), lambda x: x["digest"])
 
-    def of_group(all_placed: Column, g: Column) -> Column:
-        def differing(values: Column) -> Column:
-            a, b = of_sign(values, 1), of_sign(values, -1)
-            found = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
-            for width in reversed(GROUP_WIDTHS):
-                found = _if_whole(peel(signed_sketch(values, width), width), found)
-            return found
+    def differing(values: Column) -> Column:
+        a, b = of_sign(values, 1), of_sign(values, -1)
+        found = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
+        for width in reversed(GROUP_WIDTHS):
+            found = _if_whole(peel(signed_sketch(values, width), width), found)
+        return found
+
+    def of_groups(dealt: Column) -> Column:
+        return F.aggregate(_of_runs(dealt, "group", differing), F.lit(0), lambda total, n: total + n)
+
+    def dealt(groups: Column) -> Column:
+        group = lambda d: F.pmod(F.shiftrightunsigned(d, 48), groups).cast("int")
+        return F.sort_array(_signed(a, b, group=group))
+
+    return _once(_once(groups, dealt), of_groups)
+
+
+def _of_runs(ordered: Column, name: str, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of each run of a list of structs that is ordered by a field: the
+    structs of one value of it."""
+    starts = F.filter(
+        F.sequence(F.lit(1), F.size(ordered)), lambda i: (i == 1) | (ordered[i - 1][name] != ordered[i - 2][name])
+    )
 
-        return F.transform(F.array(F.filter(all_placed, lambda x: x["group"] == g)), differing)[0]
+    def of_each(starts: Column) -> Column:
+        def of_run(start: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(starts, i + 1), F.size(ordered) + 1)
+            return _once(F.slice(ordered, start, end - start), use)
 
-    def of_groups(all_placed: Column) -> Column:
-        each = F.sequence(F.lit(0), F.greatest(groups, F.lit(1)) - 1)
-        differing = F.transform(each, lambda g: of_group(all_placed, g))
-        return F.aggregate(differing, F.lit(0), lambda total, n: total + n)
+        return F.transform(starts, of_run)
 
-    # In an array of one, so that the groups of the digests are worked out once.
-    placed = _signed(a, b, group=lambda d: F.pmod(F.shiftrightunsigned(d, 48), groups))
-    return F.transform(F.array(placed), of_groups)[0]
+    none = F.array().cast("array<int>")
+    return _once(F.when(F.size(ordered) == 0, none).otherwise(starts), of_each)
 
 
 def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
@@ -236,7 +267,7 @@ def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column
     differing = _if_whole(peel(subtract(sketch_a, sketch_b), WIDTH), differing_in_groups(a, b))
     total = F.size(a) + F.size(b)
     share = lambda d: F.when(total == 0, 1.0).otherwise((total - d) / (total + d))
-    return F.transform(F.array(differing), share)[0].cast("double")
+    return _once(differing, share).cast("double")
 
 
 def serialized(cells: Column) -> Column:
