@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,9 +8,9 @@ from tillstar import schemas
 from tillstar.operators import ranges, rolling, scratch, transform
 from tillstar.operators.clean import clean
 from tillstar.plans import batch, quality, star
-from tillstar.sources import feed
+from tillstar.sources import feed, versions
 from tillstar.sources import layers as L
-from tillstar.sources.reports import read_report
+from tillstar.sources.reports import read_report, write_report
 
 SF = "/root/testdata/sf0.001"
 
@@ -185,3 +187,49 @@ def test_equal_doubles_of_two_signs_are_one_line(spark, raw_lines):
     lines = raw_lines.limit(50).withColumn("unit_price", F.lit(0.0)).localCheckpoint()
     both = lines.union(lines.withColumn("unit_price", F.lit(-0.0)))
     assert rolling.sort_distinct_by_country(both).count() == lines.distinct().count()
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("|").split("|") if "shuffle_" in f}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path, layers):
+    """They would lie on the disks until the driver collects its garbage."""
+    L.create(spark, layers)
+    before, conf = _shuffle_files(spark), spark.conf.get(scratch._CLEANUP)
+    df = spark.range(1000).repartition(3, "id")
+    scratch.materialize(df, "kept")
+    L.write(df, layers, "raw", "other")
+    versions.add(spark, str(tmp_path), "some", df)
+    write_report(df.groupBy().count(), str(tmp_path), "report")
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(scratch._CLEANUP) == conf
+
+
+def test_stages_drop_their_scratch_before_the_next(spark, raw_lines, tmp_path, run_ts, monkeypatch):
+    """The range-sorted lines, as many as the processed ones, are gone when the star is built."""
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path / "scratch"))
+    seen, fact_sales = [], star.fact_sales
+
+    def watched(*given):
+        seen.extend(p.name for p in (tmp_path / "scratch").rglob("*-*") if p.is_dir())
+        return fact_sales(*given)
+
+    monkeypatch.setattr(star, "fact_sales", watched)
+    layers = L.Layers(str(tmp_path / "w"), "g_raw", "g_processed", "g_star")
+    batch.run(spark, raw_lines, layers, run_ts, profiles=False)
+    assert seen and not [name for name in seen if name.startswith(("country-ranges", "customer-totals"))]
+
+
+def test_sorted_facts_store_only_fact_columns(spark, built, run_ts, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path))
+    processed = L.read(spark, built, "processed", "processed_data")
+    countries = L.read(spark, built, "warehouse", "dim_country")
+    facts = star.fact_sales(processed, countries, run_ts)
+    assert same_rows(facts, L.read(spark, built, "warehouse", "fact_sales"))
+    (stored,) = (tmp_path / "tillstar").glob("facts-*")
+    assert not {"description", "invoice_date", "country", "product_category", "created_at"} & set(spark.read.parquet(str(stored)).columns)

@@ -11,6 +11,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillstar.operators.scratch import write_parquet
+
 _DIGITS = 12
 
 
@@ -51,7 +53,7 @@ def current(spark: SparkSession, root: str, number: int | None = None) -> Versio
 def add(spark: SparkSession, root: str, table: str, df: DataFrame) -> str:
     """Write a new folder of a table. No version has it until one is committed with it."""
     folder = f"tables/{table}/{uuid4().hex}"
-    df.write.parquet(f"{root}/{folder}")
+    write_parquet(df, f"{root}/{folder}")
     return folder
 
 
