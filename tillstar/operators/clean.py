@@ -34,8 +34,12 @@ def recognise_format(
     if not texts:
         return formats[0]
     tried = [fmt for fmt, can_read in zip(formats, reads) if can_read]
-    counts = [F.count(parse_datetime(column, fmt)).alias(f"f{i}") for i, fmt in enumerate(tried)]
-    read = df.agg(*counts).first() if tried else [0]
+    if len(tried) == 1:
+        # Nothing to compare: whether it reads any text.
+        read = [int(not df.where(parse_datetime(column, tried[0]).isNotNull()).isEmpty())]
+    else:
+        counts = [F.count(parse_datetime(column, fmt)).alias(f"f{i}") for i, fmt in enumerate(tried)]
+        read = df.agg(*counts).first() if tried else [0]
     if not max(read):
         raise ValueError(f"none of {list(formats)} reads any of the {texts} texts of {column}")
     return tried[read.index(max(read))]

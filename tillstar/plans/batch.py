@@ -38,11 +38,11 @@ def run(
     L.attach(spark, layers)
     raw = L.write(raw, layers, "raw", "raw_data")
     processed = store_processed(raw, layers, run_ts, date_format, accuracy)
-    with scratch_folder(spark):
-        if profiles:
+    if profiles:
+        with scratch_folder(spark):
             write_profiles(raw, processed, layers, accuracy)
-        build_star(processed, layers, run_ts)
-    write_report(run_summary(spark, layers, run_ts, source), reports(layers), "pipeline_summary")
+    build_star(processed, layers, run_ts)
+    write_summary(spark, layers, run_ts, source)
     return layers
 
 
@@ -99,16 +99,26 @@ def process(
 
 def build_star(processed: DataFrame, layers: L.Layers, run_ts: datetime) -> None:
     """Replace the warehouse tables by those of the processed lines."""
+    build_dimensions(processed, layers, run_ts)
+    build_facts(processed, layers, run_ts)
+
+
+def build_dimensions(processed: DataFrame, layers: L.Layers, run_ts: datetime) -> None:
     absent = [c for c in star.NEEDED if not has(processed, c)]
     if absent:
         raise ValueError(f"a star schema needs the columns {', '.join(absent)}")
-    for table, build in (
-        ("dim_customer", star.dim_customer),
-        ("dim_date", star.dim_date),
-        ("dim_product", star.dim_product),
-        ("dim_country", star.dim_country),
-    ):
-        L.write(build(processed, run_ts), layers, "warehouse", table)
+    with scratch_folder(processed.sparkSession):
+        for table, build in (
+            ("dim_customer", star.dim_customer),
+            ("dim_date", star.dim_date),
+            ("dim_product", star.dim_product),
+            ("dim_country", star.dim_country),
+        ):
+            L.write(build(processed, run_ts), layers, "warehouse", table)
+
+
+def build_facts(processed: DataFrame, layers: L.Layers, run_ts: datetime) -> None:
+    """The fact table, for the stored dimensions of the same lines."""
     countries = L.read(processed.sparkSession, layers, "warehouse", "dim_country")
     with scratch_folder(processed.sparkSession):
         L.write(star.fact_sales(processed, countries, run_ts), layers, "warehouse", "fact_sales")
@@ -130,6 +140,12 @@ def write_profiles(
         counts.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{folder}/categorical_summary")
 
 
+def write_summary(
+    spark: SparkSession, layers: L.Layers, run_ts: datetime, source: str | None = None
+) -> None:
+    write_report(run_summary(spark, layers, run_ts, source), reports(layers), "pipeline_summary")
+
+
 def run_summary(
     spark: SparkSession, layers: L.Layers, run_ts: datetime, source: str | None = None
 ) -> DataFrame:
