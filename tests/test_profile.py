@@ -90,3 +90,24 @@ def test_no_findings_give_no_advice(spark):
     # One missing customer in twenty is exactly 5 %, which is not above the limit.
     df = lines(spark, {"customer_id": None}, *[{} for _ in range(19)])
     assert profile.recommendations(profile.completeness(df), profile.consistency(df)).isEmpty()
+
+
+def test_whole_numbers_are_summed_exactly_without_decimals(spark):
+    values = [2**31 - 1, -(2**31), 7, -65537, 0, None] * 50
+    df = spark.createDataFrame([(v, None if v is None else float(v)) for v in values], "whole int, real double")
+    found = {r["column_name"]: r.asDict() for r in profile.numeric_summary(df).collect()}
+    assert {**found["whole"], "column_name": ""} == {**found["real"], "column_name": ""}
+    plan = profile.numeric_summary(df.select("whole"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(28,8)" not in plan
+
+
+def test_distinct_counts_do_not_expand_the_rows(spark):
+    from tests.test_star import processed
+
+    lines = processed(spark, *[{"customer_id": [None, "1", "2"][i % 3], "invoice_no": str(i), "country": "France"} for i in range(9)])
+    for stats in (profile.processed_stats(lines), profile.raw_stats(raw(spark, {"customer_id": None}, {"customer_id": "1"}))):
+        plan = stats._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan
+    assert column(profile.processed_stats(lines), "unique_customers", "unique_countries") == [
+        (lines.select("customer_id").where("customer_id is not null").distinct().count(), 1)
+    ]
